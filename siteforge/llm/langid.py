@@ -9,9 +9,9 @@ Ties go to the first language in alphabetical order. Repeated rows each get thei
 """
 from __future__ import annotations
 
-import gc
 import math
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -21,19 +21,24 @@ from pyspark.sql import Window as W
 from siteforge.llm.common import read, widened
 
 #: The sample: so many documents a language, the smallest by hash of id, and so many characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 40, 400
+SAMPLE_DOCS, SAMPLE_CHARS = 48, 500
 _NOT_LETTERS = regex.compile(r"\P{L}+")
-_BUILT: dict[tuple, list] = {}
+_BUILT: dict[tuple, "CrossParser"] = {}
 
 
 def letters(text: str) -> str:
     """Lower-case words of letters, one space before, between and after them; '' if there is no letter."""
-    s = _NOT_LETTERS.sub(" ", text.lower()).strip()
+    s = _NOT_LETTERS.sub(" ", _lower(text)).strip()
     return f" {s} " if s else ""
 
 
-def automaton(text: str) -> dict:
-    """Root of text's suffix automaton; a state is the dict of its transitions, so every substring is a path from the root."""
+def _lower(text: str) -> str:
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower()[0] for c in text)
+
+
+def automaton(text: str) -> list[dict]:
+    """Transitions of text's suffix automaton, by state (0: root): every substring is a path from the root."""
     nxt: list[dict] = [{}]
     link, length, last = [-1], [0], 0
     for c in text:
@@ -59,26 +64,85 @@ def automaton(text: str) -> dict:
                     p = link[p]
                 link[q] = link[cur] = copy
         last = cur
-    states: list[dict] = [{} for _ in nxt]
-    for s, d in zip(states, nxt):
-        for c, j in d.items():
-            s[c] = states[j]
-    return states[0]
-
-
-def phrases(text: str, root: dict) -> int:
-    """Phrases of the greedy longest-match parse; a character the sample lacks is a phrase."""
-    n, state = 0, root
-    for c in text:
-        to = state.get(c)
-        if to is None:
-            n += state is not root
-            to = root.get(c)
-            if to is None:
-                n += 1
-                to = root
-        state = to
-    return n + (state is not root)
+    return nxt
+
+
+class CrossParser:
+    """All languages' automata in one table, to parse many texts side by side.
+
+    An entry is (row of the next state) * 2, plus 1 if it begins a phrase: where the automaton has no transition, the phrase
+    ends and the next begins in a copy of the root's successor. Memory: two states a sample character times the letters seen in
+    the samples, 4 or 8 bytes each.
+    """
+
+    def __init__(self, texts: tuple):
+        self.langs = [lang for lang, _ in texts]
+        self.bits = np.array([math.log2(len(t) + 1) for _, t in texts])
+        alphabet = sorted({c for _, t in texts for c in t} | {" "})
+        self.alphabet = alphabet
+        code = {c: i for i, c in enumerate(alphabet)}
+        unknown, width = len(alphabet), len(alphabet) + 1
+        # code of every code point: a letter's lower case, or a space; unknown letters share one
+        self.table = np.zeros(0x110000, dtype=np.uint16)
+        for cp in range(0x110000):
+            c = chr(cp)
+            if c.isalpha():
+                self.table[cp] = code.get(c.lower()[0], unknown)
+        parts, self.first, base = [], [], 0
+        for _, text in texts:
+            nxt = automaton(text)
+            t = np.tile((base + np.arange(width, dtype=np.int64)) * width * 2 + 1, (width + len(nxt), 1))
+            for i, d in enumerate(nxt):
+                for c, j in d.items():
+                    t[width + i, code[c]] = (base + width + j) * width * 2
+            for c, j in nxt[0].items():
+                t[code[c]] = t[width + j]
+            parts.append(t)
+            self.first.append((base + unknown) * width * 2)
+            base += len(t)
+        self.next = np.concatenate(parts).ravel() if parts else np.zeros(0, dtype=np.int64)
+        if base * width * 2 < 2**31:
+            self.next = self.next.astype(np.int32)
+
+    def codes(self, text: str) -> np.ndarray:
+        """As letters(), in codes."""
+        c = self.table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        letter = c != 0
+        if not letter.any():
+            return c[:0]
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]  # of a run of other characters the first stays
+        c = c[keep]
+        return np.concatenate([c[:0] if c[0] == 0 else np.zeros(1, c.dtype), c, np.zeros(int(c[-1] != 0), c.dtype)])
+
+    def phrases(self, coded: list[np.ndarray]) -> np.ndarray:
+        """Phrases (languages x texts) of the greedy longest-match parse; a letter the samples lack is a phrase."""
+        order = np.argsort([-len(c) for c in coded], kind="stable")
+        sizes = np.array([len(coded[i]) for i in order])
+        flat = np.concatenate([coded[i] for i in order]) if len(coded) else np.zeros(0, np.uint16)
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else sizes
+        state = np.repeat(np.array(self.first, dtype=self.next.dtype)[:, None], len(coded), axis=1)
+        count = np.zeros(state.shape, dtype=np.int64)
+        left = np.searchsorted(-sizes, -np.arange(sizes[0] if len(sizes) else 0), side="left")  # texts longer than t
+        for t, n in enumerate(left):
+            s = self.next[(state[:, :n] >> 1) + flat[starts[:n] + t]]
+            state[:, :n] = s
+            count[:, :n] += s & 1
+        out = np.empty_like(count)
+        out[:, order] = count
+        return out
+
+    def predict(self, texts: list) -> tuple[list[str], list[float]]:
+        coded = [self.codes(t) if t else np.zeros(0, np.uint16) for t in texts]
+        if not self.langs:
+            return ["und"] * len(coded), [0.0] * len(coded)
+        bits = self.phrases(coded) * self.bits[:, None]
+        best = bits.argmin(axis=0)
+        low = bits[best, np.arange(len(coded))]
+        bits[best, np.arange(len(coded))] = np.inf
+        second = bits.min(axis=0) if len(self.langs) > 1 else np.array([5.0 * len(c) for c in coded])
+        score = [float(min(1.0, max(0.0, (b - a) / b))) if b and len(c) else 0.0 for a, b, c in zip(low, second, coded)]
+        return [self.langs[i] if len(c) else "und" for i, c in zip(best, coded)], score
 
 
 def sample(labelled: DataFrame, docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
@@ -92,36 +156,24 @@ def sample(labelled: DataFrame, docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHA
     return [(k, "".join(t for _, t in sorted(v))) for k, v in sorted(by.items())]
 
 
-def _models(texts: tuple) -> list:
+def _parser(texts: tuple) -> CrossParser:
     if texts not in _BUILT:
         _BUILT.clear()
-        gc.disable()
-        _BUILT[texts] = [(lang, math.log2(len(t) + 1), automaton(t)) for lang, t in texts]
-        gc.freeze()
-        gc.enable()
+        _BUILT[texts] = CrossParser(texts)
     return _BUILT[texts]
 
 
-def predict(text: str | None, models: list) -> tuple[str, float]:
-    s = letters(text) if text else ""
-    if not s or not models:
-        return "und", 0.0
-    bits = sorted((phrases(s, root) * bit, lang) for lang, bit, root in models)
-    second = bits[1][0] if len(bits) > 1 else len(s) * 5.0
-    return bits[0][1], max(0.0, min(1.0, (second - bits[0][0]) / second)) if second else 0.0
-
-
 def identify(df: DataFrame, texts: list[tuple[str, str]]) -> DataFrame:
     """df with lang_pred and score (0 to 1: how much worse the second language parses it)."""
     df, schema = widened(df, [("lang_pred", "string"), ("score", "double")])
     frozen = tuple(texts)
 
     def run(batches):
-        models = _models(frozen)
+        parse = _parser(frozen)
         for b in batches:
-            got = [predict(t, models) for t in b["text"]]
-            b["lang_pred"] = pd.Series([x[0] for x in got], index=b.index, dtype=object)
-            b["score"] = pd.Series([x[1] for x in got], index=b.index, dtype=float)
+            lang, score = parse.predict(list(b["text"]))
+            b["lang_pred"] = pd.Series(lang, index=b.index, dtype=object)
+            b["score"] = pd.Series(score, index=b.index, dtype=float)
             yield b
 
     return df.mapInPandas(run, schema)
