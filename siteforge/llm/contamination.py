@@ -15,12 +15,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteforge.llm.common import read
+from siteforge.llm.common import let, read
 
 #: Fixed masks: 1 keeps a token, 0 ignores it.
 MASKS = ("1101100111", "1110010111", "1011111001")
 SPAN = len(MASKS[0])
 WINDOW, SIMILARITY = 13, 0.8
+#: Tokens on either side of a seed that a window holding it can reach.
+AROUND = WINDOW - SPAN
 #: Seeds of the benchmark that are broadcast at most (about 100 bytes each with the item's tokens); more are exchanged.
 MAX_BROADCAST = 200_000
 _GAP = r"[^\p{L}\p{N}]+"
@@ -31,35 +33,43 @@ def tokens(text: Column) -> Column:
     return F.transform(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _GAP), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(df: DataFrame, h: str, at: str) -> DataFrame:
-    """One row for each position and mask of the token hashes in column h: at, mask, seed."""
-    df = df.where(F.size(h) >= SPAN).withColumn(at, F.explode(F.sequence(F.lit(0), F.size(h) - SPAN)))
-    keys = [F.xxhash64(F.lit(m), *[F.get(F.col(h), F.col(at) + i) for i, c in enumerate(mask) if c == "1"]) for m, mask in enumerate(MASKS)]
-    return df.withColumn("seed", F.explode(F.array(*keys)))
+def _seeds(df: DataFrame, h: str, at: str, keep: list[str], around: int = 0) -> DataFrame:
+    """One row for each position and mask of the token hashes in column h: keep, at, seed, and (around > 0) near.
 
+    near: the tokens from `around` before the position to `around` beyond the seed's span. The whole array is not carried on.
+    """
+    n = len(MASKS) * (F.size(h) - SPAN + 1)
+    # outer, as an inner explode would filter on the sequence first and cut the text into tokens twice
+    df = df.withColumn("p", F.explode_outer(F.when(n > 0, F.sequence(F.lit(0), n - 1))))
+    i, m = F.floor(F.col("p") / len(MASKS)).cast("int"), F.pmod("p", F.lit(len(MASKS)))
+    seed = F.lit(None).cast("bigint")
+    for k, mask in enumerate(MASKS):
+        seed = F.when(m == k, F.xxhash64(F.lit(k), *[F.get(F.col(h), i + x) for x, c in enumerate(mask) if c == "1"])).otherwise(seed)
+    near = [F.slice(h, F.greatest(F.lit(1), i + 1 - around), F.lit(SPAN + around) + F.least(F.lit(around), i)).alias("near")] if around else []
+    return df.select(*keep, i.alias(at), *near, seed.alias("seed"))
 
-def agreement(doc: Column, item: Column, shift: Column, j: Column) -> Column:
-    """Most agreeing tokens in a window of the item that holds the seed at j, laid at doc position shift + item position."""
+
+def agreement(near: Column, before: Column, item: Column, j: Column) -> Column:
+    """Share of agreeing tokens in the best window of the item that holds the seed at j; near[before] lies against item[j]."""
     n = F.size(item)
     width = F.least(F.lit(WINDOW), n)
     low, high = F.greatest(F.lit(0), j + SPAN - width), F.least(j, n - width)
-    same = F.transform(item, lambda v, t: F.when(F.get(doc, t + shift) == v, 1).otherwise(0))
-    best = lambda s: F.array_max(F.transform(F.sequence(low, high), lambda k: F.aggregate(F.slice(s, k + 1, width), F.lit(0), lambda a, x: a + x)))
-    from siteforge.llm.common import let
-
+    part = F.slice(item, low + 1, high - low + width)
+    same = F.transform(part, lambda v, t: F.when(F.get(near, t + low - j + before) == v, 1).otherwise(0))
+    best = lambda s: F.array_max(F.transform(F.sequence(F.lit(0), high - low), lambda k: F.aggregate(F.slice(s, k + 1, width), F.lit(0), lambda a, x: a + x)))
     return let(same, best) / width
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, item_id, n_hits, agreement): documents that hold part of an item."""
     items = benchmark.select("item_id", tokens(F.col("text")).alias("ih")).where(F.size("ih") >= SPAN)
-    seeds = _seeds(items, "ih", "j")
+    seeds = _seeds(items, "ih", "j", ["item_id", "ih"])
     count = items.agg(F.sum(F.size("ih") * len(MASKS))).first()[0] or 0  # one number: the size check of the broadcast
     longest = items.agg(F.max(F.size("ih"))).first()[0] or 0
     if count * math.ceil((longest + 12) / 12) <= MAX_BROADCAST:
         seeds = F.broadcast(seeds)
-    d = _seeds(docs.select("doc_id", tokens(F.col("text")).alias("h")), "h", "i")
-    hits = d.join(seeds, "seed").select("doc_id", "item_id", agreement(F.col("h"), F.col("ih"), F.col("i") - F.col("j"), F.col("j")).alias("a"))
+    d = _seeds(docs.select("doc_id", tokens(F.col("text")).alias("h")), "h", "i", ["doc_id"], AROUND)
+    hits = d.join(seeds, "seed").select("doc_id", "item_id", agreement(F.col("near"), F.least(F.lit(AROUND), F.col("i")), F.col("ih"), F.col("j")).alias("a"))
     return hits.where(F.col("a") >= similarity).groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_hits"), F.max("a").alias("agreement"))
 
 
