@@ -1,5 +1,5 @@
 """Queries of the text operators."""
-from siteforge.llm import contamination, langid, pieces, pii, quality, sharding, simhash, urls
+from siteforge.llm import contamination, langid, pieces, pii, quality, repeats, sharding, simhash, urls
 from siteforge.llm.oracles import ORACLES
 
 
@@ -12,6 +12,7 @@ def queries():
         "op6_simhash": simhash.op6_simhash,
         "op7_decontamination": contamination.op7_decontamination,
         "op8_language_id": langid.op8_language_id,
+        "op9_repeats": repeats.op9_repeats,
         "op10_url_filter": urls.op10_url_filter,
     }
 
