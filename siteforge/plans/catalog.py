@@ -1,2 +1,2 @@
 """All query modules of the engine; importing them fills the registry."""
-from siteforge.plans import ranking  # noqa: F401
+from siteforge.plans import aggregates, ranking, relations, scalars  # noqa: F401
