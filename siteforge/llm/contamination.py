@@ -38,15 +38,13 @@ def _seeds(df: DataFrame, h: str, at: str, keep: list[str], around: int = 0) ->
 
     near: the tokens from `around` before the position to `around` beyond the seed's span. The whole array is not carried on.
     """
-    n = len(MASKS) * (F.size(h) - SPAN + 1)
+    n = F.size(h) - SPAN
     # outer, as an inner explode would filter on the sequence first and cut the text into tokens twice
-    df = df.withColumn("p", F.explode_outer(F.when(n > 0, F.sequence(F.lit(0), n - 1))))
-    i, m = F.floor(F.col("p") / len(MASKS)).cast("int"), F.pmod("p", F.lit(len(MASKS)))
-    seed = F.lit(None).cast("bigint")
-    for k, mask in enumerate(MASKS):
-        seed = F.when(m == k, F.xxhash64(F.lit(k), *[F.get(F.col(h), i + x) for x, c in enumerate(mask) if c == "1"])).otherwise(seed)
-    near = [F.slice(h, F.greatest(F.lit(1), i + 1 - around), F.lit(SPAN + around) + F.least(F.lit(around), i)).alias("near")] if around else []
-    return df.select(*keep, i.alias(at), *near, seed.alias("seed"))
+    df = df.withColumn(at, F.explode_outer(F.when(n >= 0, F.sequence(F.lit(0), n))))
+    seeds = {f"s{k}": F.xxhash64(F.lit(k), *[F.get(F.col(h), F.col(at) + x) for x, c in enumerate(mask) if c == "1"]) for k, mask in enumerate(MASKS)}
+    near = [F.slice(h, F.greatest(F.lit(1), F.col(at) + 1 - around), F.lit(SPAN + around) + F.least(F.lit(around), F.col(at))).alias("near")] if around else []
+    df = df.select(*keep, at, *near, *[c.alias(k) for k, c in seeds.items()])
+    return df.select(*keep, at, *(["near"] if around else []), F.explode(F.array(*seeds)).alias("seed")).where(F.col(at).isNotNull())
 
 
 def agreement(near: Column, before: Column, item: Column, j: Column) -> Column:
@@ -70,7 +68,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
         seeds = F.broadcast(seeds)
     d = _seeds(docs.select("doc_id", tokens(F.col("text")).alias("h")), "h", "i", ["doc_id"], AROUND)
     hits = d.join(seeds, "seed").select("doc_id", "item_id", agreement(F.col("near"), F.least(F.lit(AROUND), F.col("i")), F.col("ih"), F.col("j")).alias("a"))
-    return hits.where(F.col("a") >= similarity).groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_hits"), F.max("a").alias("agreement"))
+    # verified while aggregating: as a filter it would move into the join and take it out of code generation
+    found = hits.groupBy("doc_id", "item_id").agg(F.count_if(F.col("a") >= similarity).alias("n_hits"), F.max("a").alias("agreement"))
+    return found.where(F.col("agreement") >= similarity)
 
 
 def op7_decontamination(spark, sf_dir):
