@@ -32,6 +32,27 @@ def components(nodes: DataFrame, edges: DataFrame, group: str, rounds: int = 30)
     raise RuntimeError("components did not settle")
 
 
+def by_group(df: DataFrame, keys: list[str], solve, schema) -> DataFrame:
+    """Rows solve(list of row dicts) of each group: sorted partitions are streamed, so a small group costs no frame of its own."""
+
+    def run(batches):
+        names = schema_names
+        held: list[dict] = []
+        for b in batches:
+            out: list = []
+            for r in b.to_dict("records"):
+                if held and any(held[0][k] != r[k] for k in keys):
+                    out += solve(held)
+                    held = []
+                held.append(r)
+            yield pd.DataFrame(out, columns=names)
+        if held:
+            yield pd.DataFrame(solve(held), columns=names)
+
+    schema_names = [f.split()[0] for f in schema.split(",")] if isinstance(schema, str) else schema.names
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
 def _metres(lat1, lon1, lat2, lon2) -> float:
     dx = (lon2 - lon1) * 111320 * math.cos(math.radians((lat1 + lat2) / 2))
     return math.hypot(dx, (lat2 - lat1) * 111320)
@@ -42,8 +63,8 @@ def nms(df: DataFrame, group: list[str], metres: float) -> DataFrame:
     confidence-weighted mean is the merged point. df (group..., id, lat, lon, conf) -> (group..., id, lat, lon, n_merged)."""
     schema = ", ".join([*(f"{c} {dict(df.dtypes)[c]}" for c in group), f"id {dict(df.dtypes)['id']}", "lat double, lon double, n_merged int"])
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(["conf", "id"], ascending=[False, True]).to_dict("records")
+    def merge(rows: list[dict]) -> list:
+        rows = sorted(rows, key=lambda r: (-r["conf"], r["id"]))
         out = []
         while rows:
             seed = rows[0]
@@ -52,29 +73,29 @@ def nms(df: DataFrame, group: list[str], metres: float) -> DataFrame:
             rows = [r for r in rows if r["id"] not in ids]
             w = sum(r["conf"] for r in near)
             out.append([*(seed[c] for c in group), seed["id"], sum(r["lat"] * r["conf"] for r in near) / w, sum(r["lon"] * r["conf"] for r in near) / w, len(near)])
-        return pd.DataFrame(out, columns=[*group, "id", "lat", "lon", "n_merged"])
+        return out
 
-    return df.groupBy(*group).applyInPandas(merge, schema)
+    return by_group(df, group, merge, schema)
 
 
 def keep_apart(df: DataFrame, group: list[str], metres: float) -> DataFrame:
     """Greedy deduplication by group: the most confident object stays, others of the group within metres of a kept one go."""
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
+    def keep(rows: list[dict]) -> list:
         kept: list[dict] = []
-        for r in pdf.sort_values(["conf", "id"], ascending=[False, True]).to_dict("records"):
+        for r in sorted(rows, key=lambda r: (-r["conf"], r["id"])):
             if all(_metres(k["lat"], k["lon"], r["lat"], r["lon"]) > metres for k in kept):
                 kept.append(r)
-        return pd.DataFrame(kept, columns=pdf.columns)
+        return [list(k.values()) for k in kept]
 
-    return df.groupBy(*group).applyInPandas(keep, df.schema)
+    return by_group(df, group, keep, df.schema)
 
 
 def grow_sites(df: DataFrame, gap: float, most: int = 4, least_score: float = 0.5) -> DataFrame:
     """Per plant: grow from the seed parcel; a parcel joins if its box is within gap metres of the current union and it holds a
     detection, or has the seed's owner and a score of at least least_score or none. Parcels are tried in pool order until nothing
     changes. df (plant, parcel, seed, owner, detected, score, x0, y0, x1, y1, pool) in metres -> (plant, parcel, step)."""
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pool = pdf.sort_values(["pool", "parcel"]).to_dict("records")
+    def grow(rows: list[dict]) -> list:
+        pool = sorted(rows, key=lambda r: (r["pool"], r["parcel"]))
         site = [r for r in pool if r["seed"]][:1]
         moved = bool(site)
         while moved and len(site) < most:
@@ -87,7 +108,7 @@ def grow_sites(df: DataFrame, gap: float, most: int = 4, least_score: float = 0.
                 if near and fits:
                     site.append(r)
                     moved = True
-        return pd.DataFrame([(r["plant"], r["parcel"], i) for i, r in enumerate(site)], columns=["plant", "parcel", "step"])
+        return [(r["plant"], r["parcel"], i) for i, r in enumerate(site)]
 
     t = dict(df.dtypes)
-    return df.groupBy("plant").applyInPandas(grow, f"plant {t['plant']}, parcel {t['parcel']}, step int")
+    return by_group(df, ["plant"], grow, f"plant {t['plant']}, parcel {t['parcel']}, step int")
