@@ -50,13 +50,13 @@ def host_edges(pages: DataFrame) -> DataFrame:
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
     """(kind, host, rank): personalised PageRank of each kind's seeds (kind, host, seed) over its edges (kind, src, dst, share).
 
-    Rank that reaches a host without links ends there. The rounds stop early once a kind's ranks no longer reach new mass.
+    Rank that reaches a host without links ends there.
     """
     rank = seeds.select("kind", "host", F.col("seed").alias("rank"))
     if edges.isEmpty():
         return rank.withColumn("rank", F.col("rank") * (1 - damping))
-    for i in range(rounds):
-        sent = rank.join(edges, (rank["kind"] == edges["kind"]) & (rank["host"] == edges["src"])).select(edges["kind"], F.col("dst").alias("host"), (damping * F.col("rank") * F.col("share")).alias("m"))
+    for _ in range(rounds):
+        sent = rank.join(edges.withColumnRenamed("src", "host"), ["kind", "host"]).select("kind", F.col("dst").alias("host"), (damping * F.col("rank") * F.col("share")).alias("m"))
         base = seeds.select("kind", "host", ((1 - damping) * F.col("seed")).alias("m"))
         rank = cut(sent.unionByName(base).groupBy("kind", "host").agg(F.sum("m").alias("rank")))
     return rank
