@@ -218,9 +218,14 @@ def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCS):
-    """The model, from the base labels of at most `sample` documents, the first by hash among those with a digit or an @."""
-    rows = docs.where("text rlike '[0-9@]'").select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(sample)
-    return train([r.text for r in rows.select("text").collect()])
+    """The model, from the base labels of at most `sample` texts, the first by hash among those with a digit or an @.
+
+    The hashes choose the texts, so that only the chosen ones leave the executors, each once however often it occurs.
+    """
+    rows = docs.where("text rlike '[0-9@]'").select("text", F.xxhash64("text").alias("h"))
+    top = rows.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    chosen = rows.where(F.col("h") <= top).groupBy("h").agg(F.min("text").alias("text")).orderBy("h") if top is not None else rows.where("false")
+    return train([r.text for r in chosen.select("text").collect()])
 
 
 def find(df: DataFrame, model) -> DataFrame:
