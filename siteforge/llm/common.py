@@ -37,11 +37,16 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the cluster's shared checkpoint folder: lineage is cut and survives lost executors."""
-    spark = df.sparkSession
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; a folder of this process only where none is set."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siteforge-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise df in the cluster's shared checkpoint folder: lineage is cut and survives lost executors."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 

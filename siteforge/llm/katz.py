@@ -7,9 +7,21 @@ probabilities sum to one over the vocabulary and one unknown word:
     P(w | v) = d(c(v,w)) c(v,w) / c(v)   if the pair was seen, else   alpha(v) P(w),
     P(w) = d(c(w)) c(w) / N              if the word was seen, else   what is left (the unknown word).
 
-A history whose counts all lie above K would leave nothing; it is scaled to leave 1 / (c(v) + 1). The tables (words, histories,
-pairs) are partitioned by their keys and joined, never broadcast; a token's probability falls back from the pair table to the
-history and word tables. Words are known by 64-bit hashes.
+A history whose counts all lie above K would leave nothing; it is scaled to leave 1 / (c(v) + 1).
+
+Every exchange carries packed tables instead of a row for each token:
+
+1. Tasks cut documents into chunks of about CHUNK tokens: a chunk has its own vocabulary and its tokens as numbers in it.
+2. Words are counted over all chunks and numbered by falling count, so frequent words have small numbers and the count of a
+   number follows from the table of count classes (at most sqrt(2N) rows, the only table of the model that tasks get whole).
+3. Each chunk asks for its different pairs, one sorted and packed request for each bucket of histories. A bucket adds up the
+   counts and answers every chunk in the order of its request: pair counts, and for each history how many of its pairs have
+   which count and the lower-order mass below it.
+4. Chunks compute the discounts' shares, alpha and the tokens' probabilities from the answers, falling back token by token.
+
+Histories with over 1 / HOT of all tokens (at most HOT, and the start) are spread over all buckets by the word that follows; their
+sums are added up in Spark. Chunks hold whole documents, so a single very long text may exceed CHUNK. Words are known by 64-bit
+hashes.
 
 Nulls: a null text is empty and has its end token only. Rows are known by (doc_id, text); repeated rows get the same scores. An
 empty training set gives every token the unknown word's probability, 1.
@@ -17,16 +29,22 @@ empty training set gives every token the unknown word's probability, 1.
 from __future__ import annotations
 
 import math
+import uuid
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+import xxhash
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteforge.llm.common import ascii_lower, cut, read, words
+from siteforge.llm.common import checkpoint_dir, read
 from siteforge.llm.langid import fold
 
 K = 5
-#: History of a first word and token after a last one; no hash of a word is looked for under these.
-START, END = -1, -2
+CHUNK, BUCKET, HOT = 4_000_000, 2_000_000, 1024
+#: Hash of the end token.
+END = -2
 
 
 def discounts(counts: dict[int, int], k: int = K) -> list[float]:
@@ -43,64 +61,257 @@ def discounts(counts: dict[int, int], k: int = K) -> list[float]:
     return out
 
 
-def _count_counts(df: DataFrame, k: int = K) -> dict[int, int]:
-    return {r.c: r["count"] for r in df.where(F.col("c") <= k + 1).groupBy("c").count().collect()}  # at most k + 1 rows
+def _discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    return np.where(c < len(d), d[np.minimum(c, len(d) - 1)], 1.0) * c
 
 
-def _discounted(c: Column, d: list[float]) -> Column:
-    return F.when(c <= len(d) - 1, F.element_at(F.array(*[F.lit(x) for x in d]), (c + 1).cast("int"))).otherwise(1.0) * c
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of 8-byte numbers, their bytes by place so that leading zeros vanish, compressed."""
+    head = np.array([len(arrays), *map(len, arrays)], dtype=np.int64).tobytes()
+    planes = b"".join(np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T).tobytes() for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(head + planes)
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """(uid, train, v, w) of every token of docs (uid, train, text), the end token last."""
-    hashed = docs.select("uid", "train", F.transform(words(ascii_lower(F.col("text"))), lambda x: F.xxhash64(x)).alias("h"))
-    d = hashed.select("uid", "train", "h", F.explode_outer(F.sequence(F.lit(0), F.size("h"))).alias("i"))
-    v = F.when(F.col("i") == 0, F.lit(START).cast("bigint")).otherwise(F.get("h", F.col("i") - 1))
-    return d.select("uid", "train", v.alias("v"), F.coalesce(F.get("h", F.col("i")), F.lit(END).cast("bigint")).alias("w"))
+def unpack(blob: bytes) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    n = int(raw[:8].view(np.int64)[0])
+    at, out = 8 * (n + 1), []
+    for size in raw[8:at].view(np.int64).tolist():
+        out.append(np.ascontiguousarray(raw[at : at + 8 * size].reshape(8, size).T).reshape(-1).view(np.int64))
+        at += 8 * size
+    return out
 
 
-class Katz:
-    """Tables: words (w, c, p), histories (v, alpha), pairs (v, w, p, c); numbers: tokens N, vocabulary V, unknown's p."""
-
-    def __init__(self, occ: DataFrame, k: int = K):
-        train = occ.where("train")
-        pairs = train.groupBy("v", "w").agg(F.count(F.lit(1)).alias("c"))
-        single = cut(train.groupBy("w").agg(F.count(F.lit(1)).alias("c")))
-        totals = single.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-        self.tokens, self.vocabulary = totals.n, totals.v
+def _stored(df: DataFrame) -> DataFrame:
+    """df as a table in the cluster's shared checkpoint folder."""
+    path = f"{checkpoint_dir(df.sparkSession)}/katz-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def occurrences(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Chunks of docs (uid, train, text): hashes and training counts of their words, and packed uids, lengths and token numbers."""
+
+    def run(batches):
+        def flush():
+            seq = np.concatenate(parts)
+            hashes = np.array([END if w is None else xxhash.xxh3_64_intdigest(w) - (1 << 63) for w in vocabulary], dtype=np.int64)
+            lengths = np.array([len(x) for x in parts], dtype=np.int64)
+            counts = np.bincount(seq[np.repeat(np.array(train, dtype=bool), lengths)], minlength=len(hashes)).astype(np.int64)
+            order = np.argsort(-np.bincount(seq, minlength=len(hashes)), kind="stable")  # frequent words get small numbers
+            number = np.empty(len(order), dtype=np.int64)
+            number[order] = np.arange(len(order))
+            body = pack(np.array(uids, dtype=np.int64), lengths, np.array(train, dtype=np.int64), number[seq])
+            return pd.DataFrame({"hashes": [hashes[order]], "counts": [counts[order]], "body": [body]})
+
+        vocabulary, uids, train, parts, held = {}, [], [], [], 0
+        for b in batches:
+            for u, t, text in zip(b["uid"], b["train"], b["text"]):
+                tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and the six ASCII spaces only
+                tokens.append(None)
+                uids.append(u)
+                train.append(t)
+                parts.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in tokens], dtype=np.int32))
+                held += len(tokens)
+                if held >= chunk:
+                    yield flush()
+                    vocabulary, uids, train, parts, held = {}, [], [], [], 0
+        if held:
+            yield flush()
+
+    made = docs.select("uid", "train", "text").mapInPandas(run, "hashes array<bigint>, counts array<bigint>, body binary")
+    return _stored(made.withColumn("chunk", F.monotonically_increasing_id()))
+
+
+def _mixed(a: np.ndarray) -> np.ndarray:
+    h = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+class _Pairs:
+    """A chunk's tokens and its different pairs of known words, ordered by bucket, history and word.
+
+    Numbers: 0 the start, words from 1 by falling count, -1 words that training lacks.
+    """
+
+    def __init__(self, body: bytes, pos: np.ndarray, ids: np.ndarray, hot: int, buckets: int):
+        self.uids, self.lengths, train, seq = unpack(body)
+        size = int(seq.max()) + 1
+        number = np.full(size + 1, -1, dtype=np.int64)
+        number[np.asarray(pos, dtype=np.int64)] = np.asarray(ids, dtype=np.int64)
+        number[size] = 0
+        before = np.empty_like(seq)
+        before[1:] = seq[:-1]
+        self.first = np.cumsum(self.lengths) - self.lengths
+        before[self.first] = size
+        keys, inverse = np.unique(before * (size + 1) + seq, return_inverse=True)
+        counts = np.bincount(inverse, weights=np.repeat(train, self.lengths), minlength=len(keys)).astype(np.int64)
+        v, w = number[keys // (size + 1)], number[keys % (size + 1)]
+        known = np.flatnonzero((v >= 0) & (w > 0))
+        kv, kw = v[known], w[known]
+        bucket = np.where(kv <= hot, _mixed(kv * 1_000_003 + kw), _mixed(kv)) % np.uint64(buckets)
+        order = np.lexsort((kw, kv, bucket))
+        self.v, self.w, self.bucket, self.counts = kv[order], kw[order], bucket[order].astype(np.int64), counts[known[order]]
+        self.all_v, self.all_w, self.inverse, self.known = v, w, inverse, known[order]
+
+    def ranges(self):
+        """(bucket, begin, end)"""
+        begin = np.flatnonzero(np.concatenate([[True], self.bucket[1:] != self.bucket[:-1]])) if len(self.bucket) else np.zeros(0, np.int64)
+        return zip(self.bucket[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(self.bucket)])
+
+
+def _starts(a: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, np.int64)
+
+
+def _request(v: np.ndarray, w: np.ndarray, counts: np.ndarray) -> bytes:
+    at = _starts(v)
+    step = np.diff(w, prepend=0)
+    step[at] = w[at]
+    return pack(np.diff(v[at], prepend=0), np.diff(at, append=len(v)), step, counts)
+
+
+def _asked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    dv, n, step, counts = unpack(blob)
+    total = np.cumsum(step)
+    at = np.cumsum(n) - n
+    return np.repeat(np.cumsum(dv), n), total - np.repeat(total[at] - step[at], n), counts
+
+
+class Lower:
+    """The lower order from the classes of equal counts: tokens, vocabulary, unknown's p, and c and p of word numbers."""
+
+    def __init__(self, classes: list[tuple[int, int]], k: int):
+        """classes (count, words with it)"""
+        classes = sorted(classes, reverse=True)
+        self.c = np.array([c for c, _ in classes], dtype=np.int64)
+        size = np.array([n for _, n in classes], dtype=np.int64)
+        self.top = np.cumsum(size)  # last number of each class
+        self.tokens, self.vocabulary = int((self.c * size).sum()), int(size.sum())
         n = max(1, self.tokens)
-        d1 = discounts(_count_counts(single, k), k)
-        used = single.agg(F.sum(_discounted(F.col("c"), d1)).alias("s")).first().s or 0.0
-        left = 1 - used / n
-        self.unknown = max(left, 1 / (n + 1)) if self.tokens else 1.0
-        scale = (1 - self.unknown) / (used / n) if used else 0.0
-        self.words = single.select("w", "c", (scale * _discounted(F.col("c"), d1) / n).alias("p"))
-        pairs = cut(pairs)
-        d2 = discounts(_count_counts(pairs, k), k)
-        with_word = pairs.join(self.words.select("w", F.col("c").alias("c1"), F.col("p").alias("p1")), "w")
-        h = with_word.groupBy("v").agg(F.sum("c").alias("n"), F.sum(_discounted(F.col("c"), d2)).alias("used"), F.sum("p1").alias("below"))
-        keep = F.least(F.col("used") / F.col("n"), F.col("n") / (F.col("n") + 1))
-        self.histories = cut(h.select("v", (keep / F.col("used")).alias("share"), ((1 - keep) / F.greatest(1 - F.col("below"), F.lit(1e-300))).alias("alpha")))
-        self.pairs = with_word.join(self.histories.select("v", "share"), "v").select("v", "w", (F.col("share") * _discounted(F.col("c"), d2)).alias("p"), F.col("c1").alias("c"))
-
-    def score(self, occ: DataFrame) -> DataFrame:
-        """(uid, n, known, base, score) summed over occ (uid, v, w)."""
-        zero, unknown = math.log10(1.0 / (self.tokens + 1.0 * (self.vocabulary + 1))), self.unknown
-        j = occ.select("uid", "v", "w").join(self.pairs, ["v", "w"], "left")
-        log_base = lambda c: F.log10((c + 1.0) / F.lit(self.tokens + 1.0 * (self.vocabulary + 1)))
-        seen = j.where("p is not null").groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("known"), F.sum(log_base(F.col("c"))).alias("base"), F.sum(F.log10("p")).alias("score"))
-        # the rest: pairs that training lacks, counted once for each document before they fall back
-        rest = j.where("p is null").groupBy("uid", "v", "w").agg(F.count(F.lit(1)).alias("n"))
-        rest = rest.join(self.words, "w", "left").join(self.histories.select("v", "alpha"), "v", "left")
-        p = F.coalesce("alpha", F.lit(1.0)) * F.coalesce("p", F.lit(unknown))
-        back = rest.groupBy("uid").agg(
-            F.sum("n").alias("n"),
-            F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("known"),
-            F.sum(F.col("n") * F.coalesce(log_base(F.col("c")), F.lit(zero))).alias("base"),
-            F.sum(F.col("n") * F.log10(p)).alias("score"),
-        )
-        both = seen.unionByName(back).groupBy("uid")
-        return both.agg(F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
+        mass = _discounted(self.c, np.array(discounts(dict(classes), k)))
+        used = float((mass * size).sum())
+        self.unknown = max(1 - used / n, 1 / (n + 1)) if self.tokens else 1.0
+        self.p = (1 - self.unknown) / used * mass if used else mass
+        self.hot = int(size[self.c * HOT > n].sum())
+
+    def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts and probabilities; -1 is the unknown word."""
+        at = np.searchsorted(self.top, ids)
+        return np.where(ids > 0, np.append(self.c, 0)[at], 0), np.where(ids > 0, np.append(self.p, 0.0)[at], self.unknown)
+
+
+class Katz:
+    """Model of chunks. Tables: words (h, c, id) and answers (bucket, chunk, blob); lower: the order below."""
+
+    def __init__(self, chunks: DataFrame, k: int = K):
+        spark = chunks.sparkSession
+        entries = chunks.select("chunk", F.posexplode(F.arrays_zip("hashes", "counts"))).select("chunk", "pos", F.col("col.hashes").alias("h"), F.col("col.counts").alias("c"))
+        counted = entries.where("c > 0").groupBy("h").agg(F.sum("c").alias("c"))
+        ranked = _stored(counted.orderBy(F.desc("c"), "h").withColumn("m", F.monotonically_increasing_id()))
+        sizes = {r.part: r["count"] for r in ranked.groupBy(F.shiftright("m", 33).alias("part")).count().collect()}  # one row a partition
+        base, rows = 0, []
+        for part in sorted(sizes):
+            rows.append((part, base))
+            base += sizes[part]
+        offsets = spark.createDataFrame(rows, "part bigint, base bigint")
+        self.words = ranked.join(F.broadcast(offsets), F.shiftright("m", 33) == F.col("part")).select("h", "c", (F.col("base") + F.col("m").bitwiseAND((1 << 33) - 1) + 1).alias("id"))
+        self.lower = lower = Lower([(r.c, r["count"]) for r in ranked.groupBy("c").count().collect()], k)  # at most sqrt(2 N) rows
+        self.tokens, self.vocabulary, self.unknown = lower.tokens, lower.vocabulary, lower.unknown
+        self.buckets = buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), lower.tokens // BUCKET)
+        hot = lower.hot
+        # sums of a history: pairs counted 1..k times, tokens of pairs counted oftener, and the lower-order mass of its pairs
+        names = [*[f"n{i}" for i in range(1, k + 1)], "more", "below"]
+        found = entries.select("chunk", "pos", "h").join(self.words.select("h", "id"), "h")
+        numbers = found.groupBy("chunk").agg(F.collect_list(F.struct("pos", "id")).alias("s")).select("chunk", F.col("s.pos").alias("pos"), F.col("s.id").alias("ids"))  # at most a chunk's words
+        none = F.array().cast("array<int>"), F.array().cast("array<bigint>")
+        self.chunks = _stored(chunks.select("chunk", "body").join(numbers, "chunk", "left").select("chunk", "body", F.coalesce("pos", none[0]).alias("pos"), F.coalesce("ids", none[1]).alias("ids")))
+
+        def ask(batches):
+            for b in batches:
+                for chunk, body, pos, ids in zip(b["chunk"], b["body"], b["pos"], b["ids"]):
+                    p = _Pairs(body, pos, ids, hot, buckets)
+                    rows = [(bucket, chunk, _request(p.v[a:z], p.w[a:z], p.counts[a:z])) for bucket, a, z in p.ranges()]
+                    yield pd.DataFrame(rows, columns=["bucket", "chunk", "blob"])
+
+        def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+            asked = [_asked(b) for b in pdf["blob"]]
+            v, w, n = (np.concatenate([a[i] for a in asked]) for i in range(3))
+            order = np.lexsort((w, v))
+            v, w, n = v[order], w[order], n[order]
+            at = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])]))
+            c = np.add.reduceat(n, at)
+            back = np.empty(len(order), dtype=np.int64)
+            back[order] = np.repeat(c, np.diff(at, append=len(v)))
+            v, w = v[at], w[at]
+            hv = _starts(v)
+            columns = [*[c == i for i in range(1, k + 1)], c * (c > k), lower.of(w)[1] * (c > 0)]
+            sums = [np.add.reduceat(x.astype(np.float64), hv) for x in columns]
+            heads = v[hv]
+            rows, begin = [], 0
+            for chunk, (av, _, _) in zip(pdf["chunk"], asked):
+                cold = np.searchsorted(heads, (u := av[_starts(av)])[u > hot])
+                exact = [s[cold].astype(np.int64) for s in sums[:-1]]
+                blob = pack(back[begin : begin + len(av)], *exact, np.ascontiguousarray(sums[-1][cold]).view(np.int64))
+                rows.append((pdf["bucket"].iloc[0], chunk, blob, None, *[None] * (k + 2)))
+                begin += len(av)
+            rows += [(pdf["bucket"].iloc[0], None, None, int(h), *[float(s[i]) for s in sums]) for i, h in enumerate(heads) if h <= hot]
+            of_counts = np.bincount(np.minimum(c, k + 2), minlength=k + 3)
+            rows.append((pdf["bucket"].iloc[0], None, None, -1, *[float(x) for x in of_counts[1 : k + 2]], 0.0))
+            out = pd.DataFrame(rows, columns=["bucket", "chunk", "blob", "v", *names])
+            return out.astype({"chunk": "Int64", "v": "Int64"})
+
+        requests = self.chunks.mapInPandas(ask, "bucket bigint, chunk bigint, blob binary")
+        schema = "bucket bigint, chunk bigint, blob binary, v bigint, " + ", ".join(f"{x} double" for x in names)
+        self.answers = _stored(requests.groupBy("bucket").applyInPandas(answer, schema))
+        # hot histories, the start and the counts of counts: at most HOT + 2 rows
+        total = {r.v: [r[x] for x in names] for r in self.answers.where("chunk is null").groupBy("v").agg(*[F.sum(x).alias(x) for x in names]).collect()}
+        of_counts = total.pop(-1, [0.0] * (k + 2))
+        self.d = np.array(discounts({i + 1: int(x) for i, x in enumerate(of_counts[: k + 1])}, k))
+        self.hot_sums = np.zeros((hot + 1, k + 2))
+        for v, x in total.items():
+            self.hot_sums[v] = x
+
+    def score(self, chunks: DataFrame) -> DataFrame:
+        """(uid, n, known, base, score) of the documents of the chunks the model was made from, summed over rows with one uid."""
+        lower, d, hot_sums, hot, buckets, zero = self.lower, self.d, self.hot_sums, self.lower.hot, self.buckets, self.tokens + 1.0 * (self.vocabulary + 1)
+        k = len(d) - 1
+        replies = self.answers.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "blob")).alias("s"))  # one a bucket, a chunk's pairs
+        replies = replies.select("chunk", F.col("s.bucket").alias("bucket"), F.col("s.blob").alias("blob"))
+
+        def run(batches):
+            for b in batches:
+                for body, pos, ids, bucket, blobs in zip(b["body"], b["pos"], b["ids"], b["bucket"], b["blob"]):
+                    p = _Pairs(body, pos, ids, hot, buckets)
+                    c = np.zeros(len(p.all_v), dtype=np.int64)
+                    heads, sums = [], []
+                    by_bucket = dict(zip(bucket, blobs)) if bucket is not None else {}
+                    for name, a, z in p.ranges():
+                        n, *rest = unpack(by_bucket[name])
+                        c[p.known[a:z]] = n
+                        u = p.v[a:z][_starts(p.v[a:z])]
+                        heads.append(u[u > hot])
+                        sums.append(np.stack([*[x.astype(np.float64) for x in rest[:-1]], rest[-1].view(np.float64)], axis=1))
+                    hv = np.concatenate([np.arange(hot + 1), *heads])
+                    s = np.concatenate([hot_sums, *sums])
+                    order = np.argsort(hv)
+                    hv, s = hv[order], s[order]
+                    times = np.arange(1, k + 1)
+                    total, used = s[:, :k] @ times + s[:, k], s[:, :k] @ (times * d[1:]) + s[:, k]
+                    trained = total > 0
+                    keep = np.minimum(used / np.maximum(total, 1), total / (total + 1))
+                    share = np.where(trained, keep / np.where(trained, used, 1), 0)
+                    alpha = np.where(trained, (1 - keep) / np.maximum(1 - s[:, k + 1], 1e-300), 1.0)
+                    at = np.minimum(np.searchsorted(hv, p.all_v), len(hv) - 1)
+                    there = hv[at] == p.all_v
+                    c1, p1 = lower.of(p.all_w)
+                    prob = np.where(c > 0, share[at] * _discounted(c, d), np.where(there, alpha[at], 1.0) * p1)
+                    add = lambda x: np.add.reduceat(x[p.inverse], p.first)  # noqa: B023, E731
+                    yield pd.DataFrame({"uid": p.uids, "n": p.lengths, "known": add((c1 > 0).astype(np.int64)), "base": add(np.log10((c1 + 1.0) / zero)), "score": add(np.log10(prob))})
+
+        rows = self.chunks.join(replies, "chunk", "left").mapInPandas(run, "uid bigint, n bigint, known bigint, base double, score double")
+        return rows.groupBy("uid").agg(*[F.sum(x).alias(x) for x in ("n", "known", "base", "score")])
 
 
 def op5_language_model(spark, sf_dir):
