@@ -33,6 +33,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -42,7 +43,7 @@ from siteforge.llm.common import checkpoint_dir, read
 from siteforge.llm.langid import fold
 
 K = 5
-CHUNK, BUCKET, HOT = 4_000_000, 2_000_000, 1024
+CHUNK, BUCKET, HOT = 1_000_000, 2_000_000, 1024
 #: Hash of the end token.
 END = -2
 
@@ -102,11 +103,13 @@ def occurrences(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
             number = np.empty(len(order), dtype=np.int64)
             number[order] = np.arange(len(order))
             body = pack(np.array(uids, dtype=np.int64), lengths, np.array(train, dtype=np.int64), number[seq])
-            return pd.DataFrame({"hashes": [hashes[order]], "counts": [counts[order]], "body": [body]})
+            return pa.RecordBatch.from_arrays([pa.array([hashes[order]], longs), pa.array([counts[order]], longs), pa.array([body], pa.binary())], ["hashes", "counts", "body"])
 
+        longs = pa.list_(pa.int64())
         vocabulary, uids, train, parts, held = {}, [], [], [], 0
         for b in batches:
-            for u, t, text in zip(b["uid"], b["train"], b["text"]):
+            for u, t, text in zip(*b.columns):  # one text at a time leaves the batch
+                u, t, text = u.as_py(), t.as_py(), text.as_py()
                 tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and the six ASCII spaces only
                 tokens.append(None)
                 uids.append(u)
@@ -119,7 +122,7 @@ def occurrences(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
         if held:
             yield flush()
 
-    made = docs.select("uid", "train", "text").mapInPandas(run, "hashes array<bigint>, counts array<bigint>, body binary")
+    made = docs.select("uid", "train", "text").mapInArrow(run, "hashes array<bigint>, counts array<bigint>, body binary")
     return _stored(made.withColumn("chunk", F.monotonically_increasing_id()))
 
 
@@ -145,7 +148,10 @@ class _Pairs:
         before[1:] = seq[:-1]
         self.first = np.cumsum(self.lengths) - self.lengths
         before[self.first] = size
-        keys, inverse = np.unique(before * (size + 1) + seq, return_inverse=True)
+        before *= size + 1
+        before += seq
+        keys, inverse = np.unique(before, return_inverse=True)
+        del before, seq
         counts = np.bincount(inverse, weights=np.repeat(train, self.lengths), minlength=len(keys)).astype(np.int64)
         v, w = number[keys // (size + 1)], number[keys % (size + 1)]
         known = np.flatnonzero((v >= 0) & (w > 0))
