@@ -74,10 +74,11 @@ shares AS MATERIALIZED (SELECT kind, src, dst, n::DOUBLE / sum(n) OVER (PARTITIO
 s AS (SELECT by_rule AS kind, host, count(*) AS n FROM p WHERE by_rule IS NOT NULL AND host <> '' GROUP BY by_rule, host),
 seeds AS MATERIALIZED (SELECT kind, host, n::DOUBLE / sum(n) OVER (PARTITION BY kind) AS seed FROM s),
 r0 AS (SELECT kind, host, seed AS rank FROM seeds),
-{rounds}hosts AS (SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'allow'), 0) AS trust, coalesce(sum(rank) FILTER (WHERE kind = 'block'), 0) AS distrust FROM r{urls.ROUNDS} GROUP BY host),
+{rounds}hosts AS (SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'allow'), 0) AS trust, coalesce(sum(rank) FILTER (WHERE kind = 'block'), 0) AS distrust
+  FROM (FROM r{urls.ROUNDS} UNION ALL SELECT kind, host, -(1 - {urls.DAMPING}::DOUBLE) * seed FROM seeds WHERE kind = 'block') GROUP BY host),
 lim AS (SELECT {urls.THRESHOLD}::DOUBLE * (1 - {urls.DAMPING}::DOUBLE) / count(*) AS least FROM seeds WHERE kind = 'block')
 SELECT page_id, p.host, path, rule, coalesce(by_rule, CASE WHEN distrust >= least AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict,
-  round(coalesce(trust, 0), 12) AS trust, round(coalesce(distrust, 0), 12) AS distrust FROM p LEFT JOIN hosts USING (host) CROSS JOIN lim"""
+  round(coalesce(trust, 0), 12) AS trust, round(coalesce(distrust, 0), 12) + 0.0 AS distrust FROM p LEFT JOIN hosts USING (host) CROSS JOIN lim"""
 
 
 ORACLES: dict[str, str] = {"op3_line_quality": line_quality(), "op7_decontamination": decontamination(), "op10_url_filter": url_filter()}

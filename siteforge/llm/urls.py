@@ -3,7 +3,8 @@
 Rules (host/path, block or allow) fit a host and its subdomains if the url's path starts with the rule's path; the longest
 wins. For urls that no rule fits the method decides: trust flows along links from hosts with allowed pages, distrust flows
 against links from hosts with blocked pages (who links to bad hosts is bad), both as personalised PageRank with damping. A host
-is blocked if its distrust is at least THRESHOLD of the mean seed's and exceeds its trust.
+is blocked if the distrust that reaches it over links is at least THRESHOLD of the mean seed's and exceeds its trust. What a seed
+has of itself does not count: a blocked section says nothing of the host's other pages.
 
 Nulls: a null url, or one without ://, has host '' and path '' and is allowed (no rule, no rank). Null html has no links. Links
 without a host stay on their page's host and carry nothing. Repeated pages count again as seeds and links. Without seeds or
@@ -76,7 +77,8 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     shares = cut(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("out")).alias("share")))
     rank = propagate(shares, seeds)
     mean = seeds.where("kind = 'block'").agg(F.max("mean").alias("m"))  # one number
-    hosts = rank.groupBy("host").agg(
+    own = seeds.where("kind = 'block'").select("kind", "host", (-(1 - DAMPING) * F.col("seed")).alias("rank"))
+    hosts = rank.unionByName(own).groupBy("host").agg(
         F.sum(F.when(F.col("kind") == "allow", F.col("rank")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "block", F.col("rank")).otherwise(0.0)).alias("distrust"),
     )

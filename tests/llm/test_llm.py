@@ -269,12 +269,16 @@ def test_urls_rules_and_rank(spark):
     rows = [
         (1, "http://Example.net/en/x?q#f", None), (2, "https://a.example.net", ""), (3, None, None), (4, "no scheme", None), (5, "http://b.net/x", None), (6, "http://s.example.com/de/", None), (7, "http://q.org/fr/1", '<a href="http://good.site/">'),
         (8, "http://linker.site/1", '<a href="http://b.net/x">x</a> <a href=\'//s.example.com/de/a\'>'), (9, "http://good.site/p", None), (10, "http://notnet/", None), (11, "http://net/", None),
+        (12, "http://s.example.com/en/", None),
     ]
     got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("example.net", "/en/x", "example.net/en/", "allow")
     assert got[2].rule is None and (got[3].host, got[4].path) == ("", "") and got[5].rule == "net/" and got[6].rule == "example.com/de/"
     assert got[7].rule == "org/fr/" and got[9].verdict == "allow" and got[9].trust > 0 and got[10].rule is None and got[11].verdict == "block"
     assert got[8].verdict == "block" and got[8].distrust > 0  # links to blocked hosts only
+    assert got[12].rule is None and got[12].verdict == "allow" and got[12].distrust == 0  # beside a blocked section
+    alone = spark.createDataFrame([r[:2] + (None,) for r in rows], "page_id long, url string, html string")
+    assert all((r.verdict == "block") == (r.rule in ("net/", "example.com/de/")) for r in urls.judge(alone).collect())  # no links: the rules only
 
 
 def test_pipeline_stages_compose(spark):
