@@ -1,6 +1,7 @@
 """Every operator against brute force on a small table with nulls, empty and long texts, ties, repeated rows and clashing columns."""
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -302,3 +303,35 @@ def test_pipeline_stages_survive_odd_rows(spark, docs, empty):
 def test_registry_names():
     assert {re.match(r"op(\d+)_", k)[1] for k in registry.queries()} == {str(i) for i in range(1, 11)}
     assert zlib.crc32(b"1") == 2212294583
+
+
+def test_contamination_masks_leave_no_gap():
+    from itertools import combinations
+
+    for n in range(1, contamination.WINDOW + 1):
+        for k in range(n - math.ceil(n * contamination.SIMILARITY) + 1):
+            for gone in combinations(range(n), k):
+                kept = lambda m, at: all(at + x not in gone for x, c in enumerate(m) if c == "1")  # noqa: B023, E731
+                assert any(kept(m, at) for m in contamination.masks(n) for at in range(n - len(m) + 1)), (n, gone)
+
+
+def test_contamination_against_all_windows(spark):
+    rng = random.Random(7)
+    items = [(n, [f"i{n}t{k}" for k in range(n)]) for n in (*range(1, 15), 60)]
+    docs, rows = [], []
+    for n, item in items:
+        for trial in range(8):
+            w = list(item)
+            for k in rng.sample(range(n), min(n, trial % 4)) if n < 60 else range(trial % 5, n, 5):
+                w[k] = "other"
+            docs.append((len(docs), ["a", "b", *w, "c"] if trial % 2 else w))
+    for d, w in docs:
+        for n, item in items:
+            width = min(13, n)
+            best = max((sum(a == b for a, b in zip(w[i : i + width], item[j : j + width])) for i in range(len(w) - width + 1) for j in range(n - width + 1)), default=0)
+            if best / width >= 0.8:
+                rows.append((d, n))
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
+    got = contamination.contaminated(frame, bench).collect()
+    assert rows and {(r.doc_id, r.item_id) for r in got} == set(rows) and len(got) == len(rows)
