@@ -335,3 +335,22 @@ def test_contamination_against_all_windows(spark):
     bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
     got = contamination.contaminated(frame, bench).collect()
     assert rows and {(r.doc_id, r.item_id) for r in got} == set(rows) and len(got) == len(rows)
+
+
+def test_near_dedup_links_edited_copies(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["lo", "mi", "ra", "te", "su"]) + str(rng.randrange(5000)) for _ in range(300)) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    for i, t in enumerate(texts):
+        for k in (1, 3, 6, 30):  # words changed: 0.97, 0.90, 0.82 and far less
+            w = t.split()
+            for at in range(20, 20 + 9 * k, 9):
+                w[at] = "changed"
+            rows.append((100 * k + i, " ".join(w)))
+    far = " ".join(texts[0].split()[:150] + texts[1].split()[:150])  # half of each
+    hot = [(10000 + i, " ".join([*texts[5].split()[:40], f"x{i}", *texts[6].split()[:200]])) for i in range(80)]
+    grams = lambda t: set(zip(*[t.split()[k:] for k in range(5)]))
+    assert all(len(grams(texts[0]) & grams(t)) / len(grams(texts[0]) | grams(t)) >= 0.8 for d, t in rows if d in (100, 300, 600))
+    df = spark.createDataFrame([(d, t, None, None, None) for d, t in [*rows, (9000, far), *hot]], SCHEMA)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, SF).collect()}
+    assert kept == {*range(12), *(3000 + i for i in range(12)), 9000, 10000}
