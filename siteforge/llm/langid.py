@@ -1,8 +1,12 @@
 """Language identification by cross-parsing entropy.
 
 For every language a suffix automaton is built over a bounded sample of labelled text. A text is parsed greedily into the
-longest matches that the automaton allows; log2(sample length) bits a phrase over the text's length is the cross-entropy, and
-the language needing least wins. Whole texts are parsed, in one pass for each language.
+longest matches that the automaton allows; log2(sample length) bits a phrase, and log2(letters) more for a letter the sample lacks,
+are the text's bits, and the language needing least wins. A short sample thus pays for what it does not hold. Whole texts are parsed,
+in one pass for each language. Samples are drawn from distinct texts and cut after the letters are taken.
+
+Where a bound is given, a text that needs more bits a letter in every language is `und` too. It comes from labelled texts outside the
+samples: twice their median, and three phrases for short texts.
 
 Nulls: a null text, or one without a letter, gives `und` and score 0. With no labelled text at all everything is `und`.
 Ties go to the first language in alphabetical order. Repeated rows each get their row.
@@ -10,6 +14,7 @@ Ties go to the first language in alphabetical order. Repeated rows each get thei
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -20,8 +25,11 @@ from pyspark.sql import Window as W
 
 from siteforge.llm.common import read, widened
 
-#: The sample: so many documents a language, the smallest by hash of id, and so many characters of each.
+#: The sample: so many distinct texts a language, the smallest by hash, and so many letters of each on average: what short ones leave
+#: goes to the others.
 SAMPLE_DOCS, SAMPLE_CHARS = 48, 500
+#: Texts a language kept out of the sample for the bound (at most every fourth), letters of each, and how many it takes in all.
+HELD_DOCS, HELD_CHARS, HELD_LEAST = 32, 2000, 8
 _NOT_LETTERS = regex.compile(r"\P{L}+")
 _BUILT: dict[tuple, "CrossParser"] = {}
 
@@ -89,9 +97,13 @@ class CrossParser:
             if c.isalpha():
                 self.table[cp] = code.get(c.lower()[0], unknown)
         parts, self.first, base = [], [], 0
-        for _, text in texts:
+        self.absent = np.ones((len(texts), width), dtype=np.int64)
+        self.literal = math.log2(width)
+        most = sum(2 * len(t) + 1 + width for _, t in texts) * width * 2
+        for k, (_, text) in enumerate(texts):
             nxt = automaton(text)
-            t = np.tile((base + np.arange(width, dtype=np.int64)) * width * 2 + 1, (width + len(nxt), 1))
+            self.absent[k, [code[c] for c in nxt[0]]] = 0
+            t = np.tile(((base + np.arange(width, dtype=np.int64)) * width * 2 + 1).astype(np.int32 if most < 2**31 else np.int64), (width + len(nxt), 1))
             for i, d in enumerate(nxt):
                 for c, j in d.items():
                     t[width + i, code[c]] = (base + width + j) * width * 2
@@ -132,28 +144,71 @@ class CrossParser:
         out[:, order] = count
         return out
 
-    def predict(self, texts: list) -> tuple[list[str], list[float]]:
+    def cost(self, coded: list[np.ndarray]) -> np.ndarray:
+        """Bits (languages x texts)."""
+        width = self.absent.shape[1]
+        lacking = [self.absent @ np.bincount(c, minlength=width) for c in coded]
+        return self.phrases(coded) * self.bits[:, None] + self.literal * np.array(lacking, dtype=float).reshape(-1, len(self.langs)).T
+
+    def predict(self, texts: list, bound: float = math.inf) -> tuple[list[str], list[float]]:
         coded = [self.codes(t) if t else np.zeros(0, np.uint16) for t in texts]
         if not self.langs:
             return ["und"] * len(coded), [0.0] * len(coded)
-        bits = self.phrases(coded) * self.bits[:, None]
+        bits = self.cost(coded)
         best = bits.argmin(axis=0)
         low = bits[best, np.arange(len(coded))]
+        fits = [len(c) > 0 and a <= bound * len(c) + 3 * self.bits.max() for a, c in zip(low, coded)]
         bits[best, np.arange(len(coded))] = np.inf
         second = bits.min(axis=0) if len(self.langs) > 1 else np.array([5.0 * len(c) for c in coded])
-        score = [float(min(1.0, max(0.0, (b - a) / b))) if b and len(c) else 0.0 for a, b, c in zip(low, second, coded)]
-        return [self.langs[i] if len(c) else "und" for i, c in zip(best, coded)], score
+        score = [float(min(1.0, max(0.0, (b - a) / b))) if b and f else 0.0 for a, b, f in zip(low, second, fits)]
+        return [self.langs[i] if f else "und" for i, f in zip(best, fits)], score
+
+
+def _drawn(labelled: DataFrame, docs: int, chars: int) -> dict[str, list[str]]:
+    """At most docs distinct texts' letters a language, in the order of their hashes, each up to 4 times its share of docs * chars."""
+    usable = labelled.where("lang is not null and text rlike '\\\\p{L}'").select("lang", "text", F.xxhash64("text").alias("h"))
+    order = F.row_number().over(W.partitionBy("lang").orderBy("h"))
+    keys = usable.select("lang", "h").distinct().withColumn("r", order).where(F.col("r") <= docs).collect()  # bounded, as what follows
+    if not keys:
+        return {}
+    n = Counter(k.lang for k in keys)
+    wanted = labelled.sparkSession.createDataFrame([(k.lang, k.h, k.r, 4 * docs * chars // n[k.lang]) for k in keys], "lang string, h long, r int, most int")
+    cut = F.regexp_replace("text", r"\P{L}+", " ").substr(F.lit(1), F.col("most") + 1)
+    rows = usable.join(F.broadcast(wanted), ["lang", "h"]).select("lang", "r", cut.alias("t")).groupBy("lang", "r").agg(F.min("t").alias("t")).collect()
+    by: dict[str, list] = {}
+    for row in sorted(rows, key=lambda x: (x.lang, x.r)):
+        by.setdefault(row.lang, []).append(letters(row.t))
+    return by
+
+
+def _joined(texts: list[str], budget: int) -> str:
+    """The texts, the long ones cut to equal length so that all are at most budget."""
+    left, share = budget, 0
+    for i, n in enumerate(sorted(map(len, texts))):
+        share = left // (len(texts) - i)
+        if n > share:
+            break
+        left, share = left - n, n
+    return "".join(t[:share] for t in texts)
 
 
 def sample(labelled: DataFrame, docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    """(language, text) sample of labelled (doc_id, text, lang), at most docs texts of chars characters a language."""
-    usable = labelled.where("lang is not null and text rlike '\\\\p{L}'")
-    usable = usable.select("lang", F.col("text").substr(1, chars).alias("t"), F.xxhash64(F.col("doc_id").cast("string")).alias("h"))
-    first = usable.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "t"))).where(F.col("r") <= docs)
-    by: dict[str, list] = {}
-    for row in first.collect():  # bounded: languages times docs times chars
-        by.setdefault(row.lang, []).append((row.r, letters(row.t)))
-    return [(k, "".join(t for _, t in sorted(v))) for k, v in sorted(by.items())]
+    """(language, text) sample of labelled (doc_id, text, lang), at most docs distinct texts and docs * chars letters a language."""
+    return [(k, _joined(v, docs * chars)) for k, v in _drawn(labelled, docs, chars).items()]
+
+
+def sample_and_bound(labelled: DataFrame) -> tuple[list[tuple[str, str]], float]:
+    """The sample, and the bits a letter beyond which no language fits (infinite with too few labelled texts)."""
+    by = _drawn(labelled, SAMPLE_DOCS + HELD_DOCS, SAMPLE_CHARS)
+    held = {k: set(range(3, len(v), 4)) if len(v) < SAMPLE_DOCS + HELD_DOCS else set(range(SAMPLE_DOCS, len(v))) for k, v in by.items()}
+    texts = [(k, _joined([t for i, t in enumerate(v) if i not in held[k]], SAMPLE_DOCS * SAMPLE_CHARS)) for k, v in by.items()]
+    known = [v[i][:HELD_CHARS] for k, v in by.items() for i in sorted(held[k])]
+    if len(known) < HELD_LEAST:
+        return texts, math.inf
+    parse = CrossParser(tuple(texts))
+    coded = [parse.codes(t) for t in known]
+    rate = (parse.cost(coded).min(axis=0) - 3 * parse.bits.max()).clip(0) / np.array([len(c) for c in coded])
+    return texts, float(2 * np.median(rate))
 
 
 def _parser(texts: tuple) -> CrossParser:
@@ -163,7 +218,7 @@ def _parser(texts: tuple) -> CrossParser:
     return _BUILT[texts]
 
 
-def identify(df: DataFrame, texts: list[tuple[str, str]]) -> DataFrame:
+def identify(df: DataFrame, texts: list[tuple[str, str]], bound: float = math.inf) -> DataFrame:
     """df with lang_pred and score (0 to 1: how much worse the second language parses it)."""
     df, schema = widened(df, [("lang_pred", "string"), ("score", "double")])
     frozen = tuple(texts)
@@ -171,7 +226,7 @@ def identify(df: DataFrame, texts: list[tuple[str, str]]) -> DataFrame:
     def run(batches):
         parse = _parser(frozen)
         for b in batches:
-            lang, score = parse.predict(list(b["text"]))
+            lang, score = parse.predict(list(b["text"]), bound)
             b["lang_pred"] = pd.Series(lang, index=b.index, dtype=object)
             b["score"] = pd.Series(score, index=b.index, dtype=float)
             yield b

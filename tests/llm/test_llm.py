@@ -354,3 +354,25 @@ def test_near_dedup_links_edited_copies(spark):
     df = spark.createDataFrame([(d, t, None, None, None) for d, t in [*rows, (9000, far), *hot]], SCHEMA)
     kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, SF).collect()}
     assert kept == {*range(12), *(3000 + i for i in range(12)), 9000, 10000}
+
+
+def test_language_sample_with_rare_labels(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    head = "1234 <> " * 200 + "zażółć gęślą jaźń oraz inne słowa"
+    more = spark.createDataFrame([(-1, "ok", "xx"), (-2, "a", "yy"), *[(-i, head, "pl") for i in range(3, 60)]], "doc_id long, text string, lang string")
+    texts = dict(langid.sample(d.unionByName(more)))
+    assert texts["pl"] == langid.letters(head) and texts["xx"] == " ok " and all(len(t) <= 24000 for t in texts.values())
+    en = [r.text for r in d.where("lang = 'en'").limit(40).collect()]
+    lang, _ = langid.CrossParser(tuple(texts.items())).predict(en)
+    assert not {"pl", "xx", "yy"} & set(lang)
+
+
+def test_pipeline_language_rejects_what_no_language_fits(spark):
+    d = spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    rng = random.Random(5)
+    noise = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(100))
+    clean = d.where("lang = 'de'").orderBy(F.desc("n_chars")).first().text
+    more = spark.createDataFrame([(-1, noise, None, None, None), (-2, "Это русский текст. " * 9, None, None, None), (-3, clean, None, None, None)], SCHEMA)
+    got = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, d.unionByName(more), SF).collect()}
+    assert -1 not in got and -2 not in got and got[-3] == "de"
+    assert {r.doc_id for r in d.where("text rlike '\\\\p{L}'").collect()} <= set(got)
