@@ -1,6 +1,11 @@
 """Helpers shared by the text operators."""
 from __future__ import annotations
 
+import atexit
+import ctypes
+import gc
+import re
+import shutil
 import tempfile
 from pathlib import Path
 
@@ -38,10 +43,21 @@ def let(value: Column, body) -> Column:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a folder of this process only where none is set."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siteforge-ckpt-"))
-    return spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder: the one already set, or the one that spark.checkpoint.dir names.
+
+    With neither, a local master (one process, as in tests) gets a temporary folder that goes with the process; a cluster raises,
+    as no machine's own folder is shared.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="siteforge-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        context.setCheckpointDir(named)
+    return context.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -50,6 +66,45 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_HELD: list[tuple] = []
+
+
+def held(key, make):
+    """make() for the key, kept for the worker's next tasks; only the newest key is kept, as workers outlive stages."""
+    if not _HELD or _HELD[0][0] != key:
+        _HELD.clear()
+        _HELD.append((key, make()))
+    return _HELD[0][1]
+
+
+def forget() -> None:
+    """Drop what held() keeps."""
+    _HELD.clear()
+
+
+def frugal(run):
+    """run (of mapInPandas) that gives its memory back to the system at the end of a task, as workers outlive stages."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return task
+
+
+def trim() -> None:
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to trim
+        pass
+
+
 TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(), "boolean": T.BooleanType(), "binary": T.BinaryType(), "array<int>": T.ArrayType(T.IntegerType()), "array<bigint>": T.ArrayType(T.LongType())}
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from siteforge.llm.common import read, widened
+from siteforge.llm.common import frugal, held, read, widened
 
 #: The sample: so many distinct texts a language, the smallest by hash, and so many letters of each on average: what short ones leave
 #: goes to the others.
@@ -31,7 +31,6 @@ SAMPLE_DOCS, SAMPLE_CHARS = 48, 500
 #: Texts a language kept out of the sample for the bound (at most every fourth), letters of each, and how many it takes in all.
 HELD_DOCS, HELD_CHARS, HELD_LEAST = 32, 2000, 8
 _NOT_LETTERS = regex.compile(r"\P{L}+")
-_BUILT: dict[tuple, "CrossParser"] = {}
 
 
 def letters(text: str) -> str:
@@ -211,27 +210,20 @@ def sample_and_bound(labelled: DataFrame) -> tuple[list[tuple[str, str]], float]
     return texts, float(2 * np.median(rate))
 
 
-def _parser(texts: tuple) -> CrossParser:
-    if texts not in _BUILT:
-        _BUILT.clear()
-        _BUILT[texts] = CrossParser(texts)
-    return _BUILT[texts]
-
-
 def identify(df: DataFrame, texts: list[tuple[str, str]], bound: float = math.inf) -> DataFrame:
     """df with lang_pred and score (0 to 1: how much worse the second language parses it)."""
     df, schema = widened(df, [("lang_pred", "string"), ("score", "double")])
     frozen = tuple(texts)
 
     def run(batches):
-        parse = _parser(frozen)
+        parse = held(("langid", frozen), lambda: CrossParser(frozen))
         for b in batches:
             lang, score = parse.predict(list(b["text"]), bound)
             b["lang_pred"] = pd.Series(lang, index=b.index, dtype=object)
             b["score"] = pd.Series(score, index=b.index, dtype=float)
             yield b
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(frugal(run), schema)
 
 
 def fold(modulus: int):

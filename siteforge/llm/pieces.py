@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteforge.llm.common import read, widened
+from siteforge.llm.common import frugal, held, read, widened
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -25,7 +25,6 @@ MARK = "▁"
 BYTE_PENALTY = 10.0
 CACHE = 500_000
 _CUT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_BUILT: dict[str, "Encoder"] = {}
 
 
 def load_pieces(path: str = MODEL) -> list[tuple[str, float, int]]:
@@ -166,12 +165,6 @@ class Encoder:
         return text[1:] if text.startswith(" ") else text
 
 
-def _encoder(key: str, pieces) -> Encoder:
-    if key not in _BUILT:
-        _BUILT[key] = Encoder(pieces)
-    return _BUILT[key]
-
-
 def encode(df: DataFrame, model: str = MODEL, column: str = "text") -> DataFrame:
     """df with ids, n_tokens, n_byte_tokens, token_score and round_trip (decoding gives the text back).
 
@@ -182,7 +175,7 @@ def encode(df: DataFrame, model: str = MODEL, column: str = "text") -> DataFrame
     pieces = df.sparkSession.sparkContext.broadcast(load_pieces(model))  # fixed size: the model file
 
     def run(batches):
-        e = _encoder(model, pieces.value)
+        e = held(("pieces", model), lambda: Encoder(pieces.value))
         for b in batches:
             got = [e.encode(t) if t is not None else (None, 0.0, 0) for t in b[column]]
             b["ids"] = pd.Series([g[0] for g in got], index=b.index, dtype=object)
@@ -192,7 +185,7 @@ def encode(df: DataFrame, model: str = MODEL, column: str = "text") -> DataFrame
             b["round_trip"] = pd.Series([g[0] is None or e.decode(g[0]) == t for g, t in zip(got, b[column])], index=b.index, dtype=bool)
             yield b
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(frugal(run), schema)
 
 
 def decode(df: DataFrame, model: str = MODEL, column: str = "ids", out: str = "decoded") -> DataFrame:
@@ -201,12 +194,12 @@ def decode(df: DataFrame, model: str = MODEL, column: str = "ids", out: str = "d
     pieces = df.sparkSession.sparkContext.broadcast(load_pieces(model))
 
     def run(batches):
-        e = _encoder(model, pieces.value)
+        e = held(("pieces", model), lambda: Encoder(pieces.value))
         for b in batches:
             b[out] = pd.Series([None if i is None else e.decode(list(i)) for i in b[column]], index=b.index, dtype=object)
             yield b
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(frugal(run), schema)
 
 
 def op4_sentencepiece(spark, sf_dir):

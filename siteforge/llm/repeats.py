@@ -3,17 +3,22 @@
 Every string of LENGTH bytes that starts at two places of the corpus is repeated; the bytes it covers are removed, at all places
 (the default) or at all but the first (keep_first). Matches never cross documents. Exact, whatever the number of copies:
 
-1. Every start gets an anchor: the position, among those its string holds, whose ANCHOR-gram has the least hash. Equal strings
-   have equal anchors, so only starts with the same anchor hash (key) need be compared. Neighbouring starts share anchors; a
-   run of starts with one anchor is a row (key, hash of all the bytes its starts cover).
-2. Rows are counted by (key, hash). Rows found twice are repeated as a whole; a key with one single row is not repeated at all.
+1. Every start gets an anchor: the position, among those its string holds, whose gram of a quarter of LENGTH has the least hash.
+   Equal strings have equal anchors, so only starts with the same anchor hash (key) need be compared. Neighbouring starts share
+   anchors; a run of starts with one anchor is a row (key, hash of all the bytes its starts cover). Rows of keys seen once go.
+2. Rows are counted by (key, hash). Rows found twice are repeated as a whole.
 3. For keys with several different rows, one representative of each is fetched, and the suffixes at their starts are sorted: a
    sparse suffix array with its LCP array. Previous and next smaller positions in suffix order give the longest previous
    factor, the same with larger positions the longest next factor; LENGTH or more marks a repeated start. Tasks take whole keys
-   in chunks of bounded size. A key of more than MAX_ROWS different rows (a passage in very many surroundings) is dealt out by
-   the 128-bit hashes of its strings instead, counted with map-side combination, so that no task gathers it.
-
-Nulls: a null text is empty. Rows are known by (doc_id, text): rows repeated as a whole are copies of one another. Ids may be null.
+   in chunks of bounded size. A key of more than MAX_ROWS different rows (a passage in very many surroundings) is dealt out first:
+   its rows are cut into runs of WIDTH starts whose key is what they share, and step 2 is taken again; what still differs is cut
+   into single strings, whose equals count as one another's factors. No task gathers such a key.
+
+Every join takes the same way at every size. Documents are exchanged only where a bitmap of fixed size says that they may have
+rows. Nulls: a null text is empty; ids may be null. Rows are known by two 64-bit hashes of (doc_id, text); repeated rows are copies of
+one another, and with keep_first the second loses every byte that a string covers. Ties (equal hashes of grams in one window) go to
+the first; among copies the one with the least hash is the first. Texts under LENGTH bytes are kept whole, an empty table gives an
+empty result, and very long texts take memory in proportion in one worker. Columns of the operator's names are replaced.
 """
 from __future__ import annotations
 
@@ -24,13 +29,14 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from siteforge.llm.common import cut, read, widened
 
-LENGTH, ANCHOR = 400, 200
-MAX_ROWS, CHUNK = 1000, 60_000
-#: Intervals or requests that are broadcast at most (about 24 bytes each); more are exchanged.
-MAX_BROADCAST = 300_000
+LENGTH = 400
+MAX_ROWS, CHUNK, WIDTH = 1000, 60_000, 16
+#: The bitmap that is broadcast has 2^25 bits: 4 MB at any size of the input.
+BLOOM_BITS = 25
 _R = np.uint64(0x9E3779B97F4A7C15)
 _RINV = np.uint64(pow(int(_R), -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
@@ -64,18 +70,18 @@ def window_min(v: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[w - 1 : w - 1 + n])
 
 
-def anchors(data: bytes, length: int, k: int) -> list[tuple[int, int, int, int]]:
-    """(key, whole, lo, hi): runs of starts lo..hi with one anchor, its hash and the hash of the bytes they cover."""
+def anchors(data: bytes, length: int, k: int) -> tuple[np.ndarray, ...]:
+    """(key, whole, lo, n, off): runs of n starts from lo with one anchor, off bytes behind lo; its hash and that of the bytes they cover."""
     if len(data) < length:
-        return []
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     h = gram_hashes(np.frombuffer(data, dtype=np.uint8), k)
     ranked = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)  # ties: the first
     at = (window_min(ranked, length - k + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     lo = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    hi = np.concatenate([lo[1:] - 1, [len(at) - 1]])
-    a, keys, view, digest = at[lo], h[at[lo]].view(np.int64), memoryview(data), xxhash.xxh3_64_intdigest
-    whole = np.array([digest(view[s : e + length], int(x - s)) for s, e, x in zip(lo.tolist(), hi.tolist(), a.tolist())], dtype=np.uint64).view(np.int64)
-    return list(zip(keys.tolist(), whole.tolist(), lo.tolist(), hi.tolist()))
+    n = np.diff(lo, append=len(at))
+    a, view, digest = at[lo], memoryview(data), xxhash.xxh3_64_intdigest
+    whole = np.array([digest(view[s : s + c - 1 + length], int(x - s)) for s, c, x in zip(lo.tolist(), n.tolist(), a.tolist())], dtype=np.uint64).view(np.int64)
+    return h[a].view(np.int64), whole, lo, n, a - lo
 
 
 def factors(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,58 +120,81 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(d == 1).tolist(), (np.flatnonzero(d == -1) - 1).tolist()))
 
 
-def _anchor_rows(docs: DataFrame, length: int, k: int) -> DataFrame:
-    _, schema = widened(docs.select(), [("uid", "bigint"), ("key", "bigint"), ("whole", "bigint"), ("lo", "int"), ("hi", "int")])
+ROW = [("u1", "bigint"), ("u2", "bigint"), ("key", "bigint"), ("whole", "bigint"), ("lo", "int"), ("n", "int"), ("off", "int")]
+
+
+def _schema(columns: list[tuple[str, str]]) -> str:
+    return ", ".join(f"{c} {t}" for c, t in columns)
+
 
+def _encoded(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def _anchor_rows(docs: DataFrame, length: int, k: int) -> DataFrame:
     def run(batches):
         for b in batches:
-            for part in range(0, len(b), 512):
-                rows = [(u, *r) for u, t in zip(b["uid"][part : part + 512], b["text"][part : part + 512]) for r in anchors((t or "").encode("utf-8", "surrogatepass"), length, k)]
-                yield pd.DataFrame(rows, columns=["uid", "key", "whole", "lo", "hi"])
+            for at in range(0, len(b), 512):
+                part = b.iloc[at : at + 512]
+                made = [anchors(_encoded(t), length, k) for t in part["text"]]
+                sizes = [len(m[0]) for m in made]
+                out = {"u1": np.repeat(part["u1"].to_numpy(), sizes), "u2": np.repeat(part["u2"].to_numpy(), sizes)}
+                yield pd.DataFrame(out | {c: np.concatenate([m[i] for m in made]) for i, (c, _) in enumerate(ROW[2:])})
+
+    return docs.select("u1", "u2", "text").mapInPandas(run, _schema(ROW))
+
 
-    return docs.mapInPandas(run, schema)
+def possibly(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs with _hit: whether a document may be among ids (u1), by a bitmap of 2^BLOOM_BITS bits.
+
+    It only spares the exchange of documents that are surely not among them; a full bitmap spares nothing and loses nothing.
+    """
+    bit = F.shiftrightunsigned("u1", 64 - BLOOM_BITS)
+    maps = ids.select(F.bitmap_bucket_number(bit).alias("_b"), F.bitmap_bit_position(bit).alias("_p")).groupBy("_b").agg(F.bitmap_construct_agg("_p").alias("_m"))
+    held = docs.withColumns({"_b": F.bitmap_bucket_number(bit), "_p": F.bitmap_bit_position(bit)}).join(F.broadcast(maps), "_b", "left")
+    byte = F.conv(F.hex(F.substring("_m", F.floor(F.col("_p") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), F.col("_p") % 8)), F.lit(2)) == 1, F.lit(False))
+    return held.withColumn("_hit", hit).drop("_b", "_p", "_m")
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of wanted (uid, key, whole, lo, hi, big): key, whole, uid, lo, hi, big, data."""
-    small = wanted.count() <= MAX_BROADCAST
-    lists = wanted.groupBy("uid").agg(F.collect_list(F.struct("key", "whole", "lo", "hi", "big")).alias("want"))  # at most a document's rows
-    joined = docs.join(F.broadcast(lists) if small else lists, "uid").select("uid", "text", "want")
-    _, schema = widened(docs.select(), [("uid", "bigint"), ("key", "bigint"), ("whole", "bigint"), ("lo", "int"), ("hi", "int"), ("big", "boolean"), ("data", "binary")])
+    """wanted (ROW, big) with data, the bytes that a row's starts cover."""
+    names = [c for c, _ in ROW[2:]] + ["big"]
+    lists = wanted.groupBy("u1", "u2").agg(F.collect_list(F.struct(*names)).alias("want"))  # at most a document's rows
+    joined = possibly(docs, wanted).where("_hit").join(lists, ["u1", "u2"]).select("u1", "u2", "text", "want")
 
     def run(batches):
         for b in batches:
-            for u, t, want in zip(b["uid"], b["text"], b["want"]):
-                data = t.encode("utf-8", "surrogatepass")
-                yield pd.DataFrame([(u, w["key"], w["whole"], w["lo"], w["hi"], w["big"], data[w["lo"] : w["hi"] + length]) for w in want], columns=["uid", "key", "whole", "lo", "hi", "big", "data"])
+            for u1, u2, t, want in zip(b["u1"], b["u2"], b["text"], b["want"]):
+                data = _encoded(t)
+                yield pd.DataFrame([(u1, u2, *(w[c] for c in names), data[w["lo"] : w["lo"] + w["n"] - 1 + length]) for w in want], columns=["u1", "u2", *names, "data"])
 
-    return joined.mapInPandas(run, schema)
+    # a copy of a row (doc_id, text) brings the same rows again
+    return joined.dropDuplicates(["u1", "u2"]).mapInPandas(run, _schema([*ROW, ("big", "boolean"), ("data", "binary")]))
 
 
 def _by_factors(rows: DataFrame, length: int, keep_first: bool) -> DataFrame:
-    """Repeated starts (uid, s, e) of fetched rows, keys kept together."""
-    _, schema = widened(rows.select(), [("uid", "bigint"), ("s", "int"), ("e", "int")])
+    """Repeated starts (u1, u2, s, e) of fetched rows, keys kept together."""
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["key", "whole"]).sort_values(["uid", "lo"], kind="stable")
+        pdf = pdf.sort_values(["u1", "u2", "lo"], kind="stable")
         data = np.frombuffer(b"".join(pdf["data"]), dtype=np.uint8)
-        sizes = pdf["data"].map(len).to_numpy()
-        begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        n = sizes - length + 1
+        n = pdf["n"].to_numpy()
+        begin = np.cumsum(n + length - 1) - (n + length - 1)
         starts = np.concatenate([np.arange(b, b + c) for b, c in zip(begin, n)])
         lpf, lnf = factors(data, starts, length)
         flags = lpf >= length if keep_first else (lpf >= length) | (lnf >= length)
         out, at = [], 0
-        for u, lo, c in zip(pdf["uid"], pdf["lo"], n):
-            out += [(u, lo + s, lo + e) for s, e in _runs(flags[at : at + c])]
+        for u1, u2, lo, c in zip(pdf["u1"], pdf["u2"], pdf["lo"], n):
+            out += [(u1, u2, lo + s, lo + e) for s, e in _runs(flags[at : at + c])]
             at += c
-        return pd.DataFrame(out, columns=["uid", "s", "e"])
+        return pd.DataFrame(out, columns=["u1", "u2", "s", "e"])
 
     def run(batches):
         held = None
         for b in batches:
             held = b if held is None else pd.concat([held, b], ignore_index=True)
-            if (held["hi"] - held["lo"] + 1).sum() < CHUNK:
+            if held["n"].sum() < CHUNK:
                 continue
             open_ = held["key"] == held["key"].iloc[-1]  # its rows may go on in the next batch
             if not open_.all():
@@ -176,73 +205,101 @@ def _by_factors(rows: DataFrame, length: int, keep_first: bool) -> DataFrame:
 
     def pieces(pdf: pd.DataFrame):
         first = np.flatnonzero(np.concatenate([[True], np.diff(pdf["key"].to_numpy()) != 0]))
-        total = np.concatenate([[0], np.cumsum((pdf["hi"] - pdf["lo"] + 1).to_numpy())])
+        total = np.concatenate([[0], np.cumsum(pdf["n"].to_numpy())])
         begin = 0
         for a, b in zip(first, [*first[1:], len(pdf)]):
             if total[b] - total[begin] >= CHUNK or b == len(pdf):
                 yield solve(pdf.iloc[begin:b])
                 begin = b
 
-    return rows.repartition("key").sortWithinPartitions("key").mapInPandas(run, schema)
+    return rows.repartition("key").sortWithinPartitions("key").mapInPandas(run, "u1 bigint, u2 bigint, s int, e int")
 
 
-def _by_hashes(rows: DataFrame, length: int, keep_first: bool) -> DataFrame:
-    """The same for keys with too many rows for one task: strings are counted by their 128-bit hash."""
-    _, schema = widened(rows.select(), [("uid", "bigint"), ("at", "int"), ("h1", "bigint"), ("h2", "bigint")])
+def _dealt(rows: DataFrame, length: int, width: int) -> DataFrame:
+    """Fetched rows cut into rows of at most `width` starts, aligned by their distance from the anchor.
+
+    The new key is the hash of the bytes that all starts of such a row share, so equal strings still have equal keys. plo: the start
+    of the row it comes from.
+    """
 
     def run(batches):
+        digest = xxhash.xxh3_64_intdigest
         for b in batches:
             out = []
-            for u, lo, data in zip(b["uid"], b["lo"], b["data"]):
-                view = memoryview(data)
-                for i in range(len(data) - length + 1):
-                    h = xxhash.xxh3_128_intdigest(view[i : i + length])
-                    out.append((u, lo + i, (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63)))
-            yield pd.DataFrame(out, columns=["uid", "at", "h1", "h2"])
-
-    starts = rows.mapInPandas(run, schema)
-    found = starts.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "at")).alias("first")).where("n > 1")
-    hit = starts.join(found, ["h1", "h2"])
+            for u1, u2, lo, n, off, data in zip(b["u1"], b["u2"], b["lo"], b["n"], b["off"], b["data"]):
+                view, s = memoryview(data), 0
+                while s < n:
+                    d = off - s  # the anchor is so many bytes behind this start
+                    c = min(n - s, d % width + 1)
+                    core = s + d % width  # where the last start of this band of distances is, whether the row holds it or not
+                    key = digest(view[core : core + length - width + 1], d // width)
+                    out.append((u1, u2, key - (1 << 63), digest(view[s : s + c - 1 + length], d) - (1 << 63), lo + s, c, d, lo))
+                    s += c
+            yield pd.DataFrame(out, columns=[*(c for c, _ in ROW), "plo"])
+
+    return rows.mapInPandas(run, _schema([*ROW, ("plo", "int")]))
+
+
+def _classes(rows: DataFrame, keep_first: bool) -> tuple[DataFrame, DataFrame]:
+    """Runs (u1, u2, s, e) of rows found twice or more as a whole, and a representative of each class of a key that has several."""
+    rest = [c for c in rows.columns if c not in ("key", "whole")]
+    classes = rows.groupBy("key", "whole").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("u1", "u2", "lo", *[c for c in rest if c not in ("u1", "u2", "lo")])).alias("r"))
+    classes = cut(classes)
+    several = classes.where("c > 1").select("key", "whole", F.struct("r.u1", "r.u2", "r.lo").alias("first"))
+    whole = rows.join(several, ["key", "whole"])
     if keep_first:
-        hit = hit.where("first.uid <> uid or first.at <> at")
-    return hit.select("uid", F.col("at").alias("s"), F.col("at").alias("e"))
+        whole = whole.where(F.struct("u1", "u2", "lo") != F.col("first"))
+    keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
+    reps = classes.join(keys, "key").select("key", "whole", "different", "r.*")
+    return whole.select("u1", "u2", F.col("lo").alias("s"), (F.col("lo") + F.col("n") - 1).alias("e")), reps
+
+
+def _hot(rows: DataFrame, length: int, keep_first: bool) -> DataFrame:
+    """The same as _by_factors for keys of too many rows for one task: dealt out by what their starts share, to single strings at last."""
+    sub = cut(_dealt(rows, length, WIDTH))
+    found, reps = _classes(sub, keep_first)
+    left = rows.join(reps.select("u1", "u2", F.col("plo").alias("lo"), F.col("lo").alias("s0"), F.col("n").alias("n0")), ["u1", "u2", "lo"])
+    part = F.expr(f"substring(data, s0 - lo + 1, n0 - 1 + {length})")
+    left = left.select("u1", "u2", "key", "whole", F.col("s0").alias("lo"), F.col("n0").alias("n"), (F.col("off") - F.col("s0") + F.col("lo")).alias("off"), part.alias("data"))
+    single, _ = _classes(cut(_dealt(left, length, 1).drop("plo")), keep_first)
+    return found.unionByName(single)
 
 
 def repeated_starts(docs: DataFrame, length: int = LENGTH, k: int | None = None, keep_first: bool = False, max_rows: int = MAX_ROWS) -> DataFrame:
-    """(uid, s, e): runs of repeated starts in docs (uid, text)."""
-    rows = _anchor_rows(docs, length, k or length // 2)
-    classes = rows.groupBy("key", "whole").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("uid", "lo", "hi")).alias("rep"))
-    keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("c").alias("top")).where("n > 1 or top > 1").select("key", "n")
-    found = cut(classes.join(keys, "key").where("n > 1 or c > 1").select("key", "whole", "c", "n", "rep.uid", "rep.lo", "rep.hi"))
-    # as a whole: every row of a class with several
-    several = found.where("c > 1").select("key", "whole", F.col("uid").alias("u0"), F.col("lo").alias("l0"))
-    whole = rows.join(several, ["key", "whole"])
-    if keep_first:
-        whole = whole.where("uid <> u0 or lo <> l0")
-    whole = whole.select("uid", F.col("lo").alias("s"), F.col("hi").alias("e"))
-    wanted = found.where("n > 1").select("uid", "key", "whole", "lo", "hi", (F.col("n") > max_rows).alias("big"))
-    fetched = cut(_fetch(docs, wanted, length))
-    return whole.unionByName(_by_factors(fetched.where("not big"), length, keep_first)).unionByName(_by_hashes(fetched.where("big"), length, keep_first))
+    """(u1, u2, s, e): runs of repeated starts in docs (u1, u2, text)."""
+    rows = _anchor_rows(docs, length, k or max(1, length // 4))
+    again = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    rows = cut(rows.join(again, "key", "left_semi"))  # a key seen once is not repeated at all
+    found, reps = _classes(rows, keep_first)
+    fetched = cut(_fetch(docs, reps.withColumn("big", F.col("different") > max_rows), length))
+    return found.unionByName(_by_factors(fetched.where("not big"), length, keep_first)).unionByName(_hot(fetched.where("big").drop("big"), length, keep_first))
 
 
 def remove_repeats(df: DataFrame, length: int = LENGTH, keep_first: bool = False, **how) -> DataFrame:
     """df (doc_id, text, ...) with n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes)."""
     new = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"), ("kept", "binary")]
-    df, _ = widened(df, [*new, ("uid", "bigint"), ("runs", "string")])
-    keyed = df.withColumn("uid", F.xxhash64("doc_id", "text"))
-    starts = repeated_starts(keyed.select("uid", "text"), length, keep_first=keep_first, **how)
-    runs = cut(starts.groupBy("uid").agg(F.collect_list(F.struct("s", "e")).alias("runs")))  # at most a document's starts
-    total = runs.agg(F.sum(F.size("runs"))).first()[0] or 0  # one number: the size check of the broadcast
-    joined = keyed.join(F.broadcast(runs) if total <= MAX_BROADCAST else runs, "uid", "left").drop("uid")
-    base, schema = widened(joined.drop("runs"), new)
+    own = ["u1", "u2", "runs", "copy_", "_hit", "_b", "_p", "_m"]
+    df, _ = widened(df, [*new, *((c, "string") for c in own)])
+    keyed = df.withColumns({"u1": F.xxhash64("doc_id", "text"), "u2": F.xxhash64(F.lit(1), "text", "doc_id")})
+    starts = repeated_starts(keyed.select("u1", "u2", "text"), length, keep_first=keep_first, **how)
+    runs = cut(starts.groupBy("u1", "u2").agg(F.collect_list(F.struct("s", "e")).alias("runs")))  # at most a document's starts
+    if keep_first:  # a second row of the same id and text is a later copy as a whole
+        joined = keyed.withColumn("copy_", F.row_number().over(W.partitionBy("u1", "u2").orderBy(F.lit(0)))).join(runs, ["u1", "u2"], "left")
+    else:
+        held = possibly(keyed.withColumn("copy_", F.lit(1)), runs)
+        none = F.lit(None).cast("array<struct<s:int,e:int>>").alias("runs")
+        joined = held.where("_hit").join(runs, ["u1", "u2"], "left").unionByName(held.where("not _hit").select("*", none)).drop("_hit")
+    joined = joined.drop("u1", "u2")
+    base, schema = widened(joined.drop("runs", "copy_"), new)
 
     def run(batches):
         for b in batches:
             cols: dict[str, list] = {c: [] for c, _ in new}
-            for text, found in zip(b["text"], b["runs"]):
-                data = (text or "").encode("utf-8", "surrogatepass")
+            for text, found, copy in zip(b["text"], b["runs"], b["copy_"]):
+                data = _encoded(text)
                 spans: list[list[int]] = []
-                for s, e in sorted((r["s"], r["e"] + length) for r in (found if found is not None else ())):
+                some = [(r["s"], r["e"] + length) for r in (found if found is not None else ())] if copy == 1 else [(0, len(data))] if len(data) >= length else []
+                for s, e in sorted(some):
                     if spans and s <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], e)
                     else:
@@ -254,7 +311,7 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, keep_first: bool = False
                 rest = b"".join([*kept, data[at:]])
                 for c, v in zip(cols, (len(data), len(data) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), rest)):
                     cols[c].append(v)
-            b = b.drop(columns="runs")
+            b = b.drop(columns=["runs", "copy_"])
             for c, t in new:
                 b[c] = pd.Series(cols[c], index=b.index, dtype="int64" if t == "bigint" else object)
             yield b
