@@ -17,10 +17,14 @@ _ROOT = str(Path(__file__).resolve().parents[2])
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Word separators of every contract: space, tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
+#: Bounds what a Python worker holds at once; set for the session where the user has not.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table, by Spark's reader; Python workers on the same file system also find this package beside its installed place."""
+    if spark.conf.get(BATCH_BYTES, None) is None:  # else 10,000 long texts make one batch
+        spark.conf.set(BATCH_BYTES, "8m")
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", ""):
         env["PYTHONPATH"] = ":".join(filter(None, [_ROOT, env.get("PYTHONPATH", "")]))
@@ -105,6 +109,24 @@ def trim() -> None:
         pass
 
 
+#: Bits of the bitmap that possibly() broadcasts: 4 MB at any size of the input.
+BITMAP_BITS = 25
+
+
+def possibly(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """df with _hit: whether its key (a 64-bit hash in both) may be among ids, by a bitmap of 2^BITMAP_BITS bits.
+
+    It only spares the exchange of rows that are surely not among them; a full bitmap spares nothing and loses nothing.
+    """
+    bit = F.shiftrightunsigned(key, 64 - BITMAP_BITS)
+    place = F.bitmap_bit_position(bit)
+    maps = ids.select(F.bitmap_bucket_number(bit).alias("_b"), place.alias("_p")).groupBy("_b").agg(F.bitmap_construct_agg("_p").alias("_m"))
+    held = df.withColumns({"_b": F.bitmap_bucket_number(bit), "_p": place}).join(F.broadcast(maps), "_b", "left")
+    byte = F.conv(F.hex(F.substring("_m", F.floor(F.col("_p") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), F.col("_p") % 8)), F.lit(2)) == 1, F.lit(False))
+    return held.withColumn("_hit", hit).drop("_b", "_p", "_m")
+
+
 TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(), "boolean": T.BooleanType(), "binary": T.BinaryType(), "array<int>": T.ArrayType(T.IntegerType()), "array<bigint>": T.ArrayType(T.LongType())}
 
 

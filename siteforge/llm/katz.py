@@ -9,25 +9,34 @@ probabilities sum to one over the vocabulary and one unknown word:
 
 A history whose counts all lie above K would leave nothing; it is scaled to leave 1 / (c(v) + 1).
 
-Every exchange carries packed tables instead of a row for each token:
-
-1. Tasks cut documents into chunks of about CHUNK tokens: a chunk has its own vocabulary and its tokens as numbers in it.
-2. Words are counted over all chunks and numbered by falling count, so frequent words have small numbers and the count of a
-   number follows from the table of count classes (at most sqrt(2N) rows, the only table of the model that tasks get whole).
-3. Each chunk asks for its different pairs, one sorted and packed request for each bucket of histories. A bucket adds up the
-   counts and answers every chunk in the order of its request: pair counts, and for each history how many of its pairs have
-   which count and the lower-order mass below it.
+The model is stored in tables partitioned by bucket: words (their hashes and counts, packed, by falling count), offsets (the
+number of a bucket's first word of each count) and pairs (history, word and count, packed). Words are numbered by falling count over
+all buckets, so frequent words have small numbers and the count of a number follows from the table of count classes (at most
+sqrt(2N) rows, the only table of the model that tasks get whole). Discounts are K numbers; alpha and the lower-order mass of
+a history are summed up from its pairs. Any documents can be scored against the tables.
+
+Every exchange carries packed requests and answers instead of a row for each token:
+
+1. Tasks cut documents into chunks of about CHUNK tokens: a chunk has its own vocabulary and its tokens as numbers in it. Longer
+   texts go on in the next chunk with their last token as context.
+2. Each chunk asks for its words, one sorted and packed request for each bucket of hashes; a bucket adds up the training counts
+   and answers with its words' places.
+3. Each chunk asks for its different pairs, one request for each bucket of histories. A bucket adds up the counts and answers
+   every chunk in the order of its request: pair counts, and for each history how many of its pairs have which count and the
+   lower-order mass below it.
 4. Chunks compute the discounts' shares, alpha and the tokens' probabilities from the answers, falling back token by token.
 
-Histories with over 1 / HOT of all tokens (at most HOT, and the start) are spread over all buckets by the word that follows; their
-sums are added up in Spark. Chunks hold whole documents, so a single very long text may exceed CHUNK. Words are known by 64-bit
-hashes.
+Asking a stored model is the same with the model's table as one more request, the only one with counts. Histories with over 1 / HOT
+of all tokens (at most HOT, and the start) are spread over all buckets by the word that follows; their sums are added up in Spark.
+Words are known by 64-bit hashes, rows by two of (doc_id, text). Tables that nothing needs any more are deleted.
 
-Nulls: a null text is empty and has its end token only. Rows are known by (doc_id, text); repeated rows get the same scores. An
-empty training set gives every token the unknown word's probability, 1.
+Nulls: a null text is empty and has its end token only; ids may be null. Repeated rows get the same scores. Words of equal count are
+numbered by their hashes. An empty training set gives every token the unknown word's probability, 1; an empty table gives an empty
+result. Other columns are not read.
 """
 from __future__ import annotations
 
+import gc
 import math
 import uuid
 
@@ -36,10 +45,12 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from siteforge.llm.common import checkpoint_dir, read
+from siteforge.llm.common import checkpoint_dir, frugal, read, trim
 from siteforge.llm.langid import fold
 
 K = 5
@@ -83,47 +94,82 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """df as a table in the cluster's shared checkpoint folder."""
-    path = f"{checkpoint_dir(df.sparkSession)}/katz-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Stored:
+    """A table in the cluster's shared checkpoint folder."""
 
+    def __init__(self, df: DataFrame, by: str | None = None):
+        self.spark, self.path = df.sparkSession, f"{checkpoint_dir(df.sparkSession)}/katz-{uuid.uuid4().hex}"
+        out = df.write.option("compression", "zstd")
+        (out.partitionBy(by) if by else out).parquet(self.path)
+        self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
-def occurrences(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Chunks of docs (uid, train, text): hashes and training counts of their words, and packed uids, lengths and token numbers."""
+    def drop(self) -> None:
+        """Delete it, and let Spark delete the exchanges that nothing refers to any more."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        released(self.spark)
+
+
+def released(spark) -> None:
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def occurrences(docs: DataFrame, buckets: int, chunk: int = CHUNK) -> DataFrame:
+    """Chunks of docs (u1, u2, train, text) as rows (chunk, bucket, blob).
+
+    Bucket -1: the body (ids, lengths, whether the first token is only context, training flags, tokens as numbers in the chunk). Other
+    buckets: hashes in order, training counts and numbers in the chunk of the words that fall into it.
+    """
 
     def run(batches):
         def flush():
             seq = np.concatenate(parts)
             hashes = np.array([END if w is None else xxhash.xxh3_64_intdigest(w) - (1 << 63) for w in vocabulary], dtype=np.int64)
-            lengths = np.array([len(x) for x in parts], dtype=np.int64)
-            counts = np.bincount(seq[np.repeat(np.array(train, dtype=bool), lengths)], minlength=len(hashes)).astype(np.int64)
+            lengths, flags, cont = (np.array(x, dtype=np.int64) for x in (map_len(parts), train, context))
+            weight = np.repeat(flags, lengths)
+            weight[(np.cumsum(lengths) - lengths)[cont > 0]] = 0
+            counts = np.bincount(seq, weights=weight, minlength=len(hashes)).astype(np.int64)
             order = np.argsort(-np.bincount(seq, minlength=len(hashes)), kind="stable")  # frequent words get small numbers
             number = np.empty(len(order), dtype=np.int64)
             number[order] = np.arange(len(order))
-            body = pack(np.array(uids, dtype=np.int64), lengths, np.array(train, dtype=np.int64), number[seq])
-            return pa.RecordBatch.from_arrays([pa.array([hashes[order]], longs), pa.array([counts[order]], longs), pa.array([body], pa.binary())], ["hashes", "counts", "body"])
-
-        longs = pa.list_(pa.int64())
-        vocabulary, uids, train, parts, held = {}, [], [], [], 0
+            rows = [(-1, pack(np.array(u1, dtype=np.int64), np.array(u2, dtype=np.int64), lengths, cont, flags, number[seq]))]
+            place = (hashes.view(np.uint64) >> np.uint64(20)) % np.uint64(buckets)
+            by = np.lexsort((hashes, place))
+            at = _starts(place[by])
+            for a, z in zip(at.tolist(), [*at[1:].tolist(), len(by)]):
+                part = by[a:z]
+                rows.append((int(place[part[0]]), pack(np.diff(hashes[part], prepend=0), counts[part], number[part])))
+            name = (TaskContext.get().partitionId() << 32) + made
+            return pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["chunk", "bucket", "blob"])
+
+        map_len = lambda xs: [len(x) for x in xs]
+        vocabulary, u1, u2, train, context, parts, held, made = {}, [], [], [], [], [], 0, 0
         for b in batches:
-            for u, t, text in zip(*b.columns):  # one text at a time leaves the batch
-                u, t, text = u.as_py(), t.as_py(), text.as_py()
-                tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and the six ASCII spaces only
+            for a, c, t, text in zip(*b.columns):  # one text at a time leaves the batch
+                tokens = _lowered(text.as_py()).split()  # bytes: the six ASCII spaces only
                 tokens.append(None)
-                uids.append(u)
-                train.append(t)
-                parts.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in tokens], dtype=np.int32))
-                held += len(tokens)
-                if held >= chunk:
-                    yield flush()
-                    vocabulary, uids, train, parts, held = {}, [], [], [], 0
+                for at in range(0, len(tokens), chunk):
+                    piece = tokens[max(0, at - 1) : at + chunk]
+                    u1.append(a.as_py())
+                    u2.append(c.as_py())
+                    train.append(t.as_py())
+                    context.append(at > 0)
+                    parts.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in piece], dtype=np.int32))
+                    held += len(piece)
+                    if held >= chunk:
+                        yield flush()
+                        vocabulary, u1, u2, train, context, parts, held, made = {}, [], [], [], [], [], 0, made + 1
         if held:
             yield flush()
+        trim()
 
-    made = docs.select("uid", "train", "text").mapInArrow(run, "hashes array<bigint>, counts array<bigint>, body binary")
-    return _stored(made.withColumn("chunk", F.monotonically_increasing_id()))
+    return docs.select("u1", "u2", "train", "text").mapInArrow(run, "chunk bigint, bucket bigint, blob binary")
+
+
+def _lowered(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
 def _mixed(a: np.ndarray) -> np.ndarray:
@@ -132,17 +178,53 @@ def _mixed(a: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def _count_words(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One bucket's requests: its words (chunk null), with the sizes of its count classes, and each chunk's places in them."""
+    asked = [unpack(b) for b in pdf["blob"]]
+    hashes = np.concatenate([np.cumsum(a[0]) for a in asked])
+    found, inverse = np.unique(hashes, return_inverse=True)
+    total = np.bincount(inverse, weights=np.concatenate([a[1] for a in asked])).astype(np.int64)
+    order = np.lexsort((found, -total))
+    known = order[: int((total > 0).sum())]
+    place = np.full(len(found), -1, dtype=np.int64)
+    place[known] = np.arange(len(known))
+    back, at, rows, bucket = place[inverse], 0, [], int(pdf["bucket"].iloc[0])
+    for chunk, a in zip(pdf["chunk"], asked):
+        if not pd.isna(chunk):
+            rows.append((bucket, chunk, pack(back[at : at + len(a[0])], a[2]), None, None))
+        at += len(a[0])
+    by_hash = np.sort(known)
+    first = _starts(total[known])
+    rows.append((bucket, None, pack(np.diff(found[by_hash], prepend=0), total[by_hash], by_hash * 0), total[known][first], np.diff(first, append=len(known))))
+    return pd.DataFrame(rows, columns=["bucket", "chunk", "blob", "c", "n"]).astype({"chunk": "Int64"})
+
+
+def _numbers(answers: pd.DataFrame, offsets: pd.DataFrame) -> pd.DataFrame:
+    """Places in a bucket become numbers: (chunk, blob) with the numbers in the chunk and in the model."""
+    rows = []
+    n, base = (np.asarray(offsets[c].iloc[0], dtype=np.int64) if len(offsets) else np.zeros(0, np.int64) for c in ("n", "base"))
+    first = np.cumsum(n) - n
+    for chunk, blob in zip(answers["chunk"], answers["blob"]):
+        place, number = unpack(blob)
+        at = np.searchsorted(first, place, side="right") - 1
+        ids = np.where(place >= 0, np.append(base - first, 0)[at] + place, -1) if len(first) else place
+        rows.append((chunk, pack(number, ids)))
+    return pd.DataFrame(rows, columns=["chunk", "blob"])
+
+
 class _Pairs:
     """A chunk's tokens and its different pairs of known words, ordered by bucket, history and word.
 
     Numbers: 0 the start, words from 1 by falling count, -1 words that training lacks.
     """
 
-    def __init__(self, body: bytes, pos: np.ndarray, ids: np.ndarray, hot: int, buckets: int):
-        self.uids, self.lengths, train, seq = unpack(body)
+    def __init__(self, body: bytes, words: list[bytes], hot: int, buckets: int):
+        self.u1, self.u2, self.lengths, cont, train, seq = unpack(body)
         size = int(seq.max()) + 1
         number = np.full(size + 1, -1, dtype=np.int64)
-        number[np.asarray(pos, dtype=np.int64)] = np.asarray(ids, dtype=np.int64)
+        for blob in words:
+            local, ids = unpack(blob)
+            number[local] = ids
         number[size] = 0
         before = np.empty_like(seq)
         before[1:] = seq[:-1]
@@ -150,9 +232,11 @@ class _Pairs:
         before[self.first] = size
         before *= size + 1
         before += seq
+        self.own = np.ones(len(seq), dtype=np.int64)  # context tokens count nowhere
+        self.own[self.first[cont > 0]] = 0
         keys, inverse = np.unique(before, return_inverse=True)
         del before, seq
-        counts = np.bincount(inverse, weights=np.repeat(train, self.lengths), minlength=len(keys)).astype(np.int64)
+        counts = np.bincount(inverse, weights=np.repeat(train, self.lengths) * self.own, minlength=len(keys)).astype(np.int64)
         v, w = number[keys // (size + 1)], number[keys % (size + 1)]
         known = np.flatnonzero((v >= 0) & (w > 0))
         kv, kw = v[known], w[known]
@@ -208,88 +292,133 @@ class Lower:
         return np.where(ids > 0, np.append(self.c, 0)[at], 0), np.where(ids > 0, np.append(self.p, 0.0)[at], self.unknown)
 
 
+def _names(k: int) -> list[str]:
+    """Sums of a history: pairs counted 1..k times, tokens of pairs counted oftener, and the lower-order mass of its pairs."""
+    return [*[f"n{i}" for i in range(1, k + 1)], "more", "below"]
+
+
+def _count_pairs(pdf: pd.DataFrame, lower: Lower, k: int) -> pd.DataFrame:
+    """One bucket's requests: answers to chunks, the bucket's pairs (kind pairs) and the sums of hot histories (kind sums; v -1: counts of counts)."""
+    hot, bucket = lower.hot, int(pdf["bucket"].iloc[0])
+    asked = [_asked(b) for b in pdf["blob"]]
+    v, w, n = (np.concatenate([a[i] for a in asked]) for i in range(3))
+    order = np.lexsort((w, v))
+    v, w, n = v[order], w[order], n[order]
+    at = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])]))
+    c = np.add.reduceat(n, at)
+    back = np.empty(len(order), dtype=np.int64)
+    back[order] = np.repeat(c, np.diff(at, append=len(v)))
+    v, w = v[at], w[at]
+    hv = _starts(v)
+    columns = [*[c == i for i in range(1, k + 1)], c * (c > k), lower.of(w)[1] * (c > 0)]
+    sums = [np.add.reduceat(x.astype(np.float64), hv) for x in columns]
+    heads, rows, begin, empty = v[hv], [], 0, [None] * (k + 2)
+    for chunk, (av, _, _) in zip(pdf["chunk"], asked):
+        if not pd.isna(chunk):
+            cold = np.searchsorted(heads, (u := av[_starts(av)])[u > hot])
+            exact = [s[cold].astype(np.int64) for s in sums[:-1]]
+            rows.append(("answer", bucket, chunk, pack(back[begin : begin + len(av)], *exact, np.ascontiguousarray(sums[-1][cold]).view(np.int64)), None, *empty))
+        begin += len(av)
+    seen = c > 0
+    if seen.any():
+        rows.append(("pairs", bucket, None, _request(v[seen], w[seen], c[seen]), None, *empty))
+    rows += [("sums", bucket, None, None, int(h), *[float(s[i]) for s in sums]) for i, h in enumerate(heads) if h <= hot]
+    of_counts = np.bincount(np.minimum(c, k + 2), minlength=k + 3)
+    rows.append(("sums", bucket, None, None, -1, *[float(x) for x in of_counts[1 : k + 2]], 0.0))
+    return pd.DataFrame(rows, columns=["kind", "bucket", "chunk", "blob", "v", *_names(k)]).astype({"chunk": "Int64", "v": "Int64"})
+
+
 class Katz:
-    """Model of chunks. Tables: words (h, c, id) and answers (bucket, chunk, blob); lower: the order below."""
-
-    def __init__(self, chunks: DataFrame, k: int = K):
-        spark = chunks.sparkSession
-        entries = chunks.select("chunk", F.posexplode(F.arrays_zip("hashes", "counts"))).select("chunk", "pos", F.col("col.hashes").alias("h"), F.col("col.counts").alias("c"))
-        counted = entries.where("c > 0").groupBy("h").agg(F.sum("c").alias("c"))
-        ranked = _stored(counted.orderBy(F.desc("c"), "h").withColumn("m", F.monotonically_increasing_id()))
-        sizes = {r.part: r["count"] for r in ranked.groupBy(F.shiftright("m", 33).alias("part")).count().collect()}  # one row a partition
-        base, rows = 0, []
-        for part in sorted(sizes):
-            rows.append((part, base))
-            base += sizes[part]
-        offsets = spark.createDataFrame(rows, "part bigint, base bigint")
-        self.words = ranked.join(F.broadcast(offsets), F.shiftright("m", 33) == F.col("part")).select("h", "c", (F.col("base") + F.col("m").bitwiseAND((1 << 33) - 1) + 1).alias("id"))
-        self.lower = lower = Lower([(r.c, r["count"]) for r in ranked.groupBy("c").count().collect()], k)  # at most sqrt(2 N) rows
-        self.tokens, self.vocabulary, self.unknown = lower.tokens, lower.vocabulary, lower.unknown
-        self.buckets = buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), lower.tokens // BUCKET)
-        hot = lower.hot
-        # sums of a history: pairs counted 1..k times, tokens of pairs counted oftener, and the lower-order mass of its pairs
-        names = [*[f"n{i}" for i in range(1, k + 1)], "more", "below"]
-        found = entries.select("chunk", "pos", "h").join(self.words.select("h", "id"), "h")
-        numbers = found.groupBy("chunk").agg(F.collect_list(F.struct("pos", "id")).alias("s")).select("chunk", F.col("s.pos").alias("pos"), F.col("s.id").alias("ids"))  # at most a chunk's words
-        none = F.array().cast("array<int>"), F.array().cast("array<bigint>")
-        self.chunks = _stored(chunks.select("chunk", "body").join(numbers, "chunk", "left").select("chunk", "body", F.coalesce("pos", none[0]).alias("pos"), F.coalesce("ids", none[1]).alias("ids")))
+    """Model of docs (u1, u2, train, text), of which those with train are learnt from.
 
-        def ask(batches):
-            for b in batches:
-                for chunk, body, pos, ids in zip(b["chunk"], b["body"], b["pos"], b["ids"]):
-                    p = _Pairs(body, pos, ids, hot, buckets)
-                    rows = [(bucket, chunk, _request(p.v[a:z], p.w[a:z], p.counts[a:z])) for bucket, a, z in p.ranges()]
-                    yield pd.DataFrame(rows, columns=["bucket", "chunk", "blob"])
+    Tables: words (bucket, blob), offsets (bucket, n, base) and pairs (bucket, blob); lower: the order below.
+    """
 
-        def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-            asked = [_asked(b) for b in pdf["blob"]]
-            v, w, n = (np.concatenate([a[i] for a in asked]) for i in range(3))
-            order = np.lexsort((w, v))
-            v, w, n = v[order], w[order], n[order]
-            at = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])]))
-            c = np.add.reduceat(n, at)
-            back = np.empty(len(order), dtype=np.int64)
-            back[order] = np.repeat(c, np.diff(at, append=len(v)))
-            v, w = v[at], w[at]
-            hv = _starts(v)
-            columns = [*[c == i for i in range(1, k + 1)], c * (c > k), lower.of(w)[1] * (c > 0)]
-            sums = [np.add.reduceat(x.astype(np.float64), hv) for x in columns]
-            heads = v[hv]
-            rows, begin = [], 0
-            for chunk, (av, _, _) in zip(pdf["chunk"], asked):
-                cold = np.searchsorted(heads, (u := av[_starts(av)])[u > hot])
-                exact = [s[cold].astype(np.int64) for s in sums[:-1]]
-                blob = pack(back[begin : begin + len(av)], *exact, np.ascontiguousarray(sums[-1][cold]).view(np.int64))
-                rows.append((pdf["bucket"].iloc[0], chunk, blob, None, *[None] * (k + 2)))
-                begin += len(av)
-            rows += [(pdf["bucket"].iloc[0], None, None, int(h), *[float(s[i]) for s in sums]) for i, h in enumerate(heads) if h <= hot]
-            of_counts = np.bincount(np.minimum(c, k + 2), minlength=k + 3)
-            rows.append((pdf["bucket"].iloc[0], None, None, -1, *[float(x) for x in of_counts[1 : k + 2]], 0.0))
-            out = pd.DataFrame(rows, columns=["bucket", "chunk", "blob", "v", *names])
-            return out.astype({"chunk": "Int64", "v": "Int64"})
-
-        requests = self.chunks.mapInPandas(ask, "bucket bigint, chunk bigint, blob binary")
-        schema = "bucket bigint, chunk bigint, blob binary, v bigint, " + ", ".join(f"{x} double" for x in names)
-        self.answers = _stored(requests.groupBy("bucket").applyInPandas(answer, schema))
+    def __init__(self, docs: DataFrame, k: int = K, chunk: int = CHUNK):
+        spark = self.spark = docs.sparkSession
+        self.k, self.chunk, self.word_buckets = k, chunk, int(spark.conf.get("spark.sql.shuffle.partitions"))
+        cut = self._cut(docs)
+        words = self._ask_words(cut)
+        self.words = words.df.where("chunk is null").select("bucket", "blob")
+        classes = words.df.where("chunk is null").select("bucket", F.explode(F.arrays_zip("c", "n")).alias("x")).select("bucket", "x.c", "x.n")
+        of_c = [(r.c, r.n) for r in classes.groupBy("c").agg(F.sum("n").alias("n")).collect()]  # at most sqrt(2 N) rows
+        self.lower = lower = Lower(of_c, k)
+        self.tokens, self.vocabulary, self.unknown, self.hot = lower.tokens, lower.vocabulary, lower.unknown, lower.hot
+        self.buckets = max(self.word_buckets, lower.tokens // BUCKET)
+        # numbers: words of larger counts come first, within a count by bucket
+        starts = spark.createDataFrame(list(zip(lower.c.tolist(), [1, *(lower.top[:-1] + 1).tolist()])), "c bigint, start bigint")
+        before = F.sum("n").over(W.partitionBy("c").orderBy("bucket")) - F.col("n")
+        based = classes.withColumn("before", before).join(starts, "c")
+        sorted_ = F.sort_array(F.collect_list(F.struct((-F.col("c")).alias("m"), "n", (F.col("start") + F.col("before")).alias("base"))))  # a bucket's counts
+        self.offsets = Stored(based.groupBy("bucket").agg(sorted_.alias("s")).select("bucket", F.col("s.n").alias("n"), F.col("s.base").alias("base"))).df
+        chunks = self._numbered(cut, words.df)
+        pairs = self._ask_pairs(chunks.df)
+        self.pairs = pairs.df.where("kind = 'pairs'").select("bucket", "blob")
         # hot histories, the start and the counts of counts: at most HOT + 2 rows
-        total = {r.v: [r[x] for x in names] for r in self.answers.where("chunk is null").groupBy("v").agg(*[F.sum(x).alias(x) for x in names]).collect()}
+        sums = pairs.df.where("kind = 'sums'").groupBy("v").agg(*[F.sum(x).alias(x) for x in _names(k)]).collect()
+        total = {r.v: [r[x] for x in _names(k)] for r in sums}
         of_counts = total.pop(-1, [0.0] * (k + 2))
         self.d = np.array(discounts({i + 1: int(x) for i, x in enumerate(of_counts[: k + 1])}, k))
-        self.hot_sums = np.zeros((hot + 1, k + 2))
+        self.hot_sums = np.zeros((self.hot + 1, k + 2))
         for v, x in total.items():
             self.hot_sums[v] = x
+        self._own = (chunks, pairs)
+
+    def _cut(self, docs: DataFrame) -> Stored:
+        made = occurrences(docs, self.word_buckets, self.chunk)
+        return Stored(made.withColumn("body", F.col("bucket") < 0), "body")
+
+    def _ask_words(self, cut: Stored, model: DataFrame | None = None) -> Stored:
+        asked = cut.df.where("not body").select("bucket", "chunk", "blob")
+        if model is not None:
+            asked = asked.unionByName(model.select("bucket", F.lit(None).cast("bigint").alias("chunk"), "blob"))
+        return Stored(asked.groupBy("bucket").applyInPandas(_count_words, "bucket bigint, chunk bigint, blob binary, c array<bigint>, n array<bigint>"))
+
+    def _numbered(self, cut: Stored, answers: DataFrame) -> Stored:
+        """(chunk, body, words): what remains of the chunks when their words have numbers; cut is deleted."""
+        places = answers.where("chunk is not null").select("bucket", "chunk", "blob")
+        numbers = places.groupBy("bucket").cogroup(self.offsets.groupBy("bucket")).applyInPandas(_numbers, "chunk bigint, blob binary")
+        words = numbers.groupBy("chunk").agg(F.collect_list("blob").alias("words"))  # one a bucket, a chunk's vocabulary
+        body = cut.df.where("body").select("chunk", F.col("blob").alias("body"))
+        out = Stored(body.join(words, "chunk"))
+        cut.drop()
+        return out
+
+    def _ask_pairs(self, chunks: DataFrame, model: DataFrame | None = None) -> Stored:
+        k, hot, buckets, lower = self.k, self.hot, self.buckets, self.lower
+
+        def ask(batches):
+            for b in batches:
+                for chunk, body, words in zip(b["chunk"], b["body"], b["words"]):
+                    p = _Pairs(body, words, hot, buckets)
+                    rows = [(bucket, chunk, _request(p.v[a:z], p.w[a:z], p.counts[a:z])) for bucket, a, z in p.ranges()]
+                    yield pd.DataFrame(rows, columns=["bucket", "chunk", "blob"])
 
-    def score(self, chunks: DataFrame) -> DataFrame:
-        """(uid, n, known, base, score) of the documents of the chunks the model was made from, summed over rows with one uid."""
-        lower, d, hot_sums, hot, buckets, zero = self.lower, self.d, self.hot_sums, self.lower.hot, self.buckets, self.tokens + 1.0 * (self.vocabulary + 1)
-        k = len(d) - 1
-        replies = self.answers.where("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "blob")).alias("s"))  # one a bucket, a chunk's pairs
+        asked = chunks.mapInPandas(frugal(ask), "bucket bigint, chunk bigint, blob binary")
+        if model is not None:
+            asked = asked.unionByName(model.select("bucket", F.lit(None).cast("bigint").alias("chunk"), "blob"))
+        schema = "kind string, bucket bigint, chunk bigint, blob binary, v bigint, " + ", ".join(f"{x} double" for x in _names(k))
+        out = Stored(asked.groupBy("bucket").applyInPandas(lambda pdf: _count_pairs(pdf, lower, k), schema), "kind")
+        released(self.spark)  # the requests
+        return out
+
+    def score(self, docs: DataFrame | None = None) -> DataFrame:
+        """(u1, u2, n, known, base, score) of docs (u1, u2, text), summed over rows with one id; without docs, of those given to the model."""
+        if docs is None:
+            chunks, pairs = self._own
+        else:
+            cut = self._cut(docs.withColumn("train", F.lit(False)))
+            chunks = self._numbered(cut, self._ask_words(cut, self.words).df)
+            pairs = self._ask_pairs(chunks.df, self.pairs)
+        lower, d, hot_sums, hot, buckets, zero = self.lower, self.d, self.hot_sums, self.hot, self.buckets, self.tokens + 1.0 * (self.vocabulary + 1)
+        k = self.k
+        replies = pairs.df.where("kind = 'answer'").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "blob")).alias("s"))  # one a bucket, a chunk's pairs
         replies = replies.select("chunk", F.col("s.bucket").alias("bucket"), F.col("s.blob").alias("blob"))
 
         def run(batches):
             for b in batches:
-                for body, pos, ids, bucket, blobs in zip(b["body"], b["pos"], b["ids"], b["bucket"], b["blob"]):
-                    p = _Pairs(body, pos, ids, hot, buckets)
+                for body, words, bucket, blobs in zip(b["body"], b["words"], b["bucket"], b["blob"]):
+                    p = _Pairs(body, words, hot, buckets)
                     c = np.zeros(len(p.all_v), dtype=np.int64)
                     heads, sums = [], []
                     by_bucket = dict(zip(bucket, blobs)) if bucket is not None else {}
@@ -313,21 +442,24 @@ class Katz:
                     there = hv[at] == p.all_v
                     c1, p1 = lower.of(p.all_w)
                     prob = np.where(c > 0, share[at] * _discounted(c, d), np.where(there, alpha[at], 1.0) * p1)
-                    add = lambda x: np.add.reduceat(x[p.inverse], p.first)  # noqa: B023, E731
-                    yield pd.DataFrame({"uid": p.uids, "n": p.lengths, "known": add((c1 > 0).astype(np.int64)), "base": add(np.log10((c1 + 1.0) / zero)), "score": add(np.log10(prob))})
+                    add = lambda x: np.add.reduceat(x[p.inverse] * p.own, p.first)  # noqa: B023, E731
+                    one = np.ones(len(c), dtype=np.int64)
+                    yield pd.DataFrame({"u1": p.u1, "u2": p.u2, "n": add(one), "known": add((c1 > 0).astype(np.int64)), "base": add(np.log10((c1 + 1.0) / zero)), "score": add(np.log10(prob))})
+
+        rows = chunks.df.join(replies, "chunk", "left").mapInPandas(frugal(run), "u1 bigint, u2 bigint, n bigint, known bigint, base double, score double")
+        return rows.groupBy("u1", "u2").agg(*[F.sum(x).alias(x) for x in ("n", "known", "base", "score")])
+
 
-        rows = self.chunks.join(replies, "chunk", "left").mapInPandas(run, "uid bigint, n bigint, known bigint, base double, score double")
-        return rows.groupBy("uid").agg(*[F.sum(x).alias(x) for x in ("n", "known", "base", "score")])
+def keyed(df: DataFrame) -> DataFrame:
+    """df (doc_id, text, ...) with u1 and u2, by which rows are known."""
+    return df.withColumns({"u1": F.xxhash64("doc_id", "text"), "u2": F.xxhash64(F.lit(1), "text", "doc_id")})
 
 
 def op5_language_model(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (fold(7) == 2).alias("held_out"))
-    d = d.withColumn("uid", F.xxhash64("doc_id", "text"))
-    occ = occurrences(d.withColumn("train", ~F.col("held_out")))
-    model = Katz(occ)
-    sums = model.score(occ)
-    copies = d.groupBy("uid").agg(F.count(F.lit(1)).alias("m"), F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"))
-    out = copies.join(sums, "uid").select(
+    d = keyed(read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (fold(7) == 2).alias("held_out")))
+    model = Katz(d.withColumn("train", ~F.col("held_out")))
+    copies = d.groupBy("u1", "u2").agg(F.count(F.lit(1)).alias("m"), F.first("doc_id").alias("doc_id"), F.first("held_out").alias("held_out"))
+    out = copies.join(model.score(), ["u1", "u2"]).select(
         "doc_id", "held_out", (F.col("n") / F.col("m")).cast("bigint").alias("n_tokens"), (F.col("known") / F.col("m")).cast("bigint").alias("n_known"),
         F.lit(model.tokens).cast("bigint").alias("train_tokens"), (F.col("base") / F.col("m")).alias("base_score"), (F.col("score") / F.col("m")).alias("score"), F.explode(F.array_repeat(F.lit(0), F.col("m").cast("int"))).alias("copy"),
     )

@@ -3,18 +3,18 @@
 For every language a suffix automaton is built over a bounded sample of labelled text. A text is parsed greedily into the
 longest matches that the automaton allows; log2(sample length) bits a phrase, and log2(letters) more for a letter the sample lacks,
 are the text's bits, and the language needing least wins. A short sample thus pays for what it does not hold. Whole texts are parsed,
-in one pass for each language. Samples are drawn from distinct texts and cut after the letters are taken.
+in one pass for each language. Samples are drawn from distinct whole texts.
 
 Where a bound is given, a text that needs more bits a letter in every language is `und` too. It comes from labelled texts outside the
 samples: twice their median, and three phrases for short texts.
 
 Nulls: a null text, or one without a letter, gives `und` and score 0. With no labelled text at all everything is `und`.
-Ties go to the first language in alphabetical order. Repeated rows each get their row.
+Ties go to the first language in alphabetical order. Repeated rows each get their row, and an empty table gives an empty result. A very
+long text is parsed as a whole, in memory in proportion to it. Columns of the operator's names are replaced.
 """
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -25,11 +25,11 @@ from pyspark.sql import Window as W
 
 from siteforge.llm.common import frugal, held, read, widened
 
-#: The sample: so many distinct texts a language, the smallest by hash, and so many letters of each on average: what short ones leave
-#: goes to the others.
-SAMPLE_DOCS, SAMPLE_CHARS = 48, 500
-#: Texts a language kept out of the sample for the bound (at most every fourth), letters of each, and how many it takes in all.
-HELD_DOCS, HELD_CHARS, HELD_LEAST = 32, 2000, 8
+#: The sample: at most so many distinct texts a language, the first by hash, of which those are taken, whole, that fit into so many
+#: characters in all (one longer text where none fits).
+SAMPLE_DOCS, SAMPLE_CHARS = 48, 24_000
+#: Every fourth text is kept out of the sample for the bound: so many more are drawn, so many characters a language taken, and so many texts needed.
+HELD_DOCS, HELD_CHARS, HELD_LEAST = 16, 12_000, 8
 _NOT_LETTERS = regex.compile(r"\P{L}+")
 
 
@@ -79,7 +79,7 @@ class CrossParser:
 
     An entry is (row of the next state) * 2, plus 1 if it begins a phrase: where the automaton has no transition, the phrase
     ends and the next begins in a copy of the root's successor. Memory: two states a sample character times the letters seen in
-    the samples, 4 or 8 bytes each.
+    the samples, 4 or 8 bytes each: with the default sample about 15 MB a language of an alphabet, 20 times that for large scripts.
     """
 
     def __init__(self, texts: tuple):
@@ -163,45 +163,51 @@ class CrossParser:
         return [self.langs[i] if f else "und" for i, f in zip(best, fits)], score
 
 
-def _drawn(labelled: DataFrame, docs: int, chars: int) -> dict[str, list[str]]:
-    """At most docs distinct texts' letters a language, in the order of their hashes, each up to 4 times its share of docs * chars."""
-    usable = labelled.where("lang is not null and text rlike '\\\\p{L}'").select("lang", "text", F.xxhash64("text").alias("h"))
+def _drawn(labelled: DataFrame, docs: int) -> dict[str, list[tuple[int, int, int]]]:
+    """(length, order, hash) of at most docs distinct labelled texts a language, the first by hash."""
+    usable = labelled.where("lang is not null and text rlike '\\\\p{L}'").select("lang", F.xxhash64("text").alias("h"), F.length("text").alias("n"))
     order = F.row_number().over(W.partitionBy("lang").orderBy("h"))
-    keys = usable.select("lang", "h").distinct().withColumn("r", order).where(F.col("r") <= docs).collect()  # bounded, as what follows
-    if not keys:
-        return {}
-    n = Counter(k.lang for k in keys)
-    wanted = labelled.sparkSession.createDataFrame([(k.lang, k.h, k.r, 4 * docs * chars // n[k.lang]) for k in keys], "lang string, h long, r int, most int")
-    cut = F.regexp_replace("text", r"\P{L}+", " ").substr(F.lit(1), F.col("most") + 1)
-    rows = usable.join(F.broadcast(wanted), ["lang", "h"]).select("lang", "r", cut.alias("t")).groupBy("lang", "r").agg(F.min("t").alias("t")).collect()
     by: dict[str, list] = {}
-    for row in sorted(rows, key=lambda x: (x.lang, x.r)):
-        by.setdefault(row.lang, []).append(letters(row.t))
-    return by
+    for r in usable.distinct().withColumn("r", order).where(F.col("r") <= docs).collect():  # bounded
+        by.setdefault(r.lang, []).append((r.n + 2, r.r, r.h))
+    return {k: sorted(by[k], key=lambda x: x[1]) for k in sorted(by)}
+
 
+def _fitting(drawn: list[tuple[int, int, int]], budget: int) -> list[int]:
+    """Hashes of the texts that fit into the budget whole, in their order; the shortest if none does."""
+    left, out = budget, []
+    for n, _, h in drawn:
+        if n <= left:
+            left -= n
+            out.append(h)
+    return out or [min(drawn)[2]]
 
-def _joined(texts: list[str], budget: int) -> str:
-    """The texts, the long ones cut to equal length so that all are at most budget."""
-    left, share = budget, 0
-    for i, n in enumerate(sorted(map(len, texts))):
-        share = left // (len(texts) - i)
-        if n > share:
-            break
-        left, share = left - n, n
-    return "".join(t[:share] for t in texts)
+
+def _texts(labelled: DataFrame, wanted: list[tuple[str, int]]) -> dict[tuple[str, int], str]:
+    """The letters of the wanted (lang, hash): whole texts."""
+    if not wanted:
+        return {}
+    keys = labelled.sparkSession.createDataFrame(wanted, "lang string, h long")
+    rows = labelled.select("lang", "text", F.xxhash64("text").alias("h")).join(F.broadcast(keys), ["lang", "h"])  # bounded by the sample
+    return {(r.lang, r.h): letters(r.t) for r in rows.groupBy("lang", "h").agg(F.min("text").alias("t")).collect()}
 
 
 def sample(labelled: DataFrame, docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    """(language, text) sample of labelled (doc_id, text, lang), at most docs distinct texts and docs * chars letters a language."""
-    return [(k, _joined(v, docs * chars)) for k, v in _drawn(labelled, docs, chars).items()]
+    """(language, text) sample of labelled (doc_id, text, lang): at most docs distinct texts a language, whole, and chars in all (one text may have more)."""
+    chosen = {k: _fitting(v, chars) for k, v in _drawn(labelled, docs).items()}
+    got = _texts(labelled, [(k, h) for k, v in chosen.items() for h in v])
+    return [(k, "".join(got[k, h] for h in v)) for k, v in chosen.items()]
 
 
 def sample_and_bound(labelled: DataFrame) -> tuple[list[tuple[str, str]], float]:
     """The sample, and the bits a letter beyond which no language fits (infinite with too few labelled texts)."""
-    by = _drawn(labelled, SAMPLE_DOCS + HELD_DOCS, SAMPLE_CHARS)
-    held = {k: set(range(3, len(v), 4)) if len(v) < SAMPLE_DOCS + HELD_DOCS else set(range(SAMPLE_DOCS, len(v))) for k, v in by.items()}
-    texts = [(k, _joined([t for i, t in enumerate(v) if i not in held[k]], SAMPLE_DOCS * SAMPLE_CHARS)) for k, v in by.items()]
-    known = [v[i][:HELD_CHARS] for k, v in by.items() for i in sorted(held[k])]
+    drawn = _drawn(labelled, SAMPLE_DOCS + HELD_DOCS)
+    kept = {k: [x for i, x in enumerate(v) if i % 4 != 3] for k, v in drawn.items()}
+    chosen = {k: _fitting(v, SAMPLE_CHARS) for k, v in kept.items()}
+    held = {k: _fitting(v[3::4], HELD_CHARS) for k, v in drawn.items() if len(v) > 3}
+    got = _texts(labelled, [(k, h) for part in (chosen, held) for k, v in part.items() for h in v])
+    texts = [(k, "".join(got[k, h] for h in v)) for k, v in chosen.items()]
+    known = [got[k, h] for k, v in held.items() for h in v]
     if len(known) < HELD_LEAST:
         return texts, math.inf
     parse = CrossParser(tuple(texts))

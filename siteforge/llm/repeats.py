@@ -31,12 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from siteforge.llm.common import cut, read, widened
+from siteforge.llm.common import cut, frugal, possibly, read, widened
 
 LENGTH = 400
 MAX_ROWS, CHUNK, WIDTH = 1000, 60_000, 16
-#: The bitmap that is broadcast has 2^25 bits: 4 MB at any size of the input.
-BLOOM_BITS = 25
 _R = np.uint64(0x9E3779B97F4A7C15)
 _RINV = np.uint64(pow(int(_R), -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
@@ -141,27 +139,14 @@ def _anchor_rows(docs: DataFrame, length: int, k: int) -> DataFrame:
                 out = {"u1": np.repeat(part["u1"].to_numpy(), sizes), "u2": np.repeat(part["u2"].to_numpy(), sizes)}
                 yield pd.DataFrame(out | {c: np.concatenate([m[i] for m in made]) for i, (c, _) in enumerate(ROW[2:])})
 
-    return docs.select("u1", "u2", "text").mapInPandas(run, _schema(ROW))
-
-
-def possibly(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs with _hit: whether a document may be among ids (u1), by a bitmap of 2^BLOOM_BITS bits.
-
-    It only spares the exchange of documents that are surely not among them; a full bitmap spares nothing and loses nothing.
-    """
-    bit = F.shiftrightunsigned("u1", 64 - BLOOM_BITS)
-    maps = ids.select(F.bitmap_bucket_number(bit).alias("_b"), F.bitmap_bit_position(bit).alias("_p")).groupBy("_b").agg(F.bitmap_construct_agg("_p").alias("_m"))
-    held = docs.withColumns({"_b": F.bitmap_bucket_number(bit), "_p": F.bitmap_bit_position(bit)}).join(F.broadcast(maps), "_b", "left")
-    byte = F.conv(F.hex(F.substring("_m", F.floor(F.col("_p") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), F.col("_p") % 8)), F.lit(2)) == 1, F.lit(False))
-    return held.withColumn("_hit", hit).drop("_b", "_p", "_m")
+    return docs.select("u1", "u2", "text").mapInPandas(frugal(run), _schema(ROW))
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """wanted (ROW, big) with data, the bytes that a row's starts cover."""
     names = [c for c, _ in ROW[2:]] + ["big"]
     lists = wanted.groupBy("u1", "u2").agg(F.collect_list(F.struct(*names)).alias("want"))  # at most a document's rows
-    joined = possibly(docs, wanted).where("_hit").join(lists, ["u1", "u2"]).select("u1", "u2", "text", "want")
+    joined = possibly(docs, wanted, "u1").where("_hit").join(lists, ["u1", "u2"]).select("u1", "u2", "text", "want")
 
     def run(batches):
         for b in batches:
@@ -249,7 +234,8 @@ def _classes(rows: DataFrame, keep_first: bool) -> tuple[DataFrame, DataFrame]:
     whole = rows.join(several, ["key", "whole"])
     if keep_first:
         whole = whole.where(F.struct("u1", "u2", "lo") != F.col("first"))
-    keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
+    # a table of its own, so that both sides of the join below are plain exchanges, which Spark splits where a key is hot
+    keys = cut(classes.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1"))
     reps = classes.join(keys, "key").select("key", "whole", "different", "r.*")
     return whole.select("u1", "u2", F.col("lo").alias("s"), (F.col("lo") + F.col("n") - 1).alias("e")), reps
 
@@ -286,7 +272,7 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, keep_first: bool = False
     if keep_first:  # a second row of the same id and text is a later copy as a whole
         joined = keyed.withColumn("copy_", F.row_number().over(W.partitionBy("u1", "u2").orderBy(F.lit(0)))).join(runs, ["u1", "u2"], "left")
     else:
-        held = possibly(keyed.withColumn("copy_", F.lit(1)), runs)
+        held = possibly(keyed.withColumn("copy_", F.lit(1)), runs, "u1")
         none = F.lit(None).cast("array<struct<s:int,e:int>>").alias("runs")
         joined = held.where("_hit").join(runs, ["u1", "u2"], "left").unionByName(held.where("not _hit").select("*", none)).drop("_hit")
     joined = joined.drop("u1", "u2")
@@ -316,7 +302,7 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, keep_first: bool = False
                 b[c] = pd.Series(cols[c], index=b.index, dtype="int64" if t == "bigint" else object)
             yield b
 
-    return joined.mapInPandas(run, schema)
+    return joined.mapInPandas(frugal(run), schema)
 
 
 def op9_repeats(spark, sf_dir):

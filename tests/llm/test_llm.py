@@ -109,12 +109,14 @@ def test_pieces_equal_the_library_and_round_trip(docs, empty):
     assert pieces.encode(empty).count() == 0
 
 
-def test_katz_against_python(docs, empty):
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    d = d.withColumn("uid", F.xxhash64("doc_id", "text")).withColumn("train", F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True)))
-    occ = katz.occurrences(d)
-    model = katz.Katz(occ)
-    got = {r.uid: r for r in model.score(occ).collect()}
+@pytest.mark.parametrize("chunk", [katz.CHUNK, 700])
+def test_katz_against_python(docs, empty, chunk):
+    d = katz.keyed(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit("mine").alias("score")))
+    d = d.withColumn("train", F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True)))
+    model = katz.Katz(d, chunk=chunk)  # the long text goes over several chunks of 700 tokens
+    got = {r.u1: r for r in model.score().collect()}
+    again = {r.u1: r for r in model.score(d.where("doc_id % 2 = 0")).collect()}  # against the stored tables
+    assert again and all(got[u].n == r.n and got[u].known == r.known and r.score == pytest.approx(got[u].score) for u, r in again.items())
     rows = d.collect()
     tok = lambda r: [*words(lower(r.text)), None]
     u, b = Counter(w for r in rows if r.train for w in tok(r)), Counter(x for r in rows if r.train for x in zip([0, *tok(r)], tok(r)))
@@ -137,11 +139,12 @@ def test_katz_against_python(docs, empty):
 
     for v in list(h)[:20]:
         assert sum(p(v, w) for w in u) + p(v, "no such word") == pytest.approx(1)
-    copies = Counter(r.uid for r in rows)
+    copies = Counter(r.u1 for r in rows)
     for r in rows:
         s = sum(math.log10(p(v, w)) for v, w in zip([0, *tok(r)], tok(r)))
-        assert got[r.uid].score / copies[r.uid] == pytest.approx(s, abs=1e-6) and got[r.uid].n == copies[r.uid] * len(tok(r))
-    assert katz.Katz(katz.occurrences(d.where("false"))).unknown == 1.0
+        assert got[r.u1].score / copies[r.u1] == pytest.approx(s, abs=1e-6) and got[r.u1].n == copies[r.u1] * len(tok(r))
+    none = katz.Katz(d.where("false"))
+    assert none.unknown == 1.0 and none.score().count() == 0 and none.score(d).agg(F.sum("score")).first()[0] == 0
 
 
 def test_simhash_against_brute_force(spark, docs, empty):
@@ -213,24 +216,48 @@ def test_language_accuracy_on_held_out(spark):
 def test_repeats_against_brute_force(spark, docs, keep_first, max_rows):
     length = 40
     more = spark.createDataFrame([(200 + i, f"{i} " * 9 + "The very same passage goes on for more than forty bytes, ü included. " + f" {i}" * 9) for i in range(6)], "doc_id long, text string")
-    df = docs.select("doc_id", "text").unionByName(more)
+    df = docs.select("doc_id", "text", F.lit(1).alias("runs"), F.lit(2).alias("kept")).unionByName(more, allowMissingColumns=True)
     got = repeats.remove_repeats(df, length, keep_first, max_rows=max_rows).collect()
-    rows = [((r.text or "").encode(), r.n_removed, r.kept_sha256, r.kept) for r in got]
+    rows = [((r.text or "").encode(), r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in got]
+    assert len(rows) == len(ROWS) + 6
     seen = Counter(b[i : i + length] for b, *_ in rows for i in range(len(b) - length + 1))
     kept_grams = Counter()
-    for b, n, sha, kept in rows:
+    for b, n, spans, sha, kept in rows:
         flags = bytearray(len(b))
         for i in range(len(b) - length + 1):
             if seen[b[i : i + length]] > 1:
                 flags[i : i + length] = b"\1" * length
         if keep_first:
-            assert n <= sum(flags)
-            kept_grams.update({bytes(kept[i : i + length]) for i in range(len(kept) - length + 1)})
+            assert n <= sum(flags) and sha == hashlib.sha256(kept).hexdigest()
+            kept_grams.update({kept[i : i + length] for i in range(len(kept) - length + 1)})
         else:
             rest = bytes(x for x, y in zip(b, flags) if not y)
             assert n == sum(flags) and kept == rest and sha == hashlib.sha256(rest).hexdigest()
-    if keep_first:  # identical rows share a key and both lose what is not its first copy
-        assert sum(n for _, n, *_ in rows) > 0 and any(b"very same passage goes on for more than f" in bytes(k) for *_, k in rows)
+            assert spans == len(re.findall(b"\1+", bytes(flags)))
+    if keep_first:  # every string stays somewhere, at one place only (texts joined at a cut aside)
+        assert sum(n for _, n, *_ in rows) > 0
+        for text in (EN * 2, LONG):
+            whole = [b for b, *_ in rows if b.startswith(text.encode())]
+            assert len(whole) > 1 and sum(1 for b, *_, kept in rows if b in whole and len(kept) > len(b) // 3) == 1
+    assert repeats.remove_repeats(df.where("false"), length).count() == 0
+
+
+def test_repeats_on_the_given_documents(spark):
+    """All contract columns against brute force over byte strings."""
+    got = repeats.op9_repeats(spark, SF).collect()
+    text = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    seen = Counter(b[i : i + 400] for b in text.values() for i in range(len(b) - 399))
+    removed = 0
+    for r in got:
+        b = text[r.doc_id]
+        flags = bytearray(len(b))
+        for i in range(len(b) - 399):
+            if seen[b[i : i + 400]] > 1:
+                flags[i : i + 400] = b"\1" * 400
+        rest = bytes(x for x, y in zip(b, flags) if not y)
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(b), sum(flags), len(re.findall(b"\1+", bytes(flags))), hashlib.sha256(rest).hexdigest())
+        removed += r.n_removed > 0
+    assert len(got) == len(text) and removed
 
 
 def test_pii_base_against_plain_patterns(docs, empty):
