@@ -10,10 +10,12 @@ def _count(text: str, pattern: str) -> str:
 
 def line_quality() -> str:
     stock = " OR ".join(f"contains(lower(line), '{p}')" for p in quality.BOILERPLATE)
-    marks = "[|»›·>]"
+    marks, n = quality.SEPARATORS, _count("line", _WORD)
     bad = (
         f"({stock} OR ({_count('line', marks)} > 0 AND {_count('line', marks)} * 4 >= {_count('line', _GAP + '+')} + 1) "
-        f"OR (length(line) >= 20 AND {_count('line', quality.SYMBOLS)} * 10 > length(line)))"
+        f"OR ({n} BETWEEN 6 AND 40 AND len(list_distinct(regexp_extract_all(line, '{_WORD}'))) * 2 <= {n}) "
+        f"OR ({n} < 10 AND NOT regexp_matches(line, '{quality.END_MARK}')) "
+        f"OR (length(line) >= 20 AND ({_count('line', quality.SYMBOLS)} * 10 > length(line) OR {_count('line', quality.NOT_TEXT)} * 10 > 3 * length(line))))"
     )
     return f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),

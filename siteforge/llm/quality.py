@@ -1,11 +1,18 @@
 """Line-first quality rules (DataFrame and SQL functions only).
 
-Every line with a word is judged alone: boilerplate (a stock phrase), navigation (separators such as | between short parts, or
-many words of which few differ), punctuation (a long line of which over a tenth are symbols). Failing lines are removed; a
-document that loses more than half of its words that way is rejected. Documents also fail by base rules on the whole text.
+Every line with a word is judged alone:
 
-Nulls: a null text is treated as empty: no words, so base_failed. Repeated rows each get their row. 5-word windows are compared by
-two levels of 64-bit hashes within one document. All work is within the row: no exchange at all.
+- boilerplate: a stock phrase;
+- navigation: separators such as | between short parts, or 6 to 40 words of which at most half differ (menus, repeated labels);
+- punctuation: fewer than 10 words without an end mark (headings, buttons), or 20 or more characters of which over a tenth are
+  symbols or over three tenths are neither letters, digits nor blanks (rulers, dotted lines).
+
+Failing lines are removed; a document that loses more than half of its words that way is rejected. Documents also fail by base rules
+on the whole text.
+
+Nulls: a null text is treated as empty: no words, so base_failed. Repeated rows each get their row, there are no ties, an empty table
+gives an empty result, columns of the operator's names are replaced, and a very long text is worked on as a whole within its row.
+5-word windows are compared by two levels of 64-bit hashes within one document. All work is within the row: no exchange at all.
 """
 from __future__ import annotations
 
@@ -17,6 +24,11 @@ from siteforge.llm.common import let, read, words
 MIN_WORDS, MAX_REPEAT_PERCENT, MAX_LOST = 10, 20, 0.5
 SYMBOLS = "[#*$%&|<>]"
 _WS = r"[\x20\x09-\x0D]"
+_WORD = r"[^\x20\x09-\x0D]+"
+SEPARATORS = "[|»›·>]"
+#: What ends a sentence, with closing marks after it.
+END_MARK = r"[.!?:;,\x22\x27)\]…»”’。！？][\x20\x09-\x0D]*\z"
+NOT_TEXT = r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]"
 #: Stock phrases of boilerplate lines, matched without regard to case.
 BOILERPLATE = [
     "all rights reserved",
@@ -57,10 +69,13 @@ def bad_line(line: Column) -> Column:
     for p in BOILERPLATE:
         stock = stock | low.contains(p)
     length = F.length(line)
-    symbols = F.regexp_count(line, F.lit(SYMBOLS))
-    n = F.regexp_count(line, F.lit(_WS + "+")) + 1
-    navigation = (F.regexp_count(line, F.lit(r"[|»›·>]")) * 4 >= n) & line.rlike(r"[|»›·>]")
-    return stock | navigation | ((length >= 20) & (symbols * 10 > length))
+    count = lambda pattern: F.regexp_count(line, F.lit(pattern))
+    n = count(_WORD)
+    # the words of a line are looked at where it is short only
+    few = n.between(6, 40) & (F.size(F.array_distinct(words(line))) * 2 <= n)
+    navigation = (line.rlike(SEPARATORS) & (count(SEPARATORS) * 4 >= count(_WS + "+") + 1)) | few
+    punctuation = ((n < 10) & ~line.rlike(END_MARK)) | ((length >= 20) & ((count(SYMBOLS) * 10 > length) | (count(NOT_TEXT) * 10 > 3 * length)))
+    return stock | navigation | punctuation
 
 
 def clean(df: DataFrame) -> DataFrame:
