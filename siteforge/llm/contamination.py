@@ -9,7 +9,8 @@ The masks leave no gap: whatever tokens of a window (inside both texts) are subs
 keeps none of them. Items shorter than the span have masks of their own length: both halves, or the whole where nothing may differ.
 
 Nulls: null texts have no tokens; a null doc_id or item_id is kept as it is. Items without a token match nothing. Repeated rows
-each count as themselves; repeated ids share a row of the result.
+each count as themselves; repeated ids share a row of the result, and ties between windows have equal agreement. Empty tables give an
+empty result. Seeds carry only the tokens around them, so very long texts and items take memory in proportion. Other columns are not read.
 """
 from __future__ import annotations
 
@@ -27,7 +28,7 @@ SPAN = len(MASKS[0])
 WINDOW, SIMILARITY = 13, 0.8
 #: Tokens on either side of a seed that a window holding it can reach.
 AROUND = WINDOW - SPAN
-#: Seeds of the benchmark that are broadcast at most (about 100 bytes each with the item's tokens); more are exchanged.
+#: Seeds of the benchmark that are broadcast at most (about 250 bytes each with the tokens around); more are exchanged.
 MAX_BROADCAST = 200_000
 _GAP = r"[^\p{L}\p{N}]+"
 
@@ -64,12 +65,15 @@ def _seeds(df: DataFrame, h: str, at: str, keep: list[str], lengths: list[int],
     return df.select(*keep, at, *(["near"] if around else []), F.explode(F.array(*seeds)).alias("seed")).where(F.col(at).isNotNull() & F.col("seed").isNotNull())
 
 
-def agreement(near: Column, before: Column, item: Column, j: Column) -> Column:
-    """Share of agreeing tokens in the best window of the item that holds the seed at j; near[before] lies against item[j]."""
-    n = F.size(item)
+def agreement(near: Column, before: Column, item: Column, j: Column, n: Column) -> Column:
+    """Share of agreeing tokens in the best window of the item (n tokens) that holds the seed at j.
+
+    near[before] lies against the seed's first token; item: the item's tokens from max(0, j - AROUND) on, as far as windows reach.
+    """
     width = F.least(F.lit(WINDOW), n)
     low, high = F.greatest(F.lit(0), j + F.least(F.lit(SPAN), n) - width), F.least(j, n - width)
-    part = F.slice(item, low + 1, high - low + width)
+    first = F.greatest(F.lit(0), j - AROUND)
+    part = F.slice(item, low - first + 1, high - low + width)
     same = F.transform(part, lambda v, t: F.when(F.get(near, t + low - j + before) == v, 1).otherwise(0))
     best = lambda s: F.array_max(F.transform(F.sequence(F.lit(0), high - low), lambda k: F.aggregate(F.slice(s, k + 1, width), F.lit(0), lambda a, x: a + x)))
     return let(same, best) / width
@@ -77,20 +81,19 @@ def agreement(near: Column, before: Column, item: Column, j: Column) -> Column:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, item_id, n_hits, agreement): documents that hold part of an item."""
-    items = benchmark.select("item_id", tokens(F.col("text")).alias("ih")).where(F.size("ih") > 0)
-    size = F.least(F.lit(SPAN), F.size("ih"))
+    items = benchmark.select("item_id", tokens(F.col("text")).alias("ih")).where(F.size("ih") > 0).withColumn("n_", F.size("ih"))
+    size = F.least(F.lit(SPAN), F.col("n_"))
     lengths = sorted(r[0] for r in items.select(size).distinct().collect())  # at most SPAN numbers
     if not lengths:
         lengths = [SPAN]
     # an item is seeded for its own length only
-    parts = [_seeds(items.where(size == n), "ih", "j", ["item_id", "ih"], [n]) for n in lengths]
+    parts = [_seeds(items.where(size == n), "ih", "j", ["item_id", "n_"], [n], AROUND).withColumnRenamed("near", "ih") for n in lengths]
     seeds = reduce(DataFrame.unionByName, parts)
-    count = items.agg(F.sum(F.size("ih") * len(MASKS))).first()[0] or 0  # one number: the size check of the broadcast
-    longest = items.agg(F.max(F.size("ih"))).first()[0] or 0
-    if count * math.ceil((longest + 12) / 12) <= MAX_BROADCAST:
+    count = items.agg(F.sum(F.col("n_") * len(MASKS))).first()[0] or 0  # one number: the size check of the broadcast
+    if count <= MAX_BROADCAST:
         seeds = F.broadcast(seeds)
     d = _seeds(docs.select("doc_id", tokens(F.col("text")).alias("h")), "h", "i", ["doc_id"], lengths, AROUND)
-    hits = d.join(seeds, "seed").select("doc_id", "item_id", agreement(F.col("near"), F.least(F.lit(AROUND), F.col("i")), F.col("ih"), F.col("j")).alias("a"))
+    hits = d.join(seeds, "seed").select("doc_id", "item_id", agreement(F.col("near"), F.least(F.lit(AROUND), F.col("i")), F.col("ih"), F.col("j"), F.col("n_")).alias("a"))
     # verified while aggregating: as a filter it would move into the join and take it out of code generation
     found = hits.groupBy("doc_id", "item_id").agg(F.count_if(F.col("a") >= similarity).alias("n_hits"), F.max("a").alias("agreement"))
     return found.where(F.col("agreement") >= similarity)
