@@ -8,17 +8,23 @@ has of itself does not count: a blocked section says nothing of the host's other
 
 Nulls: a null url, or one without ://, has host '' and path '' and is allowed (no rule, no rank). Null html has no links. Links
 without a host stay on their page's host and carry nothing. Repeated pages count again as seeds and links. Without seeds or
-links nothing is blocked beyond the rules.
+links nothing is blocked beyond the rules. Ties: rules of one length go to the first listed; distrust must exceed trust. An empty table
+gives an empty result, very long urls and pages are read as a whole, and other columns are not read.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteforge.llm.common import ascii_lower, cut, read
 
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
-DAMPING, ROUNDS, THRESHOLD = 0.85, 10, 0.05
+DAMPING, THRESHOLD = 0.85, 0.05
+#: What is left unsettled of the ranks' mass; a round leaves DAMPING of what the one before left, which gives the rounds.
+TOLERANCE = 1e-3
+ROUNDS = math.ceil(math.log(TOLERANCE) / math.log(DAMPING))
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -56,11 +62,13 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     rank = seeds.select("kind", "host", F.col("seed").alias("rank"))
     if edges.isEmpty():
         return rank.withColumn("rank", F.col("rank") * (1 - damping))
-    for _ in range(rounds):
+    for n in range(rounds):
         sent = rank.join(edges.withColumnRenamed("src", "host"), ["kind", "host"]).select("kind", F.col("dst").alias("host"), (damping * F.col("rank") * F.col("share")).alias("m"))
         base = seeds.select("kind", "host", ((1 - damping) * F.col("seed")).alias("m"))
-        rank = cut(sent.unionByName(base).groupBy("kind", "host").agg(F.sum("m").alias("rank")))
-    return rank
+        rank = sent.unionByName(base).groupBy("kind", "host").agg(F.sum("m").alias("rank"))
+        if n % 5 == 4:
+            rank = cut(rank)
+    return cut(rank)
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
