@@ -1,14 +1,17 @@
 """Personal data: exact base patterns, then a skip-chain conditional random field that adds what is consistent with them.
 
-Base spans (email, ip, card, phone) follow fixed patterns and checks and are never changed. The field's nodes are the tokens with
-a digit or an @: those inside base spans are observed, the others are open. Neighbouring nodes share a chain potential; nodes
-with the same normalised form or the same last nine digits, however far apart, share a skip potential. Loopy belief propagation
-over the whole document gives each open token's label; tokens that are more likely an entity than not become further spans, so
-a number or address found once is found in its other spellings. Node weights are trained by logistic regression (piecewise
-training) on the base labels of a bounded sample of documents, and the chain and skip weights are its log odds of agreement.
-
-Nulls: a null text is treated as empty. Repeated rows each get their row. Ties in a marginal are not entities.
-All patterns run in time linear in the text.
+Base spans (email, ip, card, phone) follow fixed patterns and checks and are never changed. The field's nodes are the base spans, whose
+label is observed, and the open rest: runs of neighbouring tokens of digits and number punctuation, and other tokens with a digit or
+an @. Neighbouring nodes share a chain potential. Nodes that are alike, however far apart, share a skip potential: the same normalised
+form, the same last nine digits once joined (so a spaced number meets its compact spelling), or the same mailbox without its tag at any
+domain. Loopy belief propagation over the whole document gives each open node's label; it runs in every document with an open
+node, and unary weights decide where nothing is observed. An open node becomes a further span if its label's marginal is over SURE,
+so a number or address found once is found in its other spellings. Unary weights are trained by logistic regression (piecewise
+training) on the base labels of a bounded sample of documents, with each node's own pattern hidden; the chain and skip weights are
+its log odds of agreement.
+
+Nulls: a null text is treated as empty. Repeated rows each get their row; ties in a marginal are not entities. An empty table gives an
+empty result, columns of the operator's names are replaced, and all patterns run in time linear in the text, as whole texts are read.
 """
 from __future__ import annotations
 
@@ -20,10 +23,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteforge.llm.common import read, widened
+from siteforge.llm.common import frugal, read, widened
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 1000
+#: Texts over so many characters are not learnt from, which bounds the sample's bytes.
+SAMPLE_CHARS = 50_000
+SURE = 0.9
 EPOCHS, RATE, ROUNDS, DAMPING = 200, 0.5, 20, 0.3
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -32,6 +38,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NODE = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")
+_NUMBER = re.compile(r"[0-9+(][0-9().+/-]*+[,;:!?]?\Z")
 _CUE = re.compile(r"[0-9@]")
 _DIGITS = re.compile(r"[^0-9]+")
 
@@ -104,23 +111,36 @@ N_FEATURES = 31
 
 def graph(text: str, base: list[tuple[int, int, int]]):
     """Nodes (start, end, label: 1 + kind if observed, else 0), chain edges, skip edges."""
-    nodes, chain, skip, last, i = [], [], [], {}, 0
-    before = -1
+    nodes, chain, skip, last = [], [], [], {}
+    runs: list[list] = [[s, e, k + 1, False] for s, k, e in base]
+    i, spans, gap = 0, sorted((s, e) for s, _, e in base), None
     for m in _NODE.finditer(text):
         s, e = m.span()
-        while i < len(base) and base[i][2] <= s:
+        while i < len(spans) and spans[i][1] <= s:
             i += 1
-        label = next((k + 1 for bs, k, be in base[i : i + 4] if bs < e and be > s), 0)
-        n = len(nodes)
+        if i < len(spans) and spans[i][0] < e:
+            gap = None
+            continue  # it is part of a base span
+        number = _NUMBER.match(m[0]) is not None
+        if number and gap is not None and runs[gap][3] and text[runs[gap][1] : s].isspace() and "\n" not in text[runs[gap][1] : s]:
+            runs[gap][1] = e
+        else:
+            gap = len(runs)
+            runs.append([s, e, 0, number])
+    before = -1
+    for n, (s, e, label, _) in enumerate(sorted(runs, key=lambda r: r[:3])):
         nodes.append((s, e, label))
-        if before >= 0 and text[nodes[before][1] : s].isspace():
+        if before >= 0 and text[nodes[before][1] : s].strip() == "":
             chain.append((before, n))
         before = n
-        form = m[0].strip(".,;:!?()[]{}<>\"'").lower()
+        form = text[s:e].strip(".,;:!?()[]{}<>\"'").lower()
         digits = _DIGITS.sub("", form)
-        for key in (form, digits[-9:] if len(digits) >= 9 else None):
+        box = form.partition("@")[0].partition("+")[0] if "@" in form else ""
+        seen = set()
+        for key in (form, "#" + digits[-9:] if len(digits) >= 9 else None, "@" + box if len(box) >= 3 else None):
             if key:
-                if key in last and last[key] != n and (not skip or skip[-1] != (last[key], n)):
+                if key in last and last[key] not in seen:
+                    seen.add(last[key])
                     skip.append((last[key], n))
                 last[key] = n
     return nodes, chain, skip
@@ -178,7 +198,7 @@ def marginals(local: np.ndarray, edges: np.ndarray, weight: np.ndarray, rounds:
 def all_spans(text: str, model) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(base, base and added) spans."""
     base = base_spans(text)
-    if not base or not _CUE.search(text):  # nothing observed: no entity to be consistent with
+    if not _CUE.search(text):  # no node
         return base, base
     nodes, chain, skip = graph(text, base)
     if all(n[2] for n in nodes):
@@ -194,7 +214,7 @@ def all_spans(text: str, model) -> tuple[list[tuple[int, int, int]], list[tuple[
     added = []
     for (s, e, y), q in zip(nodes, p):
         k = int(q.argmax())
-        if not y and k and q[k] > 0.5:
+        if not y and k and q[k] > SURE:
             token = text[s:e]
             s += len(token) - len(token.lstrip(".,;:!?()[]{}<>\"'"))
             e -= len(token) - len(token.rstrip(".,;:!?()[]{}<>\"'"))
@@ -222,7 +242,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS):
 
     The hashes choose the texts, so that only the chosen ones leave the executors, each once however often it occurs.
     """
-    rows = docs.where("text rlike '[0-9@]'").select("text", F.xxhash64("text").alias("h"))
+    rows = docs.where(f"length(text) <= {SAMPLE_CHARS} and text rlike '[0-9@]'").select("text", F.xxhash64("text").alias("h"))
     top = rows.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     chosen = rows.where(F.col("h") <= top).groupBy("h").agg(F.min("text").alias("text")).orderBy("h") if top is not None else rows.where("false")
     return train([r.text for r in chosen.select("text").collect()])
@@ -230,7 +250,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS):
 
 def find(df: DataFrame, model) -> DataFrame:
     """df with n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added and masked (null for a null text)."""
-    new = [*((f"n_{k}", "bigint") for k in KINDS), ("base_sha256", "string"), ("spans", "string"), ("n_added", "bigint"), ("masked", "string")]
+    new = [*((f"n_{k}", "bigint") for k in KINDS), ("base_sha256", "string"), ("spans", "string"), ("n_added", "bigint"), ("n_spans", "bigint"), ("masked", "string")]
     df, schema = widened(df, new)
 
     def run(batches):
@@ -243,14 +263,15 @@ def find(df: DataFrame, model) -> DataFrame:
                 cols["base_sha256"].append(hashlib.sha256(written(base).encode()).hexdigest())
                 cols["spans"].append(written(spans))
                 cols["n_added"].append(len(spans) - len(base))
+                cols["n_spans"].append(len(spans))
                 cols["masked"].append(None if text is None else mask(text, spans) if spans else text)
             for c, t in new:
                 b[c] = pd.Series(cols[c], index=b.index, dtype="int64" if t == "bigint" else object)
             yield b
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(frugal(run), schema)
 
 
 def op2_pii(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return find(d, fit(d)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")
+    return find(d, fit(d)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", "n_spans")
