@@ -34,7 +34,12 @@ def shingles(text: str | None) -> list[bytes]:
 def fingerprint(text: str | None) -> int:
     """Unsigned 64 bits: a bit is 1 if set in over half of the shingles' hashes."""
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(s, SEED) for s in shingles(text)], dtype=">u8")
+    return majority(np.array([digest(s, SEED) for s in shingles(text)], dtype=np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the unsigned 64-bit hashes; 0 without any."""
+    h = hashes.astype(">u8")
     if not len(h):
         return 0
     ones = np.zeros(64, dtype=np.int64)
