@@ -7,29 +7,27 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siteforge.storage import cut
 
-def components(nodes: DataFrame, edges: DataFrame, group: str, rounds: int = 30) -> DataFrame:
-    """(group, node, label): smallest node of each component inside a group; nodes (group, node), edges (group, a, b).
 
-    Groups are small (one plant's parcels), so the smallest label is passed along edges until nothing changes.
+def components(nodes: DataFrame, edges: DataFrame, group: str | None = None) -> DataFrame:
+    """(group, node, label): smallest node of each component; nodes (group, node), edges (group, a, b) in any orientation.
+
+    A round takes the smallest label among the neighbours and then that label's own label (pointer jumping), until nothing changes, so
+    the rounds follow the logarithm of the longest chain. Edges join nodes of one group only; without a group, of one graph. Nodes
+    without an edge are their own label.
     """
-    spark = nodes.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siteforge-ckpt-"))
-    both = edges.select(group, "a", "b").unionByName(edges.select(group, F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    label = nodes.select(group, "node", F.col("node").alias("label"))
-    if both.isEmpty():
-        return label
-    label = label.checkpoint()
-    for _ in range(rounds):
-        near = both.join(label, (both[group] == label[group]) & (both["b"] == label["node"])).groupBy(both[group], F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        new = label.join(near, [group, "node"], "left").select(group, "node", F.least("label", F.coalesce("near", "label")).alias("label"), F.coalesce(F.col("near") < F.col("label"), F.lit(False)).alias("moved")).checkpoint()
-        label = new.drop("moved")
-        if new.where("moved").isEmpty():
-            return label
-    raise RuntimeError("components did not settle")
+    by = [group] if group else []
+    both = cut(edges.select(*by, "a", "b").unionByName(edges.select(*by, F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = cut(both.select(*by, F.col("a").alias("node")).distinct().withColumn("label", F.col("node")))
+    while True:
+        near = both.join(label.withColumnRenamed("node", "b"), [*by, "b"]).groupBy(*by, F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        low = cut(label.join(near, [*by, "node"]).select(*by, "node", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("moved")))
+        if low.where("moved").isEmpty():
+            break
+        root = low.select(*by, F.col("node").alias("label"), F.col("label").alias("up"))
+        label = cut(low.join(root, [*by, "label"], "left").select(*by, "node", F.least("label", F.coalesce("up", "label")).alias("label")))
+    return nodes.join(low.drop("moved"), [*by, "node"], "left").select(*by, "node", F.coalesce("label", "node").alias("label"))
 
 
 def by_group(df: DataFrame, keys: list[str], solve, schema) -> DataFrame:
@@ -92,7 +90,7 @@ def keep_apart(df: DataFrame, group: list[str], metres: float) -> DataFrame:
 
 def grow_sites(df: DataFrame, gap: float, most: int = 4, least_score: float = 0.5) -> DataFrame:
     """Per plant: grow from the seed parcel; a parcel joins if its box is within gap metres of the current union and it holds a
-    detection, or has the seed's owner and a score of at least least_score or none. Parcels are tried in pool order until nothing
+    detection, or has the seed's non-empty owner and a score of at least least_score or none. Parcels are tried in pool order until nothing
     changes. df (plant, parcel, seed, owner, detected, score, x0, y0, x1, y1, pool) in metres -> (plant, parcel, step)."""
     def grow(rows: list[dict]) -> list:
         pool = sorted(rows, key=lambda r: (r["pool"], r["parcel"]))
@@ -104,7 +102,7 @@ def grow_sites(df: DataFrame, gap: float, most: int = 4, least_score: float = 0.
                 if len(site) >= most or any(r["parcel"] == s["parcel"] for s in site):
                     continue
                 near = any(math.hypot(max(s["x0"] - r["x1"], r["x0"] - s["x1"], 0), max(s["y0"] - r["y1"], r["y0"] - s["y1"], 0)) <= gap for s in site)
-                fits = r["detected"] or (r["owner"] == site[0]["owner"] and (pd.isna(r["score"]) or r["score"] >= least_score))
+                fits = r["detected"] or (bool(site[0]["owner"]) and r["owner"] == site[0]["owner"] and (pd.isna(r["score"]) or r["score"] >= least_score))
                 if near and fits:
                     site.append(r)
                     moved = True

@@ -1,6 +1,8 @@
 """Joins with contracts (unique right keys, fail-closed anti joins) and spatial joins by covering grid cells."""
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,16 +43,27 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, cell: float, exact: Col
     return (hit if exact is None else hit.where(exact)).drop("gx", "gy")
 
 
-def within_distance(left: DataFrame, right: DataFrame, metres: float, block: float = 0.0) -> DataFrame:
-    """Pairs (lat, lon | rlat, rlon) at most metres apart: the right side is copied to the 3 x 3 cells around its own.
+def within_distance(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
+    """Pairs (lat, lon | rlat, rlon) at most metres apart, anywhere on the globe.
 
-    Cells are `metres` wide in latitude and at least so in longitude up to 60 degrees.
+    Latitude bands are `metres` high. A band has as many cells around the globe as fit when each is as wide as `metres` can span in
+    longitude anywhere in it or its neighbours. The right side is copied to the bands above and below its own and there to the cells
+    beside its own, over the antimeridian too.
     """
     dlat = metres / 111000.0
-    dlon = dlat * 2
-    a = left.withColumns({"gy": F.floor(F.col("lat") / dlat), "gx": F.floor(F.col("lon") / dlon)})
-    near = right.withColumn("oy", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))).withColumn("ox", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)])))
-    b = near.withColumns({"gy": F.floor(F.col("rlat") / dlat) + F.col("oy"), "gx": F.floor(F.col("rlon") / dlon) + F.col("ox")}).drop("oy", "ox")
+    reach = math.sin(min(math.pi / 2, metres / (2 * geo.EARTH_M)))
+
+    def cells(band: Column) -> Column:
+        edge = F.least(F.lit(90.0), (F.greatest(F.abs(band), F.abs(band + 1)) + 1) * dlat)
+        width = 2 * F.degrees(F.asin(F.least(F.lit(1.0), F.lit(reach) / F.greatest(F.cos(F.radians(edge)), F.lit(1e-9))))) * 1.000001
+        return F.greatest(F.lit(1.0), F.floor(360 / width)).cast("bigint")
+
+    at = lambda lon, n: F.pmod(F.floor((lon + 180) / (360.0 / n)).cast("bigint"), n)
+    a = left.withColumn("gy", F.floor(F.col("lat") / dlat).cast("bigint")).withColumn("gx", at(F.col("lon"), cells(F.col("gy"))))
+    near = right.withColumn("gy", F.explode(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda i: F.floor(F.col("rlat") / dlat).cast("bigint") + i)))
+    near = near.withColumn("n_", cells(F.col("gy")))
+    beside = F.array_distinct(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda i: F.pmod(at(F.col("rlon"), F.col("n_")) + i, F.col("n_"))))
+    b = near.withColumn("gx", F.explode(beside)).drop("n_")
     d = geo.haversine_m(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon"))
     return a.join(b, ["gy", "gx"]).drop("gy", "gx").withColumn("dist_m", d).where(F.col("dist_m") <= metres)
 

@@ -19,10 +19,10 @@ def latest(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 
 
 def best_row(df: DataFrame, by: list[str], score: str, tie: str, descending: bool = True) -> DataFrame:
-    """(by, tie, score) with the best score; ties go to the smallest tie value. An aggregate, so hot keys combine early."""
-    s = F.col(score) if descending else -F.col(score)
-    best = df.groupBy(*by).agg(F.max(F.struct(s.alias("s"), (-F.col(tie)).alias("t"))).alias("m"))
-    return best.select(*by, (-F.col("m.t")).alias(tie), (F.col("m.s") if descending else -F.col("m.s")).alias(score))
+    """(by, tie, score) with the best numeric score; null scores come last, ties go to the smallest tie value of any type. An aggregate, so hot keys combine early."""
+    s = -F.col(score) if descending else F.col(score)
+    best = df.groupBy(*by).agg(F.min(F.struct(s.isNull().alias("none"), s.alias("s"), F.col(tie).alias("t"))).alias("m"))
+    return best.select(*by, F.col("m.t").alias(tie), (-F.col("m.s") if descending else F.col("m.s")).alias(score))
 
 
 def competition(df: DataFrame, place: str, plant: str, score: str) -> DataFrame:
