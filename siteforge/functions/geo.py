@@ -19,24 +19,46 @@ def equirectangular_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) ->
     return F.sqrt(dx * dx + F.pow((lat2 - lat1) * 111320, 2))
 
 
-def albers_xy(lat: Column, lon: Column) -> tuple[Column, Column]:
-    """Ellipsoidal Albers equal area (parallels 29.5 and 45.5, origin 23 N 96 W, GRS80), in metres."""
-    a, f = 6378137.0, 1 / 298.257222101
-    e2 = f * (2 - f)
+#: Half axis in metres and squared eccentricity of the GRS80 ellipsoid.
+GRS80 = (6378137.0, 0.00669438002290079)
+
+
+def _albers(ellipsoid: tuple[float, float]) -> tuple[float, ...]:
+    """(a, e, n, c, rho0) of the ellipsoidal Albers projection (parallels 29.5 and 45.5, origin 23 N 96 W)."""
+    a, e2 = ellipsoid
     e = math.sqrt(e2)
     q_of = lambda s: (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
     m_of = lambda p: math.cos(p) / math.sqrt(1 - e2 * math.sin(p) ** 2)
     p1, p2, p0 = (math.radians(x) for x in (29.5, 45.5, 23.0))
     n = (m_of(p1) ** 2 - m_of(p2) ** 2) / (q_of(math.sin(p2)) - q_of(math.sin(p1)))
     c = m_of(p1) ** 2 + n * q_of(math.sin(p1))
-    rho0 = a * math.sqrt(c - n * q_of(math.sin(p0))) / n
-    s = F.sin(F.radians(lat))
-    q = (1 - e2) * (s / (1 - e2 * s * s) - F.log((1 - e * s) / (1 + e * s)) / (2 * e))
-    rho = a * F.sqrt(c - n * q) / n
+    return a, e, n, c, a * math.sqrt(c - n * q_of(math.sin(p0))) / n
+
+
+def _albers_q(s: Column, e: float) -> Column:
+    return (1 - e * e) * (s / (1 - e * e * s * s) - F.log((1 - e * s) / (1 + e * s)) / (2 * e))
+
+
+def albers_xy(lat: Column, lon: Column, ellipsoid: tuple[float, float] = GRS80) -> tuple[Column, Column]:
+    """Metres east and north in the equal-area projection."""
+    a, e, n, c, rho0 = _albers(ellipsoid)
+    rho = a * F.sqrt(c - n * _albers_q(F.sin(F.radians(lat)), e)) / n
     theta = n * F.radians(lon + 96)
     return rho * F.sin(theta), rho0 - rho * F.cos(theta)
 
 
+def albers_latlon(x: Column, y: Column, ellipsoid: tuple[float, float] = GRS80) -> tuple[Column, Column]:
+    """The inverse of albers_xy: authalic latitude first, then three Newton steps."""
+    a, e, n, c, rho0 = _albers(ellipsoid)
+    rho, theta = F.sqrt(x * x + (rho0 - y) * (rho0 - y)), F.atan2(x, rho0 - y)
+    q = (c - F.pow(rho * n / a, 2)) / n
+    phi = F.asin(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), q / 2)))
+    for _ in range(3):
+        s = F.sin(phi)
+        phi = phi + F.pow(1 - e * e * s * s, 2) / (2 * F.cos(phi)) * ((q - _albers_q(s, e)) / (1 - e * e))
+    return F.degrees(phi), F.degrees(theta / n) - 96
+
+
 def hex_cell(x: Column, y: Column, size: float = 190.5) -> tuple[Column, Column]:
     """Axial hex cell (q, r) of a metric point, by cube rounding; neighbours' centres are size * sqrt(3) apart."""
     fq, fr = (0.5773502691896258 * x - y / 3) / size, (2 * y / 3) / size
@@ -79,3 +101,91 @@ def in_ring(ring: Column, x: Column, y: Column) -> Column:
     )
     cross = F.filter(edges, lambda e: ((e["a"]["y"] > y) != (e["b"]["y"] > y)) & (x < (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"]) + e["a"]["x"]))
     return on | (F.size(cross) % 2 == 1)
+
+
+def hex_center(q: Column, r: Column, size: float = 190.5) -> tuple[Column, Column]:
+    """Metric centre of an axial hex cell."""
+    return size * 1.7320508075688772 * (q + r / 2), size * 1.5 * r
+
+
+def pixel_lonlat(px: Column, py: Column, west: Column, south: Column, east: Column, north: Column, width: int, height: int) -> tuple[Column, Column]:
+    """Longitude and latitude of a pixel; rows count from the top, so y flips."""
+    return west + px / width * (east - west), north - py / height * (north - south)
+
+
+def remap_box(box: tuple[Column, ...], dx: Column, dy: Column, width: float, height: float, least: float = 2.0) -> Column:
+    """A box (x0, y0, x1, y1) seen from a tile whose corner is dx, dy away, clipped to it; null if a side is under `least` pixels."""
+    clip = lambda v, most: F.greatest(F.lit(0.0), F.least(F.lit(float(most)), v))
+    x0, y0, x1, y1 = clip(box[0] - dx, width), clip(box[1] - dy, height), clip(box[2] - dx, width), clip(box[3] - dy, height)
+    return F.when((x1 - x0 >= least) & (y1 - y0 >= least), F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1")))
+
+
+def _edges(ring: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.size(ring) - 2), lambda i: F.struct(F.get(ring, i).alias("a"), F.get(ring, i + 1).alias("b")))
+
+
+def _segment_distance(px: Column, py: Column, a: Column, b: Column) -> Column:
+    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+    length = dx * dx + dy * dy
+    t = F.when(length > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - a["x"]) * dx + (py - a["y"]) * dy) / length))).otherwise(0.0)
+    return F.sqrt(F.pow(px - a["x"] - t * dx, 2) + F.pow(py - a["y"] - t * dy, 2))
+
+
+def ring_distance(ring: Column, x: Column, y: Column) -> Column:
+    """Metres from a point to a closed ring's area (0 inside)."""
+    return F.when(in_ring(ring, x, y), 0.0).otherwise(F.array_min(F.transform(_edges(ring), lambda e: _segment_distance(x, y, e["a"], e["b"]))))
+
+
+def ring_gap(r: Column, s: Column) -> Column:
+    """Metres between the areas of two closed rings, 0 if they touch or overlap."""
+    side = lambda a, b, c: (b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"])
+
+    def crosses(e, f):
+        return (side(e["a"], e["b"], f["a"]) * side(e["a"], e["b"], f["b"]) < 0) & (side(f["a"], f["b"], e["a"]) * side(f["a"], f["b"], e["b"]) < 0)
+
+    to = lambda a, b: F.array_min(F.transform(a, lambda p: ring_distance(b, p["x"], p["y"])))
+    over = F.exists(_edges(r), lambda e: F.exists(_edges(s), lambda f: crosses(e, f)))
+    return F.when(over, 0.0).otherwise(F.least(to(r, s), to(s, r)))
+
+
+def centroid(ring: Column) -> Column:
+    """struct(x, y): the area's centre; the mean of the corners where the area is 0."""
+    start = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+
+    def add(acc, e):
+        k = e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]
+        return F.struct((acc["a"] + k).alias("a"), (acc["x"] + (e["a"]["x"] + e["b"]["x"]) * k).alias("x"), (acc["y"] + (e["a"]["y"] + e["b"]["y"]) * k).alias("y"))
+
+    s = F.aggregate(_edges(ring), start, add)
+    corners = F.slice(ring, 1, F.size(ring) - 1)
+    mean = lambda f: F.aggregate(corners, F.lit(0.0), lambda t, p: t + p[f]) / F.size(corners)
+    return F.struct(F.when(s["a"] != 0, s["x"] / (3 * s["a"])).otherwise(mean("x")).alias("x"), F.when(s["a"] != 0, s["y"] / (3 * s["a"])).otherwise(mean("y")).alias("y"))
+
+
+def surface_point(ring: Column) -> Column:
+    """struct(x, y): a point of the area: the middle of the widest chord at half the ring's height."""
+    ys = F.transform(ring, lambda p: p["y"])
+    h = (F.array_min(ys) + F.array_max(ys)) / 2
+    # a corner at that height would count twice: a hair above it instead
+    h = F.when(F.array_contains(ys, h), h + (F.array_max(ys) - F.array_min(ys)) * 1e-6).otherwise(h)
+    cut = F.filter(_edges(ring), lambda e: (e["a"]["y"] > h) != (e["b"]["y"] > h))
+    xs = F.array_sort(F.transform(cut, lambda e: e["a"]["x"] + (h - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"]) * (e["b"]["x"] - e["a"]["x"])))
+    chords = F.transform(F.sequence(F.lit(0), (F.size(xs) / 2 - 1).cast("int")), lambda i: F.struct((F.get(xs, 2 * i + 1) - F.get(xs, 2 * i)).alias("w"), ((F.get(xs, 2 * i) + F.get(xs, 2 * i + 1)) / 2).alias("x")))
+    return F.struct(F.array_max(chords)["x"].alias("x"), h.alias("y"))
+
+
+def simplify(ring: Column, metres: float) -> Column:
+    """A closed ring less the corners that lie within `metres` of the line between the last kept corner and the next one."""
+    start = F.slice(ring, 1, 1)
+    inner = F.sequence(F.lit(1), F.size(ring) - 2)
+
+    def keep(acc, i):
+        last, p, q = F.element_at(acc, -1), F.get(ring, i), F.get(ring, i + 1)
+        return F.when(_segment_distance(p["x"], p["y"], last, q) > metres, F.concat(acc, F.array(p))).otherwise(acc)
+
+    return F.concat(F.aggregate(inner, start, keep), F.slice(ring, -1, 1))
+
+
+def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    return F.array(p(x0, y0), p(x1, y0), p(x1, y1), p(x0, y1), p(x0, y0))
