@@ -144,15 +144,15 @@ def g6_site_assembly(spark, sf_dir):
 
 @query(
     "w25_medoid",
-    f"""WITH d AS (SELECT a.c_nationkey, a.c_custkey, sum({hav('a.lat', 'a.lon', 'b.lat', 'b.lon')}) AS t FROM {_PTS} a JOIN {_PTS} b ON a.c_nationkey = b.c_nationkey AND a.c_custkey % 10 = 0 AND b.c_custkey % 10 = 0 GROUP BY 1, 2)
-    SELECT c_nationkey, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY round(t), c_custkey) AS r FROM d) WHERE r = 1""",
+    f"""WITH p AS (SELECT *, c_custkey // 8 AS g FROM {_PTS}), d AS (SELECT a.g, a.c_custkey, sum({hav('a.lat', 'a.lon', 'b.lat', 'b.lon')}) AS t FROM p a JOIN p b ON a.g = b.g GROUP BY 1, 2)
+    SELECT g, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY round(t), c_custkey) AS r FROM d) WHERE r = 1""",
 )
 def w25_medoid(spark, sf_dir):
-    """Least total distance within the group of sources (every tenth point), ties to the smallest id."""
-    a = customers(spark, sf_dir).where("c_custkey % 10 = 0")
-    b = a.select("c_nationkey", F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
-    t = a.join(b, "c_nationkey").groupBy("c_nationkey", "c_custkey").agg(F.round(F.sum(geo.haversine_m(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon")))).alias("t"))
-    return ranking.best_row(t, ["c_nationkey"], "t", "c_custkey", descending=False).select("c_nationkey", "c_custkey")
+    """Least total distance within a group (a plant's few sources: eight neighbouring customers), ties to the smallest id."""
+    a = customers(spark, sf_dir).withColumn("g", F.floor(F.col("c_custkey") / 8))
+    b = a.select("g", F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
+    t = a.join(b, "g").groupBy("g", "c_custkey").agg(F.round(F.sum(geo.haversine_m(F.col("lat"), F.col("lon"), F.col("rlat"), F.col("rlon")))).alias("t"))
+    return ranking.best_row(t, ["g"], "t", "c_custkey", descending=False).select("g", "c_custkey")
 
 
 @query("k6_duplicate_diagnosis", "SELECT l_orderkey, l_linenumber, count(*) AS n, count(DISTINCT l_partkey) > 1 AS part_differs, count(DISTINCT l_returnflag) > 1 AS flag_differs FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
@@ -234,12 +234,12 @@ def c22_top_up(spark, sf_dir):
 
 @query("f22_name_match")
 def f22_name_match(spark, sf_dir):
-    """Rarity-weighted name match of parts' names against benchmark of brands' types, through shared tokens."""
-    p = table(spark, sf_dir, "part")
-    a = p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
-    b = p.groupBy("p_brand").agg(F.min("p_name").alias("name")).select(F.col("p_brand").alias("id"), "name")
-    m = names.match(a, b)
-    return m.select("id", "other", F.round("score", 6).alias("score"))
+    """Rarity-weighted match of each candidate's owner with its plant's name: Indel ratios and acronyms (no SQL: longest common subsequences)."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.concat("p_name", F.when(F.col("p_partkey") % 5 == 0, " WWTP").otherwise(" Plant")).alias("name"), "p_type")
+    idf, default = names.idf_table(p)
+    owner = F.when(F.col("k") % 4 == 0, F.regexp_replace("name", "^(.)", "x")).when(F.col("k") % 4 == 1, F.concat(F.substring("name", 1, 5), F.lit(" & Co"))).when(F.col("k") % 4 == 2, F.col("p_type"))
+    d = names.name_scores(p.withColumn("owner", owner), "name", "owner", idf, default)
+    return d.select("k", F.round("name_match_score", 6).alias("score"), F.col("name_match_available").alias("available"))
 
 
 @query("x2_forest")

@@ -171,10 +171,10 @@ def w19_round_robin(spark, sf_dir):
     return o.select("o_orderkey", "turn", F.row_number().over(W.partitionBy("turn").orderBy("o_orderpriority")).alias("place"))
 
 
-@query("w20_null_order", "SELECT o_orderkey, o_clerk FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS o_clerk FROM orders) ORDER BY o_clerk ASC NULLS FIRST, o_orderkey DESC LIMIT 500")
+@query("w20_null_order", "SELECT o_orderkey, o_clerk FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS o_clerk FROM orders) ORDER BY o_clerk ASC NULLS FIRST, o_orderkey DESC")
 def w20_null_order(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice")).alias("o_clerk"))
-    return o.orderBy(F.asc_nulls_first("o_clerk"), F.desc("o_orderkey")).limit(500)
+    return o.orderBy(F.asc_nulls_first("o_clerk"), F.desc("o_orderkey"))
 
 
 @query("w21_predicate_first", "SELECT conv_id, turn FROM conversations ORDER BY (role = 'assistant') DESC, conv_id, turn LIMIT 1")

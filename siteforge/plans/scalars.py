@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siteforge.functions import geo, text
+from siteforge.operators import vectors
 from siteforge.plans.points import LAT, LON, lat, lon
 from siteforge.plans.registry import query
 from siteforge.sources.tables import table
@@ -112,25 +113,33 @@ def p28_bbox_limit(spark, sf_dir):
     return table(spark, sf_dir, "customer").where(lat(k).between(33, 36) & lon(k).between(-105, -95)).select("c_custkey").orderBy("c_custkey").limit(40)
 
 
-@query("p29_violations", "SELECT o_orderkey FROM orders WHERE (o_orderstatus = 'F') = (o_totalprice < 50000)")
-def p29_violations(spark, sf_dir):
-    return table(spark, sf_dir, "orders").where((F.col("o_orderstatus") == "F") == (F.col("o_totalprice") < 50000)).select("o_orderkey")
+@query("f1_squeeze", "SELECT doc_id, md5(trim(regexp_replace(lower(text), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))) AS h FROM documents")
+def f1_squeeze(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.squeeze(F.col("text"))).alias("h"))
 
 
-@query("f1_squeeze", "SELECT doc_id, md5(trim(regexp_replace(lower(text), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))) AS h FROM documents WHERE lang = 'en'")
-def f1_squeeze(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.md5(text.squeeze(F.col("text"))).alias("h"))
+_GEO = text.GEO_REMOVED.replace("'", "''")
 
 
-@query("f2_removals", "SELECT p_partkey, trim(regexp_replace(lower(p_name), '(red|blue|ed)', '', 'g')) AS v FROM part")
+@query("f2_removals", f"SELECT s_suppkey, regexp_replace(trim(regexp_replace(lower(v), '{_GEO}', '', 'g')), ' +', ' ', 'g') AS v FROM (SELECT s_suppkey, n_name || CASE s_suppkey % 4 WHEN 0 THEN ' City CDP' WHEN 1 THEN ' Township' WHEN 2 THEN ' St. Parish' ELSE '' END AS v FROM supplier JOIN nation ON n_nationkey = s_nationkey)")
 def f2_removals(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_partkey", F.trim(F.regexp_replace(F.lower("p_name"), "(red|blue|ed)", "")).alias("v"))
+    d = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    m = F.col("s_suppkey") % 4
+    v = F.concat("n_name", F.when(m == 0, " City CDP").when(m == 1, " Township").when(m == 2, " St. Parish").otherwise(""))
+    return d.select("s_suppkey", text.clean_place(v).alias("v"))
+
+
+_OWN = "CASE c_custkey % 9 WHEN 0 THEN 'City of ' WHEN 1 THEN 'Water  Works ' WHEN 2 THEN 'Smith ETUX ' WHEN 3 THEN 'Power Grid ' WHEN 4 THEN 'Green Homes LLC ' WHEN 5 THEN 'John' ELSE '' END || CASE c_custkey % 9 WHEN 5 THEN ' doe' ELSE lower(c_mktsegment) END"
+
 
+_EDGE = r"\b"
 
-@query("f3_keyword_flags", "SELECT doc_id, regexp_matches(lower(text), '\\b(the|and)\\b') AS en, regexp_matches(lower(text), '\\b(der|und)\\b') AS de FROM documents")
+
+@query("f3_keyword_flags", f"SELECT c_custkey, {', '.join(f"regexp_matches(o, '{_EDGE}({v}){_EDGE}')" + (" OR regexp_full_match(o, '[a-z]+ [a-z]+')" if k == 'owner_is_person' else '') + f' AS {k}' for k, v in text.OWNER_FLAGS.items())} FROM (SELECT c_custkey, trim(regexp_replace(lower({_OWN}), ' +', ' ', 'g')) AS o FROM customer)")
 def f3_keyword_flags(spark, sf_dir):
-    t = F.lower("text")
-    return table(spark, sf_dir, "documents").select("doc_id", t.rlike(r"\b(the|and)\b").alias("en"), t.rlike(r"\b(der|und)\b").alias("de"))
+    m = F.col("c_custkey") % 9
+    o = F.concat(F.when(m == 0, "City of ").when(m == 1, "Water  Works ").when(m == 2, "Smith ETUX ").when(m == 3, "Power Grid ").when(m == 4, "Green Homes LLC ").when(m == 5, "John").otherwise(""), F.when(m == 5, " doe").otherwise(F.lower("c_mktsegment")))
+    return table(spark, sf_dir, "customer").select("c_custkey", *[c.alias(k) for k, c in text.owner_flags(o).items()])
 
 
 @query("f4_person", "SELECT p_partkey, regexp_full_match(lower(p_name), '[a-z]+ [a-z]+') AS person FROM part")
@@ -152,9 +161,12 @@ def f7_norm_name(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", text.norm_name(F.col("p_brand")).alias("v"))
 
 
+_STOP = ", ".join(f"'{w}'" for w in [*text.STOPWORDS, ""])
+
+
 @query(
     "f9_initials",
-    "SELECT p_partkey, array_to_string(list_transform(list_filter(string_split(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: NOT regexp_matches(x, '^[0-9]') AND x NOT IN ('of', 'the', 'and', '')), lambda x: x[1]), '') AS ini FROM part",
+    f"SELECT p_partkey, array_to_string(list_transform(list_filter(string_split(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: NOT regexp_matches(x, '^[0-9]+$') AND x NOT IN ({_STOP})), lambda x: x[1]), '') AS ini FROM part",
 )
 def f9_initials(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", text.initials(F.col("p_name")).alias("ini"))
@@ -165,23 +177,170 @@ def f12_norm_owner(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", text.norm_owner(F.col("c_name")).alias("v"))
 
 
-@query("f13_placeholder", "SELECT o_orderkey, CASE WHEN upper(trim(v)) IN ('NULL','N/A','NA','NONE','TBD','UNKNOWN','-') THEN '' ELSE trim(v) END AS v FROM (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN ' n/a ' WHEN 1 THEN 'tbd' WHEN 2 THEN '' ELSE o_orderpriority END AS v FROM orders)")
+_PLACE = ", ".join(f"'{w}'" for w in text.PLACEHOLDERS)
+_RAW = "CASE o_orderkey % 9 WHEN 0 THEN ' n/a ' WHEN 1 THEN 'tbd' WHEN 2 THEN '' WHEN 3 THEN 'unk' WHEN 4 THEN '0' WHEN 5 THEN '?' WHEN 6 THEN '.' ELSE o_orderpriority END"
+
+
+@query("f13_placeholder", f"SELECT o_orderkey, CASE WHEN upper(trim(v)) IN ({_PLACE}) THEN '' ELSE trim(v) END AS v FROM (SELECT o_orderkey, {_RAW} AS v FROM orders)")
 def f13_placeholder(spark, sf_dir):
-    m = F.col("o_orderkey") % 5
-    v = F.when(m == 0, " n/a ").when(m == 1, "tbd").when(m == 2, "").otherwise(F.col("o_orderpriority"))
+    m = F.col("o_orderkey") % 9
+    v = F.when(m == 0, " n/a ").when(m == 1, "tbd").when(m == 2, "").when(m == 3, "unk").when(m == 4, "0").when(m == 5, "?").when(m == 6, ".").otherwise(F.col("o_orderpriority"))
     return table(spark, sf_dir, "orders").select("o_orderkey", text.clean_placeholder(v).alias("v"))
 
 
+_LINES = ["PO Box 12", "{k} Main St", "Box 7", "First and Oak", "", "In the Long County", "Sec 4 T12N", "2 miles north of town", "Old Mill Road", "Unit 4 Post Office Box 9"]
+_LINE = "CASE o_orderkey % 10 " + " ".join(f"WHEN {i} THEN " + ("o_orderkey || ' Main St'" if "{k}" in x else f"'{x}'") for i, x in enumerate(_LINES)) + " END"
+
+
+def _class_sql(u: str) -> str:
+    rules = [("po_box", text.PO_BOX), ("county_only", text.COUNTY_ONLY), ("plss", text.SECTION), ("descriptive", text.DESCRIPTIVE), ("intersection", text.INTERSECTION), ("street_number", text.STREET_NUMBER)]
+    return f"CASE WHEN {u} = '' THEN 'missing' " + " ".join("WHEN regexp_matches({u}, '{p}') THEN '{n}'".format(u=u, p=p.replace("'", "''"), n=n) for n, p in rules) + " ELSE 'road_no_number' END"
+
+
+def _line(key, shift=0):
+    out = F.lit(None)
+    for i, x in enumerate(_LINES):
+        out = F.when((key + shift) % 10 == i, F.concat(key.cast("string"), F.lit(" Main St")) if "{k}" in x else F.lit(x)).otherwise(out)
+    return out
+
+
+@query("f14_address_class", f"SELECT o_orderkey, {_class_sql('u')} AS cls FROM (SELECT o_orderkey, upper({_LINE}) AS u FROM orders)")
+def f14_address_class(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.address_class(_line(F.col("o_orderkey"))).alias("cls"))
+
+
+_LINE2 = _LINE.replace("o_orderkey % 10", "(o_orderkey + o_custkey) % 10")
+_RANK = "coalesce(nullif(list_position(['street_number', 'intersection', 'road_no_number', 'descriptive', 'plss'], {c}), 0), 99)"
+
+
 @query(
-    "f14_address_class",
-    """SELECT o_orderkey, CASE WHEN u = '' THEN 'empty' WHEN regexp_matches(u, '^P\\.? ?O\\.? ?BOX') THEN 'po_box' WHEN regexp_matches(u, '^(RR|RURAL ROUTE) ?[0-9]') THEN 'rural_route' WHEN regexp_matches(u, '^[0-9]+ .*(ST|AVE|RD|DR|LN|BLVD|HWY)\\b') THEN 'street'
-    WHEN regexp_matches(u, '^[0-9]+ ') THEN 'numbered' WHEN regexp_matches(u, '(&| AND | AT )') THEN 'intersection' WHEN regexp_matches(u, '[0-9]') THEN 'other_number' ELSE 'text' END AS cls
-    FROM (SELECT o_orderkey, upper(trim(CASE o_orderkey % 7 WHEN 0 THEN 'PO Box 12' WHEN 1 THEN o_orderkey || ' Main St' WHEN 2 THEN 'RR 2' WHEN 3 THEN 'First and Oak' WHEN 4 THEN '' WHEN 5 THEN o_orderkey || ' Nowhere' ELSE 'City Hall' END)) AS u FROM orders)""",
+    "f15_pick_street",
+    f"""WITH l AS (SELECT o_orderkey, {_LINE} AS a, {_LINE2} AS b FROM orders), c AS (SELECT *, {_class_sql('upper(a)')} AS ca, {_class_sql('upper(b)')} AS cb FROM l),
+    r AS (SELECT *, {_RANK.format(c='ca')} AS ra, {_RANK.format(c='cb')} AS rb, upper(a) = upper(b) AS same FROM c), p AS (SELECT *, ra <= CASE WHEN same THEN 99 ELSE rb END AND ra < 99 AS one, NOT same AND rb < ra AND rb < 99 AS two FROM r)
+    SELECT o_orderkey, CASE WHEN one THEN a WHEN two THEN b ELSE '' END AS street, CASE WHEN one AND NOT same AND rb < 99 THEN b WHEN two AND ra < 99 THEN a ELSE '' END AS other, CASE WHEN ca = 'po_box' THEN a WHEN cb = 'po_box' THEN b ELSE '' END AS po_box FROM p""",
 )
-def f14_address_class(spark, sf_dir):
-    m, k = F.col("o_orderkey") % 7, F.col("o_orderkey").cast("string")
-    a = F.when(m == 0, "PO Box 12").when(m == 1, F.concat(k, F.lit(" Main St"))).when(m == 2, "RR 2").when(m == 3, "First and Oak").when(m == 4, "").when(m == 5, F.concat(k, F.lit(" Nowhere"))).otherwise("City Hall")
-    return table(spark, sf_dir, "orders").select("o_orderkey", text.address_class(a).alias("cls"))
+def f15_pick_street(spark, sf_dir):
+    k = F.col("o_orderkey")
+    second = F.lit(None)
+    for i, x in enumerate(_LINES):
+        second = F.when((k + F.col("o_custkey")) % 10 == i, F.concat(k.cast("string"), F.lit(" Main St")) if "{k}" in x else F.lit(x)).otherwise(second)
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.pick_street(_line(k), second).alias("p")).select("o_orderkey", "p.*")
+
+
+@query(
+    "f17_address_flags",
+    f"""SELECT c_custkey, CASE WHEN city = '' AND zip = '' THEN 'none' WHEN cls = 'street_number' THEN 'address' WHEN cls IN ('road_no_number', 'intersection') THEN 'street' ELSE 'locality' END AS prec, regexp_matches(upper(a), '{text.CIVIC}') AS civic, upper(a) || '|' || upper(city) || '|' || zip AS k
+    FROM (SELECT *, {_class_sql('upper(a)')} AS cls FROM (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN c_custkey || ' Elm St' WHEN 1 THEN 'City Hall' WHEN 2 THEN 'Elm and Oak' WHEN 3 THEN 'near the dam' ELSE '' END AS a, CASE c_custkey % 3 WHEN 0 THEN '' ELSE c_mktsegment END AS city, CASE c_custkey % 2 WHEN 0 THEN '' ELSE '12345' END AS zip FROM customer))""",
+)
+def f17_address_flags(spark, sf_dir):
+    k = F.col("c_custkey")
+    a = F.when(k % 5 == 0, F.concat(k.cast("string"), F.lit(" Elm St"))).when(k % 5 == 1, "City Hall").when(k % 5 == 2, "Elm and Oak").when(k % 5 == 3, "near the dam").otherwise("")
+    city, zip_ = F.when(k % 3 == 0, "").otherwise(F.col("c_mktsegment")), F.when(k % 2 == 0, "").otherwise("12345")
+    return table(spark, sf_dir, "customer").select("c_custkey", text.expected_precision(text.address_class(a), city, zip_).alias("prec"), text.civic(a).alias("civic"), text.address_key(a, city, zip_).alias("k"))
+
+
+@query("f6_geo_terms", "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE contains(lower(s_name || ' of ' || n_name), lower(CASE s_suppkey % 3 WHEN 1 THEN n_name ELSE 'Atlantis (north)' END)) END AS hit FROM supplier JOIN nation ON n_nationkey = s_nationkey")
+def f6_geo_terms(spark, sf_dir):
+    """Each row's own literal term: null where it has none."""
+    d = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    term = F.when(F.col("s_suppkey") % 3 == 1, F.col("n_name")).when(F.col("s_suppkey") % 3 == 2, "Atlantis (north)")
+    return d.select("s_suppkey", text.mentions(F.concat_ws(" of ", "s_name", "n_name"), term).alias("hit"))
+
+
+@query("f10_raw_tokens", "SELECT p_partkey, array_to_string(list_filter(regexp_split_to_array(replace(lower(p_type || ' & ' || p_brand), '&', ''), '[^a-z0-9]+'), lambda x: x <> ''), ',') AS t FROM part")
+def f10_raw_tokens(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(text.raw_tokens(F.concat_ws(" & ", "p_type", "p_brand")), ",").alias("t"))
+
+
+@query(
+    "f11_acronyms",
+    "SELECT a, b, regexp_full_match(a, '[a-z]{3,7}') AND length(b) >= 3 AND (CASE WHEN length(a) <= length(b) THEN starts_with(b, a) OR ends_with(b, a) ELSE starts_with(a, b) OR ends_with(a, b) END) AS hit FROM (SELECT DISTINCT lower(p_type) AS a FROM part), (SELECT unnest(['sma', 'lar', 'ard', 'eco', 'ab', 'promotional', 'standardx']) AS b)",
+)
+def f11_acronyms(spark, sf_dir):
+    a = table(spark, sf_dir, "part").select(F.lower("p_type").alias("a")).distinct()
+    b = F.explode(F.array(*[F.lit(x) for x in ("sma", "lar", "ard", "eco", "ab", "promotional", "standardx")])).alias("b")
+    return a.select("a", b).select("a", "b", text.acronym_hit(F.col("a"), F.col("b")).alias("hit"))
+
+
+@query(
+    "f8_distinctive",
+    f"SELECT p_partkey, array_to_string(list_filter(t, lambda x, i: list_position(t, x) = i), ' ') AS d FROM (SELECT p_partkey, list_filter(string_split(trim(regexp_replace(lower(p_name || ' of the Old ' || p_name || ' 12 plant'), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: length(x) >= 2 AND NOT regexp_matches(x, '^[0-9]+$') AND x NOT IN ({', '.join(repr(w) for w in text.GENERIC)})) AS t FROM part)",
+)
+def f8_distinctive(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(text.distinctive(F.concat(F.col("p_name"), F.lit(" of the Old "), F.col("p_name"), F.lit(" 12 plant"))), " ").alias("d"))
+
+
+@query(
+    "f19_tile_names",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN lpad(o_orderkey::VARCHAR, 11, '0') || CASE WHEN o_orderkey % 3 = 1 THEN '_500m' ELSE '_r01_c02' END END AS stem, CASE WHEN o_orderkey % 3 < 2 THEN lpad(o_orderkey::VARCHAR, 11, '0') END AS site FROM orders",
+)
+def f19_tile_names(spark, sf_dir):
+    k = F.col("o_orderkey")
+    plant = F.lpad(k.cast("string"), 11, "0")
+    name = F.when(k % 3 == 0, F.concat(F.lit("0a1b2c3d-"), plant, F.lit("_r01_c02_rgb.txt"))).when(k % 3 == 1, F.concat(plant, F.lit("_500m_rgb.txt"))).otherwise(F.concat(F.lit("x"), plant, F.lit(".txt")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.tile_name(name).alias("t")).select("o_orderkey", "t.stem", "t.site")
+
+
+@query("f28_pixels", "SELECT l_orderkey, l_linenumber, l_partkey, round(-100 + l_quantity / 640.0 * 0.5, 9) AS lon, round(41 - l_linenumber / 480.0 * 0.25, 9) AS lat FROM lineitem")
+def f28_pixels(spark, sf_dir):
+    x, y = geo.pixel_lonlat(F.col("l_quantity"), F.col("l_linenumber"), F.lit(-100.0), F.lit(40.75), F.lit(-99.5), F.lit(41.0), 640, 480)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(x, 9).alias("lon"), F.round(y, 9).alias("lat"))
+
+
+_CLIP = "greatest(0.0, least(640.0, {v}))"
+
+
+@query("f29_box_remap", f"SELECT p_partkey, x0, y0, x1, y1 FROM (SELECT p_partkey, {_CLIP.format(v='p_partkey % 900 - 150.0')} AS x0, {_CLIP.format(v='p_partkey % 700 - 100.0')} AS y0, {_CLIP.format(v='p_partkey % 900 + p_size - 150.0')} AS x1, {_CLIP.format(v='p_partkey % 700 + p_size - 100.0')} AS y1 FROM part) WHERE x1 - x0 >= 2 AND y1 - y0 >= 2")
+def f29_box_remap(spark, sf_dir):
+    x, y = (F.col("p_partkey") % 900).cast("double"), (F.col("p_partkey") % 700).cast("double")
+    box = geo.remap_box((x, y, x + F.col("p_size"), y + F.col("p_size")), F.lit(150.0), F.lit(100.0), 640, 640)
+    return table(spark, sf_dir, "part").select("p_partkey", box.alias("b")).where("b is not null").select("p_partkey", "b.*")
+
+
+@query("f30_box_iou", "SELECT p_partkey, round(CASE WHEN w > 0 AND h > 0 THEN w * h / (p_size * 10.0 + 400 - w * h) ELSE 0 END, 9) AS iou FROM (SELECT p_partkey, p_size, least(p_partkey % 30 + p_size, 20.0) - greatest(p_partkey % 30, 0.0) AS w, least(15.0, 20.0) - greatest(5.0, 0.0) AS h FROM part)")
+def f30_box_iou(spark, sf_dir):
+    x = (F.col("p_partkey") % 30).cast("double")
+    iou = geo.box_iou((x, F.lit(5.0), x + F.col("p_size"), F.lit(15.0)), (F.lit(0.0), F.lit(0.0), F.lit(20.0), F.lit(20.0)))
+    return table(spark, sf_dir, "part").select("p_partkey", F.round(iou, 9).alias("iou"))
+
+
+@query("f33_manifest_checksum", "SELECT o_custkey, sha256(string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey::VARCHAR)) AS sum FROM orders GROUP BY 1")
+def f33_manifest_checksum(spark, sf_dir):
+    """SHA-256 of a manifest's sorted ids (one customer's orders)."""
+    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.col("o_orderkey").cast("string"))), ","), 256).alias("sum"))
+
+
+@query("f34_dhash", "SELECT vec_id, array_to_string(list_transform(list_filter(range(0, 63), lambda i: (i + 1) % 9 <> 0), lambda i: CASE WHEN embedding[i + 2] > embedding[i + 1] THEN '1' ELSE '0' END), '') AS h FROM embeddings")
+def f34_dhash(spark, sf_dir):
+    """Difference hash of the first 64 values as a grid 9 wide."""
+    return table(spark, sf_dir, "embeddings").select("vec_id", text.dhash(F.slice("embedding", 1, 64), 9).alias("h"))
+
+
+@query("f35_label_signature", "SELECT l_orderkey, string_agg(v, ';' ORDER BY v) AS sig FROM (SELECT l_orderkey, l_linenumber || ' ' || printf('%.4f', round(l_discount / 3, 4)) || ' ' || printf('%.4f', round(l_tax / 7, 4)) AS v FROM lineitem) GROUP BY 1")
+def f35_label_signature(spark, sf_dir):
+    """Boxes rounded to four places and sorted: one text whatever their order."""
+    box = F.format_string("%d %.4f %.4f", F.col("l_linenumber"), F.round(F.col("l_discount") / 3, 4), F.round(F.col("l_tax") / 7, 4))
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(text.signature(F.collect_list(box)).alias("sig"))
+
+
+@query("f39_log_ends", "SELECT doc_id, md5(CASE WHEN length(t) <= 300 THEN t ELSE substr(t, 1, 200) || chr(10) || '...' || chr(10) || right(t, 100) END) AS h FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
+def f39_log_ends(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.keep_ends(F.col("text"), 200, 100)).alias("h"))
+
+
+_NAMES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in text.SOURCE_NAMES.items())
+
+
+@query(
+    "f41_source_category",
+    f"""WITH s AS (SELECT l_orderkey, list_sort(list_distinct(list(['cwns_point', 'cwns_addr', 'icis_fac_frs', 'icis_fac_addr', 'icis_feat_INF', 'icis_feat_INO'][1 + l_linenumber % 6]))) AS s FROM lineitem GROUP BY 1),
+    c AS (SELECT l_orderkey, s, list_distinct(list_transform(s, lambda x: CASE x {_NAMES} END)) AS c FROM s)
+    SELECT l_orderkey, CASE WHEN s = ['cwns_addr', 'icis_fac_addr'] THEN 'Both address geocodes (same point)' WHEN len(c) = 1 THEN c[1] ELSE 'Tie: several sources' END AS cat FROM c""",
+)
+def f41_source_category(spark, sf_dir):
+    names = F.array(*[F.lit(x) for x in text.SOURCE_NAMES])
+    d = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set(F.get(names, F.col("l_linenumber") % 6))), "+").alias("s"))
+    return d.select("l_orderkey", text.source_category(F.col("s")).alias("cat"))
 
 
 @query("f16_zip5", "SELECT c_custkey, CASE WHEN len(d) >= 5 THEN substr(d, 1, 5) ELSE '' END AS zip FROM (SELECT c_custkey, regexp_replace(c_name, '[^0-9]', '', 'g') AS d FROM customer)")
@@ -207,11 +366,14 @@ def f24_equirectangular(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", F.round(geo.equirectangular_m(F.lit(39.0), F.lit(-98.0), lat(k), lon(k)) / 1000, 3).alias("km"))
 
 
-@query("f25_albers")
+@query("f25_albers", f"SELECT c_custkey, round({LAT.format(k='c_custkey')}, 7) AS lat, round({LON.format(k='c_custkey')}, 7) AS lon, true AS same FROM customer")
 def f25_albers(spark, sf_dir):
+    """Forward and inverse: the way there and back gives the point again (the forward one is held against published values in a test)."""
     k = F.col("c_custkey")
     x, y = geo.albers_xy(lat(k), lon(k))
-    return table(spark, sf_dir, "customer").select("c_custkey", F.round(x, 2).alias("x"), F.round(y, 2).alias("y"))
+    d = table(spark, sf_dir, "customer").select("c_custkey", x.alias("x"), y.alias("y"), lat(k).alias("la"), lon(k).alias("lo"))
+    la, lo = geo.albers_latlon(F.col("x"), F.col("y"))
+    return d.select("c_custkey", F.round(la, 7).alias("lat"), F.round(lo, 7).alias("lon"), ((F.abs(la - F.col("la")) < 1e-9) & (F.abs(lo - F.col("lo")) < 1e-9)).alias("same"))
 
 
 @query("f27_rings", "SELECT o_orderkey, floor(o_totalprice / 330)::BIGINT AS ring, o_totalprice <= 1000 AS within_1km, o_totalprice <= 5000 AS within_5km FROM orders")
@@ -284,10 +446,21 @@ def f20_indel_ratio(spark, sf_dir):
     "WITH q AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 20 = 0) SELECT a.vec_id AS q, b.vec_id AS v, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS sim FROM q a JOIN embeddings b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) > 0.3",
 )
 def f21_cosine(spark, sf_dir):
-    """Cosine of a stated query set (every 20th vector) against all vectors."""
-    d = lambda c: F.transform(c, lambda x: x.cast("double"))
-    e = table(spark, sf_dir, "embeddings").select("vec_id", d(F.col("embedding")).alias("e"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    e = e.withColumn("norm", F.sqrt(dot(F.col("e"), F.col("e"))))
-    q = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("q"), F.col("e").alias("qe"), F.col("norm").alias("qn"))
-    return q.join(e, F.col("q") != F.col("vec_id")).withColumn("s", dot(F.col("e"), F.col("qe")) / (F.col("norm") * F.col("qn"))).where("s > 0.3").select("q", F.col("vec_id").alias("v"), F.round("s", 6).alias("sim"))
+    """Cosine of a stated query set (every 20th vector) against all vectors, block by block."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vectors.similar(e.where("vec_id % 20 = 0"), e, "vec_id", "embedding", 0.3).select("q", "v", F.round("sim", 6).alias("sim"))
+
+
+_GRAMS = "list_distinct(flatten(list_transform([3, 4, 5], lambda n: list_transform(range(0, greatest(0, length(v) - n + 1)), lambda i: substr(v, i + 1, n)))))"
+
+
+@query(
+    "f21_char_ngrams",
+    f"""WITH n AS (SELECT p_brand AS k, min(lower(p_name)) AS v FROM part GROUP BY 1), g AS (SELECT k, unnest({_GRAMS}) AS g FROM n), t AS (SELECT count(*) AS n FROM n), w AS (SELECT g, ln((1.0 + max(t.n)) / (1 + count(*))) + 1 AS w FROM g, t GROUP BY 1),
+    z AS (SELECT k, sqrt(sum(w * w)) AS z FROM g JOIN w USING (g) GROUP BY 1), d AS (SELECT a.k AS a, b.k AS b, sum(w * w) AS d FROM g a JOIN g b USING (g) JOIN w USING (g) WHERE a.k < b.k GROUP BY 1, 2)
+    SELECT a, b, round(d / x.z / y.z, 6) AS sim FROM d JOIN z x ON x.k = a JOIN z y ON y.k = b""",
+)
+def f21_char_ngrams(spark, sf_dir):
+    """TF-IDF cosine of names' distinct character 3- to 5-grams, through an inverted index."""
+    n = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("k")).agg(F.min(F.lower("p_name")).alias("v"))
+    return vectors.ngram_cosine(n, "k", "v").select("a", "b", F.round("sim", 6).alias("sim"))
