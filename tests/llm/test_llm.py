@@ -54,6 +54,26 @@ def test_sharding_sizes_slots_and_determinism(spark, empty):
     assert sharding.shard(empty, 16).count() == 0
 
 
+def test_sharding_query_against_plain_python(spark, docs, tmp_path):
+    """Sizes and checksums row by row with nulls and repeated rows, the law, and the same result again."""
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    runs = [sharding.op1_sharding(spark, str(tmp_path)).collect() for _ in range(2)]
+    want = Counter((r[0], len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode())) for r in ROWS)
+    for got in runs:
+        assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == want and all(r.law == "rows" and r.grown_shard is None for r in got)
+        n = Counter(r.shard for r in got)
+        assert max(n.values()) <= 1 + min(n.get(k, 0) for k in range(16))
+    assert Counter(runs[0]) == Counter(runs[1])
+
+
+def test_sharding_is_uniform(spark):
+    """Over many seeds each row falls into each shard alike, wherever it comes from (chi-square of 4 shards, 200 rows, 24 seeds)."""
+    df = spark.range(200).repartition(3)
+    hits = Counter((r.id, r.shard) for seed in range(24) for r in sharding.shard(df, 4, seed).collect())
+    chi = sum((hits[i, k] - 6) ** 2 / 6 for i in range(200) for k in range(4))
+    assert 450 < chi < 750  # 600 degrees of freedom, standard deviation 35
+
+
 def test_hypergeometric_draws_follow_the_law(spark):
     x = F.expr(sharding.hypergeometric_sql("40L", "25L", "100L", "u"))
     draws = [r.x for r in spark.range(4000).select(((F.col("id") + 0.5) / 4000).alias("u")).select(x.alias("x")).collect()]
@@ -293,6 +313,20 @@ def test_skip_edges_spread_a_label():
     assert p[1, 1] == pytest.approx(exact[1] / sum(exact), abs=1e-4)
 
 
+def test_field_adds_other_spellings():
+    model = pii.train([f"call +49 30 {i}2345678 now; again 4930{i}2345678 later, or 030 {i}2345678" for i in range(1, 9)] + ["invoice 12 of 2024 and 3 more, page 17"] * 8)
+    texts = {
+        "+49 170 1234567 is mine, write 491701234567 or 0170 1234567": 3,  # the compact spelling of the observed number, a spaced one is near
+        "jo+list@example.org or jo@mail.example.net and JO@EXAMPLE.ORG": 3,
+        "invoice 12 of 2024 and 3 more": 0,
+    }
+    for text, least in texts.items():
+        base, spans = pii.all_spans(text, model)
+        assert set(base) <= set(spans) and (len(spans) >= min(least, 2)) and (least or not spans), (text, spans)
+    nodes, _, skip = pii.graph("+49 170 1234567 then 01701234567 then 0170 123 45 67", pii.base_spans("+49 170 1234567 then 01701234567 then 0170 123 45 67"))
+    assert len(nodes) == 3 and (0, 1) in skip and (1, 2) in skip  # spaced and compact numbers meet
+
+
 def test_urls_rules_and_rank(spark):
     rows = [
         (1, "http://Example.net/en/x?q#f", None), (2, "https://a.example.net", ""), (3, None, None), (4, "no scheme", None), (5, "http://b.net/x", None), (6, "http://s.example.com/de/", None), (7, "http://q.org/fr/1", '<a href="http://good.site/">'),
@@ -309,14 +343,46 @@ def test_urls_rules_and_rank(spark):
     assert all((r.verdict == "block") == (r.rule in ("net/", "example.com/de/")) for r in urls.judge(alone).collect())  # no links: the rules only
 
 
-def test_pipeline_stages_compose(spark):
-    out = corpus_pipeline.run(spark, SF)
-    rows = out.collect()
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    kept = {r.doc_id for r in rows}
-    comp = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs.select("doc_id", "text")).collect()}
-    bad = {r.doc_id for r in contamination.contaminated(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
-    assert kept == {d for d, c in comp.items() if d == c} - bad and all(r.round_trip for r in rows)
+def test_pipeline_against_brute_force(spark):
+    """The rows of run(): components at five-word Jaccard 0.8, less those with a benchmark window at 0.8."""
+    rows = corpus_pipeline.run(spark, SF).collect()
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if re.search(r"[^\W\d_]", r.text or "")]
+    grams = {}
+    for d, t in docs:
+        w = words(lower(t))
+        grams[d] = set(zip(*[w[k:] for k in range(5)])) if len(w) >= 5 else {tuple(w)}
+    label = {d: d for d, _ in docs}
+    moved = True
+    while moved:
+        moved = False
+        for a, x in grams.items():
+            for b, y in grams.items():
+                if label[a] < label[b] and len(x & y) >= 0.8 * len(x | y):
+                    label[b], moved = label[a], True
+    tok = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    items = [tok(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    texts = dict(docs)
+
+    def leaked(t):
+        for item in items:
+            n = min(13, len(item))
+            want = [item[j : j + n] for j in range(len(item) - n + 1)]
+            for i in range(len(t) - n + 1):
+                part = t[i : i + n]
+                if any(sum(p == q for p, q in zip(part, w)) >= 0.8 * n for w in want if w[0] == part[0] or w[1] == part[1] or w[2] == part[2]):
+                    return True
+        return False
+
+    kept = {d for d in texts if label[d] == d}
+    assert {r.doc_id for r in rows} == {d for d in kept if not leaked(tok(texts[d]))} and all(r.round_trip for r in rows)
+
+
+def test_pipeline_rows_of_one_id_go_by_themselves(spark):
+    bad = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(1, EN * 2, "en", "s", 1), (1, bad, "en", "s", 1), (None, DE, "de", "s", 1), (None, "x " + bad, "en", "s", 1), (1, EN * 2, "en", "s", 1)]
+    left = corpus_pipeline.decontaminate(spark, spark.createDataFrame(rows, SCHEMA), SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, DE), (1, EN * 2), (1, EN * 2)]
+    assert len(corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), SF).collect()) == 3
 
 
 def test_pipeline_stages_survive_odd_rows(spark, docs, empty):
@@ -383,6 +449,23 @@ def test_near_dedup_links_edited_copies(spark):
     assert kept == {*range(12), *(3000 + i for i in range(12)), 9000, 10000}
 
 
+def test_near_dedup_finds_the_original_of_a_star(spark):
+    """Many copies at 0.8 or more of one text, less than that of one another."""
+    rng = random.Random(9)
+    w = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    rows = [(0, " ".join(w))]
+    for i in range(1, 120):
+        v = list(w)
+        for at in rng.sample(range(0, 390, 6), 8):
+            v[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(v)))
+    grams = lambda t: set(zip(*[t.split()[k:] for k in range(5)]))
+    j = lambda a, b: len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+    assert min(j(rows[0][1], t) for _, t in rows[1:]) >= 0.8 and j(rows[1][1], rows[2][1]) < 0.8
+    df = spark.createDataFrame([(d, t, None, None, None) for d, t in rows], SCHEMA)
+    assert [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, SF).collect()] == [0]
+
+
 def test_language_sample_with_rare_labels(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
     head = "1234 <> " * 200 + "zażółć gęślą jaźń oraz inne słowa"
