@@ -1,18 +1,16 @@
 """Helpers shared by the text operators."""
 from __future__ import annotations
 
-import atexit
 import ctypes
 import gc
-import re
-import shutil
-import tempfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siteforge.storage import checkpoint_dir, cut  # noqa: F401
+
 _ROOT = str(Path(__file__).resolve().parents[2])
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Word separators of every contract: space, tab to carriage return.
@@ -46,30 +44,6 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the one already set, or the one that spark.checkpoint.dir names.
-
-    With neither, a local master (one process, as in tests) gets a temporary folder that goes with the process; a cluster raises,
-    as no machine's own folder is shared.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named:
-            if not re.fullmatch(r"local(\[.*\])?", context.master):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            named = tempfile.mkdtemp(prefix="siteforge-")
-            atexit.register(shutil.rmtree, named, ignore_errors=True)
-        context.setCheckpointDir(named)
-    return context.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the cluster's shared checkpoint folder: lineage is cut and survives lost executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 _HELD: list[tuple] = []
 
 

@@ -8,7 +8,8 @@
 4. One exchange by (shard, random sub-range), and a second local permutation gives gapless slots.
 
 Nulls: a null text has no bytes (size 1, crc32 0); a null doc_id is a row like any other. Repeated rows are rows of their own.
-An empty table gives an empty result. Other columns than those asked for are never read.
+Ties between random keys fall to any order of equal chance. An empty table gives an empty result, a very long text is a row like any
+other (the query carries only its size and checksum), and other columns than those asked for are never read.
 """
 from __future__ import annotations
 
@@ -61,9 +62,9 @@ def hypergeometric_sql(n: str, good: str, total: str, u: str) -> str:
     return f"if({n} <= 0 or {good} <= 0, 0L, if({good} >= {total}, {n}, element_at(transform({with_t}, g -> element_at(transform(array(g.h), h -> {chosen}), 1)), 1)))"
 
 
-def _rows_sql(shards: int) -> str:
+def _rows_sql(shards: int, seed: int) -> str:
     """SQL: array of the children's matrix rows, from caps (array of what each shard still takes) and kids (array of id, n)."""
-    u = f"(shiftrightunsigned(xxhash64(c.id, k, lvl, {SEED}), 11) / 9007199254740992d)"
+    u = f"(shiftrightunsigned(xxhash64(c.id, k, lvl, {seed}), 11) / 9007199254740992d)"
     # over the shards: left rows of this child, total places from shard k on
     x = hypergeometric_sql("b.n", "element_at(a.caps, k)", "b.total", u)
     deal = (
@@ -76,7 +77,7 @@ def _rows_sql(shards: int) -> str:
     )
 
 
-def communication_matrix(sizes: DataFrame, shards: int, total: int, partitions: int) -> DataFrame:
+def communication_matrix(sizes: DataFrame, shards: int, total: int, partitions: int, seed: int = SEED) -> DataFrame:
     """(pid, row array<bigint>) drawn for sizes (pid, n); row sums are n, column sums the shard sizes."""
     spark = sizes.sparkSession
     levels = max(1, math.ceil(math.log(max(2, partitions), FANOUT)))
@@ -88,7 +89,7 @@ def communication_matrix(sizes: DataFrame, shards: int, total: int, partitions:
         kids = kids.groupBy(F.floor(F.col("kid") / FANOUT).cast("bigint").alias("id")).agg(
             F.array_sort(F.collect_list(F.struct(F.col("kid").alias("id"), "n"))).alias("kids")
         )
-        dealt = nodes.join(kids, "id").withColumn("lvl", F.lit(level)).select(F.explode(F.expr(_rows_sql(shards))).alias("r"))
+        dealt = nodes.join(kids, "id").withColumn("lvl", F.lit(level)).select(F.explode(F.expr(_rows_sql(shards, seed))).alias("r"))
         nodes = dealt.select(F.col("r.id").alias("id"), F.col("r.row").alias("caps"))
     return nodes.select(F.col("id").alias("pid"), F.col("caps").alias("row"))
 
@@ -103,7 +104,7 @@ def shard(df: DataFrame, shards: int = 16, seed: int = SEED) -> DataFrame:
     kept = kept.withColumn("pid", F.spark_partition_id().cast("bigint"))
     sizes = kept.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
     total = sizes.agg(F.sum("n").alias("n"), F.max("pid").alias("p")).first()  # two numbers
-    matrix = communication_matrix(sizes, shards, total.n or 0, (total.p or 0) + 1)
+    matrix = communication_matrix(sizes, shards, total.n or 0, (total.p or 0) + 1, seed)
     # bounded by the number of partitions: a row of the matrix has `shards` numbers
     ends = cut(matrix.select("pid", F.expr("transform(sequence(1, size(row)), i -> aggregate(slice(row, 1, i), 0L, (a, x) -> a + x))").alias("ends")))
     local = kept.sortWithinPartitions("u").withColumn("r", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))

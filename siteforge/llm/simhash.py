@@ -7,7 +7,8 @@ fingerprints: within that ball each is paired with the smallest (all of a ball a
 the same components), pairs are deduplicated and verified. Components follow by label propagation with pointer jumping.
 
 Nulls: a null or empty text has fingerprint zero and links like any other. A null doc_id is in its fingerprint's component,
-whose id is the smallest non-null doc_id (null if it has none). Repeated rows each get their row.
+whose id is the smallest non-null doc_id (null if it has none). Repeated rows each get their row. A bit set in exactly half of the
+hashes is 0. An empty table gives an empty result, very long texts are hashed in blocks, and other columns are not read.
 """
 from __future__ import annotations
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from siteforge.llm.common import cut, read
+from siteforge.operators.cluster import components
 
 _WORD = re.compile(rb"[^ \t-\r]+")
 SEED = 42
@@ -62,28 +64,6 @@ def linked(fps: DataFrame) -> DataFrame:
     return pairs.distinct().where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
 
 
-def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, label): the smallest node of each component. nodes (node); edges (a, b), any orientation.
-
-    A round takes the smallest label among the neighbours, then the label's own label (pointer jumping), until nothing changes.
-    The number of rounds follows the logarithm of a component's diameter; more than `rounds` raises.
-    """
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    touched = both.select(F.col("a").alias("node")).distinct()
-    label = cut(touched.withColumn("label", F.col("node")))
-    for _ in range(rounds):
-        near = both.join(label, both["b"] == label["node"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        low = cut(label.join(near, "node").select("node", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("moved")))
-        if low.where("moved").isEmpty():
-            label = low.drop("moved")
-            break
-        root = low.select(F.col("node").alias("l"), F.col("label").alias("up"))
-        label = cut(low.join(root, low["label"] == root["l"], "left").select("node", F.least("label", F.coalesce("up", "label")).alias("label")))
-    else:
-        raise RuntimeError("components did not settle")
-    return nodes.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
-
-
 def classes(prints: DataFrame) -> DataFrame:
     """(fp, label, component_id) of the distinct fingerprints in prints (doc_id, fp)."""
     fps = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
