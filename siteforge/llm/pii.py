@@ -7,8 +7,7 @@ form, the same last nine digits once joined (so a spaced number meets its compac
 domain. Loopy belief propagation over the whole document gives each open node's label; it runs in every document with an open
 node, and unary weights decide where nothing is observed. An open node becomes a further span if its label's marginal is over SURE,
 so a number or address found once is found in its other spellings. Unary weights are trained by logistic regression (piecewise
-training) on the base labels of a bounded sample of documents, with each node's own pattern hidden; the chain and skip weights are
-its log odds of agreement.
+training) on the base labels of a bounded sample of documents; the chain and skip weights are the log odds of agreement.
 
 Nulls: a null text is treated as empty. Repeated rows each get their row; ties in a marginal are not entities. An empty table gives an
 empty result, columns of the operator's names are replaced, and all patterns run in time linear in the text, as whole texts are read.
@@ -30,6 +29,7 @@ SAMPLE_DOCS = 1000
 #: Texts over so many characters are not learnt from, which bounds the sample's bytes.
 SAMPLE_CHARS = 50_000
 SURE = 0.9
+SKIP_PRIOR = 1000
 EPOCHS, RATE, ROUNDS, DAMPING = 200, 0.5, 20, 0.3
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -111,7 +111,7 @@ N_FEATURES = 31
 
 def graph(text: str, base: list[tuple[int, int, int]]):
     """Nodes (start, end, label: 1 + kind if observed, else 0), chain edges, skip edges."""
-    nodes, chain, skip, last = [], [], [], {}
+    nodes, chain, alike = [], [], {}
     runs: list[list] = [[s, e, k + 1, False] for s, k, e in base]
     i, spans, gap = 0, sorted((s, e) for s, _, e in base), None
     for m in _NODE.finditer(text):
@@ -136,27 +136,34 @@ def graph(text: str, base: list[tuple[int, int, int]]):
         form = text[s:e].strip(".,;:!?()[]{}<>\"'").lower()
         digits = _DIGITS.sub("", form)
         box = form.partition("@")[0].partition("+")[0] if "@" in form else ""
-        seen = set()
         for key in (form, "#" + digits[-9:] if len(digits) >= 9 else None, "@" + box if len(box) >= 3 else None):
             if key:
-                if key in last and last[key] not in seen:
-                    seen.add(last[key])
-                    skip.append((last[key], n))
-                last[key] = n
-    return nodes, chain, skip
+                alike.setdefault(key, []).append(n)
+    skip = set()
+    for members in alike.values():  # to the first observed one, else each to the one before
+        first = next((i for i in members if nodes[i][2]), None)
+        skip.update((min(first, i), max(first, i)) for i in members if i != first) if first is not None else skip.update(zip(members, members[1:]))
+    return nodes, chain, sorted(skip)
 
 
 def train(texts: list[str]) -> tuple[np.ndarray, float, float]:
-    """Node weights (features x labels), chain weight, skip weight."""
-    rows, labels, agree = [], [], {"chain": [1, 1], "skip": [1, 1]}
+    """Node weights (features x labels), chain weight, skip weight.
+
+    An open node that is alike an observed one is of unknown label: it trains nothing. Weights of edges count observed pairs only, skip
+    edges with SKIP_PRIOR pairs that agree and one that does not beforehand.
+    """
+    rows, labels, agree = [], [], {"chain": [1, 1], "skip": [SKIP_PRIOR, 1]}
     for text in texts:
         nodes, chain, skip = graph(text, base_spans(text))
-        for s, e, y in nodes:
-            rows.append(_features(text[s:e]))
-            labels.append(y)
+        unknown = {i for a, b in skip for i, j in ((a, b), (b, a)) if not nodes[i][2] and nodes[j][2]}
+        for i, (s, e, y) in enumerate(nodes):
+            if i not in unknown:
+                rows.append(_features(text[s:e]))
+                labels.append(y)
         for name, edges in (("chain", chain), ("skip", skip)):
             for a, b in edges:
-                agree[name][nodes[a][2] != nodes[b][2]] += 1
+                if nodes[a][2] and nodes[b][2]:
+                    agree[name][nodes[a][2] != nodes[b][2]] += 1
     w = np.zeros((N_FEATURES, len(KINDS) + 1))
     if rows:
         x = np.zeros((len(rows), N_FEATURES))
@@ -168,7 +175,7 @@ def train(texts: list[str]) -> tuple[np.ndarray, float, float]:
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             w += RATE * (x.T @ (y - p) / len(rows) - 1e-4 * w)
-    odds = {k: float(np.clip(np.log(a / d), 0, 4)) for k, (a, d) in agree.items()}
+    odds = {k: float(np.clip(np.log(a / d), 0, 8)) for k, (a, d) in agree.items()}
     return w, odds["chain"], odds["skip"]
 
 

@@ -324,7 +324,7 @@ def test_field_adds_other_spellings():
         base, spans = pii.all_spans(text, model)
         assert set(base) <= set(spans) and (len(spans) >= min(least, 2)) and (least or not spans), (text, spans)
     nodes, _, skip = pii.graph("+49 170 1234567 then 01701234567 then 0170 123 45 67", pii.base_spans("+49 170 1234567 then 01701234567 then 0170 123 45 67"))
-    assert len(nodes) == 3 and (0, 1) in skip and (1, 2) in skip  # spaced and compact numbers meet
+    assert len(nodes) == 3 and {(0, 1), (0, 2)} <= set(skip)  # spaced and compact numbers meet
 
 
 def test_urls_rules_and_rank(spark):
