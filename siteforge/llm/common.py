@@ -19,13 +19,18 @@ SPACE = r"[\x20\x09-\x0D]+"
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table, by Spark's reader; Python workers on the same file system also find this package beside its installed place."""
+def ready(spark: SparkSession) -> None:
+    """Python workers on the same file system find this package also beside its installed place, and hold small batches."""
     if spark.conf.get(BATCH_BYTES, None) is None:  # else 10,000 long texts make one batch
         spark.conf.set(BATCH_BYTES, "8m")
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", ""):
         env["PYTHONPATH"] = ":".join(filter(None, [_ROOT, env.get("PYTHONPATH", "")]))
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table, by Spark's reader."""
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -106,6 +111,7 @@ TYPES = {"bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(
 
 def widened(df: DataFrame, new: list[tuple[str, str]]) -> tuple[DataFrame, T.StructType]:
     """df less columns that clash with the new ones, and its schema with them."""
+    ready(df.sparkSession)
     taken = {c for c, _ in new}
     df = df.select(*[f"`{c}`" for c in df.columns if c.lower() not in taken])
     return df, T.StructType([*df.schema.fields, *[T.StructField(c, TYPES[t]) for c, t in new]])

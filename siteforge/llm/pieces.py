@@ -16,6 +16,7 @@ import math
 import re
 from array import array
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,14 +91,25 @@ class DoubleArray:
                 a.extend([0 if a is self.base else -1] * (max(n, 2 * len(a)) - len(a)))
 
 
+def build(model: str = MODEL) -> tuple:
+    """(pieces, double array, bytes of the longest piece) of a model file: made once on the driver, of the file's size."""
+    pieces = load_pieces(model)
+    usable = [(p.encode(), i) for i, (p, _, t) in enumerate(pieces) if t == 1 and p]
+    trie = DoubleArray(usable)
+    return pieces, (trie.base, trie.check, trie.value), max((len(k) for k, _ in usable), default=1)
+
+
 class Encoder:
-    def __init__(self, pieces: list[tuple[str, float, int]]):
+    def __init__(self, pieces: list[tuple[str, float, int]], trie=None, longest: int | None = None):
         self.pieces = pieces
-        usable = [(p.encode(), i) for i, (p, _, t) in enumerate(pieces) if t == 1 and p]
-        trie = DoubleArray(usable)
+        if trie is None:
+            usable = [(p.encode(), i) for i, (p, _, t) in enumerate(pieces) if t == 1 and p]
+            made = DoubleArray(usable)
+            trie, longest = (made.base, made.check, made.value), max((len(k) for k, _ in usable), default=1)
+        base, check, value = trie
         # plain lists are the fastest to read; room beyond the last base for any byte
-        self.base, self.check, self.value = list(trie.base), list(trie.check) + [-1] * 257, list(trie.value)
-        self.scores, self.longest = [s for _, s, _ in pieces], max((len(k) for k, _ in usable), default=1)
+        self.base, self.check, self.value = list(base), list(check) + [-1] * 257, list(value)
+        self.scores, self.longest = [s for _, s, _ in pieces], longest
         self.bytes = {int(p[3:5], 16): i for i, (p, _, t) in enumerate(pieces) if t == 6}
         self.byte_id = {i: b for b, i in self.bytes.items()}
         self.unknown = next((i for i, (_, _, t) in enumerate(pieces) if t == 2), 0)
@@ -176,17 +188,19 @@ def encode(df: DataFrame, model: str = MODEL, column: str = "text") -> DataFrame
     """
     new = [("ids", "array<int>"), ("n_tokens", "bigint"), ("n_byte_tokens", "bigint"), ("token_score", "double"), ("round_trip", "boolean")]
     df, schema = widened(df, new)
-    pieces = df.sparkSession.sparkContext.broadcast(load_pieces(model))  # fixed size: the model file
+    pieces = df.sparkSession.sparkContext.broadcast(build(model))  # fixed size: the model file and its trie
 
     def run(batches):
-        e = held(("pieces", model), lambda: Encoder(pieces.value))
+        e = held(("pieces", model), lambda: Encoder(*pieces.value))
         for b in batches:
-            got = [e.encode(t) if t is not None else (None, 0.0, 0) for t in b[column]]
-            b["ids"] = pd.Series([g[0] for g in got], index=b.index, dtype=object)
-            b["n_tokens"] = pd.Series([len(g[0] or ()) for g in got], index=b.index, dtype="int64")
-            b["n_byte_tokens"] = pd.Series([g[2] for g in got], index=b.index, dtype="int64")
-            b["token_score"] = pd.Series([g[1] for g in got], index=b.index, dtype=float)
-            b["round_trip"] = pd.Series([g[0] is None or e.decode(g[0]) == t for g, t in zip(got, b[column])], index=b.index, dtype=bool)
+            cols: dict[str, list] = {c: [] for c, _ in new}
+            for t in b[column]:
+                ids, score, n_bytes = e.encode(t) if t is not None else (None, 0.0, 0)
+                # numbers in place of objects: a batch of ids stays as small as its texts
+                for c, v in zip(cols, (None if ids is None else np.array(ids, dtype=np.int32), len(ids or ()), n_bytes, score, ids is None or e.decode(ids) == t)):
+                    cols[c].append(v)
+            for (c, _), kind in zip(new, (object, "int64", "int64", float, bool)):
+                b[c] = pd.Series(cols[c], index=b.index, dtype=kind)
             yield b
 
     return df.mapInPandas(frugal(run), schema)
@@ -198,7 +212,7 @@ def decode(df: DataFrame, model: str = MODEL, column: str = "ids", out: str = "d
     pieces = df.sparkSession.sparkContext.broadcast(load_pieces(model))
 
     def run(batches):
-        e = held(("pieces", model), lambda: Encoder(pieces.value))
+        e = held(("pieces", model), lambda: Encoder(*pieces.value))
         for b in batches:
             b[out] = pd.Series([None if i is None else e.decode(list(i)) for i in b[column]], index=b.index, dtype=object)
             yield b
