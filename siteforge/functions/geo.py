@@ -148,6 +148,46 @@ def ring_gap(r: Column, s: Column) -> Column:
     return F.when(over, 0.0).otherwise(F.least(to(r, s), to(s, r)))
 
 
+def ring_meets_box(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Whether a closed ring's area and a box share a point: an edge crosses the box (neither axis nor the edge's own line parts them), or the
+    box lies inside."""
+
+    def meets(e):
+        a, b = e["a"], e["b"]
+        side = lambda x, y: (b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"])
+        corners = [side(x0, y0), side(x1, y0), side(x1, y1), side(x0, y1)]
+        apart = (F.greatest(a["x"], b["x"]) < x0) | (F.least(a["x"], b["x"]) > x1) | (F.greatest(a["y"], b["y"]) < y0) | (F.least(a["y"], b["y"]) > y1)
+        return ~apart & (F.least(*corners) <= 0) & (F.greatest(*corners) >= 0)
+
+    return F.exists(_edges(ring), meets) | in_ring(ring, x0, y0)
+
+
+def box_overlap(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Area that a closed ring's inside shares with a box: the ring is clipped at one side of the box after the other.
+
+    A side is (whether it is upright, where it lies, on which side to stay); the ring so far is the aggregate's state.
+    """
+    point = "array<struct<x:double,y:double>>"
+    side = lambda upright, at, sign: F.struct(F.lit(upright).alias("upright"), at.cast("double").alias("at"), F.lit(sign).alias("sign"))
+
+    def clip(state, s):
+        def cut(i):
+            a, b = F.get(state, i), F.get(state, i + 1)
+            u, v = F.when(s["upright"], a["x"]).otherwise(a["y"]), F.when(s["upright"], b["x"]).otherwise(b["y"])
+            t = (s["at"] - u) / F.nullif(v - u, F.lit(0.0))
+            hit = F.struct((a["x"] + t * (b["x"] - a["x"])).alias("x"), (a["y"] + t * (b["y"] - a["y"])).alias("y"))
+            inside = lambda w: (w - s["at"]) * s["sign"] >= 0
+            return F.when(inside(u) & inside(v), F.array(a)).when(inside(u), F.array(a, hit)).when(inside(v), F.array(hit)).otherwise(F.array().cast(point))
+
+        points = F.flatten(F.transform(F.sequence(F.lit(0), F.size(state) - 2), cut))
+        closed = F.element_at(F.transform(F.array(points), lambda p: F.concat(p, F.slice(p, 1, 1))), 1)
+        return F.when(F.size(state) > 3, closed).otherwise(F.array().cast(point))
+
+    sides = F.array(side(True, x0, 1), side(True, x1, -1), side(False, y0, 1), side(False, y1, -1))
+    left = F.aggregate(sides, ring.cast(point), clip)
+    return F.element_at(F.transform(F.array(left), lambda r: F.when(F.size(r) > 3, ring_area(r)).otherwise(0.0)), 1)
+
+
 def centroid(ring: Column) -> Column:
     """struct(x, y): the area's centre; the mean of the corners where the area is 0."""
     start = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))

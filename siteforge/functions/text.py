@@ -193,7 +193,8 @@ def mentions(text: Column, term: Column) -> Column:
 
 def keep_ends(c: Column, head: int, tail: int) -> Column:
     """A log text with what carriage returns overwrote removed, cut in the middle to head + tail characters."""
-    c = F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\n]*\r(?!\n)", "")
+    c = F.coalesce(c, F.lit(""))
+    c = F.when(c.contains("\r"), F.regexp_replace(c, r"[^\n]*\r(?!\n)", "")).otherwise(c)
     return F.when(F.length(c) <= head + tail, c).otherwise(F.concat(F.substring(c, 1, head), F.lit("\n...\n"), F.substring(c, -tail, tail)))
 
 

@@ -50,9 +50,13 @@ def seeds_to_parcels(seeds: DataFrame, parcels: DataFrame, cell: float, snap: fl
 
 def merge_edges(parcels: DataFrame, gap: float = GAP_M, largest: float = MAX_AREA_M2) -> DataFrame:
     """(plant, a, b): pairs of one plant's parcels (plant, ll_uuid, owner, ring) of one non-empty owner, none oversized, at most `gap` apart."""
-    p = parcels.select("plant", F.col("ll_uuid").alias("a"), text.norm_owner(F.col("owner")).alias("o"), F.col("ring").alias("ra"), geo.ring_area(F.col("ring")).alias("area")).where(f"o <> '' and area <= {largest}").drop("area")
-    q = p.select("plant", F.col("a").alias("b"), "o", F.col("ra").alias("rb"))
-    return p.join(q, ["plant", "o"]).where("a < b").where(geo.ring_gap(F.col("ra"), F.col("rb")) <= gap).select("plant", "a", "b")
+    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
+    box = F.struct(F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
+    p = parcels.select("plant", F.col("ll_uuid").alias("a"), text.norm_owner(F.col("owner")).alias("o"), F.col("ring").alias("ra"), box.alias("ba"), geo.ring_area(F.col("ring")).alias("area")).where(f"o <> '' and area <= {largest}").drop("area")
+    q = p.select("plant", F.col("a").alias("b"), "o", F.col("ra").alias("rb"), F.col("ba").alias("bb"))
+    # boxes first: few pairs need their shapes compared
+    near = f"a < b and ba.x0 - bb.x1 <= {gap} and bb.x0 - ba.x1 <= {gap} and ba.y0 - bb.y1 <= {gap} and bb.y0 - ba.y1 <= {gap}"
+    return p.join(q, ["plant", "o"]).where(near).select("plant", "a", "b", geo.ring_gap(F.col("ra"), F.col("rb")).alias("gap_")).where(f"gap_ <= {gap}").drop("gap_")
 
 
 def build_sites(matched: DataFrame, parcels: DataFrame) -> tuple[DataFrame, DataFrame]:

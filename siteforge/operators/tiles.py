@@ -95,8 +95,7 @@ def tile_grid(df: DataFrame, ring: str = "ring") -> DataFrame:
     n = lambda a, b: F.greatest(F.lit(1), F.ceil((F.col(b) - F.col(a)) / STRIDE_M)).cast("int")
     steps = lambda a, b: F.transform(F.sequence(F.lit(0), n(a, b) - 1), lambda i: F.col(a) + i * STRIDE_M)
     all_ = F.flatten(F.transform(steps("x0_", "x1_"), lambda x: F.transform(steps("y0_", "y1_"), lambda y: F.struct(x.alias("tx"), y.alias("ty")))))
-    square = lambda t: geo.box_ring(t["tx"], t["ty"], t["tx"] + TILE_M, t["ty"] + TILE_M)
-    touched = F.filter(all_, lambda t: geo.ring_gap(F.col(ring), square(t)) <= 0)
+    touched = F.filter(all_, lambda t: geo.ring_meets_box(F.col(ring), t["tx"], t["ty"], t["tx"] + TILE_M, t["ty"] + TILE_M))
     at = lambda x, y: F.array(F.struct((x - TILE_M / 2).alias("tx"), (y - TILE_M / 2).alias("ty")))
     centre = geo.centroid(F.col(ring))
     small = (F.col("x1_") - F.col("x0_") < TILE_M) | (F.col("y1_") - F.col("y0_") < TILE_M)
@@ -250,13 +249,21 @@ def keepers(df: DataFrame, group: str, key: str, preferred: Column) -> DataFrame
     return d.withColumn("action", action).drop("n_", "f_")
 
 
-def zonal(zones: DataFrame, pixels: DataFrame, pixel_m: float, water: int = 11) -> DataFrame:
-    """(zone, pixels, water, dominant, from_centroid) of zones (zone, ring): pixels (px, py, value) whose centres the ring holds count (half
-    covered or more); a zone too small for one takes the pixel under its centroid and is flagged."""
+def coverage(zones: DataFrame, pixel_m: float) -> DataFrame:
+    """(zone, px, py, share) of the pixels that a zone's ring (zone, ring) touches: which share of each it covers."""
     x0, y0, x1, y1 = bounds(F.col("ring"))
     at = lambda c: F.floor(c / pixel_m).cast("bigint")
     d = zones.withColumn("px", F.explode(F.sequence(at(x0), at(x1)))).withColumn("py", F.explode(F.sequence(at(y0), at(y1))))
-    d = d.where(geo.in_ring(F.col("ring"), (F.col("px") + 0.5) * pixel_m, (F.col("py") + 0.5) * pixel_m)).select("zone", "px", "py")
+    px, py = F.col("px") * pixel_m, F.col("py") * pixel_m
+    share = geo.box_overlap(F.col("ring"), px, py, px + pixel_m, py + pixel_m) / (pixel_m * pixel_m)
+    return d.select("zone", "px", "py", share.alias("share")).where("share > 0")
+
+
+def zonal(zones: DataFrame, pixels: DataFrame, pixel_m: float, water: int = 11) -> DataFrame:
+    """(zone, pixels, water, dominant, from_centroid) of zones (zone, ring): pixels (px, py, value) that are at least half covered count;
+    a zone too small for one takes the pixel under its centroid and is flagged."""
+    at = lambda c: F.floor(c / pixel_m).cast("bigint")
+    d = coverage(zones, pixel_m).where("share >= 0.5")
     c = geo.centroid(F.col("ring"))
     under = zones.select("zone", at(c["x"]).alias("px"), at(c["y"]).alias("py")).join(pixels, ["px", "py"]).select("zone", F.col("value").alias("under"))
     counts = d.join(pixels, ["px", "py"]).where("value is not null").groupBy("zone", "value").agg(F.count(F.lit(1)).alias("n"))

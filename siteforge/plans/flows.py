@@ -42,7 +42,11 @@ def m4_at_most(spark, sf_dir):
     return sampling.at_most(table(spark, sf_dir, "customer"), ["c_nationkey", "c_mktsegment"], "c_custkey", 4).select("c_custkey")
 
 
-@query("m5_negatives")
+@query(
+    "m5_negatives",
+    """WITH o AS (SELECT o_orderkey, o_orderstatus = 'P' AND o_totalprice > 250000 AS pos, o_totalprice > 400000 AS keep, o_orderpriority = '1-URGENT' AS hard, sha1('n:' || o_orderkey) AS h FROM orders), c AS (SELECT greatest(0, 5 * count(*) FILTER (WHERE pos) - count(*) FILTER (WHERE keep AND NOT pos)) AS room FROM o),
+    r AS (SELECT o_orderkey, hard, row_number() OVER (PARTITION BY hard ORDER BY h, o_orderkey) AS n FROM o WHERE NOT pos AND NOT keep) SELECT o_orderkey FROM o WHERE pos OR keep UNION ALL SELECT o_orderkey FROM r, c WHERE n <= CASE WHEN hard THEN floor(room * 0.7) ELSE room - floor(room * 0.7) END""",
+)
 def m5_negatives(spark, sf_dir):
     """Positives and kept seeds stay; hard and easy negatives fill the budget."""
     o = table(spark, sf_dir, "orders")
@@ -195,19 +199,20 @@ def c8_rerank_fallback(spark, sf_dir):
 @query(
     "c9_review_queue",
     """WITH held AS (SELECT o_orderkey, 'holdout' AS slice FROM orders WHERE ('0x' || substr(sha1(o_orderkey::VARCHAR), 1, 8))::BIGINT / 4294967296.0 < 0.02),
-    rest AS (SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM held)),
-    unc AS (SELECT o_orderkey, 'uncertain' AS slice FROM rest WHERE o_totalprice BETWEEN 100000 AND 120000 ORDER BY sha1('u:' || o_orderkey), o_orderkey LIMIT 70)
-    SELECT * FROM held UNION ALL SELECT * FROM unc UNION ALL (SELECT o_orderkey, 'random' AS slice FROM rest WHERE o_orderkey NOT IN (SELECT o_orderkey FROM unc) ORDER BY sha1('r:' || o_orderkey), o_orderkey LIMIT 30)""",
+    r0 AS (SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM held)), aud AS (SELECT o_orderkey, 'audit' AS slice FROM r0 WHERE o_orderstatus = 'P' ORDER BY sha1('a:' || o_orderkey), o_orderkey LIMIT 20),
+    rest AS (SELECT * FROM r0 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM aud)), unc AS (SELECT o_orderkey, 'uncertain' AS slice FROM rest WHERE o_totalprice BETWEEN 100000 AND 120000 ORDER BY sha1('u:' || o_orderkey), o_orderkey LIMIT 70)
+    SELECT * FROM held UNION ALL SELECT * FROM aud UNION ALL SELECT * FROM unc UNION ALL (SELECT o_orderkey, 'random' AS slice FROM rest WHERE o_orderkey NOT IN (SELECT o_orderkey FROM unc) ORDER BY sha1('r:' || o_orderkey), o_orderkey LIMIT 30)""",
 )
 def c9_review_queue(spark, sf_dir):
-    """Holdout, then 70 uncertain and 30 random plants; a shortfall is not filled up."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    """Holdout, an audit of 20 accepted plants, then 70 uncertain and 30 random ones; a shortfall is not filled up."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     in_hold = text.hash_fraction(F.col("o_orderkey")) < 0.02
     take = lambda df, seed, n, name: df.orderBy(sampling.hashed(F.col("o_orderkey"), seed), "o_orderkey").limit(n).select("o_orderkey", F.lit(name).alias("slice"))
-    rest = o.where(~in_hold)
+    audited = take(o.where(~in_hold & (F.col("o_orderstatus") == "P")), "a", 20, "audit")
+    rest = o.where(~in_hold).join(audited.select("o_orderkey"), "o_orderkey", "left_anti")
     unc = take(rest.where("o_totalprice between 100000 and 120000"), "u", 70, "uncertain")
     rnd = take(rest.join(unc.select("o_orderkey"), "o_orderkey", "left_anti"), "r", 30, "random")
-    return o.where(in_hold).select("o_orderkey", F.lit("holdout").alias("slice")).unionByName(unc).unionByName(rnd)
+    return o.where(in_hold).select("o_orderkey", F.lit("holdout").alias("slice")).unionByName(audited).unionByName(unc).unionByName(rnd)
 
 
 @query("c10_provenance", f"SELECT c_custkey, string_agg(DISTINCT s_nationkey::VARCHAR, '+' ORDER BY s_nationkey::VARCHAR) AS sources, count(DISTINCT s_nationkey) AS n, round(min({hav('lat', 'lon', 'rlat', 'rlon')}) / 1000, 3) AS km FROM {_PTS} c, (SELECT s_suppkey, s_nationkey, {LAT.format(k='s_suppkey * 31')} AS rlat, {LON.format(k='s_suppkey * 31')} AS rlon FROM supplier) WHERE {hav('lat', 'lon', 'rlat', 'rlon')} <= 70000 GROUP BY 1")

@@ -332,11 +332,11 @@ def g14_closest(spark, sf_dir):
 @query(
     "g9_zonal_fallback",
     """WITH px AS (SELECT ps % 100 AS px, ps // 100 AS py, min(v) AS value FROM (SELECT l_partkey * 7 % 10000 AS ps, l_linenumber AS v FROM lineitem) GROUP BY 1, 2), z AS (SELECT s_suppkey AS zone, s_suppkey % 80 * 30.0 + 4 AS x0, s_suppkey // 80 * 300.0 + 4 AS y0, s_suppkey % 80 * 30.0 + 4 + s_nationkey * 12 AS x1, s_suppkey // 80 * 300.0 + 4 + s_nationkey * 9 AS y1 FROM supplier WHERE s_nationkey > 0),
-    c AS (SELECT zone, value, count(*) AS n FROM z JOIN px ON (px + 0.5) * 30 BETWEEN x0 AND x1 AND (py + 0.5) * 30 BETWEEN y0 AND y1 GROUP BY 1, 2), a AS (SELECT zone, sum(n)::BIGINT AS pixels, sum(CASE WHEN value = 1 THEN n ELSE 0 END)::BIGINT AS water, arg_min(value, -n * 100 + value) AS dominant FROM c GROUP BY 1)
+    c AS (SELECT zone, value, count(*) AS n FROM z JOIN px ON greatest(0, least((px + 1) * 30.0, x1) - greatest(px * 30.0, x0)) * greatest(0, least((py + 1) * 30.0, y1) - greatest(py * 30.0, y0)) / 900 >= 0.5 GROUP BY 1, 2), a AS (SELECT zone, sum(n)::BIGINT AS pixels, sum(CASE WHEN value = 1 THEN n ELSE 0 END)::BIGINT AS water, arg_min(value, -n * 100 + value) AS dominant FROM c GROUP BY 1)
     SELECT z.zone, coalesce(pixels, 0) AS pixels, coalesce(water, 0) AS water, coalesce(dominant, p.value) AS dominant, pixels IS NULL AND p.value IS NOT NULL AS from_centroid FROM z LEFT JOIN a USING (zone) LEFT JOIN px p ON p.px = floor((x0 + x1) / 60) AND p.py = floor((y0 + y1) / 60)""",
 )
 def g9_zonal_fallback(spark, sf_dir):
-    """Pixels whose centres a zone holds; a zone without one takes the pixel under its centroid."""
+    """Pixels that a zone covers by half or more; a zone without one takes the pixel under its centroid."""
     li = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 7 % 10000).alias("ps"), F.col("l_linenumber").alias("v"))
     px = li.groupBy((F.col("ps") % 100).alias("px"), F.floor(F.col("ps") / 100).alias("py")).agg(F.min("v").alias("value"))
     s, n = F.col("s_suppkey"), F.col("s_nationkey")
@@ -345,6 +345,15 @@ def g9_zonal_fallback(spark, sf_dir):
     return tiles.zonal(z, px, 30.0, water=1)
 
 
+@query("s18_zonal_coverage", "SELECT s_suppkey AS zone, px, py, round(share, 9) AS share FROM (SELECT *, greatest(0, least((px + 1) * 30.0, x1) - greatest(px * 30.0, x0)) * greatest(0, least((py + 1) * 30.0, y1) - greatest(py * 30.0, y0)) / 900 AS share FROM (SELECT s_suppkey, s_suppkey % 80 * 30.0 + 4 AS x0, s_suppkey // 80 * 300.0 + 4 AS y0, s_suppkey % 80 * 30.0 + 4 + s_nationkey * 12 AS x1, s_suppkey // 80 * 300.0 + 4 + s_nationkey * 9 AS y1 FROM supplier WHERE s_nationkey > 0), range(0, 110) a(px), range(0, 200) b(py)) WHERE share > 0")
+def s18_zonal_coverage(spark, sf_dir):
+    """Which share of each raster pixel a zone covers."""
+    s, n = F.col("s_suppkey"), F.col("s_nationkey")
+    x0, y0 = s % 80 * 30.0 + 4, F.floor(s / 80) * 300.0 + 4
+    z = table(spark, sf_dir, "supplier").where("s_nationkey > 0").select(s.alias("zone"), geo.box_ring(x0, y0, x0 + n * 12, y0 + n * 9).alias("ring"))
+    return tiles.coverage(z, 30.0).select("zone", "px", "py", F.round("share", 9).alias("share"))
+
+
 @query("s19_pixel_samples", "SELECT o_orderkey, v FROM (SELECT o_orderkey, o_orderkey * 13 % 3000 // 30 AS px, o_orderkey * 7 % 3000 // 30 AS py FROM orders) LEFT JOIN (SELECT ps % 100 AS px, ps // 100 AS py, min(v) AS v FROM (SELECT l_partkey * 7 % 10000 AS ps, l_linenumber AS v FROM lineitem) GROUP BY 1, 2) USING (px, py)")
 def s19_pixel_samples(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 7 % 10000).alias("ps"), F.col("l_linenumber").alias("v"))

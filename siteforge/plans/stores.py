@@ -3,8 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from siteforge.functions import geo
 from siteforge.plans.registry import query
-from siteforge.sources import readers, writers
+from siteforge.sources import readers, shapes, writers
 from siteforge.sources.tables import table
 from siteforge.storage import new_path
 
@@ -99,6 +100,32 @@ def s11_newest_layer(spark, sf_dir):
     return spark.createDataFrame([(readers.newest_layer(list(layers)), readers.newest_with(layers, ["Verified"]))], "layer string, complete string")
 
 
+@query("s10_vector_layer", "SELECT p_partkey, round((p_size * 10.0) * (p_size * 7.0), 6) AS area FROM part")
+def s10_vector_layer(spark, sf_dir):
+    """A layer by name: shapes as well-known binary, read back as rings."""
+    path, s = new_path(spark, "s10"), F.col("p_size")
+    ring = geo.box_ring(F.lit(0.0), F.lit(0.0), s * 10.0, s * 7.0)
+    table(spark, sf_dir, "part").select("p_partkey", shapes.ring_wkb(ring).alias("wkb_geometry")).write.parquet(f"{path}/parcels")
+    return readers.vector_layer(spark, path, "parcels").select("p_partkey", F.round(geo.ring_area(F.col("ring")), 6).alias("area"))
+
+
+@query("s12_newest_complete_layer", "SELECT 'master_20261101' AS layer")
+def s12_newest_complete_layer(spark, sf_dir):
+    layers = {"master_20261101": ["id", "Verified"], "master_20261103_v2": ["id"], "master_09302026": ["id", "Verified"]}
+    return spark.createDataFrame([(readers.newest_with(layers, ["id", "Verified"]),)], "layer string")
+
+
+@query("s13_state_query", "SELECT n_regionkey AS region, count(*) AS n FROM nation GROUP BY 1")
+def s13_state_query(spark, sf_dir):
+    """A query over a review's state database (in memory here)."""
+    import sqlite3
+
+    con = sqlite3.connect(":memory:")
+    con.execute("CREATE TABLE nation (k INTEGER, r INTEGER)")
+    con.executemany("INSERT INTO nation VALUES (?, ?)", [(r.n_nationkey, r.n_regionkey) for r in table(spark, sf_dir, "nation").collect()])  # 25 rows
+    return readers.state_query(spark, con, "SELECT r, count(*) FROM nation GROUP BY r", "region int, n long")
+
+
 @query("s14_join_using", "SELECT p_brand, count(*) AS n, sum(l_quantity) AS q FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1")
 def s14_join_using(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_brand")
@@ -162,6 +189,19 @@ def k4_validated_merge(spark, sf_dir):
     return spark.read.parquet(f"{out}/plants")
 
 
+@query("k5_stale_refusal", "SELECT 'refused' AS outcome, count(*) AS n FROM nation")
+def k5_stale_refusal(spark, sf_dir):
+    """A shard older than its source is refused, and what was there stays."""
+    out, d = new_path(spark, "k5"), table(spark, sf_dir, "nation").select("n_nationkey")
+    writers.merge_shards({"t": [d]}, {"t": ["n_nationkey"]}, out, 1)
+    try:
+        writers.merge_shards({"t": [d.limit(1)]}, {"t": ["n_nationkey"]}, out, 1, {"t": (1, 2)})
+        outcome = "taken"
+    except ValueError:
+        outcome = "refused"
+    return spark.read.parquet(f"{out}/t").agg(F.lit(outcome).alias("outcome"), F.count(F.lit(1)).alias("n"))
+
+
 @query("k7_geojson_lines", "SELECT c_custkey, '{\"type\":\"Feature\",\"geometry\":{\"type\":\"Point\",\"coordinates\":[' || -(c_custkey % 90) || '.5,' || c_custkey % 80 || '.25]},\"properties\":{\"seg\":\"' || c_mktsegment || '\"}}' AS j FROM customer WHERE c_custkey % 90 > 0")
 def k7_geojson_lines(spark, sf_dir):
     """Point features as lines of text, the form that map tools read (layers of other formats are made from it)."""

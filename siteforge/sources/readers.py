@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from siteforge.functions import geo
 from siteforge.operators.ranking import latest
 from siteforge.storage import children
 
@@ -93,11 +94,23 @@ def query_table(spark: SparkSession, url: str, query: str, driver: str | None =
     return (read.option("driver", driver) if driver else read).load()
 
 
-def sqlite_snapshot(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small state table that the caller has read (a review database's, bounded by its reviewers) as a DataFrame."""
+def state_query(spark: SparkSession, connection, query: str, schema: str) -> DataFrame:
+    """The rows of a query over a small state database (DB-API, such as sqlite3: a review's verdicts, bounded by its reviewers), read on the driver."""
+    rows, cursor = [], connection.execute(query)
+    while part := cursor.fetchmany(10_000):
+        rows += part
     return spark.createDataFrame(rows, schema)
 
 
+def vector_layer(spark: SparkSession, path: str, layer: str) -> DataFrame:
+    """A layer (a folder of parquet with the geometry as well-known binary) by name, with the largest ring of each shape."""
+    from siteforge.sources.shapes import wkb_rings
+
+    df = spark.read.parquet(f"{path}/{layer}").withColumn("rings_", wkb_rings("wkb_geometry"))
+    area = F.transform("rings_", lambda r: F.struct(geo.ring_area(r).alias("a"), r.alias("r")))
+    return df.withColumn("ring", F.array_max(area)["r"]).drop("rings_")
+
+
 def newest_with(layers: dict[str, list[str]], required: list[str]) -> str | None:
     """The newest dated layer (name: columns) that has all required columns."""
     return newest_layer([n for n, cols in layers.items() if set(required) <= set(cols)])

@@ -115,6 +115,24 @@ def test_streaming_upsert(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "v=0")).count() == e.select("user_id").distinct().count()
 
 
+def test_windows_drop_what_is_later_than_the_watermark(spark, tmp_path):
+    rows = [("2024-01-01 00:05:00", "a", 1.0), ("2024-01-01 00:50:00", "a", 2.0), ("2024-01-01 03:00:00", "a", 4.0)]
+    schema = "ts timestamp_ntz, event_type string, value double"
+    frame = lambda r: spark.createDataFrame(r, "ts string, event_type string, value double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+
+    def run():
+        d = incremental.windowed(incremental.stream_parts(spark, src, schema)).select(F.col("window.start").alias("start"), "event_type", "n", "total")
+        d.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination()
+
+    frame(rows).coalesce(1).write.parquet(src)
+    run()
+    frame([("2024-01-01 00:10:00", "a", 100.0), ("2024-01-01 05:00:00", "a", 8.0)]).coalesce(1).write.mode("append").parquet(src)  # the first is too late
+    run()
+    got = sorted((r.n, r.total) for r in spark.read.parquet(out).collect())
+    assert got == [(1, 4.0), (2, 3.0)]
+
+
 def test_resume_retries_failures(spark):
     work = spark.createDataFrame([(1,), (2,), (3,)], "k long")
     done = spark.createDataFrame([(1, True), (2, False)], "k long, od_ran boolean")
