@@ -41,7 +41,7 @@ def x3_balanced_forest(spark, sf_dir):
     return models.score_balanced(m, d.where("fold = 0")).select("c_custkey", F.round("score", 4).alias("score"))
 
 
-@query("x3_bootstrap_sizes", "SELECT 0.0 AS label, true AS near UNION ALL SELECT 1.0, true")
+@query("x3_bootstrap_sizes", "SELECT 0.0::DOUBLE AS label, true AS near UNION ALL SELECT 1.0::DOUBLE, true")
 def x3_bootstrap_sizes(spark, sf_dir):
     """Each class of a bootstrap has about as many draws as the smallest class has rows (within four standard deviations and two)."""
     d = customers(spark, sf_dir)
@@ -96,7 +96,7 @@ def x10_leak_guard(spark, sf_dir):
     return models.leaks(d, ["copy", "against", "size", "nothing"], "y").withColumn("auc", F.round("auc", 9))
 
 
-@query("x11_dead_features", "SELECT count(*) FILTER (WHERE n = 0) AS dead, sum(w) AS total, round(sum(CASE WHEN n = 0 THEN w ELSE 0 END) / sum(w), 9) AS share FROM (SELECT p_brand AS f, sum(p_size) AS w, count(*) FILTER (WHERE p_size > 49) AS n FROM part GROUP BY 1)")
+@query("x11_dead_features", "SELECT count(*) FILTER (WHERE n = 0) AS dead, sum(w)::BIGINT AS total, round(sum(CASE WHEN n = 0 THEN w ELSE 0 END) / sum(w), 9) AS share FROM (SELECT p_brand AS f, sum(p_size) AS w, count(*) FILTER (WHERE p_size > 49) AS n FROM part GROUP BY 1)")
 def x11_dead_features(spark, sf_dir):
     p = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("feature"))
     d = models.dead_share(p.agg(F.sum("p_size").alias("weight")), p.agg(F.count_if(F.col("p_size") > 49).alias("n")))

@@ -278,7 +278,7 @@ def g11_one_or_nine(spark, sf_dir):
     return tiles.one_or_nine(_big(spark, sf_dir)).select("k", "row", "col", F.round("tx", 6).alias("tx"), F.round("ty", 6).alias("ty"))
 
 
-@query("g12_oversize_cap", f"SELECT k, CASE WHEN w * h > 2000000 THEN 'area' WHEN k % 200 > 150 THEN 'tile_count' END AS cap_reason, round(CASE WHEN w * h > 2000000 OR k % 200 > 150 THEN 250000.0 ELSE w * h END, 3) AS area FROM {_BIG}")
+@query("g12_oversize_cap", f"SELECT k, CASE WHEN w * h > 2000000 THEN 'area' WHEN k % 200 > 150 THEN 'tile_count' END AS cap_reason, round(CASE WHEN w * h > 2000000 OR k % 200 > 150 THEN 250000.0 ELSE w * h END, 3)::DOUBLE AS area FROM {_BIG}")
 def g12_oversize_cap(spark, sf_dir):
     d = tiles.capped(_big(spark, sf_dir), F.col("k") % 200, F.when(F.col("k") % 2 == 0, 100.0), F.when(F.col("k") % 2 == 0, 100.0))
     return d.select("k", "cap_reason", F.round(geo.ring_area(F.col("footprint")), 3).alias("area"))
@@ -296,7 +296,7 @@ def g12_fallback_seed(spark, sf_dir):
 
 @query(
     "g13_analysis_regions",
-    """SELECT k, over, CASE WHEN over IS NULL THEN greatest(px + 250, w) ELSE px + 250 END > px + 700 OR CASE WHEN over IS NULL THEN greatest(py + 250, h) ELSE py + 250 END > py + 700 OR (over IS NULL AND (px - 700 > 0 OR py - 700 > 0)) AS clipped, greatest(px - 700, CASE WHEN over IS NULL THEN least(px - 250, 0) ELSE px - 250 END) AS bx0, least(px + 700, CASE WHEN over IS NULL THEN greatest(px + 250, w) ELSE px + 250 END) AS bx1
+    """SELECT k, over, CASE WHEN over IS NULL THEN greatest(px + 250, w) ELSE px + 250 END > px + 700 OR CASE WHEN over IS NULL THEN greatest(py + 250, h) ELSE py + 250 END > py + 700 OR (over IS NULL AND (px - 700 > 0 OR py - 700 > 0)) AS clipped, greatest(px - 700, CASE WHEN over IS NULL THEN least(px - 250, 0) ELSE px - 250 END)::DOUBLE AS bx0, least(px + 700, CASE WHEN over IS NULL THEN greatest(px + 250, w) ELSE px + 250 END)::DOUBLE AS bx1
     FROM (SELECT p_partkey AS k, p_size * 60.0 AS w, p_size * 35.0 AS h, p_size * 30.0 AS px, p_size * 17.0 AS py, CASE WHEN p_size * 60.0 * p_size * 35.0 > 3000000 THEN 'area' WHEN p_size * 60.0 > 2000 THEN 'extent' END AS over FROM part)""",
 )
 def g13_analysis_regions(spark, sf_dir):
@@ -385,7 +385,7 @@ def g22_states_near(spark, sf_dir):
     return tiles.states_near(p, -100.2, 35.0, -100.05, 35.1)
 
 
-@query("g23_simplify", f"SELECT ll_uuid, 5 AS corners, round((x1 - x0) * (y1 - y0), 3) AS area FROM {_PAR}")
+@query("g23_simplify", f"SELECT ll_uuid, 5 AS corners, round((x1 - x0) * (y1 - y0), 3)::DOUBLE AS area FROM {_PAR}")
 def g23_simplify(spark, sf_dir):
     """Boxes with an extra corner half a metre off one side: it goes, the box stays."""
     p = lambda x, y: F.struct(x.alias("x"), y.alias("y"))

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siteforge.functions import geo, text
+from siteforge.functions import classes, geo, text
 from siteforge.operators import vectors
 from siteforge.plans.points import LAT, LON, lat, lon
 from siteforge.plans.registry import query
@@ -19,38 +19,58 @@ def p1_coerce(spark, sf_dir):
 @query("p2_population_floor", "SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 1000)")
 def p2_population_floor(spark, sf_dir):
     """Strictly above the floor; unknown is excluded."""
-    big = table(spark, sf_dir, "customer").where("c_acctbal > 1000").select(F.col("c_custkey").alias("o_custkey"))
-    return table(spark, sf_dir, "orders").join(big, "o_custkey", "left_semi").select("o_orderkey")
+    people = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal")
+    return classes.above_floor(table(spark, sf_dir, "orders"), people, "o_custkey", "c_acctbal", 1000).select("o_orderkey")
 
 
 @query("p3_bands", "SELECT c_custkey, CASE WHEN c_acctbal IS NULL THEN 'unknown' WHEN c_acctbal > 1000 THEN '>1k' WHEN c_acctbal > 100 THEN '100-1k' ELSE 'below_floor' END AS band FROM customer")
 def p3_bands(spark, sf_dir):
-    b = F.col("c_acctbal")
-    return table(spark, sf_dir, "customer").select("c_custkey", F.when(b.isNull(), "unknown").when(b > 1000, ">1k").when(b > 100, "100-1k").otherwise("below_floor").alias("band"))
+    return table(spark, sf_dir, "customer").select("c_custkey", classes.population_band(F.col("c_acctbal")).alias("band"))
 
 
-@query("p4_coordinates", f"SELECT c_custkey FROM customer WHERE {LAT.format(k='c_custkey')} BETWEEN 32 AND 40 AND {LON.format(k='c_custkey')} BETWEEN -110 AND -90")
+_FARLAT, _FARLON = "(c_custkey * 7919 % 90000) / 1000.0::DOUBLE", "((c_custkey * 104729 % 360000) / 1000.0::DOUBLE - 180)"
+
+
+@query("p4_coordinates", f"SELECT c_custkey FROM customer WHERE ({_FARLAT} BETWEEN 17 AND 72 AND {_FARLON} BETWEEN -180 AND -60) OR ({_FARLAT} BETWEEN 5 AND 25 AND {_FARLON} BETWEEN 130 AND 180)")
 def p4_coordinates(spark, sf_dir):
     k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").where(lat(k).between(32, 40) & lon(k).between(-110, -90)).select("c_custkey")
+    return table(spark, sf_dir, "customer").where(classes.coordinates_valid((k * 7919 % 90000) / 1000.0, (k * 104729 % 360000) / 1000.0 - 180)).select("c_custkey")
+
+
+def _listed(values: dict) -> list:
+    return [v for vs in values.values() for v in vs]
+
+
+def _case(c: str, values: dict, other: str, missing: str) -> str:
+    q = lambda v: repr(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+    return f"CASE WHEN {c} IS NULL THEN '{missing}' " + " ".join(f"WHEN {c} IN ({', '.join(map(q, vs))}) THEN '{k}'" for k, vs in values.items()) + f" ELSE '{other}' END"
 
 
-@query("p5_value_map", "SELECT o_orderkey, CASE WHEN o_orderpriority IS NULL THEN 'Unknown' WHEN o_orderpriority = '1-URGENT' THEN 'Now' WHEN o_orderpriority = '2-HIGH' THEN 'Soon' ELSE 'Other' END AS v FROM orders")
+def _pick(items: list, key, modulus: int):
+    """One of the items by the key, null and an unlisted value among them."""
+    return F.get(F.array(*[F.lit(x) for x in [*items, "something else", None]]), (key % modulus).cast("int"))
+
+
+_ACT, _OWNERS = _listed(classes.ACTIVITY), _listed(classes.OWNERSHIP)
+_SQL_LIST = lambda items: "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in [*items, "something else"]) + ", NULL]"
+
+
+@query("p5_value_map", f"SELECT o_orderkey, {_case('v', classes.ACTIVITY, 'Other', 'Unknown')} AS v FROM (SELECT o_orderkey, {_SQL_LIST(_ACT)}[1 + o_orderkey % {len(_ACT) + 2}] AS v FROM orders)")
 def p5_value_map(spark, sf_dir):
-    p = F.col("o_orderpriority")
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.when(p.isNull(), "Unknown").when(p == "1-URGENT", "Now").when(p == "2-HIGH", "Soon").otherwise("Other").alias("v"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", classes.activity(_pick(_ACT, F.col("o_orderkey"), len(_ACT) + 2)).alias("v"))
 
 
-@query("p6_reclass", "SELECT p_partkey, CASE WHEN p_brand IN ('Brand#11', 'Brand#12', 'Brand#13') THEN 'public' WHEN p_brand IN ('Brand#21', 'Brand#22') THEN 'private' ELSE 'other' END AS o FROM part")
+@query("p6_reclass", f"SELECT p_partkey, {_case('o', classes.OWNERSHIP, 'Other / Unknown', 'Other / Unknown')} AS o, {_case('u', {'Utility': classes.FUNCTION_UTILITY}, 'Other', 'Unknown')} AS u FROM (SELECT p_partkey, {_SQL_LIST(_OWNERS)}[1 + p_partkey % {len(_OWNERS) + 2}] AS o, {_SQL_LIST(classes.FUNCTION_UTILITY)}[1 + p_partkey % {len(classes.FUNCTION_UTILITY) + 2}] AS u FROM part)")
 def p6_reclass(spark, sf_dir):
-    b = F.col("p_brand")
-    return table(spark, sf_dir, "part").select("p_partkey", F.when(b.isin("Brand#11", "Brand#12", "Brand#13"), "public").when(b.isin("Brand#21", "Brand#22"), "private").otherwise("other").alias("o"))
+    k = F.col("p_partkey")
+    use = _pick(classes.FUNCTION_UTILITY, k, len(classes.FUNCTION_UTILITY) + 2)
+    return table(spark, sf_dir, "part").select("p_partkey", classes.ownership(_pick(_OWNERS, k, len(_OWNERS) + 2)).alias("o"), classes.land_use(use).alias("u"))
 
 
-@query("p7_code_groups", "SELECT p_partkey, CASE WHEN p_size = 11 THEN 'water' WHEN p_size BETWEEN 21 AND 24 THEN 'developed' WHEN p_size BETWEEN 41 AND 43 THEN 'forest' ELSE 'other' END AS g FROM part")
+@query("p7_code_groups", f"SELECT p_partkey, {_case('c', classes.LAND_COVER, 'Other', 'Unknown')} AS g FROM (SELECT p_partkey, CASE WHEN p_partkey % 97 > 95 THEN NULL ELSE p_partkey % 97 END AS c FROM part)")
 def p7_code_groups(spark, sf_dir):
-    s = F.col("p_size")
-    return table(spark, sf_dir, "part").select("p_partkey", F.when(s == 11, "water").when(s.between(21, 24), "developed").when(s.between(41, 43), "forest").otherwise("other").alias("g"))
+    k = F.col("p_partkey") % 97
+    return table(spark, sf_dir, "part").select("p_partkey", classes.land_cover(F.when(k <= 95, k)).alias("g"))
 
 
 @query("p8_log_ratio", "SELECT l_orderkey, l_linenumber, l_partkey, round(ln(1 + coalesce(l_extendedprice, 0)), 9) AS lg, round(l_extendedprice / nullif(l_tax, 0), 6) AS ratio FROM lineitem")
@@ -61,7 +81,7 @@ def p8_log_ratio(spark, sf_dir):
 @query("p9_share_default", "SELECT l_orderkey, CASE WHEN sum(l_quantity) > 0 THEN sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) / sum(l_quantity) ELSE 0 END AS share FROM lineitem GROUP BY 1")
 def p9_share_default(spark, sf_dir):
     t, w = F.sum("l_quantity"), F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0))
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.when(t > 0, w / t).otherwise(0.0).alias("share"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(classes.share(w, t).alias("share"))
 
 
 @query(
@@ -83,7 +103,7 @@ def p11_status_cascade(spark, sf_dir):
 @query("p18_null_tolerant_dates", "SELECT o_orderkey FROM (SELECT *, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderdate END AS ended FROM orders) WHERE ended IS NULL OR ended >= TIMESTAMP '1997-01-01'")
 def p18_null_tolerant_dates(spark, sf_dir):
     o = table(spark, sf_dir, "orders").withColumn("ended", F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderdate")))
-    return o.where(F.col("ended").isNull() | (F.col("ended") >= F.lit("1997-01-01").cast("timestamp_ntz"))).select("o_orderkey")
+    return o.where(classes.alive_since(F.col("ended"), F.lit("1997-01-01").cast("timestamp_ntz"))).select("o_orderkey")
 
 
 @query(
@@ -100,17 +120,17 @@ def p21_site_label(spark, sf_dir):
 
 @query(
     "p22_reasons",
-    "SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(list_filter([CASE WHEN l_quantity > 40 THEN '1_big' END, CASE WHEN l_discount > 0.08 THEN '2_cheap' END, CASE WHEN l_returnflag = 'R' THEN '3_back' END], lambda x: x IS NOT NULL), ',') AS reasons FROM lineitem",
+    "SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(list_filter([CASE WHEN l_quantity > 40 THEN '1_big' END, CASE WHEN l_discount > 0.08 THEN '2_cheap' END, CASE WHEN l_returnflag = 'R' THEN '3_back' END], lambda x: x IS NOT NULL), ',') AS reasons, CASE WHEN l_quantity > 40 THEN 1 WHEN l_discount > 0.08 THEN 2 WHEN l_returnflag = 'R' THEN 3 END AS priority FROM lineitem",
 )
 def p22_reasons(spark, sf_dir):
-    r = F.array_compact(F.array(F.when(F.col("l_quantity") > 40, "1_big"), F.when(F.col("l_discount") > 0.08, "2_cheap"), F.when(F.col("l_returnflag") == "R", "3_back")))
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.array_join(r, ",").alias("reasons"))
+    r, first = classes.reasons({"1_big": F.col("l_quantity") > 40, "2_cheap": F.col("l_discount") > 0.08, "3_back": F.col("l_returnflag") == "R"})
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", r.alias("reasons"), first.alias("priority"))
 
 
 @query("p28_bbox_limit", f"SELECT c_custkey FROM customer WHERE {LAT.format(k='c_custkey')} BETWEEN 33 AND 36 AND {LON.format(k='c_custkey')} BETWEEN -105 AND -95 ORDER BY c_custkey LIMIT 40")
 def p28_bbox_limit(spark, sf_dir):
     k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").where(lat(k).between(33, 36) & lon(k).between(-105, -95)).select("c_custkey").orderBy("c_custkey").limit(40)
+    return table(spark, sf_dir, "customer").where(classes.in_box(lat(k), lon(k), -105, 33, -95, 36)).select("c_custkey").orderBy("c_custkey").limit(40)
 
 
 @query("f1_squeeze", "SELECT doc_id, md5(trim(regexp_replace(lower(text), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))) AS h FROM documents")
@@ -290,7 +310,7 @@ def f28_pixels(spark, sf_dir):
 _CLIP = "greatest(0.0, least(640.0, {v}))"
 
 
-@query("f29_box_remap", f"SELECT p_partkey, x0, y0, x1, y1 FROM (SELECT p_partkey, {_CLIP.format(v='p_partkey % 900 - 150.0')} AS x0, {_CLIP.format(v='p_partkey % 700 - 100.0')} AS y0, {_CLIP.format(v='p_partkey % 900 + p_size - 150.0')} AS x1, {_CLIP.format(v='p_partkey % 700 + p_size - 100.0')} AS y1 FROM part) WHERE x1 - x0 >= 2 AND y1 - y0 >= 2")
+@query("f29_box_remap", f"SELECT p_partkey, x0::DOUBLE AS x0, y0::DOUBLE AS y0, x1::DOUBLE AS x1, y1::DOUBLE AS y1 FROM (SELECT p_partkey, {_CLIP.format(v='p_partkey % 900 - 150.0')} AS x0, {_CLIP.format(v='p_partkey % 700 - 100.0')} AS y0, {_CLIP.format(v='p_partkey % 900 + p_size - 150.0')} AS x1, {_CLIP.format(v='p_partkey % 700 + p_size - 100.0')} AS y1 FROM part) WHERE x1 - x0 >= 2 AND y1 - y0 >= 2")
 def f29_box_remap(spark, sf_dir):
     x, y = (F.col("p_partkey") % 900).cast("double"), (F.col("p_partkey") % 700).cast("double")
     box = geo.remap_box((x, y, x + F.col("p_size"), y + F.col("p_size")), F.lit(150.0), F.lit(100.0), 640, 640)

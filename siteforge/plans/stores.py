@@ -100,7 +100,7 @@ def s11_newest_layer(spark, sf_dir):
     return spark.createDataFrame([(readers.newest_layer(list(layers)), readers.newest_with(layers, ["Verified"]))], "layer string, complete string")
 
 
-@query("s10_vector_layer", "SELECT p_partkey, round((p_size * 10.0) * (p_size * 7.0), 6) AS area FROM part")
+@query("s10_vector_layer", "SELECT p_partkey, round((p_size * 10.0) * (p_size * 7.0), 6)::DOUBLE AS area FROM part")
 def s10_vector_layer(spark, sf_dir):
     """A layer by name: shapes as well-known binary, read back as rings."""
     path, s = new_path(spark, "s10"), F.col("p_size")
@@ -145,7 +145,7 @@ def s17_two_level_partition(spark, sf_dir):
     return readers.partition_of(spark, path, state=3, geoid="BUILDING").select("c_custkey")
 
 
-@query("s22_box_labels", "SELECT p_partkey % 6 AS class, round(p_size / 50.0, 6) AS x, 0.5 AS y FROM part WHERE p_partkey % 10 <> 0")
+@query("s22_box_labels", "SELECT p_partkey % 6 AS class, round(p_size / 50.0, 6) AS x, 0.5::DOUBLE AS y FROM part WHERE p_partkey % 10 <> 0")
 def s22_box_labels(spark, sf_dir):
     """Lines of class and four shares; every tenth line is broken and left out."""
     path, k = new_path(spark, "s22"), F.col("p_partkey")
