@@ -27,7 +27,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: What a byte of an unknown character adds to the score below the worst piece.
 BYTE_PENALTY = 10.0
-CACHE = 200_000
+#: Cuts that are kept, in each of two generations: what the older one is asked for again moves to the younger.
+CACHE = 100_000
 _CUT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -115,7 +116,8 @@ class Encoder:
         self.unknown = next((i for i, (_, _, t) in enumerate(pieces) if t == 2), 0)
         self.penalty = min((s for _, s, t in pieces if t == 1), default=0.0) - BYTE_PENALTY
         self.crosses = any(MARK in p.lstrip(MARK) for p, _, t in pieces if t == 1)
-        self.cache: dict[str, tuple] = {}
+        self.young: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
 
     def viterbi(self, cut: str) -> tuple[tuple[int, ...], float, int]:
         """Ids, score and byte tokens of the best path through one cut."""
@@ -158,17 +160,17 @@ class Encoder:
 
     def encode(self, text: str) -> tuple[list[int], float, int]:
         ids: list[int] = []
-        score, n_bytes, cache = 0.0, 0, self.cache
+        score, n_bytes, young, old = 0.0, 0, self.young, self.old
         if text:
             marked = MARK + text.replace(" ", MARK)
             for cut in [marked] if self.crosses else _CUT.findall(marked):
-                got = cache.get(cut)
+                got = young.get(cut)
                 if got is None:
-                    got = self.viterbi(cut)
+                    got = old.get(cut) or self.viterbi(cut)
                     if len(cut) < 64:
-                        if len(cache) >= CACHE:
-                            cache.clear()
-                        cache[cut] = got
+                        if len(young) >= CACHE:
+                            self.old, self.young = old, young = young, {}
+                        young[cut] = got
                 ids += got[0]
                 score += got[1]
                 n_bytes += got[2]
