@@ -80,7 +80,7 @@ def j22_owner_gap_pairs(spark, sf_dir):
 
 _SRC = "['cwns_point', 'cwns_addr', 'icis_fac_frs', 'icis_fac_addr', 'icis_feat_INF', 'icis_feat_INO']"
 _ORI = "['cwns', 'cwns', 'icis_facility', 'icis_facility', 'icis_feature', 'icis_feature']"
-_MATCHED = f"(SELECT 'k' || o_custkey % 300 AS plant, 's' || lpad(o_orderkey::VARCHAR, 7, '0') AS seed, {_SRC}[1 + o_orderkey % 6] AS source, {_ORI}[1 + o_orderkey % 6] AS origin, o_orderkey % 7 > 0 AS independent, {LAT.format(k='o_orderkey')} AS lat, {LON.format(k='o_orderkey')} AS lon, CASE WHEN o_orderkey % 11 > 0 THEN 'u' || lpad((o_orderkey % 1990 + 1)::VARCHAR, 6, '0') END AS ll_uuid, CASE WHEN o_orderkey % 11 = 0 THEN 'none' WHEN o_orderkey % 5 = 0 THEN 'snapped' ELSE 'inside' END AS match_kind FROM orders)"
+_MATCHED = f"(SELECT 'k' || o_custkey AS plant, 's' || lpad(o_orderkey::VARCHAR, 7, '0') AS seed, {_SRC}[1 + o_orderkey % 6] AS source, {_ORI}[1 + o_orderkey % 6] AS origin, o_orderkey % 7 > 0 AS independent, {LAT.format(k='o_orderkey')} AS lat, {LON.format(k='o_orderkey')} AS lon, CASE WHEN o_orderkey % 11 > 0 THEN 'u' || lpad((o_orderkey % 1990 + 1)::VARCHAR, 6, '0') END AS ll_uuid, CASE WHEN o_orderkey % 11 = 0 THEN 'none' WHEN o_orderkey % 5 = 0 THEN 'snapped' ELSE 'inside' END AS match_kind FROM orders)"
 
 
 def matched(spark, sf_dir):
@@ -88,7 +88,7 @@ def matched(spark, sf_dir):
     src, ori = F.array(*[F.lit(x) for x in sites.SOURCES]), F.array(*[F.lit(x) for x in ("cwns", "cwns", "icis_facility", "icis_facility", "icis_feature", "icis_feature")])
     m = (k % 6).cast("int")
     return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("k"), (F.col("o_custkey") % 300).cast("string")).alias("plant"), F.concat(F.lit("s"), F.lpad(k.cast("string"), 7, "0")).alias("seed"), F.get(src, m).alias("source"), F.get(ori, m).alias("origin"), (k % 7 > 0).alias("independent"), lat(k).alias("lat"), lon(k).alias("lon"),
+        F.concat(F.lit("k"), F.col("o_custkey").cast("string")).alias("plant"), F.concat(F.lit("s"), F.lpad(k.cast("string"), 7, "0")).alias("seed"), F.get(src, m).alias("source"), F.get(ori, m).alias("origin"), (k % 7 > 0).alias("independent"), lat(k).alias("lat"), lon(k).alias("lon"),
         F.when(k % 11 > 0, F.concat(F.lit("u"), F.lpad((k % 1990 + 1).cast("string"), 6, "0"))).alias("ll_uuid"), F.when(k % 11 == 0, "none").when(k % 5 == 0, "snapped").otherwise("inside").alias("match_kind"),
     )
 
@@ -120,20 +120,20 @@ def c3_build_sites(spark, sf_dir):
 
 @query(
     "c1_plant_seeds",
-    f"""WITH p AS (SELECT 'k' || c_custkey AS plant, {LAT.format(k='c_custkey')} AS lat, {LON.format(k='c_custkey')} AS lon FROM customer WHERE c_custkey <= 250), s AS (SELECT * FROM {_MATCHED} WHERE plant IN (SELECT plant FROM p)),
+    f"""WITH p AS (SELECT 'k' || c_custkey AS plant, {LAT.format(k='c_custkey')} AS lat, {LON.format(k='c_custkey')} AS lon FROM customer), s AS (SELECT * FROM {_MATCHED} WHERE plant IN (SELECT plant FROM p)),
     add_ AS (SELECT * FROM p WHERE plant NOT IN (SELECT plant FROM s WHERE source = 'cwns_point')), n AS (SELECT s.*, a.lat IS NOT NULL AND {hav('s.lat', 's.lon', 'a.lat', 'a.lon')} <= 1 AS near FROM s LEFT JOIN add_ a USING (plant))
     SELECT plant, seed, source, independent AND NOT coalesce(near, false) AS independent, CASE WHEN near THEN plant || '_cwns_point_1' ELSE '' END AS copy_of FROM n UNION ALL SELECT plant, plant || '_cwns_point_1', 'cwns_point', true, '' FROM add_""",
 )
 def c1_plant_seeds(spark, sf_dir):
     k = F.col("c_custkey")
-    p = table(spark, sf_dir, "customer").where("c_custkey <= 250").select(F.concat(F.lit("k"), k.cast("string")).alias("plant"), lat(k).alias("lat"), lon(k).alias("lon"))
+    p = table(spark, sf_dir, "customer").select(F.concat(F.lit("k"), k.cast("string")).alias("plant"), lat(k).alias("lat"), lon(k).alias("lon"))
     s = matched(spark, sf_dir).select("plant", "seed", "source", "origin", "lat", "lon", "independent", F.lit("").alias("copy_of"))
     return sites.with_plant_seeds(s, p).select("plant", "seed", "source", "independent", "copy_of")
 
 
 @query(
     "c4_seed_features",
-    f"""WITH m AS MATERIALIZED (SELECT * FROM {_MATCHED}), c AS MATERIALIZED (SELECT plant, ll_uuid, {LAT.format(k='substr(ll_uuid, 2)::BIGINT')} AS lat, {LON.format(k='substr(ll_uuid, 2)::BIGINT')} AS lon FROM m WHERE ll_uuid IS NOT NULL UNION SELECT 'k' || c_custkey % 300, 'u' || lpad(c_custkey::VARCHAR, 6, '0'), {LAT.format(k='c_custkey')}, {LON.format(k='c_custkey')} FROM customer),
+    f"""WITH m AS MATERIALIZED (SELECT * FROM {_MATCHED}), c AS MATERIALIZED (SELECT plant, ll_uuid, {LAT.format(k='substr(ll_uuid, 2)::BIGINT')} AS lat, {LON.format(k='substr(ll_uuid, 2)::BIGINT')} AS lon FROM m WHERE ll_uuid IS NOT NULL UNION SELECT 'k' || c_custkey, 'u' || lpad(c_custkey::VARCHAR, 6, '0'), {LAT.format(k='c_custkey')}, {LON.format(k='c_custkey')} FROM customer),
     d AS (SELECT c.plant, c.ll_uuid, m.source, m.origin, m.independent, {hav('c.lat', 'c.lon', 'm.lat', 'm.lon')} AS d FROM c JOIN m USING (plant)),
     n AS (SELECT plant, ll_uuid, min(d) AS a, min(d) FILTER (WHERE independent) AS b, min(d) FILTER (WHERE source = 'cwns_point') AS p, count(DISTINCT origin) FILTER (WHERE independent AND d <= 2000) AS o2 FROM d GROUP BY 1, 2), o AS (SELECT plant, ll_uuid, count(DISTINCT origin) FILTER (WHERE independent) AS so, bool_or(source = 'cwns_point') AS op, bool_or(starts_with(source, 'icis')) AS oi FROM m WHERE ll_uuid IS NOT NULL GROUP BY 1, 2)
     SELECT c.plant, c.ll_uuid, round(a / 1000, 3) AS nearest_km, round(b / 1000, 3) AS indep_km, round(p / 1000, 3) AS point_km, coalesce(o2, 0) AS n_origins_2km, o.plant IS NOT NULL AS on_seed_parcel, coalesce(so, 0) AS seed_parcel_n_origins, coalesce(op, false) AS on_parcel_cwns_point, coalesce(oi, false) AS on_parcel_icis FROM c LEFT JOIN n USING (plant, ll_uuid) LEFT JOIN o USING (plant, ll_uuid)""",
@@ -141,7 +141,7 @@ def c1_plant_seeds(spark, sf_dir):
 def c4_seed_features(spark, sf_dir):
     m = matched(spark, sf_dir)
     own = m.where("ll_uuid is not null").select("plant", "ll_uuid", F.substring("ll_uuid", 2, 9).cast("bigint").alias("n"))
-    other = table(spark, sf_dir, "customer").select(F.concat(F.lit("k"), (F.col("c_custkey") % 300).cast("string")).alias("plant"), F.concat(F.lit("u"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("ll_uuid"), F.col("c_custkey").alias("n"))
+    other = table(spark, sf_dir, "customer").select(F.concat(F.lit("k"), F.col("c_custkey").cast("string")).alias("plant"), F.concat(F.lit("u"), F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("ll_uuid"), F.col("c_custkey").alias("n"))
     cand = own.unionByName(other).distinct().select("plant", "ll_uuid", lat(F.col("n")).alias("lat"), lon(F.col("n")).alias("lon"))
     s = m.where("ll_uuid is not null").groupBy("plant").agg(F.collect_set("ll_uuid").alias("ll_uuids")).withColumns({"n_origins": F.lit(1), "is_best_site": F.lit(True)})
     f = sites.seed_features(cand, m, m, s)
