@@ -486,24 +486,3 @@ def test_pipeline_language_rejects_what_no_language_fits(spark):
     got = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, d.unionByName(more), SF).collect()}
     assert -1 not in got and -2 not in got and got[-3] == "de"
     assert {r.doc_id for r in d.where("text rlike '\\\\p{L}'").collect()} <= set(got)
-
-
-def test_a_very_long_text_passes_every_operator(spark, docs):
-    """60,000 words in one row beside nulls, and columns that clash with every operator's own."""
-    words_ = [f"w{i * 7919 % 50021}" for i in range(60000)]
-    clash = ["spans", "kept", "ids", "score", "fp", "lang_pred", "runs", "node", "shard", "slot", "host", "n_words", "verdict"]
-    d = spark.createDataFrame([(1, " ".join(words_)), (2, None)], "doc_id long, text string").select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(clash)])
-    one = lambda df: df.where("doc_id = 1").first()
-    assert one(quality.clean(d)).n_words == 60000
-    assert one(pii.find(d, pii.train([]))).n_added == 0
-    assert one(pieces.encode(d)).round_trip
-    assert one(langid.identify(d, [("en", langid.letters(EN))])).lang_pred == "en"
-    assert one(simhash.near_duplicates(d)).component_id == 1
-    assert one(repeats.remove_repeats(d)).n_bytes == len(" ".join(words_))
-    bench = spark.createDataFrame([(7, " ".join(words_[30000:30050]))], "item_id long, text string")
-    assert contamination.contaminated(d, bench).count() == 1
-    model = katz.Katz(katz.keyed(d).withColumn("train", F.lit(True)), chunk=20000)
-    assert model.tokens == 60002 and model.score().agg(F.sum("n")).first()[0] == 60002
-    assert sharding.shard(d, 2).count() == 2
-    pages = d.select(F.col("doc_id").alias("page_id"), F.concat(F.lit("http://long.org/"), "text").alias("url"), F.col("text").alias("html"), "host", "verdict")
-    assert urls.judge(pages).where("page_id = 1").first().verdict == "allow"
