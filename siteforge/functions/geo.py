@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 EARTH_M = 6371008.8
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value evaluated once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: float = EARTH_M) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
     return 2 * radius * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
@@ -92,6 +97,10 @@ def ring_area(ring: Column) -> Column:
 
 def in_ring(ring: Column, x: Column, y: Column) -> Column:
     """Even-odd crossing test, boundary included; ring is closed."""
+    return let(F.struct(ring.alias("ring"), x.alias("x"), y.alias("y")), lambda s: _in_ring(s["ring"], s["x"], s["y"]))
+
+
+def _in_ring(ring: Column, x: Column, y: Column) -> Column:
     edges = F.transform(F.sequence(F.lit(0), F.size(ring) - 2), lambda i: F.struct(F.get(ring, i).alias("a"), F.get(ring, i + 1).alias("b")))
     on = F.exists(
         edges,
@@ -189,17 +198,26 @@ def box_overlap(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) ->
 
 
 def centroid(ring: Column) -> Column:
-    """struct(x, y): the area's centre; the mean of the corners where the area is 0."""
+    """struct(x, y): the area's centre; the mean of the corners where the area is 0.
+
+    It is taken from the first corner on: far from the origin the products would lose the digits that tell corners apart.
+    """
+    near = lambda r: F.transform(r, lambda p: F.struct((p["x"] - F.get(r, F.lit(0))["x"]).alias("x"), (p["y"] - F.get(r, F.lit(0))["y"]).alias("y")))
+    back = lambda r, c: F.struct((F.get(r, F.lit(0))["x"] + c["x"]).alias("x"), (F.get(r, F.lit(0))["y"] + c["y"]).alias("y"))
+    return let(ring, lambda r: let(let(near(r), _centroid), lambda c: back(r, c)))
+
+
+def _centroid(ring: Column) -> Column:
     start = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
     def add(acc, e):
         k = e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]
         return F.struct((acc["a"] + k).alias("a"), (acc["x"] + (e["a"]["x"] + e["b"]["x"]) * k).alias("x"), (acc["y"] + (e["a"]["y"] + e["b"]["y"]) * k).alias("y"))
 
-    s = F.aggregate(_edges(ring), start, add)
     corners = F.slice(ring, 1, F.size(ring) - 1)
     mean = lambda f: F.aggregate(corners, F.lit(0.0), lambda t, p: t + p[f]) / F.size(corners)
-    return F.struct(F.when(s["a"] != 0, s["x"] / (3 * s["a"])).otherwise(mean("x")).alias("x"), F.when(s["a"] != 0, s["y"] / (3 * s["a"])).otherwise(mean("y")).alias("y"))
+    at = lambda s, f: F.when(s["a"] != 0, s[f] / (3 * s["a"])).otherwise(mean(f)).alias(f)
+    return let(F.aggregate(_edges(ring), start, add), lambda s: F.struct(at(s, "x"), at(s, "y")))
 
 
 def surface_point(ring: Column) -> Column:

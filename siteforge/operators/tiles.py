@@ -58,9 +58,9 @@ def _pole(rings: pd.Series) -> pd.DataFrame:
 
 def interior_points(df: DataFrame, ring: str = "ring") -> DataFrame:
     """df with px, py and point_method: the centroid where it is inside, else the pole of inaccessibility (only then Python runs)."""
-    c = geo.centroid(F.col(ring))
-    d = df.withColumn("c_", c).withColumn("in_", geo.in_ring(F.col(ring), F.col("c_.x"), F.col("c_.y")))
-    inside = d.where("in_").select(*df.columns, F.col("c_.x").alias("px"), F.col("c_.y").alias("py"), F.lit("centroid").alias("point_method"))
+    at = lambda r: geo.let(geo.centroid(r), lambda c: F.struct(c["x"].alias("x_"), c["y"].alias("y_"), geo.in_ring(r, c["x"], c["y"]).alias("in_")))
+    d = df.select("*", F.inline(F.array(geo.let(F.col(ring), at))))  # a generator: filters don't copy the expression below it
+    inside = d.where("in_").select(*df.columns, F.col("x_").alias("px"), F.col("y_").alias("py"), F.lit("centroid").alias("point_method"))
     rest = d.where("not in_").withColumn("p_", _pole(ring))
     return inside.unionByName(rest.select(*df.columns, F.col("p_.x").alias("px"), F.col("p_.y").alias("py"), F.lit("polylabel").alias("point_method")))
 

@@ -255,3 +255,12 @@ def test_text_rules(spark):
     assert t.site == "17000281001" and one(text.tile_name(F.lit("TRI_12345ABCDE_r01_c01.txt"))).site == "TRI_12345ABCDE" and one(text.tile_name(F.lit("junk.txt"))) is None
     assert one(text.keep_ends(F.lit("10%\r20%\r100%\nok"), 50, 50)) == "100%\nok"
     assert one(text.source_category(F.lit("cwns_addr+icis_fac_addr"))).startswith("Both") and one(text.source_category(F.lit("icis_feat_INF+icis_feat_INO"))) == "ICIS permit feature (INF/INO)"
+
+
+def test_interior_points_far_from_the_origin(spark):
+    """The centroid keeps its digits, and the ring's expression stands in the plan a few times only (2740 before)."""
+    s = F.col("id").cast("double") * 8192
+    d = tiles.interior_points(spark.range(1000).select("id", geo.box_ring(s + 1e8, s + 3e8, s + 1e8 + 10, s + 3e8 + 7).alias("ring")))
+    assert d._jdf.queryExecution().optimizedPlan().toString().count("cast(id") < 100
+    assert d.where("point_method <> 'centroid' or abs(px - 1e8 - id * 8192 - 5) > 1e-6 or abs(py - 3e8 - id * 8192 - 3.5) > 1e-6").isEmpty()
+    assert d.count() == 1000
