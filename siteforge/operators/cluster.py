@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteforge.storage import cut
+from siteforge.storage import stored
 
 
 def components(nodes: DataFrame, edges: DataFrame, group: str | None = None) -> DataFrame:
@@ -18,15 +18,15 @@ def components(nodes: DataFrame, edges: DataFrame, group: str | None = None) ->
     without an edge are their own label.
     """
     by = [group] if group else []
-    both = cut(edges.select(*by, "a", "b").unionByName(edges.select(*by, F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = cut(both.select(*by, F.col("a").alias("node")).distinct().withColumn("label", F.col("node")))
+    both = stored(edges.select(*by, "a", "b").unionByName(edges.select(*by, F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = stored(both.select(*by, F.col("a").alias("node")).distinct().withColumn("label", F.col("node")))
     while True:
         near = both.join(label.withColumnRenamed("node", "b"), [*by, "b"]).groupBy(*by, F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        low = cut(label.join(near, [*by, "node"]).select(*by, "node", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("moved")))
+        low = stored(label.join(near, [*by, "node"]).select(*by, "node", F.least("label", "near").alias("label"), (F.col("near") < F.col("label")).alias("moved")))
         if low.where("moved").isEmpty():
             break
         root = low.select(*by, F.col("node").alias("label"), F.col("label").alias("up"))
-        label = cut(low.join(root, [*by, "label"], "left").select(*by, "node", F.least("label", F.coalesce("up", "label")).alias("label")))
+        label = stored(low.join(root, [*by, "label"], "left").select(*by, "node", F.least("label", F.coalesce("up", "label")).alias("label")))
     return nodes.join(low.drop("moved"), [*by, "node"], "left").select(*by, "node", F.coalesce("label", "node").alias("label"))
 
 

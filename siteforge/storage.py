@@ -34,6 +34,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder and read again, for loops: its size is estimated from its files.
+
+    A checkpoint keeps the estimate of the plan it cuts. Where a loop joins its last results, the product grows to a number of millions
+    of digits, which fills the driver's memory before any row does.
+    """
+    path = new_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the checkpoint folder that nothing has used."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -143,3 +143,16 @@ def test_registry_matches_oracles():
     from siteforge.plans import registry
 
     assert set(registry.oracle_sql()) <= set(registry.queries()) and len(registry.queries()) > 150
+
+
+def test_components_of_a_long_chain_estimate_no_huge_size(spark):
+    """A round must not multiply the last round's estimated size: its digits had doubled from join to join."""
+    from pyspark.sql import functions as F
+
+    from siteforge.operators import cluster
+
+    n = 600
+    edges = spark.range(n - 1).select(F.lit(0).alias("g"), (F.col("id") * 7 % n).alias("a"), ((F.col("id") + 1) * 7 % n).alias("b"))
+    got = cluster.components(spark.range(n).select(F.lit(0).alias("g"), F.col("id").alias("node")), edges, "g")
+    assert got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 300
+    assert got.where("label <> 0").isEmpty() and got.count() == n
