@@ -249,11 +249,22 @@ def keepers(df: DataFrame, group: str, key: str, preferred: Column) -> DataFrame
     return d.withColumn("action", action).drop("n_", "f_")
 
 
-def coverage(zones: DataFrame, pixel_m: float) -> DataFrame:
-    """(zone, px, py, share) of the pixels that a zone's ring (zone, ring) touches: which share of each it covers."""
+def coverage(zones: DataFrame, pixel_m: float, raster: tuple[int, int] | None = None) -> DataFrame:
+    """(zone, px, py, share) of the pixels that a zone's ring (zone, ring) touches: which share of each it covers.
+
+    raster: columns and rows of the raster from pixel (0, 0) on, which has no others; without it the plane has no end.
+    """
     x0, y0, x1, y1 = bounds(F.col("ring"))
     at = lambda c: F.floor(c / pixel_m).cast("bigint")
-    d = zones.withColumn("px", F.explode(F.sequence(at(x0), at(x1)))).withColumn("py", F.explode(F.sequence(at(y0), at(y1))))
+
+    def pixels(low, high, n):
+        if n is None:
+            return F.sequence(at(low), at(high))
+        first, last = F.greatest(at(low), F.lit(0)), F.least(at(high), F.lit(n - 1))
+        return F.when(first <= last, F.sequence(first, F.greatest(first, last))).otherwise(F.array().cast("array<bigint>"))
+
+    nx, ny = raster or (None, None)
+    d = zones.withColumn("px", F.explode(pixels(x0, x1, nx))).withColumn("py", F.explode(pixels(y0, y1, ny)))
     px, py = F.col("px") * pixel_m, F.col("py") * pixel_m
     share = geo.box_overlap(F.col("ring"), px, py, px + pixel_m, py + pixel_m) / (pixel_m * pixel_m)
     return d.select("zone", "px", "py", share.alias("share")).where("share > 0")

@@ -264,3 +264,9 @@ def test_interior_points_far_from_the_origin(spark):
     assert d._jdf.queryExecution().optimizedPlan().toString().count("cast(id") < 100
     assert d.where("point_method <> 'centroid' or abs(px - 1e8 - id * 8192 - 5) > 1e-6 or abs(py - 3e8 - id * 8192 - 3.5) > 1e-6").isEmpty()
     assert d.count() == 1000
+
+
+def test_coverage_ends_with_the_raster(spark):
+    z = spark.createDataFrame([(1, -10.0, 65.0), (2, 200.0, 5.0)], "zone long, x double, y double").select("zone", geo.box_ring(F.col("x"), F.col("y"), F.col("x") + 40, F.col("y") + 40).alias("ring"))
+    got = {(r.zone, r.px, r.py) for r in tiles.coverage(z, 30.0, (4, 3)).collect()}
+    assert got == {(1, 0, 2)} and tiles.coverage(z, 30.0).count() == 8
