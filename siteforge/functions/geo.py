@@ -112,6 +112,15 @@ def _in_ring(ring: Column, x: Column, y: Column) -> Column:
     return on | (F.size(cross) % 2 == 1)
 
 
+def in_corners(corners: list[tuple[Column, Column]], x: Column, y: Column) -> Column:
+    """in_ring for a ring of a fixed number of corners (x, y), the first not repeated: plain arithmetic, which Spark compiles."""
+    on, crossings = F.lit(False), F.lit(0)
+    for (ax, ay), (bx, by) in zip(corners, corners[1:] + corners[:1]):
+        on = on | (((bx - ax) * (y - ay) - (by - ay) * (x - ax)) == 0) & x.between(F.least(ax, bx), F.greatest(ax, bx)) & y.between(F.least(ay, by), F.greatest(ay, by))
+        crossings = crossings + F.when((ay > y) != (by > y), (x < (bx - ax) * (y - ay) / (by - ay) + ax).cast("int")).otherwise(0)
+    return on | (crossings % 2 == 1)
+
+
 def hex_center(q: Column, r: Column, size: float = 190.5) -> tuple[Column, Column]:
     """Metric centre of an axial hex cell."""
     return size * 1.7320508075688772 * (q + r / 2), size * 1.5 * r

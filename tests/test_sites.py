@@ -270,3 +270,26 @@ def test_coverage_ends_with_the_raster(spark):
     z = spark.createDataFrame([(1, -10.0, 65.0), (2, 200.0, 5.0)], "zone long, x double, y double").select("zone", geo.box_ring(F.col("x"), F.col("y"), F.col("x") + 40, F.col("y") + 40).alias("ring"))
     got = {(r.zone, r.px, r.py) for r in tiles.coverage(z, 30.0, (4, 3)).collect()}
     assert got == {(1, 0, 2)} and tiles.coverage(z, 30.0).count() == 8
+
+
+def test_points_share_places(spark):
+    """points_in_boxes and close_by_place look a place up once and still give every row there."""
+    pts = [(i, float(i % 5), float(i % 3)) for i in range(60)]
+    box = [(j, j - 1.0, 0.0, j + 0.5, 1.0) for j in range(5)]
+    p, b = spark.createDataFrame(pts, "k long, x double, y double"), spark.createDataFrame(box, "b long, x0 double, y0 double, x1 double, y1 double")
+    got = joins.points_in_boxes(p, b, 0.75)
+    assert got.columns == ["k", "x", "y", "b", "x0", "y0", "x1", "y1"]
+    assert sorted((r.k, r.b) for r in got.collect()) == sorted((k, j) for k, x, y in pts for j, x0, y0, x1, y1 in box if x0 <= x <= x1 and y0 <= y <= y1)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1  # places, before the cells are joined
+    ll = spark.createDataFrame([(i, 70.0 + (i * 7 % 4) / 100, 179.99 if i % 2 else -179.99) for i in range(40)], "k long, lat double, lon double")
+    right = ll.select(F.col("k").alias("o"), F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
+    want = sorted((r.k, r.o) for r in joins.within_distance(ll, right, 1500.0).where("k < o").collect())
+    assert sorted(map(tuple, joins.close_by_place(ll, "k", 1500.0).collect())) == want and len(want) > 100
+
+
+def test_corners_as_rings(spark):
+    c = [(F.lit(0.0), F.lit(0.0)), (F.lit(4.0), F.lit(0.0)), (F.lit(1.0), F.lit(2.0)), (F.lit(0.0), F.lit(4.0))]
+    ring = F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in [*c, c[0]]])
+    p = spark.range(400).select((F.col("id") % 20 / 4 - 0.5).alias("x"), (F.floor(F.col("id") / 20) / 4 - 0.5).alias("y"))
+    d = p.select(geo.in_corners(c, F.col("x"), F.col("y")).alias("a"), geo.in_ring(ring, F.col("x"), F.col("y")).alias("b"))
+    assert d.where("a <> b or a is null").isEmpty() and 0 < d.where("a").count() < 400
