@@ -11,7 +11,9 @@ are proposed in two ways, verified alike:
 All pairs of a key of at most ALL_PAIRS nodes are verified. In a larger one (a group of many near copies) each node is verified
 against LEADERS members, so that the work grows with the nodes: the one that meets most others over all its keys (the original of
 edited copies, which need not be alike among themselves) and the first by hash. Nodes that no leader links are dealt with again among
-themselves: all pairs of a key where few are left, leaders of their own else, until a round links nothing more.
+themselves: all pairs of a key where few are left, leaders of their own else, until a round links nothing more. The leaders only merge
+what is alike early: at the end every two nodes of a key that no chain of edges joins yet are verified, so no link of a key is lost.
+The work of that follows the pairs of different components in a key, and is quadratic where a key holds many that are not alike.
 
 Nulls: null and empty texts have the empty set and are copies of one another. Repeated rows share a node, ties in the order of
 leaders have equal nodes, an empty table has no nodes, and a very long text takes memory in proportion to its words.
@@ -116,6 +118,15 @@ def loose(hot: DataFrame, pairs: DataFrame, edges: DataFrame) -> DataFrame:
     return hot.join(good, "node", "left_anti")
 
 
+def unsettled(hot: DataFrame, edges: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of nodes that share a key of hot (node, key) and that no chain of edges joins."""
+    at = cut(hot.select("node", "key").join(components(hot.select("node").distinct(), edges), "node"))
+    mixed = at.groupBy("key").agg((F.min("label") != F.max("label")).alias("m")).where("m").select("key")
+    a = at.join(mixed, "key").select("key", F.col("node").alias("a"), F.col("label").alias("la"))
+    b = at.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
+    return a.join(b, "key").where("a < b and la <> lb").select("a", "b").distinct()
+
+
 @F.pandas_udf(DoubleType())
 def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
     def one(x: bytes, y: bytes) -> float:
@@ -148,7 +159,7 @@ def linked(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) ->
     near = ordered(balls.join(of("a"), "a").join(of("b"), "b"), "na", "nb")
     same = ordered(printed.join(first, "print").where("node <> first"), "node", "first")  # different sets of one print
     met = meetings(nodes.select("node", "keys"))
-    hot = met.where(F.col("n") > ALL_PAIRS).select("node", "key", "score")
+    large = hot = met.where(F.col("n") > ALL_PAIRS).select("node", "key", "score")
     led_ = cut(led(hot).where("node <> leader"))
     pairs = cut(small_groups(met).unionByName(near).unionByName(same).unionByName(ordered(led_, "node", "leader")).distinct())
     edges = out = verified(pairs, nodes, docs, similarity)
@@ -162,7 +173,8 @@ def linked(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) ->
             break
         edges = verified(pairs, nodes, docs, similarity)
         out = out.unionByName(edges)
-    return out
+    left = cut(unsettled(large, out))
+    return out if left.isEmpty() else out.unionByName(verified(left, nodes, docs, similarity))
 
 
 def labels(made: DataFrame, docs: DataFrame) -> DataFrame:

@@ -486,3 +486,14 @@ def test_pipeline_language_rejects_what_no_language_fits(spark):
     got = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, d.unionByName(more), SF).collect()}
     assert -1 not in got and -2 not in got and got[-3] == "de"
     assert {r.doc_id for r in d.where("text rlike '\\\\p{L}'").collect()} <= set(got)
+
+
+def test_near_duplicates_of_a_large_key_lose_no_link(spark):
+    """A chain of 40 texts in one key, each alike to its neighbours only: what leaders take out must still link the others."""
+    from siteforge.llm import neardup
+
+    texts = [(i, " ".join(f"w{j}" for j in range(10 * i, 10 * i + 100))) for i in range(40)]
+    docs = spark.createDataFrame(texts, "th long, text string")
+    made = neardup.sets(docs.select("th", "text")).withColumns({"keys": F.array(F.lit(1).cast("long")), "print": F.xxhash64("th")})
+    got = neardup.labels(made, docs)
+    assert got.count() == 40 and got.select("label").distinct().count() == 1
