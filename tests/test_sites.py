@@ -314,3 +314,13 @@ def test_iou_pairs(spark):
         got = joins.iou_pairs(d, "k", least, 0.25)
         assert sorted(map(tuple, got.collect())) == want and want
         assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_site_points_far_from_the_origin(spark):
+    """A site's point without objects keeps its digits, and its ring's expression stands in the plan a few times only."""
+    s = F.col("id").cast("double") * 8192
+    d = spark.range(50).select(F.col("id").alias("site"), geo.box_ring(s + 1e8, s + 3e8, s + 1e8 + 10, s + 3e8 + 7).alias("ring"), F.lit(True).alias("seed"))
+    p = tiles.site_points(d, spark.createDataFrame([(1, 1e8 + 8193.0, 3e8 + 8194.0, 0.9)], "site long, x double, y double, conf double"))
+    assert p._jdf.queryExecution().optimizedPlan().toString().count("cast(id") < 200
+    got = {r.site: (r.x, r.y, r.coord_method) for r in p.collect()}
+    assert len(got) == 50 and got[1] == (1e8 + 8193.0, 3e8 + 8194.0, "objects") and got[2] == (1e8 + 16384 + 5, 3e8 + 16384 + 3.5, "centroid")
