@@ -229,6 +229,25 @@ def _centroid(ring: Column) -> Column:
     return let(F.aggregate(_edges(ring), start, add), lambda s: F.struct(at(s, "x"), at(s, "y")))
 
 
+def corners_centroid(corners: list[tuple[Column, Column]]) -> Column:
+    """centroid for a ring of a fixed number of corners (x, y), the first not repeated: plain arithmetic, which Spark compiles."""
+    x0, y0 = corners[0]
+    near = [(x - x0, y - y0) for x, y in corners]
+    area, mx, my = F.lit(0.0), F.lit(0.0), F.lit(0.0)
+    for (ax, ay), (bx, by) in zip(near, near[1:] + near[:1]):
+        k = ax * by - bx * ay
+        area, mx, my = area + k, mx + (ax + bx) * k, my + (ay + by) * k
+    mean = lambda i: sum((p[i] for p in near), F.lit(0.0)) / len(near)
+    at = lambda m, i: F.when(area != 0, m / (3 * area)).otherwise(mean(i))
+    return F.struct((x0 + at(mx, 0)).alias("x"), (y0 + at(my, 1)).alias("y"))
+
+
+def four_corners(ring: Column) -> tuple[Column, list[tuple[Column, Column]]]:
+    """Whether a ring is closed and has four corners, and those."""
+    p = [(F.get(ring, F.lit(i))["x"], F.get(ring, F.lit(i))["y"]) for i in range(5)]
+    return (F.size(ring) == 5) & (p[4][0] == p[0][0]) & (p[4][1] == p[0][1]), p[:4]
+
+
 def surface_point(ring: Column) -> Column:
     """struct(x, y): a point of the area: the middle of the widest chord at half the ring's height."""
     ys = F.transform(ring, lambda p: p["y"])

@@ -57,9 +57,16 @@ def _pole(rings: pd.Series) -> pd.DataFrame:
 
 
 def interior_points(df: DataFrame, ring: str = "ring") -> DataFrame:
-    """df with px, py and point_method: the centroid where it is inside, else the pole of inaccessibility (only then Python runs)."""
-    at = lambda r: geo.let(geo.centroid(r), lambda c: F.struct(c["x"].alias("x_"), c["y"].alias("y_"), geo.in_ring(r, c["x"], c["y"]).alias("in_")))
-    d = df.select("*", F.inline(F.array(geo.let(F.col(ring), at))))  # a generator: filters don't copy the expression below it
+    """df with px, py and point_method: the centroid where it is inside, else the pole of inaccessibility (only then Python runs).
+
+    Rings of four corners are worked out in plain arithmetic, which Spark compiles; a lambda runs for all others.
+    """
+    r = F.col(ring)
+    four, corners = geo.four_corners(r)
+    d = df.withColumn("c_", F.when(four, geo.corners_centroid(corners)).otherwise(geo.centroid(r)))
+    d = d.select(*df.columns, F.inline(F.array("c_")).alias("x_", "y_"))  # generators: filters don't copy the expressions below them
+    d = d.withColumn("i_", F.when(four, geo.in_corners(corners, F.col("x_"), F.col("y_"))).otherwise(geo.in_ring(r, F.col("x_"), F.col("y_"))))
+    d = d.select(*df.columns, "x_", "y_", F.explode(F.array("i_")).alias("in_"))
     inside = d.where("in_").select(*df.columns, F.col("x_").alias("px"), F.col("y_").alias("py"), F.lit("centroid").alias("point_method"))
     rest = d.where("not in_").withColumn("p_", _pole(ring))
     return inside.unionByName(rest.select(*df.columns, F.col("p_.x").alias("px"), F.col("p_.y").alias("py"), F.lit("polylabel").alias("point_method")))
@@ -73,7 +80,7 @@ def largest_part(df: DataFrame, key: str, ring: str = "ring") -> DataFrame:
 def site_points(sites: DataFrame, objects: DataFrame, least: float = 0.4) -> DataFrame:
     """(site, x, y, coord_method, n_objects) of sites (site, ring, seed): the mean of the strong objects (site, x, y, conf) inside any of the
     site's rings, else the interior point of its seed ring."""
-    strong = objects.where(F.col("conf") >= least).select("site", F.col("x").alias("ox"), F.col("y").alias("oy"))
+    strong = objects.where(F.col("conf") >= least).select("site", F.col("x").alias("ox"), F.col("y").alias("oy")).distinct()  # a place is tested once
     hit = sites.join(strong, "site").where(geo.in_ring(F.col("ring"), F.col("ox"), F.col("oy"))).select("site", "ox", "oy").distinct()
     mean = hit.groupBy("site").agg(F.avg("ox").alias("mx"), F.avg("oy").alias("my"), F.count(F.lit(1)).alias("n"))
     seed = interior_points(sites.where("seed").select("site", "ring"))

@@ -324,3 +324,29 @@ def test_site_points_far_from_the_origin(spark):
     assert p._jdf.queryExecution().optimizedPlan().toString().count("cast(id") < 200
     got = {r.site: (r.x, r.y, r.coord_method) for r in p.collect()}
     assert len(got) == 50 and got[1] == (1e8 + 8193.0, 3e8 + 8194.0, "objects") and got[2] == (1e8 + 16384 + 5, 3e8 + 16384 + 3.5, "centroid")
+
+
+def test_rings_of_four_corners_by_arithmetic(spark):
+    """Boxes, bent and crossed quadrilaterals, and those without area or end give the same point by arithmetic as by the general way; a
+    site's objects are reduced to places before any ring is tested."""
+    import random
+
+    rnd = random.Random(3)
+    rings = [[(rnd.uniform(-9, 9) + 1e5, rnd.uniform(-9, 9)) for _ in range(4)] for _ in range(60)]
+    rings += [[(0.0, 0.0), (4.0, 4.0), (2.0, 2.0), (1.0, 1.0)], [(3.0, 3.0)] * 4, [(0.0, 0.0), (4.0, 0.0), (1.0, 1.0), (0.0, 4.0)]]
+    rings = [[*r, r[0]] for r in rings] + [[(0.0, 0.0), (4.0, 0.0), (4.0, 3.0), (0.0, 3.0), (9.0, 9.0)]]
+    d = spark.createDataFrame(list(enumerate(rings)), "k long, ring array<struct<x:double,y:double>>")
+    r = F.col("ring")
+    four, corners = geo.four_corners(r)
+    assert d.where(four).count() == len(rings) - 1
+    near = lambda a, b: F.abs(a["x"] - b["x"]) + F.abs(a["y"] - b["y"]) < 1e-9
+    assert d.where(four & ~near(geo.corners_centroid(corners), geo.centroid(r))).count() == 0
+    c = geo.centroid(r)
+    want = {x.k: "centroid" if x.i else "polylabel" for x in d.select("k", geo.in_ring(r, c["x"], c["y"]).alias("i")).collect()}
+    got = {x.k: x.point_method for x in tiles.interior_points(d).collect()}
+    assert got == want and set(got.values()) == {"centroid", "polylabel"}
+    objects = spark.createDataFrame([(1, 1.0, 1.0, 0.9)] * 5, "site long, x double, y double, conf double")
+    sites = d.select(F.col("k").alias("site"), "ring", F.lit(True).alias("seed"))
+    plan = tiles.site_points(sites, objects)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    tested = next(i for i, line in enumerate(plan) if "Join Inner" in line and "exists" in line)
+    assert any("Aggregate [site" in line for line in plan[tested:])
