@@ -4,6 +4,7 @@ The pieces come from a model file (a parameter; read once on the driver, a fixed
 it holds a unigram model; a file of ranked pieces (merges) holds no probabilities, so piece number r gets Zipf's law,
 -ln((r + 2) * H), as tokenizers are not trained here. Characters no piece covers become bytes. Where pieces hold the space marker only
 at their start, a text is cut before each run of markers and the best path of each cut is its own; cuts are cached, as words repeat.
+The new cuts of some texts walk the trie and take their best paths together, in arrays; a cut of LONG characters or more goes by itself.
 With a piece that crosses a word's start the text is one cut.
 
 Nulls: a null text has null ids, no tokens and score 0; the empty text has no tokens. Ties: the longest last piece wins. Repeated rows
@@ -28,7 +29,9 @@ MARK = "▁"
 #: What a byte of an unknown character adds to the score below the worst piece.
 BYTE_PENALTY = 10.0
 #: Cuts that are kept, in each of two generations: what the older one is asked for again moves to the younger.
-CACHE = 100_000
+CACHE = 50_000
+#: Characters from which a cut is neither kept nor taken with others; characters of the texts whose cuts are taken together.
+LONG, TOGETHER = 64, 200_000
 _CUT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -108,11 +111,14 @@ class Encoder:
             made = DoubleArray(usable)
             trie, longest = (made.base, made.check, made.value), max((len(k) for k, _ in usable), default=1)
         base, check, value = trie
-        # plain lists are the fastest to read; room beyond the last base for any byte
+        # plain lists are the fastest to read one by one; room beyond the last base for any byte
         self.base, self.check, self.value = list(base), list(check) + [-1] * 257, list(value)
         self.scores, self.longest = [s for _, s, _ in pieces], longest
+        self.arrays = [np.array(x, dtype=np.int32) for x in (self.base, self.check, self.value)] + [np.array(self.scores)]
         self.bytes = {int(p[3:5], 16): i for i, (p, _, t) in enumerate(pieces) if t == 6}
-        self.byte_id = {i: b for b, i in self.bytes.items()}
+        self.byte_ids = np.array([self.bytes.get(b, -1) for b in range(256)], dtype=np.int32)
+        byte_id = {i: b for b, i in self.bytes.items()}
+        self.decoded = [bytes([byte_id[i]]) if i in byte_id else p.encode() for i, (p, _, _) in enumerate(pieces)]
         self.unknown = next((i for i, (_, _, t) in enumerate(pieces) if t == 2), 0)
         self.penalty = min((s for _, s, t in pieces if t == 1), default=0.0) - BYTE_PENALTY
         self.crosses = any(MARK in p.lstrip(MARK) for p, _, t in pieces if t == 1)
@@ -158,28 +164,122 @@ class Encoder:
             at = i
         return tuple(reversed(ids)), best[n], n_bytes
 
+    def _paths(self, cuts: list[str]) -> list[tuple[bytes, float, int]]:
+        """What viterbi() gives for each of many short cuts (ids as bytes of int32), in arrays over all their bytes."""
+        base, check, value, scores = self.arrays
+        coded = [c.encode() for c in cuts]
+        size = np.array([len(c) for c in coded])
+        # a place for each byte and one for the end of each cut
+        end = (np.cumsum(size + 1) - 1).astype(np.int32)
+        text = np.frombuffer(b"\0".join(coded) + b"\0", dtype=np.uint8).astype(np.int32)
+        last = np.repeat(end, size + 1)
+        begins = (text & 0xC0) != 0x80
+        begins[end] = False
+        origin = np.flatnonzero(begins).astype(np.int32)
+        width = 1 + (text[origin] >= 0xC0) + (text[origin] >= 0xE0) + (text[origin] >= 0xF0)
+        # every piece that starts anywhere: all places walk the trie at once, a byte a round
+        alone = np.zeros(len(text), dtype=bool)  # a piece is just the character
+        starts, stops, ids = [], [], []
+        at, state, depth, wide = origin, np.zeros(len(origin), dtype=np.int32), 0, width
+        while len(at):
+            to = base[state] + text[at + depth] + 1
+            on = check[to] == state
+            at, state, wide = at[on], to[on], wide[on]
+            depth += 1
+            hit = value[state] >= 0
+            starts.append(at[hit])
+            stops.append(at[hit] + depth)
+            ids.append(value[state[hit]])
+            alone[at[hit & (wide == depth)]] = True
+            on = at + depth < last[at]
+            at, state, wide = at[on], state[on], wide[on]
+        lone = ~alone[origin]
+        starts.append(origin[lone])
+        stops.append(origin[lone] + width[lone])
+        ids.append(np.full(int(lone.sum()), -1, dtype=np.int32))
+        starts, stops, ids = np.concatenate(starts), np.concatenate(stops), np.concatenate(ids)
+        # paths grow by the distance from the cut's start: at one distance no two pieces of a cut end at one place
+        begin = end - size.astype(np.int32)
+        rank = (starts - np.repeat(begin, size + 1)[starts]).astype(np.int16)  # under 4 * LONG; of such numbers sorting is linear
+        order = np.argsort(rank, kind="stable")
+        starts, stops, ids = starts[order], stops[order], ids[order]
+        gain = np.where(ids >= 0, scores[ids], self.penalty)
+        best, come, piece = np.full(len(text), -np.inf), np.zeros(len(text), dtype=np.int32), np.full(len(text), -1, dtype=np.int32)
+        best[begin] = 0.0
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(rank))])
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            s, stop = best[starts[a:b]] + gain[a:b], stops[a:b]
+            up = s > best[stop]
+            stop = stop[up]
+            best[stop], come[stop], piece[stop] = s[up], starts[a:b][up], ids[a:b][up]
+        # back along the paths of all cuts, a piece a round; bytes of unknown characters one by one
+        token = np.full(len(text), -2, dtype=np.int32)
+        at, start = end[size > 0], begin[size > 0]
+        n_bytes = np.zeros(len(text), dtype=np.int32)
+        while len(at):
+            back, v = come[at], piece[at]
+            known = v >= 0
+            token[back[known]] = v[known]
+            if not known.all():
+                lo, hi = back[~known], at[~known]
+                if self.bytes:
+                    for k in range(4):
+                        some = lo + k < hi
+                        token[lo[some] + k] = self.byte_ids[text[lo[some] + k]]
+                    n_bytes[lo] = hi - lo
+                else:
+                    token[lo] = self.unknown
+            on = back > start
+            at, start = back[on], start[on]
+        used = token != -2
+        flat, upto = token[used].tobytes(), np.concatenate([[0], np.cumsum(used)]) * 4
+        counted = np.add.reduceat(n_bytes, begin).tolist() if len(begin) else []
+        return [(flat[i:j], s, k) for i, j, s, k in zip(upto[begin].tolist(), upto[end].tolist(), best[end].tolist(), counted)]
+
+    def encode_all(self, texts: list[str]):
+        """(ids as an array, score, byte tokens) of each text."""
+        at = 0
+        while at < len(texts):
+            to, much = at, 0
+            while to < len(texts) and much < TOGETHER:
+                much += len(texts[to])
+                to += 1
+            split = []
+            for t in texts[at:to]:
+                marked = MARK + t.replace(" ", MARK) if t else ""
+                split.append(([marked] if marked else []) if self.crosses else _CUT.findall(marked))
+            if len(self.young) >= CACHE:
+                self.old, self.young = self.young, {}
+            young, old, got, missing = self.young, self.old, {}, []
+            for c in set().union(*split):
+                found = young.get(c)
+                if found is None:
+                    found = old.get(c)
+                    if found is not None:
+                        young[c] = found
+                    elif len(c) < LONG:
+                        missing.append(c)
+                    else:
+                        ids, score, n = self.viterbi(c)
+                        found = (np.array(ids, dtype=np.int32).tobytes(), score, n)
+                got[c] = found
+            if missing:
+                made = dict(zip(missing, self._paths(missing)))
+                got.update(made)
+                if len(young) < CACHE:
+                    young.update(made)
+            for cuts in split:
+                ids, score, n_bytes = zip(*map(got.__getitem__, cuts)) if cuts else ((), (), ())
+                yield np.frombuffer(b"".join(ids), dtype=np.int32), sum(score, 0.0), sum(n_bytes)
+            at = to
+
     def encode(self, text: str) -> tuple[list[int], float, int]:
-        ids: list[int] = []
-        score, n_bytes, young, old = 0.0, 0, self.young, self.old
-        if text:
-            marked = MARK + text.replace(" ", MARK)
-            for cut in [marked] if self.crosses else _CUT.findall(marked):
-                got = young.get(cut)
-                if got is None:
-                    got = old.get(cut) or self.viterbi(cut)
-                    if len(cut) < 64:
-                        if len(young) >= CACHE:
-                            self.old, self.young = old, young = young, {}
-                        young[cut] = got
-                ids += got[0]
-                score += got[1]
-                n_bytes += got[2]
-        return ids, score, n_bytes
+        ids, score, n_bytes = next(self.encode_all([text]))
+        return ids.tolist(), score, n_bytes
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: pieces and bytes joined, markers back to spaces, the leading one dropped."""
-        parts = [bytes([self.byte_id[i]]) if i in self.byte_id else self.pieces[i][0].encode() for i in ids]
-        text = b"".join(parts).decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.decoded.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -196,10 +296,12 @@ def encode(df: DataFrame, model: str = MODEL, column: str = "text") -> DataFrame
         e = held(("pieces", model), lambda: Encoder(*pieces.value))
         for b in batches:
             cols: dict[str, list] = {c: [] for c, _ in new}
+            texts = [t for t in b[column] if t is not None]
+            made = e.encode_all(texts)
             for t in b[column]:
-                ids, score, n_bytes = e.encode(t) if t is not None else (None, 0.0, 0)
+                ids, score, n_bytes = next(made) if t is not None else (None, 0.0, 0)
                 # numbers in place of objects: a batch of ids stays as small as its texts
-                for c, v in zip(cols, (None if ids is None else np.array(ids, dtype=np.int32), len(ids or ()), n_bytes, score, ids is None or e.decode(ids) == t)):
+                for c, v in zip(cols, (ids, 0 if ids is None else len(ids), n_bytes, score, ids is None or e.decode(ids.tolist()) == t)):
                     cols[c].append(v)
             for (c, _), kind in zip(new, (object, "int64", "int64", float, bool)):
                 b[c] = pd.Series(cols[c], index=b.index, dtype=kind)

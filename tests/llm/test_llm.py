@@ -497,3 +497,20 @@ def test_near_duplicates_of_a_large_key_lose_no_link(spark):
     made = neardup.sets(docs.select("th", "text")).withColumns({"keys": F.array(F.lit(1).cast("long")), "print": F.xxhash64("th")})
     got = neardup.labels(made, docs)
     assert got.count() == 40 and got.select("label").distinct().count() == 1
+
+
+def test_pieces_of_many_texts_together():
+    """Cuts taken together in arrays get what each gets alone: bytes of unknown characters, markers alone, long cuts, few texts at a time."""
+    rnd = random.Random(5)
+    texts = ["", " ", "  a", "\u2581", "\u2581\u2581 x", "\x00a b", "\u00e9" * 70, "\u65e5\u672c \U0001f600a", "0" * 63 + " " + "1" * 64]
+    texts += ["".join(rnd.choice(" \u2581a\u00e9b\x00\u65e5\U0001f600\nthe 12") for _ in range(rnd.randint(0, 200))) for _ in range(100)]
+    bare = [("<unk>", 0.0, 2), *[(p, -1.0 - i, 1) for i, p in enumerate(["\u2581", "a", "ab", "\u2581a"])]]
+    for some in (pieces.load_pieces(), bare, [*bare, ("b\u2581a", -2.0, 1)]):
+        e = pieces.Encoder(some)
+        got = list(e.encode_all(texts))
+        assert len(got) == len(texts) and e.encode_all([]) is not None
+        for t, (ids, score, n) in zip(texts, got):
+            marked = pieces.MARK + t.replace(" ", pieces.MARK) if t else ""
+            alone = [e.viterbi(c) for c in (([marked] if t else []) if e.crosses else pieces._CUT.findall(marked))]
+            assert ids.tolist() == [i for a in alone for i in a[0]] and n == sum(a[2] for a in alone)
+            assert abs(score - sum(a[1] for a in alone)) < 1e-9
