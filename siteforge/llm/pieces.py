@@ -236,6 +236,10 @@ class Encoder:
         counted = np.add.reduceat(n_bytes, begin).tolist() if len(begin) else []
         return [(flat[i:j], s, k) for i, j, s, k in zip(upto[begin].tolist(), upto[end].tolist(), best[end].tolist(), counted)]
 
+    def clear(self) -> None:
+        """Forget the kept cuts: idle workers hold memory that busy ones need."""
+        self.young, self.old = {}, {}
+
     def encode_all(self, texts: list[str]):
         """(ids as an array, score, byte tokens) of each text."""
         at = 0
@@ -294,18 +298,21 @@ def encode(df: DataFrame, model: str = MODEL, column: str = "text") -> DataFrame
 
     def run(batches):
         e = held(("pieces", model), lambda: Encoder(*pieces.value))
-        for b in batches:
-            cols: dict[str, list] = {c: [] for c, _ in new}
-            texts = [t for t in b[column] if t is not None]
-            made = e.encode_all(texts)
-            for t in b[column]:
-                ids, score, n_bytes = next(made) if t is not None else (None, 0.0, 0)
-                # numbers in place of objects: a batch of ids stays as small as its texts
-                for c, v in zip(cols, (ids, 0 if ids is None else len(ids), n_bytes, score, ids is None or e.decode(ids.tolist()) == t)):
-                    cols[c].append(v)
-            for (c, _), kind in zip(new, (object, "int64", "int64", float, bool)):
-                b[c] = pd.Series(cols[c], index=b.index, dtype=kind)
-            yield b
+        try:
+            for b in batches:
+                cols: dict[str, list] = {c: [] for c, _ in new}
+                texts = [t for t in b[column] if t is not None]
+                made = e.encode_all(texts)
+                for t in b[column]:
+                    ids, score, n_bytes = next(made) if t is not None else (None, 0.0, 0)
+                    # numbers in place of objects: a batch of ids stays as small as its texts
+                    for c, v in zip(cols, (ids, 0 if ids is None else len(ids), n_bytes, score, ids is None or e.decode(ids.tolist()) == t)):
+                        cols[c].append(v)
+                for (c, _), kind in zip(new, (object, "int64", "int64", float, bool)):
+                    b[c] = pd.Series(cols[c], index=b.index, dtype=kind)
+                yield b
+        finally:
+            e.clear()
 
     return df.mapInPandas(frugal(run), schema)
 

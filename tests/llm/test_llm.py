@@ -514,3 +514,21 @@ def test_pieces_of_many_texts_together():
             alone = [e.viterbi(c) for c in (([marked] if t else []) if e.crosses else pieces._CUT.findall(marked))]
             assert ids.tolist() == [i for a in alone for i in a[0]] and n == sum(a[2] for a in alone)
             assert abs(score - sum(a[1] for a in alone)) < 1e-9
+
+
+def test_workers_hold_little(spark):
+    """Batches are small where the user has not set their size, and an encoder drops its cuts when a task ends."""
+    from siteforge.llm import common
+
+    before = spark.conf.get(common.BATCH_BYTES, None)
+    try:
+        spark.conf.unset(common.BATCH_BYTES)
+        common.ready(spark)
+        assert spark.conf.get(common.BATCH_BYTES) == "2m"
+    finally:
+        spark.conf.unset(common.BATCH_BYTES) if before is None else spark.conf.set(common.BATCH_BYTES, before)
+    e = pieces.Encoder(pieces.load_pieces())
+    want = e.encode("a plain text")
+    assert e.young
+    e.clear()
+    assert not e.young and not e.old and e.encode("a plain text") == want
