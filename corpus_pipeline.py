@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siteforge.llm import contamination, langid, neardup, pieces, pii
-from siteforge.llm.common import cut, possibly, read
+from siteforge.llm.common import cut, possibly, read, ready
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Batches to Python workers, where the user has not set their size: executors hold them beside a heap that five stages have filled.
+BATCH = "2m"
 
 
 def _without(docs: DataFrame, removed: DataFrame) -> DataFrame:
@@ -28,6 +30,7 @@ def _without(docs: DataFrame, removed: DataFrame) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or that no learned language fits, go; a null lang becomes the predicted one."""
+    ready(spark, BATCH)
     docs = docs.select(*COLUMNS)
     texts, bound = langid.sample_and_bound(docs.where(langid.fold(3) != 1).select("doc_id", "text", "lang"))
     kept = langid.identify(docs, texts, bound).where("lang_pred <> 'und'")
@@ -82,6 +85,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark, BATCH)
     docs = read(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

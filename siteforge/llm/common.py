@@ -19,10 +19,10 @@ SPACE = r"[\x20\x09-\x0D]+"
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def ready(spark: SparkSession) -> None:
+def ready(spark: SparkSession, batch: str = "8m") -> None:
     """Python workers on the same file system find this package also beside its installed place, and hold small batches."""
-    if spark.conf.get(BATCH_BYTES, None) is None:  # else 10,000 long texts make one batch, which the executor holds beside its heap too
-        spark.conf.set(BATCH_BYTES, "2m")
+    if spark.conf.get(BATCH_BYTES, None) is None:  # else 10,000 long texts make one batch
+        spark.conf.set(BATCH_BYTES, batch)
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", ""):
         env["PYTHONPATH"] = ":".join(filter(None, [_ROOT, env.get("PYTHONPATH", "")]))

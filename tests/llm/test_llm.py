@@ -517,13 +517,13 @@ def test_pieces_of_many_texts_together():
 
 
 def test_workers_hold_little(spark):
-    """Batches are small where the user has not set their size, and an encoder drops its cuts when a task ends."""
+    """The pipeline's batches are small where the user has not set their size, and an encoder drops its cuts when a task ends."""
     from siteforge.llm import common
 
     before = spark.conf.get(common.BATCH_BYTES, None)
     try:
         spark.conf.unset(common.BATCH_BYTES)
-        common.ready(spark)
+        corpus_pipeline.identify_language(spark, spark.createDataFrame([(1, EN, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long"), "")
         assert spark.conf.get(common.BATCH_BYTES) == "2m"
     finally:
         spark.conf.unset(common.BATCH_BYTES) if before is None else spark.conf.set(common.BATCH_BYTES, before)
