@@ -12,15 +12,25 @@ All pairs of a key of at most ALL_PAIRS nodes are verified. In a larger one (a g
 against LEADERS members, so that the work grows with the nodes: the one that meets most others over all its keys (the original of
 edited copies, which need not be alike among themselves) and the first by hash. Nodes that no leader links are dealt with again among
 themselves: all pairs of a key where few are left, leaders of their own else, until a round links nothing more. The leaders only merge
-what is alike early: at the end every two nodes of a key that no chain of edges joins yet are verified, so no link of a key is lost.
-The work of that follows the pairs of different components in a key, and is quadratic where a key holds many that are not alike.
+what is alike early; then every large key whose nodes no chain of edges joins yet is settled without comparing all its pairs:
+
+- in any one order of all shingles, two alike sets share one of the first |x| - 0.8 |x| + 1 of each. These are the keys of the first
+  round; the order puts shingles that few sets have first, as far as at most SAMPLE sets tell (it decides the work, not the result).
+- keys of one node, or of one component, end; small ones are verified in all pairs. In a larger one the smallest set L is compared with
+  all others. Sets x and y are alike if they share at least 4/9 (|x| + |y|) shingles. An x that is not alike to L shares less than
+  4/9 (|x| + |L|) with it, so what it shares with any y of the key can't all lie in L: at least t = 4/9 (|x| + max(|L|, 0.8 |x|)) -
+  |x and L| shingles outside L are needed, of which one is among the first |x less L| - t + 1 of each: the keys of the next round.
+
+A round's least set takes no part in the next, so rounds end, and a node has at most its own shingles as keys. No link is lost.
 
 Nulls: null and empty texts have the empty set and are copies of one another. Repeated rows share a node, ties in the order of
 leaders have equal nodes, an empty table has no nodes, and a very long text takes memory in proportion to its words.
 """
 from __future__ import annotations
 
+import math
 import re
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -36,6 +46,7 @@ from siteforge.operators.cluster import components
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 ALL_PAIRS, LEADERS = 32, 3
+SAMPLE, LONGEST, COMMON = 1000, 4096, 50_000  # sets, shingles of each, shingles whose counts order all
 _WORD = re.compile(rb"[^ \t-\r]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _RNG = np.random.default_rng(42)
@@ -66,8 +77,8 @@ def bands(s: np.ndarray) -> np.ndarray:
 
 
 def sets(df: DataFrame, whole: bool = False) -> DataFrame:
-    """df less its column text, with node (128-bit hash of the set), keys and print (fingerprint); with `whole`, set_ (the set's bytes) only."""
-    rest, schema = widened(df.drop("text"), [("node", "binary"), *([("set_", "binary")] if whole else [("keys", "array<bigint>"), ("print", "bigint")])])
+    """df less its column text, with node (128-bit hash of the set), keys, print (fingerprint) and size (of the set); with `whole`, set_ (the set's bytes) only."""
+    rest, schema = widened(df.drop("text"), [("node", "binary"), *([("set_", "binary")] if whole else [("keys", "array<bigint>"), ("print", "bigint"), ("size", "int")])])
 
     def run(batches):
         for b in batches:
@@ -81,34 +92,55 @@ def sets(df: DataFrame, whole: bool = False) -> DataFrame:
                 else:
                     out["keys"] = pd.Series([bands(s) for s in made], index=out.index, dtype=object)
                     out["print"] = pd.Series(np.array([simhash.majority(s) for s in made], dtype=np.uint64).view(np.int64), index=out.index)
+                    out["size"] = pd.Series([len(s) for s in made], index=out.index, dtype=np.int32)
                 yield out
 
     return df.select(*rest.columns, "text").mapInPandas(frugal(run), schema)
 
 
 def meetings(nodes: DataFrame) -> DataFrame:
-    """(node, key, n, score) of nodes (node, keys) in keys of n > 1 nodes; score: how many others the node meets over all its keys."""
-    met = nodes.select("node", F.explode("keys").alias("key"))
-    counts = met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    """(node, size, key, n, score) of nodes (node, size, keys) in keys of n > 1 nodes; score: how many others the node meets over all its keys."""
+    met = nodes.select("node", "size", F.explode("keys").alias("key"))
+    counts = cut(met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     met = cut(met.join(counts, "key"))
     hot = met.where(F.col("n") > ALL_PAIRS).select("node").distinct()
     score = met.join(hot, "node", "left_semi").groupBy("node").agg(F.sum("n").alias("score"))
     return cut(met.join(score, "node", "left"))
 
 
-def small_groups(met: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of the keys of at most ALL_PAIRS nodes."""
-    few = met.where(F.col("n") <= ALL_PAIRS).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("f"))
-    return few.select("f", F.posexplode("f").alias("i", "a")).select("a", F.explode(F.slice("f", F.col("i") + 2, ALL_PAIRS)).alias("b"))
+def neighbours(fps: DataFrame) -> DataFrame:
+    """The distinct fingerprints (fp) that may have another within 2 bits: of five blocks of bits those two have three in common."""
+    edges = [0, 13, 26, 39, 52, 64]
+    block = [sum(1 << i for i in range(lo, hi)) for lo, hi in zip(edges, edges[1:])]
+    masks = [sum(block[i] for i in three) for three in combinations(range(5), 3)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m).cast("bigint"))) for i, m in enumerate(signed)])
+    dealt = fps.select("fp", F.explode(keys).alias("key"))
+    shared = cut(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+    return dealt.join(shared, "key", "left_semi").select("fp").distinct()
+
+
+def close(x, y, similarity: float):
+    """Whether sets of sizes x and y can be alike."""
+    return F.least(x, y) >= similarity * F.greatest(x, y)
+
+
+def small_groups(met: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b), a < b, of the keys of at most ALL_PAIRS nodes in met (node, size, key, n), where sizes and labels (if met has them) allow a new link."""
+    label = F.col("label") if "label" in met.columns else F.col("node")
+    few = met.where(F.col("n") <= ALL_PAIRS).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "size", label.alias("label")))).alias("f"))
+    later = F.filter(F.slice("f", F.col("i") + 2, ALL_PAIRS), lambda y: close(F.col("x.size"), y["size"], similarity) & (F.col("x.label") != y["label"]))
+    return few.select("f", F.posexplode("f").alias("i", "x")).select(F.col("x.node").alias("a"), F.explode(later).alias("y")).select("a", F.col("y.node").alias("b"))
 
 
 def led(hot: DataFrame) -> DataFrame:
-    """(node, leader): each node of hot (node, key, score) with the leaders of its keys, each once."""
-    first = lambda i: F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node"))["node"]
-    top = F.min(F.struct((-F.col("score")).alias("s"), "node"))["node"]
+    """(node, size, leader, lsize): each node of hot (node, size, key, score) with the leaders of its keys, each once."""
+    one = F.struct("node", "size")
+    first = lambda i: F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), one.alias("l")))["l"]
+    top = F.min(F.struct((-F.col("score")).alias("s"), one.alias("l")))["l"]
     leaders = hot.groupBy("key").agg(F.array(top, *[first(i) for i in range(LEADERS - 1)]).alias("leaders"))
-    mine = hot.join(leaders, "key").groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("leaders"))).alias("l"))  # at most BANDS lists
-    return mine.select("node", F.explode("l").alias("leader"))
+    mine = hot.join(leaders, "key").groupBy("node", "size").agg(F.array_distinct(F.flatten(F.collect_list("leaders"))).alias("l"))  # at most BANDS lists
+    return mine.select("node", "size", F.explode("l").alias("l")).select("node", "size", F.col("l.node").alias("leader"), F.col("l.size").alias("lsize"))
 
 
 def loose(hot: DataFrame, pairs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -118,15 +150,6 @@ def loose(hot: DataFrame, pairs: DataFrame, edges: DataFrame) -> DataFrame:
     return hot.join(good, "node", "left_anti")
 
 
-def unsettled(hot: DataFrame, edges: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of nodes that share a key of hot (node, key) and that no chain of edges joins."""
-    at = cut(hot.select("node", "key").join(components(hot.select("node").distinct(), edges), "node"))
-    mixed = at.groupBy("key").agg((F.min("label") != F.max("label")).alias("m")).where("m").select("key")
-    a = at.join(mixed, "key").select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-    b = at.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-    return a.join(b, "key").where("a < b and la <> lb").select("a", "b").distinct()
-
-
 @F.pandas_udf(DoubleType())
 def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
     def one(x: bytes, y: bytes) -> float:
@@ -137,47 +160,140 @@ def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=float)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes (node, th) at the similarity or more; sets are made again from docs (th, text) where a pair needs them."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def common(held: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, their counts) of those that at least two of some sets in held (set_) have."""
+    some = held.where(F.length("set_") <= 8 * LONGEST).limit(SAMPLE).collect()
+    h, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r.set_, np.uint64) for r in some]]), return_counts=True)
+    often = np.sort(np.argsort(-n, kind="stable")[: min(COMMON, int((n > 1).sum()))])
+    return h[often], n[often]
+
+
+def rarest(x: np.ndarray, counts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """x in the order of the counts (0: none), then of the hashes."""
+    h, n = counts
+    if not len(h):
+        return np.sort(x)
+    at = np.minimum(np.searchsorted(h, x), len(h) - 1)
+    return x[np.lexsort((x, np.where(h[at] == x, n[at], 0)))]
+
+
+def ahead(x: np.ndarray, similarity: float, counts) -> np.ndarray:
+    """The shingles of x of which any alike set has one among its own."""
+    return rarest(x, counts)[: max(0, len(x) - math.ceil(similarity * len(x) - 1e-6) + 1)]
+
+
+def outside(x: np.ndarray, leader: np.ndarray, similarity: float, counts) -> tuple[bool, np.ndarray]:
+    """(whether x is alike to the leader, its shingles outside it, of which any alike set, no smaller than the leader, has one among its own)."""
+    rest = np.setdiff1d(x, leader, assume_unique=True)
+    both = len(x) - len(rest)
+    share = similarity / (1 + similarity)
+    least = max(1, math.ceil(share * (len(x) + max(len(leader), similarity * len(x))) - both - 1e-6))
+    return both / (len(x) + len(leader) - both) >= similarity, rarest(rest, counts)[: max(0, len(rest) - least + 1)]
+
+
+def aheads(similarity: float, counts):
+    @F.pandas_udf("array<bigint>")
+    def of(x: pd.Series) -> pd.Series:
+        return pd.Series([ahead(np.frombuffer(a, np.uint64), similarity, counts).view(np.int64) for a in x], dtype=object)
+
+    return of
+
+
+def outsides(similarity: float, counts):
+    @F.pandas_udf("alike boolean, keys array<bigint>")
+    def of(x: pd.Series, leader: pd.Series) -> pd.DataFrame:
+        made = [outside(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), similarity, counts) for a, b in zip(x, leader)]
+        return pd.DataFrame({"alike": [m[0] for m in made], "keys": pd.Series([m[1].view(np.int64) for m in made], dtype=object)})
+
+    return of
+
+
+def sets_of(needed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, set_) of the distinct nodes in needed (node), made again from docs (th, text); nodes (node, th)."""
     needed = cut(nodes.join(needed, "node", "left_semi").select("th"))
     texts = possibly(docs, needed, "th").where("_hit").select("th", "text").join(needed, "th", "left_semi").dropDuplicates(["th"])
-    held = cut(sets(texts, whole=True).select("node", "set_"))
+    return cut(sets(texts, whole=True).select("node", "set_"))
+
+
+def with_sets(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """pairs (a, b, ...) with their sets sa and sb of held (node, set_)."""
     side = lambda x: held.select(F.col("node").alias(x), F.col("set_").alias(f"s{x}"))
-    long, short = F.greatest(F.length("sa"), F.length("sb")), F.least(F.length("sa"), F.length("sb"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(short >= similarity * long)  # else their Jaccard is less
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
+def alike(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets in held are at the similarity or more."""
+    both = with_sets(pairs, held).where(close(F.length("sa"), F.length("sb"), similarity))  # else their Jaccard is less
     return cut(both.withColumn("j", jaccard("sa", "sb")).where(F.col("j") >= similarity).select("a", "b"))
 
 
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes at the similarity or more; sets are made where a pair needs them."""
+    return alike(pairs, sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, docs), similarity)
+
+
+def settled(hot: DataFrame, edges: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """edges and those that join nodes of one key of hot (node, size, key) which no chain of edges joins."""
+    names = cut(components(hot.select("node").distinct(), edges))
+
+    def mixed(at: DataFrame) -> DataFrame:
+        at = cut(at.join(names, "node"))
+        least = F.min(F.struct("size", "node", "label"))
+        keys = at.groupBy("key").agg(F.count(F.lit(1)).alias("n"), least.alias("l"), F.min("label").alias("x"), F.max("label").alias("y"))
+        return cut(at.join(keys.where("x <> y").select("key", "n", "l"), "key"))
+
+    those = mixed(hot).select("node", "size").distinct()
+    held = sets_of(those.select("node"), nodes, docs)
+    counts = common(held)
+    at = those.join(held.select("node", F.explode(aheads(similarity, counts)("set_")).alias("key")), "node")
+    while True:
+        at = mixed(at)
+        pairs = cut(small_groups(at, similarity).distinct())
+        new = [] if pairs.isEmpty() else [alike(pairs, held, similarity)]
+        large = at.where(F.col("n") > ALL_PAIRS).select(F.col("node").alias("a"), F.col("l.node").alias("b"), "size", F.expr("label <> l.label").alias("apart"))
+        large = cut(large.where("a <> b").distinct())
+        more = not large.isEmpty()
+        if more:
+            met = cut(with_sets(large, held).withColumn("o", outsides(similarity, counts)("sa", "sb")).select("a", "b", "size", "apart", "o.*"))
+            new.append(met.where("alike and apart").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        for e in new:
+            edges = edges.unionByName(e)
+        if not more:
+            return edges
+        if not all(e.isEmpty() for e in new):
+            names = cut(components(names.select("node"), edges))
+        at = met.select(F.col("a").alias("node"), "size", F.explode("keys").alias("key")).distinct()
+
+
 def linked(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Edges (a, b) of nodes (node, th, keys, print) at the similarity or more, whose texts are in docs (th, text)."""
-    printed = nodes.where("size(keys) > 0").select("node", "print")
+    """Edges (a, b) of nodes (node, th, keys, print, size) at the similarity or more, whose texts are in docs (th, text)."""
+    printed = nodes.where("size > 0").select("node", "print")
     first = printed.groupBy("print").agg(F.min("node").alias("first"))
-    balls = simhash.linked(first.select(F.col("print").alias("fp")))
+    balls = simhash.linked(neighbours(first.select(F.col("print").alias("fp"))))
     of = lambda x: first.select(F.col("print").alias(x), F.col("first").alias(f"n{x}"))
     ordered = lambda df, x, y: df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     near = ordered(balls.join(of("a"), "a").join(of("b"), "b"), "na", "nb")
     same = ordered(printed.join(first, "print").where("node <> first"), "node", "first")  # different sets of one print
-    met = meetings(nodes.select("node", "keys"))
-    large = hot = met.where(F.col("n") > ALL_PAIRS).select("node", "key", "score")
+    met = meetings(nodes.select("node", "size", "keys"))
+    large = hot = met.where(F.col("n") > ALL_PAIRS).select("node", "size", "key", "score")
     led_ = cut(led(hot).where("node <> leader"))
-    pairs = cut(small_groups(met).unionByName(near).unionByName(same).unionByName(ordered(led_, "node", "leader")).distinct())
+    fit = lambda df: ordered(df.where(close("size", "lsize", similarity)), "node", "leader")
+    pairs = cut(small_groups(met, similarity).unionByName(near).unionByName(same).unionByName(fit(led_)).distinct())
     edges = out = verified(pairs, nodes, docs, similarity)
     while not edges.isEmpty():
         rest = loose(hot, led_, edges)
         met = cut(rest.join(rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key"))
-        hot = met.where(F.col("n") > ALL_PAIRS).select("node", "key", "score")
+        hot = met.where(F.col("n") > ALL_PAIRS).select("node", "size", "key", "score")
         led_ = cut(led(hot).where("node <> leader"))
-        pairs = cut(small_groups(met).unionByName(ordered(led_, "node", "leader")).distinct())
+        pairs = cut(small_groups(met, similarity).unionByName(fit(led_)).distinct())
         if pairs.isEmpty():
             break
         edges = verified(pairs, nodes, docs, similarity)
         out = out.unionByName(edges)
-    left = cut(unsettled(large, out))
-    return out if left.isEmpty() else out.unionByName(verified(left, nodes, docs, similarity))
+    return out if large.isEmpty() else settled(large, out, nodes, docs, similarity)
 
 
 def labels(made: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, label) of the distinct nodes in made (th, node, keys, print), whose texts are in docs (th, text)."""
-    nodes = cut(made.groupBy("node").agg(F.min(F.struct("th", "keys", "print")).alias("m")).select("node", "m.th", "m.keys", "m.print"))
+    """(node, label) of the distinct nodes in made (th, node, keys, print, size), whose texts are in docs (th, text)."""
+    nodes = cut(made.groupBy("node").agg(F.min(F.struct("th", "keys", "print", "size")).alias("m")).select("node", "m.*"))
     return components(nodes.select("node"), linked(nodes, docs))

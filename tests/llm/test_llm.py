@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -532,3 +533,65 @@ def test_workers_hold_little(spark):
     assert e.young
     e.clear()
     assert not e.young and not e.old and e.encode("a plain text") == want
+
+
+def test_shingles_ahead_and_outside_miss_no_alike_set():
+    """Any two alike sets share a shingle ahead, and one outside a smaller set that either is not alike to, in any order of shingles."""
+    from siteforge.llm import neardup
+
+    rng, found, apart = np.random.default_rng(3), 0, 0
+    for _ in range(150):
+        n = int(rng.integers(4, 60))
+        base = rng.choice(2**40, size=2 * n, replace=False).astype(np.uint64)
+        made = []
+        for _ in range(14):
+            keep = base[rng.random(2 * n) < rng.choice([0.45, 0.5, 0.55, 0.9])] if rng.random() < 0.3 else base[: n + int(rng.integers(0, n // 3 + 1))]
+            own = rng.choice(2**40, size=int(rng.integers(0, n // 4 + 1))).astype(np.uint64)
+            made.append(np.unique(np.concatenate([keep[rng.random(len(keep)) < rng.choice([0.85, 0.95, 1.0])], own])))
+        made = sorted((m for m in made if len(m)), key=len)
+        h, c = np.unique(np.concatenate(made[::2]), return_counts=True)
+        for counts in ((h[c > 1], c[c > 1]), (h[:0], c[:0])):
+            first = [set(neardup.ahead(m, 0.8, counts)) for m in made]
+            beside = [neardup.outside(m, made[0], 0.8, counts) for m in made]
+            for i, x in enumerate(made):
+                for j in range(i):
+                    both = len(np.intersect1d(x, made[j]))
+                    if both / (len(x) + len(made[j]) - both) >= 0.8:
+                        found += 1
+                        assert first[i] & first[j]
+                        if j and not (beside[i][0] and beside[j][0]):
+                            apart += 1
+                            assert set(beside[i][1]) & set(beside[j][1])
+    assert found > 1000 and apart > 100
+
+
+def test_near_duplicates_of_a_large_key_compare_few_pairs(spark, monkeypatch):
+    """200 texts of one key that share a passage, some alike: the classes of brute force without comparing all 19,900 pairs."""
+    from siteforge.llm import neardup
+
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [passage + [f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(120)]
+    texts += [passage[:50] + [f"v{j}" for j in range(i, i + 40)] for i in range(0, 80, 2)]  # alike to their neighbours only
+    texts += [[*t[:100], *(f"x{i}y{j}" for j in range(3)), *t[103:]] for i, t in enumerate(texts[:40])]  # alike to one
+    texts = [" ".join(t) for t in texts]
+    grams = [set(neardup.shingles(t).tolist()) for t in texts]
+    root = list(range(len(texts)))
+
+    def up(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if (n := len(grams[i] & grams[j])) / (len(grams[i]) + len(grams[j]) - n) >= 0.8:
+                root[up(i)] = up(j)
+    want = {frozenset(j for j in range(len(texts)) if up(j) == up(i)) for i in range(len(texts))}
+    seen, plain = [], neardup.with_sets
+    monkeypatch.setattr(neardup, "with_sets", lambda pairs, held: seen.append(pairs.count()) or plain(pairs, held))
+    docs = spark.createDataFrame(list(enumerate(texts)), "th long, text string")
+    made = neardup.sets(docs).withColumns({"keys": F.array(F.lit(1).cast("long")), "print": F.xxhash64("th")})
+    got = made.select("node", "th").join(neardup.labels(made, docs), "node").groupBy("label").agg(F.collect_list("th").alias("c")).collect()
+    assert {frozenset(r.c) for r in got} == want and len(want) < len(texts) - 60
+    assert sum(seen) < 5000
