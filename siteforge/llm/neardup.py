@@ -16,12 +16,13 @@ what is alike early; then every large key whose nodes no chain of edges joins ye
 
 - in any one order of all shingles, two alike sets share one of the first |x| - 0.8 |x| + 1 of each. These are the keys of the first
   round; the order puts shingles that few sets have first, as far as at most SAMPLE sets tell (it decides the work, not the result).
-- keys of one node, or of one component, end; small ones are verified in all pairs. In a larger one the smallest set L is compared with
-  all others. Sets x and y are alike if they share at least 4/9 (|x| + |y|) shingles. An x that is not alike to L shares less than
+- keys of one node, or of one component, end; where at most ALL_PAIRS pairs a node lie between components, these are verified. Else the
+  smallest set L is compared with all others. Sets x and y are alike if they share at least 4/9 (|x| + |y|) shingles. An x that is not alike to L shares less than
   4/9 (|x| + |L|) with it, so what it shares with any y of the key can't all lie in L: at least t = 4/9 (|x| + max(|L|, 0.8 |x|)) -
   |x and L| shingles outside L are needed, of which one is among the first |x less L| - t + 1 of each: the keys of the next round.
 
-A round's least set takes no part in the next, so rounds end, and a node has at most its own shingles as keys. No link is lost.
+In the last of ROUNDS rounds all pairs between components of what keys are left are verified, so no link is lost; that round is
+quadratic in such a key.
 
 Nulls: null and empty texts have the empty set and are copies of one another. Repeated rows share a node, ties in the order of
 leaders have equal nodes, an empty table has no nodes, and a very long text takes memory in proportion to its words.
@@ -45,7 +46,7 @@ from siteforge.operators.cluster import components
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
-ALL_PAIRS, LEADERS = 32, 3
+ALL_PAIRS, LEADERS, ROUNDS = 32, 3, 6
 SAMPLE, LONGEST, COMMON = 1000, 4096, 50_000  # sets, shingles of each, shingles whose counts order all
 _WORD = re.compile(rb"[^ \t-\r]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -126,10 +127,9 @@ def close(x, y, similarity: float):
 
 
 def small_groups(met: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b), a < b, of the keys of at most ALL_PAIRS nodes in met (node, size, key, n), where sizes and labels (if met has them) allow a new link."""
-    label = F.col("label") if "label" in met.columns else F.col("node")
-    few = met.where(F.col("n") <= ALL_PAIRS).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "size", label.alias("label")))).alias("f"))
-    later = F.filter(F.slice("f", F.col("i") + 2, ALL_PAIRS), lambda y: close(F.col("x.size"), y["size"], similarity) & (F.col("x.label") != y["label"]))
+    """Pairs (a, b), a < b, of the keys of at most ALL_PAIRS nodes in met (node, size, key, n), where sizes allow a link."""
+    few = met.where(F.col("n") <= ALL_PAIRS).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "size"))).alias("f"))
+    later = F.filter(F.slice("f", F.col("i") + 2, ALL_PAIRS), lambda y: close(F.col("x.size"), y["size"], similarity))
     return few.select("f", F.posexplode("f").alias("i", "x")).select(F.col("x.node").alias("a"), F.explode(later).alias("y")).select("a", F.col("y.node").alias("b"))
 
 
@@ -239,18 +239,26 @@ def settled(hot: DataFrame, edges: DataFrame, nodes: DataFrame, docs: DataFrame,
     def mixed(at: DataFrame) -> DataFrame:
         at = cut(at.join(names, "node"))
         least = F.min(F.struct("size", "node", "label"))
-        keys = at.groupBy("key").agg(F.count(F.lit(1)).alias("n"), least.alias("l"), F.min("label").alias("x"), F.max("label").alias("y"))
-        return cut(at.join(keys.where("x <> y").select("key", "n", "l"), "key"))
+        parts = at.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), least.alias("l"))
+        top = F.max(F.struct("c", "label"))["label"].alias("top")
+        keys = parts.groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.min("l").alias("l"), top, F.count(F.lit(1)).alias("labels"))
+        return cut(at.join(keys.where("labels > 1").select("key", "n", "l", "top", (F.expr("n * n - squares") / 2).alias("crossing")), "key"))
+
+    def crossing(at: DataFrame) -> DataFrame:
+        a = at.where("label <> top").select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("size").alias("za"))
+        b = at.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("size").alias("zb"))
+        return a.join(b, "key").where(F.expr("la <> lb") & close("za", "zb", similarity)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     those = mixed(hot).select("node", "size").distinct()
     held = sets_of(those.select("node"), nodes, docs)
     counts = common(held)
     at = those.join(held.select("node", F.explode(aheads(similarity, counts)("set_")).alias("key")), "node")
-    while True:
+    for left in reversed(range(ROUNDS)):
         at = mixed(at)
-        pairs = cut(small_groups(at, similarity).distinct())
+        direct = F.expr(f"crossing <= {ALL_PAIRS} * n") if left else F.lit(True)
+        pairs = cut(crossing(at.where(direct)).distinct())
         new = [] if pairs.isEmpty() else [alike(pairs, held, similarity)]
-        large = at.where(F.col("n") > ALL_PAIRS).select(F.col("node").alias("a"), F.col("l.node").alias("b"), "size", F.expr("label <> l.label").alias("apart"))
+        large = at.where(~direct).select(F.col("node").alias("a"), F.col("l.node").alias("b"), "size", F.expr("label <> l.label").alias("apart"))
         large = cut(large.where("a <> b").distinct())
         more = not large.isEmpty()
         if more:
@@ -263,6 +271,7 @@ def settled(hot: DataFrame, edges: DataFrame, nodes: DataFrame, docs: DataFrame,
         if not all(e.isEmpty() for e in new):
             names = cut(components(names.select("node"), edges))
         at = met.select(F.col("a").alias("node"), "size", F.explode("keys").alias("key")).distinct()
+    return edges
 
 
 def linked(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
