@@ -89,12 +89,6 @@ def g10_tiles(spark, sf_dir):
     return t.withColumn("tx", F.explode(F.sequence(F.lit(0), F.col("nx") - 1))).withColumn("ty", F.explode(F.sequence(F.lit(0), F.col("ny") - 1))).select("p_partkey", "tx", "ty")
 
 
-def _edges(spark, sf_dir, metres):
-    a = customers(spark, sf_dir)
-    b = a.select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("g"), F.col("lat").alias("rlat"), F.col("lon").alias("rlon"))
-    return joins.within_distance(a, b, metres).where("c_custkey < k and c_nationkey = g").select("g", F.col("c_custkey").alias("a"), F.col("k").alias("b"))
-
-
 _PTS = f"(SELECT c_custkey, c_nationkey, {LAT.format(k='c_custkey')} AS lat, {LON.format(k='c_custkey')} AS lon FROM customer)"
 _CC = f"""WITH RECURSIVE e AS (SELECT a.c_custkey AS a, b.c_custkey AS b FROM {_PTS} a JOIN {_PTS} b ON a.c_nationkey = b.c_nationkey AND a.c_custkey <> b.c_custkey AND {hav('a.lat', 'a.lon', 'b.lat', 'b.lon')} <= 120000),
     r AS (SELECT c_custkey AS node, c_custkey AS label FROM customer UNION SELECT e.b, r.label FROM r JOIN e ON e.a = r.node)"""
@@ -102,8 +96,8 @@ _CC = f"""WITH RECURSIVE e AS (SELECT a.c_custkey AS a, b.c_custkey AS b FROM {_
 
 @query("g15_components", f"{_CC} SELECT node, min(label) AS label FROM r GROUP BY 1")
 def g15_components(spark, sf_dir):
-    nodes = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("g"), F.col("c_custkey").alias("node"))
-    return cluster.components(nodes, _edges(spark, sf_dir, 120000), "g").select("node", "label")
+    points = customers(spark, sf_dir).select(F.col("c_nationkey").alias("g"), F.col("c_custkey").alias("node"), "lat", "lon")
+    return cluster.chained(points, "g", "node", 120000).select("node", "label")
 
 
 @query("g16_clusters", f"{_CC}, c AS (SELECT node, min(label) AS label FROM r GROUP BY 1) SELECT label, count(*) AS n, count(DISTINCT c_mktsegment) AS origins, row_number() OVER (PARTITION BY c_nationkey ORDER BY count(DISTINCT c_mktsegment) DESC, count(*) DESC, label) AS rk FROM c JOIN customer ON c_custkey = node GROUP BY label, c_nationkey")

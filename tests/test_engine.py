@@ -156,3 +156,78 @@ def test_components_of_a_long_chain_estimate_no_huge_size(spark):
     got = cluster.components(spark.range(n).select(F.lit(0).alias("g"), F.col("id").alias("node")), edges, "g")
     assert got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 300
     assert got.where("label <> 0").isEmpty() and got.count() == n
+
+
+def test_components_in_rounds_and_at_once(spark, monkeypatch):
+    """More edges than one task takes go through rounds, with the same labels; nulls join nothing."""
+    import random
+
+    from siteforge.operators import cluster
+
+    rng = random.Random(3)
+    n = 400
+    chain = [("a", i * 7 % n, (i + 1) * 7 % n) for i in range(150)]
+    pairs = [("b", rng.randrange(n), rng.randrange(n)) for _ in range(180)]
+    name = {(g, i): i for g in "ab" for i in range(n)}
+    moved = True
+    while moved:
+        moved = False
+        for g, a, b in chain + pairs:
+            low = min(name[g, a], name[g, b])
+            moved |= (name[g, a], name[g, b]) != (low, low)
+            name[g, a] = name[g, b] = low
+    nodes = spark.createDataFrame([(g, i) for g in "ab" for i in range(n)] + [(None, 1), ("a", None)], "g string, node long")
+    edges = spark.createDataFrame(chain + pairs + [("a", None, 1), (None, 1, 2), ("a", 5, 5)], "g string, a long, b long")
+    for few in (100_000, 10):
+        monkeypatch.setattr(cluster, "FEW", few)
+        got = {(r.g, r.node): r.label for r in cluster.components(nodes, edges, "g").collect()}
+        assert got == name | {(None, 1): 1, ("a", None): None}
+
+
+def test_chained_clusters_against_all_pairs(spark):
+    """Clusters over the antimeridian, by the poles and over the equator; many points of one place or cell are not paired."""
+    import math
+    import random
+
+    from siteforge.functions.geo import EARTH_M
+    from siteforge.operators import cluster
+
+    def metres(p, q):
+        a = math.sin(math.radians(q[1] - p[1]) / 2) ** 2 + math.cos(math.radians(p[1])) * math.cos(math.radians(q[1])) * math.sin(math.radians(q[2] - p[2]) / 2) ** 2
+        return 2 * EARTH_M * math.asin(math.sqrt(min(1.0, a)))
+
+    rng = random.Random(5)
+    boxes = [((-6, 6), (-8, 8)), ((40, 48), (174, 180)), ((40, 48), (-180, -174)), ((86, 90), (-180, 180)), ((-90, -87), (-180, 180))]
+    rows = [(rng.choice("xy"), round(rng.uniform(*la), 1), round(rng.uniform(*lo), 1)) for la, lo in boxes for _ in range(90)]
+    rows += [("x", 1.0, 1.0)] * 3000
+    rng.shuffle(rows)
+    places = sorted({(*r, i) for i, r in reversed(list(enumerate(rows)))})
+    name = {}
+    for *r, i in places:
+        name[tuple(r)] = min(i, name.get(tuple(r), i))
+    own, moved = list(name), True
+    steps = [(p, q) for j, p in enumerate(own) for q in own[:j] if p[0] == q[0] and metres(p, q) <= 120000]
+    while moved:
+        moved = False
+        for p, q in steps:
+            moved |= name[p] != name[q]
+            name[p] = name[q] = min(name[p], name[q])
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)] + [("x", None, 1.0, -1), (None, 1.0, 1.0, -2)], "g string, lat double, lon double, id long")
+    got = {r.id: r.label for r in cluster.chained(df, "g", "id", 120000.0).collect()}
+    assert got == {i: name[r] for i, r in enumerate(rows)} | {-1: -1, -2: -2}
+    assert 20 < len(set(got.values())) < len(own) - 50
+
+
+def test_g15_pairs_no_two_points_of_a_place(spark, tmp_path):
+    """60 times as many customers at the same places: the result is the same for the smallest of each place."""
+    from pyspark.sql import functions as F
+
+    from siteforge.plans import registry
+
+    one = spark.read.parquet("/root/testdata/sf0.01/customer.parquet")
+    copies = one.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(59)))).withColumn("c_custkey", (F.col("c_custkey") + F.col("i") * 45000).cast("long")).drop("i")
+    copies.write.parquet(f"{tmp_path}/customer.parquet")
+    q = registry.queries()["g15_components"]
+    small = {r.node: r.label for r in q(spark, "/root/testdata/sf0.01").collect()}
+    large = q(spark, str(tmp_path)).collect()
+    assert len(large) == 60 * len(small) and all(r.label == small[r.node % 45000] for r in large)
