@@ -231,3 +231,17 @@ def test_g15_pairs_no_two_points_of_a_place(spark, tmp_path):
     small = {r.node: r.label for r in q(spark, "/root/testdata/sf0.01").collect()}
     large = q(spark, str(tmp_path)).collect()
     assert len(large) == 60 * len(small) and all(r.label == small[r.node % 45000] for r in large)
+
+
+def test_g16_counts_all_points_of_a_place(spark, tmp_path):
+    """Repeated customers at the same places: clusters keep their labels and origins, and count every customer."""
+    from pyspark.sql import functions as F
+
+    from siteforge.plans import registry
+
+    one = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    copies = one.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(59)))).withColumn("c_custkey", (F.col("c_custkey") + F.col("i") * 45000).cast("long")).drop("i")
+    copies.write.parquet(f"{tmp_path}/customer.parquet")
+    q = registry.queries()["g16_clusters"]
+    small, large = ({r.label: r for r in q(spark, d).collect()} for d in ("/root/testdata/sf0.001", str(tmp_path)))
+    assert large.keys() == small.keys() and all((r.n, r.origins) == (60 * small[k].n, small[k].origins) for k, r in large.items())
