@@ -9,23 +9,26 @@ are proposed in two ways, verified alike:
   share a key with probability 1 - (1 - s^ROWS)^BANDS: 0.99995 at 0.8.
 
 All pairs of a key of at most ALL_PAIRS nodes are verified. In a larger one (a group of many near copies) each node is verified
-against LEADERS members, so that the work grows with the nodes: the one that meets most others over all its keys (the original of
-edited copies, which need not be alike among themselves) and the first by hash. Nodes that no leader links are dealt with again among
-themselves: all pairs of a key where few are left, leaders of their own else, until a round links nothing more. The leaders only merge
-what is alike early; then every large key whose nodes no chain of edges joins yet is settled without comparing all its pairs:
+against the key's leader, so that the work grows with the nodes: the one that meets most others over all its keys (the original of
+edited copies, which need not be alike among themselves). The leaders only merge what is alike early; then every large key whose nodes
+no chain of edges joins yet is settled without comparing all its pairs:
 
 - in any one order of all shingles, two alike sets share one of the first |x| - 0.8 |x| + 1 of each. These are the keys of the first
   round; the order puts shingles that few sets have first, as far as at most SAMPLE sets tell (it decides the work, not the result).
+  The first such shingle, at places i and j of the two orders, leaves at most min(|x| - i, |y| - j) to share.
 - keys of one node, or of one component, end; where at most ALL_PAIRS pairs a node lie between components, these are verified. Else the
   smallest set L is compared with all others. Sets x and y are alike if they share at least 4/9 (|x| + |y|) shingles. An x that is not alike to L shares less than
   4/9 (|x| + |L|) with it, so what it shares with any y of the key can't all lie in L: at least t = 4/9 (|x| + max(|L|, 0.8 |x|)) -
   |x and L| shingles outside L are needed, of which one is among the first |x less L| - t + 1 of each: the keys of the next round.
 
+Sets are made again from texts where pairs need them. Texts that a chain of pairs joins are sent to one task as long as they have at most
+TOGETHER shingles; the pairs of longer chains are joined with their sets.
+
 In the last of ROUNDS rounds all pairs between components of what keys are left are verified, so no link is lost; that round is
 quadratic in such a key.
 
-Nulls: null and empty texts have the empty set and are copies of one another. Repeated rows share a node, ties in the order of
-leaders have equal nodes, an empty table has no nodes, and a very long text takes memory in proportion to its words.
+Nulls: null and empty texts have the empty set and are copies of one another. Repeated rows share a node, ties among leaders go to the
+smallest node, an empty table has no nodes, and a very long text takes memory in proportion to its words.
 """
 from __future__ import annotations
 
@@ -46,7 +49,8 @@ from siteforge.operators.cluster import components
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
-ALL_PAIRS, LEADERS, ROUNDS = 32, 3, 6
+ALL_PAIRS, ROUNDS = 32, 6
+TOGETHER = 1 << 20  # shingles: 8 MB
 SAMPLE, LONGEST, COMMON = 1000, 4096, 50_000  # sets, shingles of each, shingles whose counts order all
 _WORD = re.compile(rb"[^ \t-\r]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -103,7 +107,7 @@ def meetings(nodes: DataFrame) -> DataFrame:
     """(node, size, key, n, score) of nodes (node, size, keys) in keys of n > 1 nodes; score: how many others the node meets over all its keys."""
     met = nodes.select("node", "size", F.explode("keys").alias("key"))
     counts = cut(met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    met = cut(met.join(counts, "key"))
+    met = cut(possibly(met, counts, "key").where("_hit").drop("_hit").join(counts, "key"))
     hot = met.where(F.col("n") > ALL_PAIRS).select("node").distinct()
     score = met.join(hot, "node", "left_semi").groupBy("node").agg(F.sum("n").alias("score"))
     return cut(met.join(score, "node", "left"))
@@ -118,7 +122,7 @@ def neighbours(fps: DataFrame) -> DataFrame:
     keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m).cast("bigint"))) for i, m in enumerate(signed)])
     dealt = fps.select("fp", F.explode(keys).alias("key"))
     shared = cut(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
-    return dealt.join(shared, "key", "left_semi").select("fp").distinct()
+    return possibly(dealt, shared, "key").where("_hit").join(shared, "key", "left_semi").select("fp").distinct()
 
 
 def close(x, y, similarity: float):
@@ -135,29 +139,20 @@ def small_groups(met: DataFrame, similarity: float) -> DataFrame:
 
 def led(hot: DataFrame) -> DataFrame:
     """(node, size, leader, lsize): each node of hot (node, size, key, score) with the leaders of its keys, each once."""
-    one = F.struct("node", "size")
-    first = lambda i: F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), one.alias("l")))["l"]
-    top = F.min(F.struct((-F.col("score")).alias("s"), one.alias("l")))["l"]
-    leaders = hot.groupBy("key").agg(F.array(top, *[first(i) for i in range(LEADERS - 1)]).alias("leaders"))
-    mine = hot.join(leaders, "key").groupBy("node", "size").agg(F.array_distinct(F.flatten(F.collect_list("leaders"))).alias("l"))  # at most BANDS lists
-    return mine.select("node", "size", F.explode("l").alias("l")).select("node", "size", F.col("l.node").alias("leader"), F.col("l.size").alias("lsize"))
+    top = F.min(F.struct((-F.col("score")).alias("s"), F.struct("node", "size").alias("l")))["l"]
+    leaders = hot.groupBy("key").agg(top.alias("l"))
+    return hot.join(leaders, "key").select("node", "size", F.col("l.node").alias("leader"), F.col("l.size").alias("lsize")).distinct()
 
 
-def loose(hot: DataFrame, pairs: DataFrame, edges: DataFrame) -> DataFrame:
-    """What is left of hot: less the leaders and those that an edge joins to a leader of theirs, key by key."""
-    linked_ = edges.select(F.col("a").alias("node"), F.col("b").alias("leader")).unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("leader")))
-    good = pairs.join(linked_, ["node", "leader"], "left_semi").select("node").unionByName(pairs.select(F.col("leader").alias("node"))).distinct()
-    return hot.join(good, "node", "left_anti")
+def overlap(x: np.ndarray, y: np.ndarray) -> float:
+    """Jaccard similarity of two sets, not both empty."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
 
 
 @F.pandas_udf(DoubleType())
 def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-    def one(x: bytes, y: bytes) -> float:
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return both / (len(x) + len(y) - both)
-
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=float)
+    return pd.Series([overlap(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b)], dtype=float)
 
 
 def common(held: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -192,6 +187,8 @@ def outside(x: np.ndarray, leader: np.ndarray, similarity: float, counts) -> tup
 
 
 def aheads(similarity: float, counts):
+    """The shingles ahead, in order."""
+
     @F.pandas_udf("array<bigint>")
     def of(x: pd.Series) -> pd.Series:
         return pd.Series([ahead(np.frombuffer(a, np.uint64), similarity, counts).view(np.int64) for a in x], dtype=object)
@@ -208,11 +205,16 @@ def outsides(similarity: float, counts):
     return of
 
 
+def texts_of(needed: DataFrame, docs: DataFrame) -> DataFrame:
+    """needed (th, ...) with the text of docs (th, text), each once."""
+    texts = possibly(docs, needed, "th").where("_hit").select("th", "text").join(needed.select("th").distinct(), "th", "left_semi").dropDuplicates(["th"])
+    return needed.join(texts, "th")
+
+
 def sets_of(needed: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, set_) of the distinct nodes in needed (node), made again from docs (th, text); nodes (node, th)."""
     needed = cut(nodes.join(needed, "node", "left_semi").select("th"))
-    texts = possibly(docs, needed, "th").where("_hit").select("th", "text").join(needed, "th", "left_semi").dropDuplicates(["th"])
-    return cut(sets(texts, whole=True).select("node", "set_"))
+    return cut(sets(texts_of(needed, docs), whole=True).select("node", "set_"))
 
 
 def with_sets(pairs: DataFrame, held: DataFrame) -> DataFrame:
@@ -227,13 +229,49 @@ def alike(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     return cut(both.withColumn("j", jaccard("sa", "sb")).where(F.col("j") >= similarity).select("a", "b"))
 
 
+def together(held: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) at the similarity or more of held (label, node, others, text): node with each of the others, which have its label."""
+
+    def run(batches):
+        label, sets_, pairs = None, {}, []
+
+        def found():
+            good = [(a, b) for a, b in pairs if overlap(sets_[a], sets_[b]) >= similarity]
+            return pd.DataFrame({x: pd.Series([p[i] for p in good], dtype=object) for i, x in enumerate("ab")})
+
+        for batch in batches:
+            for at, node, others, text in zip(batch["label"], batch["node"], batch["others"], batch["text"]):
+                if at != label:
+                    if pairs:
+                        yield found()
+                    label, sets_, pairs = at, {}, []
+                sets_[node] = shingles(text)
+                pairs += [(node, o) for o in (others if others is not None else ())]
+        if pairs:
+            yield found()
+
+    dealt = held.select("label", "node", "others", "text").repartition("label").sortWithinPartitions("label")
+    return dealt.mapInPandas(frugal(run), "a binary, b binary")
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of nodes at the similarity or more; sets are made where a pair needs them."""
-    return alike(pairs, sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, docs), similarity)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    chains = cut(components(ends, pairs).join(nodes.select("node", "th", "size"), "node"))
+    size = chains.groupBy("label").agg(F.sum("size").alias("all_"))
+    others = pairs.groupBy(F.col("a").alias("node")).agg(F.collect_list("b").alias("others"))
+    chains = cut(chains.join(size, "label").join(others, "node", "left"))
+    few = chains.where(F.col("all_") <= TOGETHER).select("th", "label", "node", "others")
+    many = chains.where(F.col("all_") > TOGETHER).select("node", "others")
+    out = cut(together(texts_of(few, docs), similarity))
+    if many.isEmpty():
+        return out
+    long = many.select(F.col("node").alias("a"), F.explode("others").alias("b"))
+    return out.unionByName(alike(long, sets_of(many.select("node"), nodes, docs), similarity))
 
 
 def settled(hot: DataFrame, edges: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """edges and those that join nodes of one key of hot (node, size, key) which no chain of edges joins."""
+    """edges and those that join nodes of one key of hot (node, size, key) which no chain of edges joins. pos: the key's place in the set's order, 0 if not known."""
     names = cut(components(hot.select("node").distinct(), edges))
 
     def mixed(at: DataFrame) -> DataFrame:
@@ -245,14 +283,15 @@ def settled(hot: DataFrame, edges: DataFrame, nodes: DataFrame, docs: DataFrame,
         return cut(at.join(keys.where("labels > 1").select("key", "n", "l", "top", (F.expr("n * n - squares") / 2).alias("crossing")), "key"))
 
     def crossing(at: DataFrame) -> DataFrame:
-        a = at.where("label <> top").select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("size").alias("za"))
-        b = at.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("size").alias("zb"))
-        return a.join(b, "key").where(F.expr("la <> lb") & close("za", "zb", similarity)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        a = at.where("label <> top").select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("size").alias("za"), F.col("pos").alias("pa"))
+        b = at.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("size").alias("zb"), F.col("pos").alias("pb"))
+        enough = F.least(F.expr("za - pa"), F.expr("zb - pb")) >= similarity / (1 + similarity) * F.expr("za + zb") - 1e-6  # shared at most, at least
+        return a.join(b, "key").where(F.expr("la <> lb") & close("za", "zb", similarity) & enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     those = mixed(hot).select("node", "size").distinct()
     held = sets_of(those.select("node"), nodes, docs)
     counts = common(held)
-    at = those.join(held.select("node", F.explode(aheads(similarity, counts)("set_")).alias("key")), "node")
+    at = those.join(held.select("node", F.posexplode(aheads(similarity, counts)("set_")).alias("pos", "key")), "node")
     for left in reversed(range(ROUNDS)):
         at = mixed(at)
         direct = F.expr(f"crossing <= {ALL_PAIRS} * n") if left else F.lit(True)
@@ -270,7 +309,7 @@ def settled(hot: DataFrame, edges: DataFrame, nodes: DataFrame, docs: DataFrame,
             return edges
         if not all(e.isEmpty() for e in new):
             names = cut(components(names.select("node"), edges))
-        at = met.select(F.col("a").alias("node"), "size", F.explode("keys").alias("key")).distinct()
+        at = met.select(F.col("a").alias("node"), "size", F.explode("keys").alias("key"), F.lit(0).alias("pos")).distinct()
     return edges
 
 
@@ -284,22 +323,11 @@ def linked(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) ->
     near = ordered(balls.join(of("a"), "a").join(of("b"), "b"), "na", "nb")
     same = ordered(printed.join(first, "print").where("node <> first"), "node", "first")  # different sets of one print
     met = meetings(nodes.select("node", "size", "keys"))
-    large = hot = met.where(F.col("n") > ALL_PAIRS).select("node", "size", "key", "score")
-    led_ = cut(led(hot).where("node <> leader"))
-    fit = lambda df: ordered(df.where(close("size", "lsize", similarity)), "node", "leader")
-    pairs = cut(small_groups(met, similarity).unionByName(near).unionByName(same).unionByName(fit(led_)).distinct())
-    edges = out = verified(pairs, nodes, docs, similarity)
-    while not edges.isEmpty():
-        rest = loose(hot, led_, edges)
-        met = cut(rest.join(rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key"))
-        hot = met.where(F.col("n") > ALL_PAIRS).select("node", "size", "key", "score")
-        led_ = cut(led(hot).where("node <> leader"))
-        pairs = cut(small_groups(met, similarity).unionByName(fit(led_)).distinct())
-        if pairs.isEmpty():
-            break
-        edges = verified(pairs, nodes, docs, similarity)
-        out = out.unionByName(edges)
-    return out if large.isEmpty() else settled(large, out, nodes, docs, similarity)
+    large = met.where(F.col("n") > ALL_PAIRS).select("node", "size", "key", "score")
+    fit = led(large).where((F.col("node") != F.col("leader")) & close("size", "lsize", similarity))
+    pairs = cut(small_groups(met, similarity).unionByName(near).unionByName(same).unionByName(ordered(fit, "node", "leader")).distinct())
+    edges = verified(pairs, nodes, docs, similarity)
+    return edges if large.isEmpty() else settled(large, edges, nodes, docs, similarity)
 
 
 def labels(made: DataFrame, docs: DataFrame) -> DataFrame:

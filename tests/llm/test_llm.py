@@ -595,3 +595,30 @@ def test_near_duplicates_of_a_large_key_compare_few_pairs(spark, monkeypatch):
     got = made.select("node", "th").join(neardup.labels(made, docs), "node").groupBy("label").agg(F.collect_list("th").alias("c")).collect()
     assert {frozenset(r.c) for r in got} == want and len(want) < len(texts) - 60
     assert sum(seen) < 5000
+
+
+def test_near_pairs_are_verified_together_and_apart(spark, monkeypatch):
+    """Chains of pairs sent to one task and pairs joined with their sets give the same edges; only long chains join sets."""
+    from siteforge.llm import neardup
+
+    rng = random.Random(23)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        texts += [" ".join(base[:i] + [f"e{i}"] * e + base[i + e :]) for i in (5, 50, 90) for e in (1, 4, 9)]
+    grams = [set(neardup.shingles(t).tolist()) for t in texts]
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if (n := len(grams[i] & grams[j])) / (len(grams[i]) + len(grams[j]) - n) >= 0.8}
+    docs = spark.createDataFrame(list(enumerate(texts)), "th long, text string")
+    docs = docs.select(F.xxhash64("text").alias("th"), "text", F.col("th").alias("i"))
+    nodes = neardup.sets(docs).localCheckpoint()
+    a, b = (nodes.select(F.col("node").alias(x), F.col("i").alias(f"i{x}")) for x in "ab")
+    pairs = a.join(b, F.floor(F.col("ia") / 9) == F.floor(F.col("ib") / 9)).where("a < b").select("a", "b").localCheckpoint()
+    joined, plain = [], neardup.with_sets
+    monkeypatch.setattr(neardup, "with_sets", lambda pairs, held: joined.append(1) or plain(pairs, held))
+    for most, joins in ((1 << 20, 0), (0, 1)):
+        monkeypatch.setattr(neardup, "TOGETHER", most)
+        joined.clear()
+        got = neardup.verified(pairs, nodes.select("node", "th", "size"), docs.select("th", "text"), 0.8)
+        found = [tuple(sorted((r.ia, r.ib))) for r in got.join(a, "a").join(b, "b").collect()]
+        assert len(found) == len(set(found)) and set(found) == want and len(joined) == joins
+    assert 0 < len(want) < 12 * 36
