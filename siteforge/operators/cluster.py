@@ -1,6 +1,7 @@
 """Connected components and greedy per-group geometry."""
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -8,12 +9,26 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siteforge.functions import geo
 from siteforge.operators import joins
 from siteforge.storage import stored
 
 
 #: Edges of which one task finds the components: 100,000 take it a tenth of a second and a few MB.
 FEW = 100_000
+#: Places of a group that one task chains.
+MANY = 100_000
+
+
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """label, where those of a and b that meet at an edge have become the smaller one, through chains of edges too."""
+    while len(a):
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        a, b, low, high = (x[low < high] for x in (a, b, low, high))
+        np.minimum.at(label, high, low)
+        while (label[label] != label).any():
+            label = label[label]
+    return label
 
 
 def _solved(edges: DataFrame, by: list[str]) -> DataFrame:
@@ -30,13 +45,7 @@ def _solved(edges: DataFrame, by: list[str]) -> DataFrame:
             at = np.unique(at, return_inverse=True)[1]
         names, ids = np.unique(np.concatenate([e["a"], e["b"]]), return_inverse=True)
         ends, v = np.unique(np.concatenate([at, at]) * len(names) + ids, return_inverse=True)  # in the order of a group's names
-        label, a, b = np.arange(len(ends)), v[:n], v[n:]
-        while len(a):
-            low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
-            a, b, low, high = (x[low < high] for x in (a, b, low, high))
-            np.minimum.at(label, high, low)
-            while (label[label] != label).any():
-                label = label[label]
+        label = _joined(np.arange(len(ends)), v[:n], v[n:])
         first = np.unique(v, return_index=True)[1] % max(n, 1)
         made = {c: e[c][first] for c in by} | {"node": names[ends % max(len(names), 1)], "label": names[ends[label] % max(len(names), 1)]}
         yield pd.DataFrame({c: pd.Series(x, dtype=x.dtype) for c, x in made.items()})
@@ -76,17 +85,86 @@ def components(nodes: DataFrame, edges: DataFrame, group: str | None = None) ->
     return nodes.join(out, [*by, "node"], "left").select(*by, "node", F.coalesce("label", "node").alias("label"))
 
 
+def _chain(lat: np.ndarray, lon: np.ndarray, metres: float) -> np.ndarray:
+    """First place of each place's cluster, chained by steps of at most metres.
+
+    Places of a cube so small that any two are within a step are one. Two cubes are joined if their first places are within a step, and
+    never if their boxes are too far apart; of other pairs that no chain joins, each box is split at its middle and the parts are paired.
+    """
+    reach = 2 * math.sin(min(math.pi / 2, metres / (2 * geo.EARTH_M)))  # a step's chord on the unit sphere
+    y, x = np.radians(lat), np.radians(lon)
+    at = np.stack([np.cos(y) * np.cos(x), np.cos(y) * np.sin(x), np.sin(y)])
+    side = 0.99 * reach / math.sqrt(3)
+    n = int(2 / side) + 6
+    cube = np.floor((at + 1) / side).astype(np.int64) + 2
+    ids, root = np.unique((cube[0] * n + cube[1]) * n + cube[2], return_inverse=True)
+    a, b = [], []
+    for i, j, k in itertools.product(range(-2, 3), repeat=3):  # a step is 1.75 sides
+        beside = ids + (i * n + j) * n + k
+        to = np.minimum(np.searchsorted(ids, beside), len(ids) - 1)
+        a.append(np.flatnonzero((ids[to] == beside) & (beside > ids)))
+        b.append(to[a[-1]])
+    a, b = np.concatenate(a), np.concatenate(b)
+    label, place, node = np.arange(len(ids)), np.arange(len(lat)), root
+    while len(a):
+        order = np.argsort(node, kind="stable")
+        start = np.searchsorted(node[order], np.arange(node.max() + 1))
+        low, high = (f.reduceat(at[:, place[order]], start, axis=1) for f in (np.minimum, np.maximum))
+        gap = np.maximum(0, np.maximum(low[:, a] - high[:, b], low[:, b] - high[:, a]))
+        kept = (gap * gap).sum(axis=0) <= (reach * (1 + 1e-9)) ** 2
+        a, b = a[kept], b[kept]
+        first = place[order[start]]
+        p, q = first[a], first[b]
+        h = np.sin(np.radians(lat[q] - lat[p]) / 2) ** 2 + np.cos(y[p]) * np.cos(y[q]) * np.sin(np.radians(lon[q] - lon[p]) / 2) ** 2
+        near = 2 * geo.EARTH_M * np.arcsin(np.sqrt(np.minimum(1.0, h))) <= metres
+        label = _joined(label, root[p[near]], root[q[near]])
+        wide = (high - low).max(axis=0) > 1e-12
+        kept = (label[root[p]] != label[root[q]]) & (wide[a] | wide[b])
+        a, b = a[kept], b[kept]
+        used = np.zeros(len(first), dtype=bool)
+        used[a] = used[b] = True
+        place, node = place[used[node]], node[used[node]]
+        part = (at[:, place] > (low + (high - low) / 2)[:, node]).T @ np.array([4, 2, 1])
+        ids, node = np.unique(node * 8 + part, return_inverse=True)
+        (ia, na), (ib, nb) = ((np.searchsorted(ids, 8 * v), np.searchsorted(ids, 8 * v + 8) - np.searchsorted(ids, 8 * v)) for v in (a, b))
+        pair = np.repeat(np.arange(len(a)), na * nb)
+        at_pair = np.arange(len(pair)) - np.repeat(np.cumsum(na * nb) - na * nb, na * nb)
+        a, b = ia[pair] + at_pair // nb[pair], ib[pair] + at_pair % nb[pair]
+    best = np.full(len(label), len(lat))
+    np.minimum.at(best, label[root], np.arange(len(lat)))
+    return best[label[root]]
+
+
 def chained(points: DataFrame, group: str, key: str, metres: float) -> DataFrame:
-    """(group, key, label): smallest key of each cluster of points (group, key, lat, lon; a key once) chained by steps of at most metres.
+    """points with the label of each: the smallest key of its cluster, chained by steps of at most metres within a group.
+
+    points (group, key, lat, lon, others...; a key once). Points of a group at one place are one, and a group is one task's work. If a
+    group has over MANY places, or a step is under 20 metres, all groups are chained by joins. A point without place or group stays alone.
+    """
+    places = stored(points.groupBy(group, "lat", "lon").agg(F.min(key).alias("p")).dropna("any", subset=[group, "lat", "lon", "p"]))
+    if metres >= 20 and places.groupBy(group).count().where(F.col("count") > MANY).isEmpty():
+        kinds = dict(places.dtypes)
+
+        def run(d: pd.DataFrame) -> pd.DataFrame:
+            d = d.sort_values("p", ignore_index=True)
+            first = _chain(d["lat"].to_numpy(dtype=float), d["lon"].to_numpy(dtype=float), metres)
+            return d.drop(columns="p").assign(label=d["p"].to_numpy()[first])
+
+        named = places.groupBy(group).applyInPandas(run, f"`{group}` {kinds[group]}, lat {kinds['lat']}, lon {kinds['lon']}, label {kinds['p']}")
+    else:
+        named = _chained_places(places, group, metres)
+    return points.join(named, [group, "lat", "lon"], "left").withColumn("label", F.coalesce("label", key))
+
+
+def _chained_places(places: DataFrame, group: str, metres: float) -> DataFrame:
+    """(group, lat, lon, label) of places (group, lat, lon, p), by joins.
 
-    Points of a group at one place are one, and so are the places of a grid cell so small that any two are within a step. Cells are first
-    joined by their outermost places alone; then all places of the groups that are not yet one cluster are compared. A point without
-    place or group stays alone.
+    Places of a grid cell so small that any two are within a step are one. Cells are first joined by their outermost places alone; then
+    all places of the groups that are not yet one cluster are compared.
     """
     side = 0.7 * metres / 112000.0  # degrees; both sides make a diagonal of 0.99 metres
     row = F.floor(F.col("lat") / side)
     width = side / F.greatest(F.cos(F.radians(F.least(F.abs(row), F.abs(row + 1)) * side)), F.lit(1e-9))
-    places = points.groupBy(group, "lat", "lon").agg(F.min(key).alias("p")).dropna("any", subset=[group, "lat", "lon"])
     places = stored(places.withColumns({"r_": row, "c_": F.floor(F.col("lon") / width)}))
     far = [end(F.struct("lat", "lon"), F.col(c)) for c in ("lat", "lon") for end in (F.min_by, F.max_by)]
     cells = stored(places.groupBy(group, "r_", "c_").agg(F.min("p").alias("cell"), F.array_distinct(F.array(*far)).alias("far")))
@@ -103,8 +181,7 @@ def chained(points: DataFrame, group: str, key: str, metres: float) -> DataFrame
     several = first.groupBy(group).agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select(group)
     again = edge(near(held.join(several, group, "left_semi"), ["label"]), "label", "rlabel")
     last = components(first.select(group, F.col("label").alias("node")).distinct(), again, group)
-    named = held.join(last.select(group, F.col("node").alias("label"), F.col("label").alias("last")), [group, "label"]).select(group, "lat", "lon", "last")
-    return points.join(named, [group, "lat", "lon"], "left").select(group, key, F.coalesce("last", key).alias("label"))
+    return held.join(last.select(group, F.col("node").alias("label"), F.col("label").alias("last")), [group, "label"]).select(group, "lat", "lon", F.col("last").alias("label"))
 
 
 def by_group(df: DataFrame, keys: list[str], solve, schema) -> DataFrame:

@@ -96,15 +96,15 @@ _CC = f"""WITH RECURSIVE e AS (SELECT a.c_custkey AS a, b.c_custkey AS b FROM {_
 
 @query("g15_components", f"{_CC} SELECT node, min(label) AS label FROM r GROUP BY 1")
 def g15_components(spark, sf_dir):
-    points = customers(spark, sf_dir).select(F.col("c_nationkey").alias("g"), F.col("c_custkey").alias("node"), "lat", "lon")
-    return cluster.chained(points, "g", "node", 120000).select("node", "label")
+    return cluster.chained(customers(spark, sf_dir), "c_nationkey", "c_custkey", 120000).select(F.col("c_custkey").alias("node"), "label")
 
 
 @query("g16_clusters", f"{_CC}, c AS (SELECT node, min(label) AS label FROM r GROUP BY 1) SELECT label, count(*) AS n, count(DISTINCT c_mktsegment) AS origins, row_number() OVER (PARTITION BY c_nationkey ORDER BY count(DISTINCT c_mktsegment) DESC, count(*) DESC, label) AS rk FROM c JOIN customer ON c_custkey = node GROUP BY label, c_nationkey")
 def g16_clusters(spark, sf_dir):
     """Chained clusters with independent origins, ranked best first in their group."""
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("node"), "c_nationkey", "c_mktsegment")
-    g = g15_components(spark, sf_dir).join(c, "node").groupBy("label", "c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("c_mktsegment").alias("origins"))
+    k = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").where(k.isNotNull()).select("c_custkey", "c_nationkey", "c_mktsegment", lat(k).alias("lat"), lon(k).alias("lon"))
+    g = cluster.chained(c, "c_nationkey", "c_custkey", 120000).groupBy("label", "c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("c_mktsegment").alias("origins"))
     return g.select("label", "n", "origins", F.row_number().over(W.partitionBy("c_nationkey").orderBy(F.desc("origins"), F.desc("n"), "label")).alias("rk"))
 
 

@@ -245,3 +245,39 @@ def test_g16_counts_all_points_of_a_place(spark, tmp_path):
     q = registry.queries()["g16_clusters"]
     small, large = ({r.label: r for r in q(spark, d).collect()} for d in ("/root/testdata/sf0.001", str(tmp_path)))
     assert large.keys() == small.keys() and all((r.n, r.origins) == (60 * small[k].n, small[k].origins) for k, r in large.items())
+
+
+def test_g16_takes_few_jobs(spark):
+    """Clusters of sf0.1 in few Spark jobs (about 40 before, most of them overhead), in groups of several clusters too."""
+    from siteforge.plans import registry
+
+    spark.sparkContext.setJobGroup("g16", "g16")
+    try:
+        rows = registry.queries()["g16_clusters"](spark, "/root/testdata/sf0.1").collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sum(r.n for r in rows) == 15000 and len(rows) > 25
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("g16")) <= 20
+
+
+def test_chains_of_one_task_and_of_joins_are_the_same(spark, monkeypatch):
+    """Groups of over MANY places are chained by joins; both ways agree with brute force near a step's length and where a box is split."""
+    import numpy as np
+
+    from siteforge.functions.geo import EARTH_M
+    from siteforge.operators import cluster
+
+    rng = np.random.default_rng(7)
+    step = 120000 / 111195
+    lat = np.concatenate([rng.uniform(30, 57, 250), 60 + rng.integers(0, 4, 250) * step * 1.0005 + rng.normal(0, 2e-4, 250), [90.0, 90.0, -90.0]])
+    lon = np.concatenate([rng.uniform(-15, 15, 250), rng.normal(0, 1e-4, 250), [0.0, 77.0, 5.0]])
+    y, x = np.radians(lat), np.radians(lon)
+    h = np.sin((y[:, None] - y) / 2) ** 2 + np.cos(y)[:, None] * np.cos(y) * np.sin((x[:, None] - x) / 2) ** 2
+    near, want = 2 * EARTH_M * np.arcsin(np.sqrt(np.minimum(1, h))) <= 120000, np.arange(len(lat))
+    while ((low := np.where(near, want, len(lat)).min(axis=1)) < want).any():
+        want = low
+    assert cluster._chain(lat, lon, 120000.0).tolist() == want.tolist() and len(set(want)) > 5
+    df = spark.createDataFrame([("x", float(a), float(o), f"{i:04}") for i, (a, o) in enumerate(zip(lat, lon))], "g string, lat double, lon double, id string")
+    for most in (cluster.MANY, 0):
+        monkeypatch.setattr(cluster, "MANY", most)
+        assert {int(r.id): int(r.label) for r in cluster.chained(df, "g", "id", 120000.0).collect()} == dict(enumerate(want.tolist()))
