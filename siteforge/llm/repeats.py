@@ -19,6 +19,9 @@ rows. Nulls: a null text is empty; ids may be null. Rows are known by two 64-bit
 one another, and with keep_first the second loses every byte that a string covers. Ties (equal hashes of grams in one window) go to
 the first; among copies the one with the least hash is the first. Texts under LENGTH bytes are kept whole, an empty table gives an
 empty result, and very long texts take memory in proportion in one worker. Columns of the operator's names are replaced.
+
+Beside the bytes, n_shared_words (siteforge/llm/passages.py) counts the words in strings of WORDS words that another document also has;
+many of these are shorter than LENGTH bytes. Nothing is removed for them.
 """
 from __future__ import annotations
 
@@ -32,40 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from siteforge.llm.common import cut, frugal, possibly, read, widened
+from siteforge.llm.passages import covered, shared_windows
+from siteforge.llm.rolling import gram_hashes, window_min
 
-LENGTH = 400
+LENGTH, WORDS = 400, 51
 MAX_ROWS, CHUNK, WIDTH = 1000, 60_000, 16
-_R = np.uint64(0x9E3779B97F4A7C15)
-_RINV = np.uint64(pow(int(_R), -1, 1 << 64))
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("r", ())) < n:
-        for name, base in (("r", _R), ("inv", _RINV)):
-            p = np.full(max(n, 1 << 17), base, dtype=np.uint64)
-            p[0] = 1
-            _POWERS[name] = np.multiply.accumulate(p)
-    return _POWERS["r"][:n], _POWERS["inv"][:n]
-
-
-def gram_hashes(b: np.ndarray, k: int) -> np.ndarray:
-    """Mixed 64-bit hash of each k-gram of bytes."""
-    r, inv = _powers(len(b))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * r)])
-    h = (total[k:] - total[:-k]) * inv[: len(b) - k + 1]
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(32))
-
-
-def window_min(v: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of each w neighbouring values, in linear time."""
-    n = len(v) - w + 1
-    padded = np.concatenate([v, np.full(-len(v) % w, np.iinfo(v.dtype).max, v.dtype)]).reshape(-1, w)
-    ahead = np.minimum.accumulate(padded, axis=1).ravel()
-    behind = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(behind[:n], ahead[w - 1 : w - 1 + n])
 
 
 def anchors(data: bytes, length: int, k: int) -> tuple[np.ndarray, ...]:
@@ -150,9 +124,15 @@ def _fetch(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
+            out, size = [], 0
             for u1, u2, t, want in zip(b["u1"], b["u2"], b["text"], b["want"]):
                 data = _encoded(t)
-                yield pd.DataFrame([(u1, u2, *(w[c] for c in names), data[w["lo"] : w["lo"] + w["n"] - 1 + length]) for w in want], columns=["u1", "u2", *names, "data"])
+                out += [(u1, u2, *(w[c] for c in names), data[w["lo"] : w["lo"] + w["n"] - 1 + length]) for w in want]
+                size += sum(w["n"] - 1 + length for w in want)
+                if size > 2_000_000:
+                    yield pd.DataFrame(out, columns=["u1", "u2", *names, "data"])
+                    out, size = [], 0
+            yield pd.DataFrame(out, columns=["u1", "u2", *names, "data"])
 
     # a copy of a row (doc_id, text) brings the same rows again
     return joined.dropDuplicates(["u1", "u2"]).mapInPandas(run, _schema([*ROW, ("big", "boolean"), ("data", "binary")]))
@@ -261,27 +241,29 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, k: int | None = None,
     return found.unionByName(_by_factors(fetched.where("not big"), length, keep_first)).unionByName(_hot(fetched.where("big").drop("big"), length, keep_first))
 
 
-def remove_repeats(df: DataFrame, length: int = LENGTH, keep_first: bool = False, **how) -> DataFrame:
-    """df (doc_id, text, ...) with n_bytes, n_removed, n_spans, kept_sha256 and kept (the remaining bytes)."""
-    new = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"), ("kept", "binary")]
-    own = ["u1", "u2", "runs", "copy_", "_hit", "_b", "_p", "_m"]
+def remove_repeats(df: DataFrame, length: int = LENGTH, keep_first: bool = False, words: int = WORDS, **how) -> DataFrame:
+    """df (doc_id, text, ...) with n_bytes, n_removed, n_spans, kept_sha256, n_shared_words and kept (the remaining bytes)."""
+    new = [("n_bytes", "bigint"), ("n_removed", "bigint"), ("n_spans", "bigint"), ("kept_sha256", "string"), ("n_shared_words", "bigint"), ("kept", "binary")]
+    own = ["u1", "u2", "runs", "windows", "copy_", "_hit", "_b", "_p", "_m"]
     df, _ = widened(df, [*new, *((c, "string") for c in own)])
     keyed = df.withColumns({"u1": F.xxhash64("doc_id", "text"), "u2": F.xxhash64(F.lit(1), "text", "doc_id")})
     starts = repeated_starts(keyed.select("u1", "u2", "text"), length, keep_first=keep_first, **how)
-    runs = cut(starts.groupBy("u1", "u2").agg(F.collect_list(F.struct("s", "e")).alias("runs")))  # at most a document's starts
+    shared = shared_windows(keyed.select("u1", "u2", "text"), words)
+    both = starts.select("u1", "u2", F.struct("s", "e").alias("r")).unionByName(shared, allowMissingColumns=True)
+    runs = cut(both.groupBy("u1", "u2").agg(F.collect_list("r").alias("runs"), F.collect_list("w").alias("windows")))  # at most a document's starts
     if keep_first:  # a second row of the same id and text is a later copy as a whole
         joined = keyed.withColumn("copy_", F.row_number().over(W.partitionBy("u1", "u2").orderBy(F.lit(0)))).join(runs, ["u1", "u2"], "left")
     else:
         held = possibly(keyed.withColumn("copy_", F.lit(1)), runs, "u1")
-        none = F.lit(None).cast("array<struct<s:int,e:int>>").alias("runs")
-        joined = held.where("_hit").join(runs, ["u1", "u2"], "left").unionByName(held.where("not _hit").select("*", none)).drop("_hit")
+        none = [F.lit(None).cast("array<struct<s:int,e:int>>").alias("runs"), F.lit(None).cast("array<bigint>").alias("windows")]
+        joined = held.where("_hit").join(runs, ["u1", "u2"], "left").unionByName(held.where("not _hit").select("*", *none)).drop("_hit")
     joined = joined.drop("u1", "u2")
-    base, schema = widened(joined.drop("runs", "copy_"), new)
+    base, schema = widened(joined.drop("runs", "windows", "copy_"), new)
 
     def run(batches):
         for b in batches:
             cols: dict[str, list] = {c: [] for c, _ in new}
-            for text, found, copy in zip(b["text"], b["runs"], b["copy_"]):
+            for text, found, windows, copy in zip(b["text"], b["runs"], b["windows"], b["copy_"]):
                 data = _encoded(text)
                 spans: list[list[int]] = []
                 some = [(r["s"], r["e"] + length) for r in (found if found is not None else ())] if copy == 1 else [(0, len(data))] if len(data) >= length else []
@@ -295,9 +277,9 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, keep_first: bool = False
                     kept.append(data[at:s])
                     at = e
                 rest = b"".join([*kept, data[at:]])
-                for c, v in zip(cols, (len(data), len(data) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), rest)):
+                for c, v in zip(cols, (len(data), len(data) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), covered(windows, words), rest)):
                     cols[c].append(v)
-            b = b.drop(columns=["runs", "copy_"])
+            b = b.drop(columns=["runs", "windows", "copy_"])
             for c, t in new:
                 b[c] = pd.Series(cols[c], index=b.index, dtype="int64" if t == "bigint" else object)
             yield b
@@ -307,4 +289,4 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, keep_first: bool = False
 
 def op9_repeats(spark, sf_dir):
     d = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared_words")

@@ -281,6 +281,36 @@ def test_repeats_on_the_given_documents(spark):
     assert len(got) == len(text) and removed
 
 
+def shared_words(texts, n):
+    """Words in strings of n words that another document has, by plain Python."""
+    split = [words(t) for t in texts]
+    has = Counter(g for w in split for g in {tuple(w[i : i + n]) for i in range(len(w) - n + 1)})
+    return [len({j for i in range(len(w) - n + 1) if has[tuple(w[i : i + n])] > 1 for j in range(i, i + n)}) for w in split]
+
+
+def test_short_passages_of_several_documents(spark, empty):
+    """Passages of 51 words are below 400 bytes: nothing is removed, but they are counted, whatever stands around and between them."""
+    passage = [f"w{i}" for i in range(51)]
+    texts = [f"a{i} " * 30 + (" " if i else "\n").join(passage) + f" b{i}" * i for i in range(5)]
+    texts += ["c " + " ".join(passage[:50]), "d " * 120 + " ".join(passage[1:]), " ".join([*passage, "e", *passage]), None, ""]
+    got = {r.doc_id: r for r in repeats.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].n_shared_words for i in range(len(texts))] == [51] * 5 + [0, 0, 102, 0, 0] == shared_words(texts, 51)
+    assert all(got[i].n_removed == 0 for i in got)
+
+
+@pytest.mark.parametrize("n", [1, 7, 20])
+def test_shared_words_against_brute_force(spark, docs, n):
+    """Random texts of few words and of edited copies, repeated rows, null and long texts: all ways by which a string is found."""
+    rng = random.Random(n)
+    long = [f"x{rng.randrange(99)}" for _ in range(400)]
+    texts = ["\t".join(rng.choice("abc") for _ in range(rng.randrange(40))) for _ in range(60)]
+    texts += [" ".join(w if rng.random() < 0.95 else f"y{rng.random()}" for w in long) for _ in range(20)]
+    more = spark.createDataFrame([(300 + i, t) for i, t in enumerate(texts)] + [(300, texts[0])], "doc_id long, text string").repartition(4)
+    got = repeats.remove_repeats(docs.select("doc_id", "text").unionByName(more), words=n).select("text", "n_shared_words").collect()
+    want = shared_words([r.text for r in got], n)
+    assert [r.n_shared_words for r in got] == want and 0 < sum(want) < sum(len(words(r.text)) for r in got)
+
+
 def test_pii_base_against_plain_patterns(docs, empty):
     model = pii.train([r[1] for r in ROWS if r[1]])
 
