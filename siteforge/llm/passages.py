@@ -15,8 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteforge.llm.common import cut, frugal, possibly
+from siteforge.llm.common import frugal, possibly
 from siteforge.llm.rolling import mixed, powers, window_min
+from siteforge.storage import stored
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -42,10 +43,10 @@ def string_hashes(sums: np.ndarray, s: np.ndarray, n) -> np.ndarray:
 
 
 def word_anchors(text: str | None, n: int, k: int) -> tuple[np.ndarray, ...]:
-    """(key, whole, lo, c, new_key, new): runs of c starts from lo with one anchor; new: the first such row of the text."""
+    """(key, whole, place, new_key): runs of c starts from lo with one anchor; place: lo << 24, c << 1, and whether it is the text's first such run."""
     sums = word_sums(text)
     if len(sums) <= n:
-        return (*(np.zeros(0, np.int64) for _ in range(4)), *(np.zeros(0, bool) for _ in range(2)))
+        return *(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, bool)
     h = string_hashes(sums, np.arange(len(sums) - k), k)
     ranked = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)  # ties: the first
     at = (window_min(ranked, n - k + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -58,11 +59,11 @@ def word_anchors(text: str | None, n: int, k: int) -> tuple[np.ndarray, ...]:
         new = np.zeros(len(v), bool)
         new[np.unique(v, return_index=True)[1]] = True
         firsts.append(new)
-    return key.view(np.int64), whole.view(np.int64), lo, c, *firsts
+    return key.view(np.int64), whole.view(np.int64), lo << 24 | c << 1 | firsts[1], firsts[0]
 
 
 def _rows(docs: DataFrame, n: int, k: int) -> DataFrame:
-    names = ("key", "whole", "lo", "c", "new_key", "new")
+    names = ("key", "whole", "place", "new_key")
 
     def run(batches):
         for b in batches:
@@ -73,13 +74,12 @@ def _rows(docs: DataFrame, n: int, k: int) -> DataFrame:
                 out = {u: np.repeat(part[u].to_numpy(), sizes) for u in ("u1", "u2")}
                 yield pd.DataFrame(out | {c: np.concatenate([m[i] for m in made]) for i, c in enumerate(names)})
 
-    return docs.select("u1", "u2", "text").mapInPandas(frugal(run), "u1 bigint, u2 bigint, key bigint, whole bigint, lo int, c int, new_key boolean, new boolean")
+    return docs.select("u1", "u2", "text").mapInPandas(frugal(run), "u1 bigint, u2 bigint, key bigint, whole bigint, place bigint, new_key boolean")
 
 
 def _strings(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(u1, u2, h, s, several): the strings of the wanted rows (u1, u2, lo, c, several)."""
-    place = F.shiftleft(F.col("lo").cast("bigint"), 24) + F.col("c") * 2 + F.col("several").cast("int")
-    lists = wanted.groupBy("u1", "u2").agg(F.collect_list(place).alias("want"))  # at most a document's rows
+    """(u1, u2, h, s, several): the strings of the wanted rows (u1, u2, place, whose last bit is now several)."""
+    lists = wanted.groupBy("u1", "u2").agg(F.collect_list("place").alias("want"))  # at most a document's rows
     joined = possibly(docs, wanted, "u1").where("_hit").join(lists, ["u1", "u2"]).select("u1", "u2", "text", "want")
 
     def run(batches):
@@ -100,22 +100,22 @@ def _strings(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
 def shared_windows(docs: DataFrame, n: int, k: int | None = None) -> DataFrame:
     """(u1, u2, w): runs of starts of strings of n words of docs (u1, u2, text) that another document has; w: first start << 32, plus their number."""
-    rows = cut(_rows(docs, n, k or max(1, n // 4)))
+    rows = stored(_rows(docs, n, k or max(1, n // 4)))  # tables of columns: a row's hashes stand many times in u1 and u2
     again = rows.where("new_key").groupBy("key").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1").select("key")
-    rows = cut(rows.join(again, "key", "left_semi").drop("new_key"))
+    rows = stored(rows.join(again, "key", "left_semi").drop("new_key"))
     # a repeated row (doc_id, text) is counted twice, as a document of its own; any row of a kind stands for it
-    kinds = cut(rows.groupBy("key", "whole").agg(F.sum(F.col("new").cast("int")).alias("docs"), *[F.first(x).alias(x) for x in ("u1", "u2", "lo", "c")]))
-    whole = rows.join(kinds.where("docs > 1").select("key", "whole"), ["key", "whole"], "left_semi")
-    # a table of its own, so that both sides of the join below are plain exchanges, which Spark splits where a key is hot
-    keys = cut(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1").select("key"))
-    left = cut(kinds.join(keys, "key", "left_semi"))
-    alone = rows.join(left.where("docs = 1").select("key", "whole"), ["key", "whole"], "left_semi")  # also where its document repeats it
-    wanted = alone.select("u1", "u2", "lo", "c", F.lit(False).alias("several")).unionByName(left.where("docs > 1").select("u1", "u2", "lo", "c", F.lit(True).alias("several")))
-    strings = cut(_strings(docs, cut(wanted), n))
-    found = strings.groupBy("h").agg(F.min("u1").alias("a"), F.max("u1").alias("b"), F.max("several").alias("several")).where("a != b or several").select("h")
-    single = strings.where("not several").join(found, "h", "left_semi")
-    place = lambda s, c: F.shiftleft(F.col(s).cast("bigint"), 32) + c
-    return whole.select("u1", "u2", place("lo", F.col("c")).alias("w")).unionByName(single.select("u1", "u2", place("s", F.lit(1)).alias("w")))
+    kinds = stored(rows.groupBy("key", "whole").agg((F.sum(F.col("place").bitwiseAND(1)) > 1).alias("several"), *[F.first(x).alias(x) for x in ("u1", "u2", "place")]))
+    keys = stored(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1").select("key"))
+    left = kinds.join(keys, "key", "left_semi")
+    known = kinds.where("several").select("key", "whole", "several").unionByName(left.where("not several").select("key", "whole", "several"))
+    found = stored(rows.join(known, ["key", "whole"]).select("u1", "u2", "place", "several"))  # a row of one document also where that repeats it
+    even = F.col("place").bitwiseAND(-2)
+    wanted = found.where("not several").select("u1", "u2", even.alias("place")).unionByName(left.where("several").select("u1", "u2", (even + 1).alias("place")))
+    strings = stored(_strings(docs, stored(wanted), n))
+    shared = strings.groupBy("h").agg(F.min("u1").alias("a"), F.max("u1").alias("b"), F.max("several").alias("several")).where("a != b or several").select("h")
+    single = strings.where("not several").join(shared, "h", "left_semi").select("u1", "u2", (F.shiftleft(F.col("s").cast("bigint"), 32) + 1).alias("w"))
+    run = F.shiftleft(F.shiftright("place", 24), 32) + F.shiftright(F.col("place").bitwiseAND(0xFFFFFF), 1)
+    return found.where("several").select("u1", "u2", run.alias("w")).unionByName(single)
 
 
 def covered(windows: np.ndarray | None, n: int) -> int:
