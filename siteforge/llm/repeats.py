@@ -8,8 +8,8 @@ Every string of LENGTH bytes that starts at two places of the corpus is repeated
    anchors; a run of starts with one anchor is a row (key, hash of all the bytes its starts cover). Rows of keys seen once go.
 2. Rows are counted by (key, hash). Rows found twice are repeated as a whole.
 3. For keys with several different rows, one representative of each is fetched, and the suffixes at their starts are sorted: a
-   sparse suffix array with its LCP array. Previous and next smaller positions in suffix order give the longest previous
-   factor, the same with larger positions the longest next factor; LENGTH or more marks a repeated start. Tasks take whole keys
+   sparse suffix array. Where neighbours in suffix order have LENGTH common bytes, the one ahead gives the other's longest previous
+   factor and the one behind its longest next factor (cut at LENGTH), which mark a repeated start. Tasks take whole keys
    in chunks of bounded size. A key of more than MAX_ROWS different rows (a passage in very many surroundings) is dealt out first:
    its rows are cut into runs of WIDTH starts whose key is what they share, and step 2 is taken again; what still differs is cut
    into single strings, whose equals count as one another's factors. No task gathers such a key.
@@ -59,39 +59,22 @@ def anchors(data: bytes, length: int, k: int) -> tuple[np.ndarray, ...]:
 def factors(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Longest previous and next factor (at most `length` bytes) of each start among the starts, which ascend.
 
-    The suffixes are sorted by `length` bytes, ties by position; lcp[r]: common prefix of ranks r - 1 and r. Along the suffix
-    order a stack finds the neighbour with a smaller (larger) position on either side, with the least lcp in between.
+    The suffixes are sorted by `length` bytes, ties by position. Factors are told only where they reach `length`, else they are 0: there
+    neighbours in suffix order with `length` common bytes ascend by position, so the one ahead is a previous factor and the one behind a
+    next factor.
     """
-    n = len(starts)
     rows = np.lib.stride_tricks.sliding_window_view(data, length)[starts]
     order = np.argsort(np.ascontiguousarray(rows).view(f"S{length}").ravel(), kind="stable")
     ordered = rows[order]
-    differ = ordered[1:] != ordered[:-1]
-    common = np.where(differ.any(axis=1), differ.argmax(axis=1), length)
-    lpf, lnf = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    # only suffixes with a neighbour of `length` common bytes can reach it: runs of such suffixes are walked
-    full = np.flatnonzero(common == length)
-    groups = np.split(full, np.flatnonzero(np.diff(full) > 1) + 1) if len(full) else []
-    for g in groups:
-        ranks = range(int(g[0]), int(g[-1]) + 2)
-        for out, sign in ((lpf, 1), (lnf, -1)):
-            for walk in (ranks, reversed(ranks)):
-                stack: list[tuple[int, int]] = []  # (signed position, lcp to the one below)
-                for r in walk:
-                    p, lcp = sign * int(order[r]), length
-                    while stack and stack[-1][0] > p:
-                        lcp = min(lcp, stack.pop()[1])
-                    if stack:
-                        out[order[r]] = max(out[order[r]], lcp)
-                    stack.append((p, length))
+    if length % 8 == 0:
+        ordered = ordered.view(np.uint64)
+    full = np.flatnonzero((ordered[1:] == ordered[:-1]).all(axis=1))
+    lpf, lnf = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+    lpf[order[full + 1]] = length
+    lnf[order[full]] = length
     return lpf, lnf
 
 
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    d = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-    return list(zip(np.flatnonzero(d == 1).tolist(), (np.flatnonzero(d == -1) - 1).tolist()))
-
-
 ROW = [("u1", "bigint"), ("u2", "bigint"), ("key", "bigint"), ("whole", "bigint"), ("lo", "int"), ("n", "int"), ("off", "int")]
 
 
@@ -149,11 +132,13 @@ def _by_factors(rows: DataFrame, length: int, keep_first: bool) -> DataFrame:
         starts = np.concatenate([np.arange(b, b + c) for b, c in zip(begin, n)])
         lpf, lnf = factors(data, starts, length)
         flags = lpf >= length if keep_first else (lpf >= length) | (lnf >= length)
-        out, at = [], 0
-        for u1, u2, lo, c in zip(pdf["u1"], pdf["u2"], pdf["lo"], n):
-            out += [(u1, u2, lo + s, lo + e) for s, e in _runs(flags[at : at + c])]
-            at += c
-        return pd.DataFrame(out, columns=["u1", "u2", "s", "e"])
+        row = np.repeat(np.arange(len(n)), n)
+        on = np.flatnonzero(flags)
+        apart = (np.diff(on) > 1) | (np.diff(row[on]) > 0)  # a run ends with its row
+        first, last = on[np.concatenate([[True], apart])[: len(on)]], on[np.concatenate([apart, [True]])[: len(on)]]
+        at = row[first]
+        moved = pdf["lo"].to_numpy()[at] - (np.cumsum(n) - n)[at]
+        return pd.DataFrame({"u1": pdf["u1"].to_numpy()[at], "u2": pdf["u2"].to_numpy()[at], "s": first + moved, "e": last + moved})
 
     def run(batches):
         held = None
